@@ -1,0 +1,30 @@
+"""Size-checked broadcast for the small bridge / dimension tables.
+
+A side is broadcast only after a bounded count proves it holds at most
+``max_rows`` rows; otherwise it is returned unchanged and Catalyst/AQE plan a
+shuffle join.  The count reads at most ``max_rows + 1`` rows.
+"""
+
+from __future__ import annotations
+
+import weakref
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 200_000
+
+_checked: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    ok = _checked.get(df)
+    if ok is None:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+        _checked[df] = ok
+    return ok
+
+
+def small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is proven small, else ``df``."""
+    return F.broadcast(df) if fits(df, max_rows) else df
