@@ -6,7 +6,7 @@ from relforge.sources.fixtures import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PRE
                                        SENTINEL, Fixtures)
 
 __all__ = ["AS_OF", "CURRENT_RELEASE", "PREVIOUS_RELEASE", "SENTINEL", "LOCAL_MODULE", "fx",
-           "snap_sql", "used_sql", "pub_sql", "PUBLISHED_GE", "PUBLISHED_GT"]
+           "snap_sql", "used_sql", "sct_refset", "SCT_REFSET_SQL", "pub_sql", "PUBLISHED_GE", "PUBLISHED_GT"]
 
 
 def fx(spark, sf_dir) -> Fixtures:
@@ -28,6 +28,17 @@ def pub_sql(keys=("id", "refsetId", "referencedComponentId")) -> str:
             f"JOIN refset_full b ON a.mx = b.effectiveTime AND a.id = b.id WHERE b.active = '1'")
 
 
+def sct_refset(f):
+    """The merged terminology refset table (SCT_REFSET): snapshot over published rows."""
+    from relforge.operators.history import snapshot
+    from pyspark.sql import functions as F
+    return snapshot(f.refset_full.filter(F.col("effectiveTime") != SENTINEL))
+
+
+SCT_REFSET_SQL = (f"SELECT DISTINCT b.* FROM (SELECT id, max(effectiveTime) AS mx FROM refset_full "
+                  f"WHERE effectiveTime <> '{SENTINEL}' GROUP BY id) a "
+                  f"JOIN refset_full b ON a.id = b.id AND a.mx = b.effectiveTime")
+
 used_sql = ("SELECT DISTINCT Cluster_ID, Cluster_Description, Refset_ID FROM clusters "
             "WHERE Cluster_Date_Inactive IS NULL AND Cluster_ID IN (SELECT Cluster_ID FROM cluster_ruleset)")
 

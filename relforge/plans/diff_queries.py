@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from relforge.operators import diff as D
 from relforge.operators import history as H
 from relforge.operators import lists as L
-from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, fx, snap_sql,
-                                   used_sql)
+from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SCT_REFSET_SQL, fx,
+                                   sct_refset, snap_sql, used_sql)
 from relforge.plans.registry import query
 
 # Fixed fixture parameters (FIXTURES.md "Parameter values for fixture runs").
@@ -261,7 +261,7 @@ SELECT DISTINCT {keys}, 'SNOMED CT' AS Coding_ID, l.Cluster_ID, l.Cluster_Descri
        ELSE 'Refset' END AS Type_of_Refset,
   '^' || l.Refset_ID AS Cluster_Code_String, c.active AS Active_status
 FROM ({lists_sql}) l
-LEFT JOIN ({snap_sql(CURRENT_RELEASE)}) r ON l.Refset_ID = r.refsetId AND r.active = '1'
+LEFT JOIN ({SCT_REFSET_SQL}) r ON l.Refset_ID = r.refsetId AND r.active = '1'
 LEFT JOIN description d ON r.referencedComponentId = d.conceptId AND d.active = '1' AND d.DescriptionType = 'F'
 LEFT JOIN concept c ON r.referencedComponentId = c.id"""
 
@@ -272,7 +272,7 @@ LEFT JOIN concept c ON r.referencedComponentId = c.id"""
     "l.Service_ID, l.Ruleset_ID, l.Ruleset_Version"))
 def q_static_by_ruleset(spark, d):
     f = fx(spark, d)
-    return L.static_by_ruleset(f.cluster_ruleset, f.clusters, H.snapshot_as_of(f.refset_full, CURRENT_RELEASE),
+    return L.static_by_ruleset(f.cluster_ruleset, f.clusters, sct_refset(f),
                                f.description, f.concept)
 
 
@@ -285,5 +285,5 @@ def q_static_by_ruleset(spark, d):
     "l.Service_ID, l.Requested_Version"))
 def q_static_by_service(spark, d):
     f = fx(spark, d)
-    return L.static_by_service(f.cluster_ruleset, f.clusters, H.snapshot_as_of(f.refset_full, CURRENT_RELEASE),
+    return L.static_by_service(f.cluster_ruleset, f.clusters, sct_refset(f),
                                f.description, f.concept)
