@@ -1,6 +1,6 @@
 """Driver query catalogue: importing this package registers every query."""
 
-from relforge.plans import history_queries, diff_queries, refdata_queries  # noqa: F401
+from relforge.plans import history_queries, diff_queries, refdata_queries, publish_queries  # noqa: F401
 from relforge.plans.registry import ORACLE, QUERIES
 from relforge.sources.fixtures import oracle_with
 
