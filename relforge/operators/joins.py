@@ -7,21 +7,21 @@ shuffle join.  The count reads at most ``max_rows + 1`` rows.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_ROWS = 200_000
 
-_checked: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+# (session, plan hash, bound) -> verdict; a plan is counted once per session
+_checked: dict = {}
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    ok = _checked.get(df)
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    ok = _checked.get(key)
     if ok is None:
         ok = df.limit(max_rows + 1).count() <= max_rows
-        _checked[df] = ok
+        _checked[key] = ok
     return ok
 
 

@@ -80,13 +80,25 @@ def sensitive_status(refset: DataFrame, sensitive_refsets=SENSITIVE_REFSETS) ->
                           F.col("effectiveTime").alias("_sc_time")).distinct())
 
 
+def best_sensitive(sc: DataFrame) -> DataFrame:
+    """C5 reduced to one row per component: highest active, then latest date.
+
+    C7 ranks sensitivity last and it depends on the component only, so the row C7
+    keeps always carries this one; joining it instead of all rows removes the
+    fan-out before the dedupe.  ``max(struct)`` is a partial (map-side) aggregate.
+    """
+    return (sc.groupBy("_sc_comp").agg(F.max(F.struct("_sc_active", "_sc_time")).alias("_b"))
+              .select("_sc_comp", F.col("_b._sc_active").alias("_sc_active"), F.col("_b._sc_time").alias("_sc_time")))
+
+
 def inclusion_type(module_col: str = "moduleId", local_module: str = LOCAL_MODULE) -> Column:
     """C6: 'PC refset' for the local module, else 'Refset'."""
     return F.when(F.col(module_col) == local_module, "PC refset").otherwise("Refset")
 
 
 def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFrame, clusters: DataFrame,
-                  sensitive_refsets=SENSITIVE_REFSETS, local_module: str = LOCAL_MODULE) -> DataFrame:
+                  sensitive_refsets=SENSITIVE_REFSETS, local_module: str = LOCAL_MODULE,
+                  best_sensitive_only: bool = False) -> DataFrame:
     """C4 (+C5, C6): every refset member of an eligible list with refset name (inner),
     all active terms of the code (left), code status (left), sensitivity (left); distinct."""
     s = refset.select("refsetId", "referencedComponentId", "active", "effectiveTime", "moduleId")
@@ -98,6 +110,8 @@ def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFram
     c = concepts.select(F.col("id").alias("_c_id"), F.col("active").alias("Active_Code_Status"),
                         F.col("effectiveTime").alias("Code_Status_Date"))
     sc = sensitive_status(refset, sensitive_refsets)
+    if best_sensitive_only:
+        sc = best_sensitive(sc)
     # the code lists are a small dimension: broadcast (size-checked) and join first,
     # so only members of eligible lists reach the description joins
     j = s.join(small(clusters), s.refsetId == clusters.Refset_ID)
@@ -140,7 +154,8 @@ def reference_data(refset: DataFrame, descriptions: DataFrame, concepts: DataFra
     """C1 -> C2 -> C3 -> C4 -> C7: the de-duplicated reference data table."""
     cl = dedupe_clusters(active_over_retired(eligible_clusters(clusters, as_of, deny, allow,
                                                                 exclude_description_like)))
-    return dedupe_concepts(enrich_refset(refset, descriptions, concepts, cl, sensitive_refsets, local_module))
+    return dedupe_concepts(enrich_refset(refset, descriptions, concepts, cl, sensitive_refsets, local_module,
+                                         best_sensitive_only=True))
 
 
 def strip_characters(df: DataFrame, cols=NC_COLUMNS, replace_en_dash: bool = False) -> DataFrame:

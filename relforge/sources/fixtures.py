@@ -12,6 +12,8 @@ loop / cartesian join is ever planned, even for fixtures.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 from collections import OrderedDict
 
@@ -194,16 +196,42 @@ def oracle_with(sql: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+# History tables are stored bucketed (and sorted) by the member id: every snapshot
+# window and the diff's first stage then read co-partitioned data, no exchange.
+BUCKETED = {"refset_full": "id"}
+
+
 class Fixtures:
-    """Lazily built fixture DataFrames over one driver-data folder."""
+    """Lazily built fixture DataFrames over one driver-data folder.
+
+    With ``materialize`` (default) each derived table is written once per session
+    under the shared checkpoint folder (``spark.checkpoint.dir``) and read back, as
+    a release pipeline reads its stored tables; this also cuts the lineage.
+    """
 
     _cache: dict = {}
 
-    def __init__(self, spark: SparkSession, base_dir: str):
+    def __init__(self, spark: SparkSession, base_dir: str, materialize: bool = True):
         self.spark = spark
         self.base_dir = base_dir
+        self.materialize = materialize
         self._dfs: dict[str, DataFrame] = {}
 
+    def _store(self, name: str, df: DataFrame) -> DataFrame:
+        from relforge.session import checkpoint_dir
+        tag = hashlib.sha1(f"{os.path.abspath(self.base_dir)}|{FIXTURES[name]}".encode()).hexdigest()[:10]
+        path = os.path.join(checkpoint_dir(self.spark), "relforge-fixtures", f"{name}_{tag}")
+        key = BUCKETED.get(name)
+        if key is not None:
+            table = f"relforge_fx_{name}_{tag}"
+            if not self.spark.catalog.tableExists(table):
+                n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+                   .option("path", path).saveAsTable(table))
+            return self.spark.table(table)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     @classmethod
     def of(cls, spark: SparkSession, base_dir: str) -> "Fixtures":
         key = (id(spark), base_dir)
@@ -218,6 +246,8 @@ class Fixtures:
             if name in FIXTURES:
                 args = {d: self[d] for d in deps(name)}
                 df = self.spark.sql(FIXTURES[name], **args)
+                if self.materialize:
+                    df = self._store(name, df)
             elif name in DRIVER_TABLES:
                 df = read_table(self.spark, self.base_dir, name)
             else:
