@@ -7,9 +7,11 @@ need (one hash partitioning on the component id for any snapshot).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from relforge.operators.joins import small
+
 # Fixed value: the effectiveTime of rows not yet published.
 SENTINEL = "99999999"
 
@@ -86,9 +88,11 @@ def latest_release_rows(refsets: DataFrame, clusters: DataFrame, descriptions: D
     if cluster_ids is not None:
         c = c.filter(F.col("Cluster_ID").isin(list(cluster_ids)))
     c = c.distinct()
-    w = Window.partitionBy("refsetId")
-    latest = (refsets.withColumn("_mx", F.max("effectiveTime").over(w))
-                     .filter(F.col("effectiveTime") == F.col("_mx")))
+    # one refset may hold a large share of all members: take its latest date with a
+    # partial (map-side) aggregate, one row per refset, and semi-join it back --
+    # never a window that puts a whole refset into one task
+    mx = refsets.groupBy("refsetId").agg(F.max("effectiveTime").alias("effectiveTime"))
+    latest = refsets.join(small(mx), ["refsetId", "effectiveTime"], "left_semi")
     d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
                     .select(F.col("conceptId").alias("_cid"), F.col("term"))
     return (latest.join(c, latest.refsetId == c.Refset_ID)
@@ -185,7 +189,7 @@ def release_membership_counts(history: DataFrame, dependency: DataFrame, module:
     """
     pcd_date = (dependency.filter(F.col("moduleId") == module)
                           .agg(F.max("sourceEffectiveTime").alias("_d")))
-    at = history.join(pcd_date, history.effectiveTime == pcd_date._d)
+    at = history.join(F.broadcast(pcd_date), history.effectiveTime == pcd_date._d)  # one-row side
     counts = at.agg(F.count(F.when(F.col("active") == "0", F.col("id"))).alias("c0"),
                     F.count(F.when(F.col("active") == "1", F.col("id"))).alias("c1"))
     return counts.select(F.explode(F.array(
@@ -198,7 +202,3 @@ def active_total(df: DataFrame, active_col: str = "active", id_col: str = "id")
     """Number of active rows."""
     return (df.filter(F.col(active_col) == "1").groupBy(active_col)
               .agg(F.count(id_col).cast("bigint").alias("active_refsets")))
-
-
-def in_cols(df: DataFrame, cols) -> Column:
-    return F.struct(*[F.col(c) for c in cols])

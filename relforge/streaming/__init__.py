@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The release pipeline is batch only -- every stage is a batch call over whole
+tables at a release date (no watermark, window-over-time or state anywhere), so
+there is no streaming operator to rebuild.  All operators in ``relforge`` take
+and return DataFrames and can be applied inside ``foreachBatch`` unchanged if a
+history table is ever fed incrementally.
+"""
