@@ -73,7 +73,7 @@ def dependency_candidates(id_table: DataFrame, filled: DataFrame, module: str,
     dated = filled.filter(F.col("sourceEffectiveTime").isNotNull()) \
                   .select(F.col("moduleId").alias("_x"), F.col("sourceEffectiveTime").alias("_date"))
     ids = id_table.filter((F.col("moduleId") == module) & (F.col("refsetId") == refset))
-    j = ids.join(small(dated), ids.conceptId == dated._x)
+    j = ids.join(dated, ids.conceptId == dated._x)  # derived from the members: sized by AQE at runtime
     return j.select(F.col("Unique_ID_Generated").alias("id"), F.lit(sentinel).alias("effectiveTime"),
                     F.lit("1").alias("active"), "moduleId", "refsetId",
                     F.col("conceptId").alias("referencedComponentId"),

@@ -92,7 +92,7 @@ def latest_release_rows(refsets: DataFrame, clusters: DataFrame, descriptions: D
     # partial (map-side) aggregate, one row per refset, and semi-join it back --
     # never a window that puts a whole refset into one task
     mx = refsets.groupBy("refsetId").agg(F.max("effectiveTime").alias("effectiveTime"))
-    latest = refsets.join(small(mx), ["refsetId", "effectiveTime"], "left_semi")
+    latest = refsets.join(mx, ["refsetId", "effectiveTime"], "left_semi")  # AQE sizes it at runtime
     d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
                     .select(F.col("conceptId").alias("_cid"), F.col("term"))
     return (latest.join(c, latest.refsetId == c.Refset_ID)

@@ -3,6 +3,12 @@
 A side is broadcast only after a bounded count proves it holds at most
 ``max_rows`` rows; otherwise it is returned unchanged and Catalyst/AQE plan a
 shuffle join.  The count reads at most ``max_rows + 1`` rows.
+
+Use it for sides built from dimension tables (code lists, rulesets, bridges),
+where the count is cheap.  Sides derived from the large history are left to
+AQE, which converts a shuffle join to a broadcast at runtime from the measured
+size (``spark.sql.adaptive.autoBroadcastJoinThreshold``) -- an eager count there
+would run the expensive pipeline twice.
 """
 
 from __future__ import annotations

@@ -46,19 +46,40 @@ def staged_clusters(cluster_ruleset: DataFrame, stages: DataFrame) -> DataFrame:
 
 def _static(lists: DataFrame, refset: DataFrame, descriptions: DataFrame, concepts: DataFrame,
             key_cols) -> DataFrame:
-    r = refset.filter(F.col("active") == "1").select("refsetId", "referencedComponentId")
-    d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
-                    .select(F.col("conceptId").alias("_did"), F.col("term").alias("Code_description"))
-    c = concepts.select(F.col("id").alias("_cid"), F.col("active").alias("Active_status"))
-    j = (lists.join(r, lists.Refset_ID == r.refsetId, "left")
-              .join(d, F.col("referencedComponentId") == d._did, "left")
-              .join(c, F.col("referencedComponentId") == c._cid, "left"))
-    return j.select(*key_cols, F.lit(CODING_ID).alias("Coding_ID"), "Cluster_ID",
-                    F.col("Cluster_Description").alias("Cluster_description"),
-                    F.col("referencedComponentId").alias("SNOMED_concept_ID"), "Code_description",
-                    refset_type("Refset_ID", REFSET_TYPE_RULES_STATIC).alias("Type_of_Refset"),
-                    F.concat(F.lit("^"), F.col("Refset_ID")).alias("Cluster_Code_String"),
-                    "Active_status").distinct()
+    """Current content of each (key, code list), one row per code and name.
+
+    Members are named once (member-sized joins), then fanned out to the code lists
+    through a size-checked broadcast; lists without content come from an anti join
+    against the refsets that have members (one row per refset).  Every input is
+    de-duplicated first, so the output is distinct by construction -- no DISTINCT
+    over the fanned-out rows.
+    """
+    members = refset.filter(F.col("active") == "1").select("refsetId", "referencedComponentId").distinct()
+    d = (descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F"))
+                     .select(F.col("conceptId").alias("_did"), F.col("term").alias("Code_description")).distinct())
+    c = concepts.select(F.col("id").alias("_cid"), F.col("active").alias("Active_status")).distinct()
+    named = (members.join(d, members.referencedComponentId == d._did, "left")
+                    .join(c, members.referencedComponentId == c._cid, "left")
+                    .select("refsetId", "referencedComponentId", "Code_description", "Active_status"))
+    lists = lists.select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID").distinct()
+    hit = named.join(small(lists), named.refsetId == lists.Refset_ID)
+    have = members.select(F.col("refsetId").alias("_have")).distinct()
+    # ``have`` derives from the history: no eager count on it -- AQE broadcasts it
+    # at runtime from the measured shuffle size, or keeps the shuffle join
+    empty = (lists.join(have, lists.Refset_ID == have._have, "left_anti")
+                  .select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID",
+                          F.lit(None).cast("string").alias("referencedComponentId"),
+                          F.lit(None).cast("string").alias("Code_description"),
+                          F.lit(None).cast("string").alias("Active_status")))
+    cols = [*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID", "referencedComponentId",
+            "Code_description", "Active_status"]
+    both = hit.select(*cols).unionByName(empty.select(*cols))
+    return both.select(*key_cols, F.lit(CODING_ID).alias("Coding_ID"), "Cluster_ID",
+                       F.col("Cluster_Description").alias("Cluster_description"),
+                       F.col("referencedComponentId").alias("SNOMED_concept_ID"), "Code_description",
+                       refset_type("Refset_ID", REFSET_TYPE_RULES_STATIC).alias("Type_of_Refset"),
+                       F.concat(F.lit("^"), F.col("Refset_ID")).alias("Cluster_Code_String"),
+                       "Active_status")
 
 
 def static_by_ruleset(cluster_ruleset: DataFrame, clusters: DataFrame, refset: DataFrame,

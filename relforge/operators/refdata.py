@@ -98,9 +98,12 @@ def inclusion_type(module_col: str = "moduleId", local_module: str = LOCAL_MODUL
 
 def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFrame, clusters: DataFrame,
                   sensitive_refsets=SENSITIVE_REFSETS, local_module: str = LOCAL_MODULE,
-                  best_sensitive_only: bool = False) -> DataFrame:
+                  best_sensitive_only: bool = False, distinct: bool = True) -> DataFrame:
     """C4 (+C5, C6): every refset member of an eligible list with refset name (inner),
-    all active terms of the code (left), code status (left), sensitivity (left); distinct."""
+    all active terms of the code (left), code status (left), sensitivity (left); distinct.
+
+    ``distinct=False`` when a keep-first dedupe follows: it already returns one of
+    any identical rows, so the extra exchange of the DISTINCT is skipped."""
     s = refset.select("refsetId", "referencedComponentId", "active", "effectiveTime", "moduleId")
     names = (descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F"))
              .select(F.col("conceptId").alias("_rs_id"), F.col("term").alias("Refset_Description")))
@@ -119,7 +122,7 @@ def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFram
           .join(terms, j.referencedComponentId == terms._y_id, "left")
           .join(c, j.referencedComponentId == c._c_id, "left")
           .join(sc, j.referencedComponentId == sc._sc_comp, "left"))
-    return j.select(
+    out = j.select(
         F.coalesce(F.col("Cluster_Category"), F.lit(TO_BE_CONFIRMED)).alias("Cluster_Category"),
         "Cluster_ID", F.col("Cluster_Description").alias("Cluster_Desc"),
         F.col("active").alias("Active_in_Refset"), F.col("effectiveTime").alias("Refset_Status_Date"),
@@ -130,7 +133,8 @@ def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFram
         inclusion_type("moduleId", local_module).alias("Type_of_Inclusion"),
         F.when(F.col("_sc_time").isNotNull(), F.col("_sc_active")).otherwise(F.lit("0")).alias("Sensitive_Status"),
         F.coalesce(F.col("_sc_time"), F.lit(NO_SENSITIVE_DATE)).alias("Sensitive_Status_Date"),
-    ).distinct()
+    )
+    return out.distinct() if distinct else out
 
 
 def dedupe_concepts(enriched: DataFrame) -> DataFrame:
@@ -155,7 +159,7 @@ def reference_data(refset: DataFrame, descriptions: DataFrame, concepts: DataFra
     cl = dedupe_clusters(active_over_retired(eligible_clusters(clusters, as_of, deny, allow,
                                                                 exclude_description_like)))
     return dedupe_concepts(enrich_refset(refset, descriptions, concepts, cl, sensitive_refsets, local_module,
-                                         best_sensitive_only=True))
+                                         best_sensitive_only=True, distinct=False))
 
 
 def strip_characters(df: DataFrame, cols=NC_COLUMNS, replace_en_dash: bool = False) -> DataFrame:
