@@ -51,13 +51,23 @@ def dependency_summary(refsets: DataFrame, concepts: DataFrame, dependency: Data
 def fill_dependency_date(summary: DataFrame, null_module: str = NULL_DATE_MODULE,
                          sibling_module: str = SIBLING_MODULE) -> DataFrame:
     """Copy the sibling module's date into the known null-date module; rows still
-    without a date are flagged ``needs_input`` (the reference asked a person)."""
+    without a date are flagged ``needs_input`` (the reference asked a person).
+
+    The sibling's date is re-keyed to the target module and merged by one group-by
+    on the module id (no join on a literal key, which would plan a nested loop).
+    """
+    own = summary.select("moduleId", "ReleaseType", "sourceEffectiveTime",
+                         F.lit(None).cast("string").alias("_sib"), F.lit(1).alias("_own"))
     sib = (summary.filter(F.col("moduleId") == sibling_module)
-                  .agg(F.max("sourceEffectiveTime").alias("_sib"))
-                  .withColumn("_target", F.lit(null_module)))
-    j = summary.join(F.broadcast(sib), summary.moduleId == sib._target, "left")  # one-row side
-    filled = F.coalesce(F.col("sourceEffectiveTime"), F.col("_sib"))
-    return j.select("ReleaseType", "moduleId", filled.alias("sourceEffectiveTime"),
+                  .select(F.lit(null_module).alias("moduleId"), F.lit(None).cast("string").alias("ReleaseType"),
+                          F.lit(None).cast("string").alias("sourceEffectiveTime"),
+                          F.col("sourceEffectiveTime").alias("_sib"), F.lit(0).alias("_own")))
+    g = (own.unionByName(sib).groupBy("moduleId")
+            .agg(F.max("ReleaseType").alias("ReleaseType"), F.max("sourceEffectiveTime").alias("_own_date"),
+                 F.max("_sib").alias("_sib"), F.max("_own").alias("_own"))
+            .filter(F.col("_own") == 1))
+    filled = F.coalesce(F.col("_own_date"), F.col("_sib"))
+    return g.select("ReleaseType", "moduleId", filled.alias("sourceEffectiveTime"),
                     filled.isNull().alias("needs_input"))
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relforge.operators.history import two_snapshots
+from relforge.operators.history import scalar, two_snapshots
 from relforge.operators.joins import small
 
 # Ordered LIKE rules that label a refset id (first match wins).
@@ -182,8 +182,13 @@ def cause_of_change(history: DataFrame, dependency: DataFrame, cluster_ruleset:
                     other_ruleset: str, min_versions: dict) -> DataFrame:
     """Changes published at the latest release in the "big" lists, matched with
     same-direction changes in the subset ruleset's underlying lists, plus the other
-    ruleset's changes (``n/a``).  Bag result, as in the reference."""
-    pub = dependency.agg(F.max("effectiveTime").alias("_pub"))
+    ruleset's changes (``n/a``).  Bag result, as in the reference.
+
+    The publication date (a scalar over the small dependency table) is resolved
+    first, so the history scan gets a pushed-down ``effectiveTime = date`` filter;
+    the three list sets are tagged and joined to that slice once.
+    """
+    pub = scalar(dependency.agg(F.max("effectiveTime")))
     live = clusters.filter(F.col("Cluster_Date_Inactive").isNull())
     cond = None
     for rs, v in min_versions.items():
@@ -193,27 +198,27 @@ def cause_of_change(history: DataFrame, dependency: DataFrame, cluster_ruleset:
              .join(live.select("Cluster_ID", "Refset_ID"), "Cluster_ID")
              .select("Ruleset_ID", "Ruleset_Version", "Cluster_ID", "Refset_ID").distinct())
     big = live.filter(F.col("Cluster_ID").isin(list(big_lists))).select("Cluster_ID", "Refset_ID").distinct()
-    at = history.join(F.broadcast(pub), history.effectiveTime == pub._pub)  # one-row side
-
-    def changes(lists):
-        j = at.join(small(lists), at.refsetId == lists.Refset_ID)
-        return j.select(F.col("effectiveTime").alias("Date_change_published"),
-                        F.col("referencedComponentId").alias("SNOMED_code"),
-                        F.when(F.col("active") == "1", "added to").otherwise("removed from").alias("added_removed"),
-                        F.col("Cluster_ID").alias("Cluster")).distinct()
-
-    link = changes(big)
-    ul = changes(under.filter(F.col("Ruleset_ID") == subset_ruleset).select("Cluster_ID", "Refset_ID"))
-    spl = changes(under.filter(F.col("Ruleset_ID") == other_ruleset).select("Cluster_ID", "Refset_ID"))
-    b = ul.select(F.col("SNOMED_code").alias("_c"), F.col("added_removed").alias("_ar"),
-                  F.col("Cluster").alias("due_to_underlying_changes_in"))
+    tagged = (big.select("Cluster_ID", "Refset_ID", F.lit("big").alias("_kind"))
+              .unionByName(under.filter(F.col("Ruleset_ID") == subset_ruleset)
+                                .select("Cluster_ID", "Refset_ID", F.lit("sub").alias("_kind")))
+              .unionByName(under.filter(F.col("Ruleset_ID") == other_ruleset)
+                                .select("Cluster_ID", "Refset_ID", F.lit("other").alias("_kind"))))
+    at = history.filter(F.col("effectiveTime") == F.lit(pub).cast("string"))
+    j = at.join(small(tagged), at.refsetId == tagged.Refset_ID)
+    changes = j.select("_kind", F.col("referencedComponentId").alias("SNOMED_code"),
+                       F.when(F.col("active") == "1", "added to").otherwise("removed from").alias("added_removed"),
+                       F.col("Cluster_ID").alias("Cluster")).distinct()
+    link = changes.filter(F.col("_kind") == "big")
+    b = changes.filter(F.col("_kind") == "sub").select(
+        F.col("SNOMED_code").alias("_c"), F.col("added_removed").alias("_ar"),
+        F.col("Cluster").alias("due_to_underlying_changes_in"))
     part1 = (link.join(b, (link.SNOMED_code == b._c) & (link.added_removed == b._ar), "left")
-                 .select(F.lit(subset_ruleset).alias("Ruleset"), "SNOMED_code", "added_removed", "Cluster",
-                         "due_to_underlying_changes_in", F.col("Date_change_published").alias("Date_changes_published")))
-    part2 = spl.select(F.lit(other_ruleset).alias("Ruleset"), "SNOMED_code", "added_removed", "Cluster",
-                       F.lit("n/a").alias("due_to_underlying_changes_in"),
-                       F.col("Date_change_published").alias("Date_changes_published"))
-    allr = part1.unionByName(part2)
+                 .select(F.lit(subset_ruleset).alias("Ruleset"), "SNOMED_code", "added_removed",
+                         "due_to_underlying_changes_in"))
+    part2 = changes.filter(F.col("_kind") == "other").select(
+        F.lit(other_ruleset).alias("Ruleset"), "SNOMED_code", "added_removed",
+        F.lit("n/a").alias("due_to_underlying_changes_in"))
+    allr = part1.unionByName(part2).withColumn("Date_changes_published", F.lit(pub).cast("string"))
     d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
                     .select(F.col("conceptId").alias("_did"), F.col("term").alias("Code_description"))
     return (allr.join(d, allr.SNOMED_code == d._did, "left")

@@ -16,6 +16,17 @@ from relforge.operators.joins import small
 SENTINEL = "99999999"
 
 
+def scalar(one_row: DataFrame):
+    """Value of a one-row, one-column aggregate over a small table (a scalar subquery).
+
+    Resolving it before the large scan is planned turns ``time = (SELECT max ...)``
+    into a literal filter that reaches the parquet scan (row-group pruning) instead
+    of a join against the whole history.
+    """
+    r = one_row.first()
+    return None if r is None else r[0]
+
+
 def _cols(c) -> list[str]:
     return [c] if isinstance(c, str) else list(c)
 
@@ -184,12 +195,11 @@ def latest_releases(dates: DataFrame, n: int = 2) -> DataFrame:
 def release_membership_counts(history: DataFrame, dependency: DataFrame, module: str) -> DataFrame:
     """Rows by active state at the local module's latest source date.
 
-    The scalar subquery becomes a one-row aggregate joined on the date; both
-    classes are always reported (0 when absent).
+    The scalar subquery is resolved first (small table) and pushed into the history
+    scan as a literal; both classes are always reported (0 when absent).
     """
-    pcd_date = (dependency.filter(F.col("moduleId") == module)
-                          .agg(F.max("sourceEffectiveTime").alias("_d")))
-    at = history.join(F.broadcast(pcd_date), history.effectiveTime == pcd_date._d)  # one-row side
+    pcd_date = scalar(dependency.filter(F.col("moduleId") == module).agg(F.max("sourceEffectiveTime")))
+    at = history.filter(F.col("effectiveTime") == F.lit(pcd_date).cast("string"))
     counts = at.agg(F.count(F.when(F.col("active") == "0", F.col("id"))).alias("c0"),
                     F.count(F.when(F.col("active") == "1", F.col("id"))).alias("c1"))
     return counts.select(F.explode(F.array(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rule labels of the reference-data check.
@@ -108,16 +108,21 @@ def cluster_row_counts(ref: DataFrame) -> DataFrame:
 def release_trend(previous: DataFrame, current: DataFrame) -> DataFrame:
     """previous vs current counts and the difference; ``ok`` false when it fell.
 
-    The input is two one-row tables; the ordering window runs over two rows.
+    The two one-row inputs are folded into one row by a conditional aggregate and
+    unpivoted again (no join, no window).
     """
-    t = (previous.withColumn("Code_release", F.lit("Previous")).withColumn("_o", F.lit(0))
-         .unionByName(current.withColumn("Code_release", F.lit("Current")).withColumn("_o", F.lit(1))))
-    w = Window.orderBy("_o")
-    diff = F.col("Number_of_clusters") - F.lag("Number_of_clusters").over(w)
-    return (t.withColumn("Clusters_Difference", diff)
-             .withColumn("ok", F.when(F.col("Clusters_Difference").isNull(), F.lit(None).cast("boolean"))
-                          .otherwise(F.col("Clusters_Difference") >= 0))
-             .drop("_o"))
+    t = (previous.withColumn("_o", F.lit(0)).unionByName(current.withColumn("_o", F.lit(1))))
+    one = t.agg(*[F.max(F.when(F.col("_o") == i, F.col(c))).alias(f"{c}_{i}")
+                  for i in (0, 1) for c in ("Number_of_clusters", "Number_of_rows")])
+    diff = F.col("Number_of_clusters_1") - F.col("Number_of_clusters_0")
+    rows = F.array(
+        F.struct(F.col("Number_of_clusters_0").alias("Number_of_clusters"),
+                 F.col("Number_of_rows_0").alias("Number_of_rows"), F.lit("Previous").alias("Code_release"),
+                 F.lit(None).cast("bigint").alias("Clusters_Difference"), F.lit(None).cast("boolean").alias("ok")),
+        F.struct(F.col("Number_of_clusters_1").alias("Number_of_clusters"),
+                 F.col("Number_of_rows_1").alias("Number_of_rows"), F.lit("Current").alias("Code_release"),
+                 diff.alias("Clusters_Difference"), (diff >= 0).alias("ok")))
+    return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def reconcile(a: DataFrame, b: DataFrame, time_col: str = "effectiveTime",
