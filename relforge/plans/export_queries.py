@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
 from relforge.operators import diff as D
 from relforge.operators import history as H
 from relforge.operators import refdata as R
-from relforge.plans.common import CURRENT_RELEASE, SENTINEL, fx
+from relforge.plans.common import CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SENTINEL, fx, snap_sql
 from relforge.plans.diff_queries import decorated_df
 from relforge.plans.refdata_queries import NC_COLS, NC_SQL, WORDS, nc_df
 from relforge.plans.registry import ORACLE, query
@@ -112,3 +113,17 @@ def q_csv_legacy_roundtrip(spark, d):
     path = IO.scratch_root(spark, "legacy_csv")
     IO.write_csv_legacy(df, path)
     return IO.read_csv_legacy(spark, path, df.schema)
+
+
+@query("replace_module_roundtrip", f"""
+SELECT * FROM ({snap_sql(CURRENT_RELEASE)}) n WHERE moduleId = '{LOCAL_MODULE}'
+UNION ALL
+SELECT * FROM ({snap_sql(PREVIOUS_RELEASE)}) o WHERE moduleId <> '{LOCAL_MODULE}'""")
+def q_replace_module_roundtrip(spark, d):
+    # B9 on storage: a moduleId-partitioned table; one module's partition replaced
+    f = fx(spark, d)
+    table = "relforge_sct_refset_" + uuid.uuid4().hex[:12]
+    (H.snapshot_as_of(f.refset_full, PREVIOUS_RELEASE).write.partitionBy("moduleId")
+      .option("path", IO.scratch_root(spark, table)).saveAsTable(table))
+    IO.replace_module_partition(spark, table, H.snapshot_as_of(f.refset_full, CURRENT_RELEASE), LOCAL_MODULE)
+    return spark.table(table)

@@ -125,10 +125,24 @@ def export_partitioned(df: DataFrame, keys, path: str, fmt: str = "csv", mode: s
        .option("header", True).save(path))
 
 
+def replace_module_partition(spark: SparkSession, table: str, new_rows: DataFrame, module: str,
+                             module_col: str = "moduleId") -> None:
+    """B9 on a ``moduleId``-partitioned catalog table: replace exactly one module.
+
+    A static partition spec overwrites that partition only, and empties it when the
+    new slice has no rows -- the case dynamic overwrite cannot express.  Other
+    modules are not rewritten.
+    """
+    cols = [c for c in spark.table(table).columns if c != module_col]
+    body = new_rows.filter(F.col(module_col) == module).select(*cols)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({module_col} = :m) SELECT * FROM {{body}}",
+              args={"m": module}, body=body)
+
+
 def overwrite_module(new_rows: DataFrame, path: str, module_col: str = "moduleId") -> None:
     """B9 on disk: replace the module partitions present in ``new_rows`` of a
     ``moduleId``-partitioned table (dynamic partition overwrite; other modules
-    are untouched).  A module absent from ``new_rows`` keeps its old partition:
-    write the whole table to a new path and swap when a module must disappear."""
+    are untouched).  A module absent from ``new_rows`` keeps its old partition;
+    use ``replace_module_partition`` on a catalog table for that case."""
     (new_rows.hint("rebalance", module_col).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(module_col).parquet(path))

@@ -44,3 +44,31 @@ def test_legacy_encoding_roundtrip(spark):
     raw = b"".join(open(os.path.join(path, f), "rb").read() for f in os.listdir(path) if f.endswith(".csv"))
     assert "café".encode("latin-1") in raw
     assert IO.read_csv_legacy(spark, path, df.schema).collect()[0]["t"] == "café, crème"
+
+
+def test_replace_module_partition_including_empty_slice(spark, fx):
+    from relforge.operators import history as H
+    table = "t_sct_refset_modules"
+    base = H.snapshot_as_of(fx.refset_full, "20001201")
+    base.write.mode("overwrite").partitionBy("moduleId").option("path", IO.scratch_root(spark, "t-tab")) \
+        .saveAsTable(table)
+    new = H.snapshot_as_of(fx.refset_full, "20010601")
+    IO.replace_module_partition(spark, table, new, "M_PCD")
+    got = spark.table(table)
+    want = base.filter(F.col("moduleId") != "M_PCD").unionByName(new.filter(F.col("moduleId") == "M_PCD")) \
+               .select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    IO.replace_module_partition(spark, table, new.limit(0), "M_EXT")  # module absent from the new slice
+    assert spark.table(table).filter(F.col("moduleId") == "M_EXT").count() == 0
+    assert spark.table(table).filter(F.col("moduleId") == "M_PCD").count() == new.filter(
+        F.col("moduleId") == "M_PCD").count()
+
+
+def test_create_and_clone_tables(spark, fx):
+    IO.create_table_as(fx.clusters, "t_clusters_src")
+    IO.create_table_as(fx.rulesets, "t_rulesets_src")
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_src")
+    IO.create_table_as(fx.clusters, "t_src.clusters")
+    IO.clone_tables(spark, ["clusters"], "t_src", "t_sandbox")
+    assert spark.table("t_sandbox.clusters").count() == fx.clusters.count()
+    assert spark.table("t_clusters_src").count() == fx.clusters.count()
