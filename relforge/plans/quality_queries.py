@@ -11,14 +11,14 @@ from relforge.operators import quality as Q
 from relforge.operators import refdata as R
 from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SCT_REFSET_SQL, SENTINEL,
                                    fx, sct_refset, snap_sql)
-from relforge.plans.refdata_queries import ALLOW, DENY, EXCLUDE_DESC, REF_SQL, SENSITIVE, reference_df
+from relforge.plans.refdata_queries import (ALLOW, DENY, EXCLUDE_DESC, NC_SQL, REF_SQL, SENSITIVE, SUBSET_RULESET,
+                                            nc_df, reference_df)
 from relforge.plans.registry import query
 
 MARKER = "é"
 LATE_AS_OF = "2002-06-01"
 DECISION_AS_OF = "2024-01-31"
 DOC_COLS = {"text": "documents text"}
-REF_COLS = {"ConceptId_Description": "GPData ConceptId_Description", "Refset_Description": "GPData Refset_Description"}
 
 ACCEPTED_RE = "|".join(Q.ACCEPTED_CHARACTERS)  # none of them is a regex metacharacter
 
@@ -49,19 +49,35 @@ def q_non_ascii_documents(spark, d):
     return Q.non_ascii_values(fx(spark, d).documents, DOC_COLS)
 
 
-NON_ASCII_REF_SQL = f"""
-SELECT ConceptId_Description AS Description_with_Error, 'GPData ConceptId_Description' AS Table_Col_Location FROM ({REF_SQL}) a
-WHERE ConceptId_Description IS NOT NULL AND ConceptId_Description <> ''
-  AND octet_length(encode(ConceptId_Description)) <> length(ConceptId_Description)
-UNION ALL
-SELECT Refset_Description, 'GPData Refset_Description' FROM ({REF_SQL}) b
-WHERE Refset_Description IS NOT NULL AND Refset_Description <> ''
-  AND octet_length(encode(Refset_Description)) <> length(Refset_Description)"""
+# The check's location labels (comma-stripped GPData table and its ruleset subset).
+GPDATA_COLS = {"ConceptId_Description": "GPData ConceptId_Description",
+               "Refset_Description": "GPData Refset_Description"}
+SUBSET_COLS = {"ConceptId_Description": "GDPRR ConceptId_Description",
+               "Refset_Description": "GDPRR Refset_Description"}
+
+
+def _non_ascii_sql(table_sql: str, col: str, label: str, i: int) -> str:
+    return (f"SELECT {col} AS Description_with_Error, '{label}' AS Table_Col_Location FROM ({table_sql}) t{i} "
+            f"WHERE {col} IS NOT NULL AND {col} <> '' AND octet_length(encode({col})) <> length({col})")
+
+
+SUBSET_SQL = f"""SELECT DISTINCT * FROM ({NC_SQL}) n WHERE Cluster_ID IN
+  (SELECT Cluster_ID FROM cluster_ruleset WHERE Ruleset_ID = '{SUBSET_RULESET}' AND Cluster_Ruleset_Date_Inactive IS NULL)"""
+
+NON_ASCII_REF_SQL = " UNION ALL ".join(
+    [_non_ascii_sql(SUBSET_SQL, c, lbl, i) for i, (c, lbl) in enumerate(SUBSET_COLS.items())]
+    + [_non_ascii_sql(NC_SQL, c, lbl, i + 2) for i, (c, lbl) in enumerate(GPDATA_COLS.items())])
+
+
+def _non_ascii_ref(f):
+    nc = nc_df(f)
+    subset = R.subset_by_ruleset(nc, f.cluster_ruleset, SUBSET_RULESET)
+    return Q.non_ascii_values(subset, SUBSET_COLS).unionByName(Q.non_ascii_values(nc, GPDATA_COLS))
 
 
 @query("non_ascii_reference", NON_ASCII_REF_SQL)
 def q_non_ascii_reference(spark, d):
-    return Q.non_ascii_values(reference_df(fx(spark, d)), REF_COLS)
+    return _non_ascii_ref(fx(spark, d))
 
 
 @query("accepted_characters", f"""
@@ -78,7 +94,7 @@ SELECT CASE WHEN regexp_matches(Description_with_Error, '{ACCEPTED_RE}') THEN 'a
        Description_with_Error AS value
 FROM ({NON_ASCII_REF_SQL}) n""")
 def q_split_by_flag(spark, d):
-    return Q.split_by_flag(Q.accepted_characters(Q.non_ascii_values(reference_df(fx(spark, d)), REF_COLS)))
+    return Q.split_by_flag(Q.accepted_characters(_non_ascii_ref(fx(spark, d))))
 
 
 @query("empty_columns", f"""
