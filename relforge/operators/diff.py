@@ -152,13 +152,22 @@ def stage_counts(changed_rs: DataFrame) -> DataFrame:
                       .agg(F.count("UID").cast("bigint").alias("outputs")))
 
 
-def services_to_publish(stages: DataFrame, services, stage: str | None = None) -> DataFrame:
-    """Configured services by stage, highest version only (numeric), floored label."""
+def services_to_publish(stages: DataFrame, services, stage: str | None = None, k: int = 1) -> DataFrame:
+    """Configured services by stage, the ``k`` highest versions (numeric order),
+    with the floored version label.  ``k=1`` is what the reference publishes.
+
+    Top-k per (stage, service) is a window over one service's distinct versions.
+    """
     s = stages.filter(F.col("Service_ID").isin(list(services)))
     if stage is not None:
         s = s.filter(F.col("Stage") == stage)
-    return (s.groupBy("Stage", "Service_ID").agg(F.max("Ruleset_Version").alias("Ruleset_Version"))
-             .withColumn("Version_Floor", F.floor("Ruleset_Version").cast("int")))
+    v = s.select("Stage", "Service_ID", "Ruleset_Version").distinct()
+    if k == 1:
+        top = v.groupBy("Stage", "Service_ID").agg(F.max("Ruleset_Version").alias("Ruleset_Version"))
+    else:
+        w = Window.partitionBy("Stage", "Service_ID").orderBy(F.col("Ruleset_Version").desc())
+        top = v.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
+    return top.withColumn("Version_Floor", F.floor("Ruleset_Version").cast("int"))
 
 
 def change_summary(counts: DataFrame, changed_rs: DataFrame, per_stage: DataFrame,

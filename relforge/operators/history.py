@@ -182,9 +182,14 @@ def retain_releases(dates: DataFrame, keep_n: int) -> DataFrame:
                  .withColumn("action", F.when(F.col("release_rank") <= keep_n, "keep").otherwise("drop")))
 
 
-def previous_release(dates: DataFrame, current: str) -> DataFrame:
-    """The latest release strictly before ``current`` (one row, null if none)."""
-    return dates.filter(F.col("release_date") < current).agg(F.max("release_date").alias("previous_release"))
+def previous_release(dates: DataFrame, current: str, max_months_back: int | None = 16) -> DataFrame:
+    """The latest release strictly before ``current``, looking back at most
+    ``max_months_back`` months (one row, null if none)."""
+    prev = dates.filter(F.col("release_date") < current)
+    if max_months_back is not None:
+        cur = F.to_date(F.lit(current), "yyyyMMdd")
+        prev = prev.filter(F.try_to_date(F.col("release_date"), "yyyyMMdd") >= F.add_months(cur, -max_months_back))
+    return prev.agg(F.max("release_date").alias("previous_release"))
 
 
 def latest_releases(dates: DataFrame, n: int = 2) -> DataFrame:

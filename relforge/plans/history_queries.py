@@ -92,7 +92,8 @@ def q_latest_two_releases(spark, d):
 
 @query("previous_release", f"""
 SELECT max(effectiveTime) AS previous_release FROM refset_full
-WHERE effectiveTime <> '{SENTINEL}' AND effectiveTime < '{CURRENT_RELEASE}'""")
+WHERE effectiveTime <> '{SENTINEL}' AND effectiveTime < '{CURRENT_RELEASE}'
+  AND try_strptime(effectiveTime, '%Y%m%d')::DATE >= DATE '{CURRENT_RELEASE[:4]}-{CURRENT_RELEASE[4:6]}-{CURRENT_RELEASE[6:]}' - INTERVAL 16 MONTH""")
 def q_previous_release(spark, d):
     return H.previous_release(H.release_dates(fx(spark, d).refset_full), CURRENT_RELEASE)
 

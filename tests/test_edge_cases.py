@@ -112,3 +112,18 @@ def test_strip_characters_drops_commas(spark):  # C8 / S17
 def test_transliterate(spark):  # C10
     df = spark.createDataFrame([("Māori health", 1)], "t string, n int")
     assert R.transliterate(df).collect()[0]["t"] == "Maori health"
+
+
+def test_previous_release_window(spark):  # B11
+    dates = spark.createDataFrame([("20000101",), ("20010601",)], "release_date string")
+    assert H.previous_release(dates, "20010701").collect()[0][0] == "20010601"
+    assert H.previous_release(dates, "20030101").collect()[0][0] is None  # more than 16 months back
+    assert H.previous_release(dates, "20030101", max_months_back=None).collect()[0][0] == "20010601"
+
+
+def test_services_top_k(spark):  # D15
+    df = spark.createDataFrame([("Live", "S", "R1", Decimal("5.1")), ("Live", "S", "R2", Decimal("5.2")),
+                                ("Live", "S", "R3", Decimal("4.0")), ("Live", "X", "R", Decimal("1.0"))],
+                               "Stage string, Service_ID string, Ruleset_ID string, Ruleset_Version decimal(9,1)")
+    got = {(r["Service_ID"], str(r["Ruleset_Version"])) for r in D.services_to_publish(df, ["S"], k=2).collect()}
+    assert got == {("S", "5.2"), ("S", "5.1")}
