@@ -19,6 +19,7 @@ def spark():
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="relforge-test-wh-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):  # tests only: the cluster sets its own
