@@ -106,7 +106,7 @@ def latest_release_rows(refsets: DataFrame, clusters: DataFrame, descriptions: D
     latest = refsets.join(mx, ["refsetId", "effectiveTime"], "left_semi")  # AQE sizes it at runtime
     d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
                     .select(F.col("conceptId").alias("_cid"), F.col("term"))
-    return (latest.join(c, latest.refsetId == c.Refset_ID)
+    return (latest.join(small(c), latest.refsetId == c.Refset_ID)
                   .join(d, latest.referencedComponentId == d._cid, "left")
                   .select("Cluster_ID", F.col("refsetId").alias("Refset_ID"),
                           F.col("referencedComponentId").alias("SNOMED_concept_ID"),
@@ -133,10 +133,10 @@ def release_change_class(snap: DataFrame, release_date: str, clusters: DataFrame
     p = (cluster_ruleset.filter(F.col("Cluster_Ruleset_Date_Inactive").isNull()
                                 | (F.col("Cluster_Ruleset_Date_Inactive") > F.lit(as_of).cast("date")))
                         .select(F.col("Cluster_ID").alias("_pcl"), "Service_ID", "Ruleset_ID", "Ruleset_Version"))
-    j = (g.join(a, a.Refset_ID == g.refsetId, "left")
+    j = (g.join(small(a), a.Refset_ID == g.refsetId, "left")
           .join(d, g.referencedComponentId == d._did, "left")
           .join(c, g.referencedComponentId == c._cid, "left")
-          .join(p, a.Cluster_ID == p._pcl, "left"))
+          .join(small(p), a.Cluster_ID == p._pcl, "left"))
     return j.select(
         F.concat(F.col("Service_ID"), F.lit("_"), F.col("Ruleset_ID")).alias("Service_Ruleset"),
         "Service_ID", "Ruleset_ID", "Ruleset_Version",

@@ -88,7 +88,7 @@ def static_by_ruleset(cluster_ruleset: DataFrame, clusters: DataFrame, refset: D
     a list without content keeps one row with a null code."""
     live = clusters.filter(F.col("Cluster_Date_Inactive").isNull()).select("Cluster_ID", "Cluster_Description", "Refset_ID")
     links = cluster_ruleset.select("Service_ID", "Ruleset_ID", "Ruleset_Version", "Cluster_ID")
-    lists = links.join(small(live), "Cluster_ID")
+    lists = links.join(live, "Cluster_ID")
     return _static(lists, refset, descriptions, concepts, ["Service_ID", "Ruleset_ID", "Ruleset_Version"])
 
 
@@ -102,7 +102,7 @@ def static_by_service(cluster_ruleset: DataFrame, clusters: DataFrame, refset: D
     versions = cluster_ruleset.select(F.col("Service_ID").alias("_svc"),
                                       F.col("Ruleset_Version").alias("Requested_Version")).distinct()
     # equi-join on the service, range condition on the version (bridge tables only)
-    picked = links.join(small(versions), (links.Service_ID == versions._svc)
+    picked = links.join(versions, (links.Service_ID == versions._svc)
                         & (links.Ruleset_Version >= versions.Requested_Version))
-    lists = picked.select("Service_ID", "Requested_Version", "Cluster_ID").distinct().join(small(live), "Cluster_ID")
+    lists = picked.select("Service_ID", "Requested_Version", "Cluster_ID").distinct().join(live, "Cluster_ID")
     return _static(lists, refset, descriptions, concepts, ["Service_ID", "Requested_Version"])

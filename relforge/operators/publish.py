@@ -1,9 +1,10 @@
 """Publication tables of the rulesets published at ``as_of``.
 
-``published(as_of)`` is computed once from the (small) publication table and
-joined, size-checked broadcast, into every bridge; the only large input is the
-refset history feeding E11, E12 and E14, which is reduced by the published-
-snapshot window (one exchange on the member key) before any join.
+``published(as_of)`` is computed once from the (small) publication table.  E1-E10
+join only dimension / bridge tables, so Catalyst picks the strategy freely.  The
+only large input is the refset history feeding E11, E12 and E14: it is reduced by
+the published-snapshot window (no exchange on the id-bucketed table) and meets
+the code lists through a size-checked broadcast.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ def published(ruleset_published: DataFrame, as_of: str, inclusive: bool = False)
 
 
 def _on_published(bridge: DataFrame, pub: DataFrame) -> DataFrame:
-    return bridge.join(small(pub), RS_KEYS, "left_semi")
+    return bridge.join(pub, RS_KEYS, "left_semi")
 
 
 def published_rulesets(rulesets: DataFrame, pub_ge: DataFrame) -> DataFrame:
     """E1 (A): distinct (service, ruleset) with a published version."""
-    return rulesets.join(small(pub_ge), RS_KEYS).select("Service_ID", "Ruleset_ID").distinct()
+    return rulesets.join(pub_ge, RS_KEYS).select("Service_ID", "Ruleset_ID").distinct()
 
 
 def published_cluster_ruleset(cluster_ruleset: DataFrame, pub_ge: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def _live(clusters: DataFrame) -> DataFrame:
 def published_clusters(clusters: DataFrame, cluster_ruleset: DataFrame, pub: DataFrame) -> DataFrame:
     """E3 (C): distinct unretired code lists of published rulesets."""
     ids = _on_published(cluster_ruleset, pub).select("Cluster_ID")
-    return (_live(clusters).join(small(ids), "Cluster_ID", "left_semi")
+    return (_live(clusters).join(ids, "Cluster_ID", "left_semi")
                            .select("Cluster_ID", "Cluster_Description", "Refset_ID").distinct())
 
 
@@ -65,20 +66,20 @@ def published_output_ruleset(output_ruleset: DataFrame, pub: DataFrame) -> DataF
 def published_outputs(outputs: DataFrame, output_ruleset: DataFrame, pub: DataFrame) -> DataFrame:
     """E5 (E)."""
     keys = _on_published(output_ruleset, pub).select("Output_ID", "Output_Version")
-    return (outputs.join(small(keys), ["Output_ID", "Output_Version"], "left_semi")
+    return (outputs.join(keys, ["Output_ID", "Output_Version"], "left_semi")
                    .select("Output_ID", "Output_Version", "Output_Description", "Output_Type").distinct())
 
 
 def published_population_ruleset(population_ruleset: DataFrame, pub: DataFrame) -> DataFrame:
     """E6 (F): bag, as in the reference (no DISTINCT)."""
-    return (population_ruleset.join(small(pub), RS_KEYS)
+    return (population_ruleset.join(pub, RS_KEYS)
                               .select(*RS_KEYS, "Population_ID", "Population_Version"))
 
 
 def published_populations(populations: DataFrame, population_ruleset: DataFrame, pub: DataFrame) -> DataFrame:
     """E7 (G)."""
     keys = _on_published(population_ruleset, pub).select("Population_ID", "Population_Version")
-    return (populations.join(small(keys), ["Population_ID", "Population_Version"], "left_semi")
+    return (populations.join(keys, ["Population_ID", "Population_Version"], "left_semi")
                        .select("Population_ID", "Population_Description", "Population_Version", "Population_Type")
                        .distinct())
 
@@ -87,8 +88,8 @@ def published_cluster_population(cluster_population: DataFrame, population_rules
                                  clusters: DataFrame, pub: DataFrame) -> DataFrame:
     """E8 (H): links of published populations to unretired code lists."""
     keys = _on_published(population_ruleset, pub).select("Population_ID", "Population_Version")
-    return (cluster_population.join(small(keys), ["Population_ID", "Population_Version"], "left_semi")
-                              .join(small(_live(clusters).select("Cluster_ID")), "Cluster_ID", "left_semi")
+    return (cluster_population.join(keys, ["Population_ID", "Population_Version"], "left_semi")
+                              .join(_live(clusters).select("Cluster_ID"), "Cluster_ID", "left_semi")
                               .select("Population_ID", "Population_Version", "Cluster_ID").distinct())
 
 
@@ -97,8 +98,8 @@ def published_output_population(output_population: DataFrame, population_ruleset
     """E9 (I): output-population links whose two ends are both published."""
     f = _on_published(population_ruleset, pub).select("Population_ID", "Population_Version")
     e = _on_published(output_ruleset, pub).select("Output_ID", "Output_Version")
-    return (output_population.join(small(f), ["Population_ID", "Population_Version"], "left_semi")
-                             .join(small(e), ["Output_ID", "Output_Version"], "left_semi")
+    return (output_population.join(f, ["Population_ID", "Population_Version"], "left_semi")
+                             .join(e, ["Output_ID", "Output_Version"], "left_semi")
                              .select("Population_ID", "Population_Version", "Output_ID", "Output_Version").distinct())
 
 
@@ -106,8 +107,8 @@ def published_cluster_output(cluster_output: DataFrame, output_ruleset: DataFram
                              pub: DataFrame) -> DataFrame:
     """E10 (J)."""
     keys = _on_published(output_ruleset, pub).select("Output_ID", "Output_Version")
-    return (cluster_output.join(small(keys), ["Output_ID", "Output_Version"], "left_semi")
-                          .join(small(_live(clusters).select("Cluster_ID")), "Cluster_ID", "left_semi")
+    return (cluster_output.join(keys, ["Output_ID", "Output_Version"], "left_semi")
+                          .join(_live(clusters).select("Cluster_ID"), "Cluster_ID", "left_semi")
                           .select("Output_ID", "Output_Version", "Cluster_ID").distinct())
 
 
@@ -127,7 +128,7 @@ def _placeholders(clusters: DataFrame, cluster_ruleset: DataFrame, pub: DataFram
     if name_filters:
         lists = _name_filters(lists)
     ids = _on_published(cluster_ruleset, pub).select("Cluster_ID")
-    return (lists.join(small(ids), "Cluster_ID", "left_semi")
+    return (lists.join(ids, "Cluster_ID", "left_semi")
                  .select("Cluster_ID", F.col("Refset_ID").alias("PCD_Refset_ID"),
                          F.lit(PLACEHOLDER_CODE).alias("SNOMED_code"),
                          F.lit(PLACEHOLDER_DESCRIPTION).alias("SNOMED_code_description")).distinct())
@@ -137,9 +138,9 @@ def cluster_refset_content(history: DataFrame, descriptions: DataFrame, clusters
                            cluster_ruleset: DataFrame, rulesets: DataFrame, pub: DataFrame) -> DataFrame:
     """E11 (K): published codes of the published code lists (with names), plus a
     placeholder row per list held elsewhere; set union."""
-    live_rs = rulesets.join(small(pub), RS_KEYS).select(*RS_KEYS).distinct()
-    ids = cluster_ruleset.join(small(live_rs), RS_KEYS, "left_semi").select("Cluster_ID")
-    lists = _name_filters(_live(clusters)).join(small(ids), "Cluster_ID", "left_semi") \
+    live_rs = rulesets.join(pub, RS_KEYS).select(*RS_KEYS).distinct()
+    ids = cluster_ruleset.join(live_rs, RS_KEYS, "left_semi").select("Cluster_ID")
+    lists = _name_filters(_live(clusters)).join(ids, "Cluster_ID", "left_semi") \
                                           .select("Cluster_ID", "Refset_ID").distinct()
     rows = published_snapshot(history)
     sd = _fsn(descriptions, "SNOMED_code_description")
@@ -174,11 +175,11 @@ def output_lookup(outputs: DataFrame, output_ruleset: DataFrame, populations: Da
                   population_ruleset: DataFrame, pub: DataFrame) -> DataFrame:
     """Outputs (type O) and populations (type P) of published rulesets; set union."""
     o_r = _on_published(output_ruleset, pub).select("Service_ID", "Ruleset_ID", "Output_ID", "Output_Version")
-    o = outputs.join(small(o_r), ["Output_ID", "Output_Version"]) \
+    o = outputs.join(o_r, ["Output_ID", "Output_Version"]) \
                .select("Service_ID", "Ruleset_ID", "Output_ID", "Output_Description", F.lit("O").alias("Type"))
     p_r = _on_published(population_ruleset, pub).select("Service_ID", "Ruleset_ID", "Population_ID",
                                                          "Population_Version")
-    p = populations.join(small(p_r), ["Population_ID", "Population_Version"]) \
+    p = populations.join(p_r, ["Population_ID", "Population_Version"]) \
                    .select("Service_ID", "Ruleset_ID", F.col("Population_ID").alias("Output_ID"),
                            F.col("Population_Description").alias("Output_Description"), F.lit("P").alias("Type"))
     return o.unionByName(p).distinct()
@@ -189,14 +190,14 @@ def refset_by_output(history: DataFrame, descriptions: DataFrame, clusters: Data
                      cluster_population: DataFrame, population_ruleset: DataFrame, pub: DataFrame) -> DataFrame:
     """(output or population) x code list x code, for all unretired lists;
     placeholder rows as K without the name filters."""
-    co = (cluster_output.join(small(_on_published(output_ruleset, pub).select("Output_ID", "Output_Version")),
+    co = (cluster_output.join(_on_published(output_ruleset, pub).select("Output_ID", "Output_Version"),
                               ["Output_ID", "Output_Version"], "left_semi").select("Output_ID", "Cluster_ID"))
-    cp = (cluster_population.join(small(_on_published(population_ruleset, pub)
-                                        .select("Population_ID", "Population_Version")),
+    cp = (cluster_population.join(_on_published(population_ruleset, pub)
+                                  .select("Population_ID", "Population_Version"),
                                   ["Population_ID", "Population_Version"], "left_semi")
           .select(F.col("Population_ID").alias("Output_ID"), "Cluster_ID"))
     cd = _live(clusters).select("Cluster_ID", "Cluster_Description", "Refset_ID").distinct()
-    opc = co.unionByName(cp).join(small(cd.select("Cluster_ID", "Cluster_Description")), "Cluster_ID") \
+    opc = co.unionByName(cp).join(cd.select("Cluster_ID", "Cluster_Description"), "Cluster_ID") \
             .select("Output_ID", "Cluster_ID", "Cluster_Description").distinct()
     rows = published_snapshot(history, keys="id")
     sd = _fsn(descriptions, "SNOMED_code_description")

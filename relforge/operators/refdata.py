@@ -98,10 +98,16 @@ def inclusion_type(module_col: str = "moduleId", local_module: str = LOCAL_MODUL
 
 def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFrame, clusters: DataFrame,
                   sensitive_refsets=SENSITIVE_REFSETS, local_module: str = LOCAL_MODULE,
-                  best_sensitive_only: bool = False, distinct: bool = True) -> DataFrame:
+                  best_sensitive_only: bool = False, distinct: bool = True,
+                  sensitive_source: DataFrame | None = None) -> DataFrame:
     """C4 (+C5, C6): every refset member of an eligible list with refset name (inner),
     all active terms of the code (left), code status (left), sensitivity (left); distinct.
 
+    ``sensitive_source``: the snapshot rows of the sensitivity refsets only.  A member
+    id belongs to one refset, so filtering the history by refset before the snapshot
+    window gives the same rows -- and lets ``refsetId IN (...)`` reach the scan
+    instead of snapshotting the whole history a second time.
+
     ``distinct=False`` when a keep-first dedupe follows: it already returns one of
     any identical rows, so the extra exchange of the DISTINCT is skipped."""
     s = refset.select("refsetId", "referencedComponentId", "active", "effectiveTime", "moduleId")
@@ -112,7 +118,7 @@ def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFram
                      F.col("DescriptionType").alias("_y_type")))
     c = concepts.select(F.col("id").alias("_c_id"), F.col("active").alias("Active_Code_Status"),
                         F.col("effectiveTime").alias("Code_Status_Date"))
-    sc = sensitive_status(refset, sensitive_refsets)
+    sc = sensitive_status(refset if sensitive_source is None else sensitive_source, sensitive_refsets)
     if best_sensitive_only:
         sc = best_sensitive(sc)
     # the code lists are a small dimension: broadcast (size-checked) and join first,
@@ -154,12 +160,14 @@ def dedupe_concepts(enriched: DataFrame) -> DataFrame:
 def reference_data(refset: DataFrame, descriptions: DataFrame, concepts: DataFrame, clusters: DataFrame,
                    as_of: str, local_module: str = LOCAL_MODULE, sensitive_refsets=SENSITIVE_REFSETS,
                    deny=DENY_CLUSTERS, allow=ALLOW_CLUSTERS,
-                   exclude_description_like: str = EXCLUDE_DESCRIPTION_LIKE) -> DataFrame:
+                   exclude_description_like: str = EXCLUDE_DESCRIPTION_LIKE,
+                   sensitive_source: DataFrame | None = None) -> DataFrame:
     """C1 -> C2 -> C3 -> C4 -> C7: the de-duplicated reference data table."""
     cl = dedupe_clusters(active_over_retired(eligible_clusters(clusters, as_of, deny, allow,
                                                                 exclude_description_like)))
     return dedupe_concepts(enrich_refset(refset, descriptions, concepts, cl, sensitive_refsets, local_module,
-                                         best_sensitive_only=True, distinct=False))
+                                         best_sensitive_only=True, distinct=False,
+                                         sensitive_source=sensitive_source))
 
 
 def strip_characters(df: DataFrame, cols=NC_COLUMNS, replace_en_dash: bool = False) -> DataFrame:

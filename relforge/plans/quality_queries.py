@@ -12,7 +12,7 @@ from relforge.operators import refdata as R
 from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SCT_REFSET_SQL, SENTINEL,
                                    fx, sct_refset, snap_sql)
 from relforge.plans.refdata_queries import (ALLOW, DENY, EXCLUDE_DESC, NC_SQL, REF_SQL, SENSITIVE, SUBSET_RULESET,
-                                            nc_df, reference_df)
+                                            nc_df, reference_df, sensitive_source)
 from relforge.plans.registry import query
 
 MARKER = "é"
@@ -153,7 +153,8 @@ FROM (SELECT *, 'Previous' AS Code_release, 0 AS o FROM ({COUNTS_SQL.format(PREV
 def q_release_trend(spark, d):
     f = fx(spark, d)
     prev = R.reference_data(H.snapshot_as_of(f.refset_full, PREVIOUS_RELEASE), f.description, f.concept, f.clusters,
-                            AS_OF, LOCAL_MODULE, SENSITIVE, DENY, ALLOW, EXCLUDE_DESC)
+                            AS_OF, LOCAL_MODULE, SENSITIVE, DENY, ALLOW, EXCLUDE_DESC,
+                            sensitive_source(f, PREVIOUS_RELEASE))
     return Q.release_trend(Q.cluster_row_counts(prev), Q.cluster_row_counts(reference_df(f)))
 
 
