@@ -24,9 +24,6 @@ REFSET_TYPE_RULES_STATIC = (("%100023010%", "PCD Refset"), ("%1000001%", "Drug R
 REFSET_TYPE_DEFAULT = "Refset"
 CODING_ID = "SNOMED CT"
 
-DIFF_COLS = ["Cluster_ID", "Cluster_Description", "Refset_ID", "SNOMED_concept_ID", "Outcome"]
-
-
 def refset_type(col, rules=REFSET_TYPE_RULES_DIFF, default: str = REFSET_TYPE_DEFAULT):
     c = F.col(col) if isinstance(col, str) else col
     expr = None

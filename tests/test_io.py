@@ -72,3 +72,17 @@ def test_create_and_clone_tables(spark, fx):
     IO.clone_tables(spark, ["clusters"], "t_src", "t_sandbox")
     assert spark.table("t_sandbox.clusters").count() == fx.clusters.count()
     assert spark.table("t_clusters_src").count() == fx.clusters.count()
+
+
+def test_scans_name_map_and_report(spark, fx):
+    from relforge.sources import tables as TB
+    assert TB.select_all(fx.clusters).count() == fx.clusters.count()
+    assert TB.select_distinct(fx.clusters.unionByName(fx.clusters)).count() == fx.clusters.distinct().count()
+    assert TB.read_table(spark, "/root/testdata/sf0.001", "region").count() == 5
+    path = IO.scratch_root(spark, "t-names")
+    fx.service_names.select("Service", "Service_Full_Name").write.option("header", True).csv(path)
+    names = IO.read_name_map(spark, path, ["Service", "Service_Full_Name"])
+    assert names.count() == fx.service_names.count()
+    rep = IO.scratch_root(spark, "t-report")
+    IO.write_report(fx.rulesets, rep)
+    assert spark.read.parquet(rep).count() == fx.rulesets.count()

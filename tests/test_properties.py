@@ -89,3 +89,10 @@ def test_publication_tables_within_bridges(fx):
     assert e2.exceptAll(fx.cluster_ruleset.select(*P.RS_KEYS, "Cluster_ID")).count() == 0
     e9 = P.published_output_population(fx.output_population, fx.population_ruleset, fx.output_ruleset, pub)
     assert e9.exceptAll(fx.output_population).count() == 0
+
+
+def test_reference_data_columns(fx):
+    snap = H.snapshot(fx.refset_full.filter(F.col("effectiveTime") != "99999999"))
+    ref = R.reference_data(snap, fx.description, fx.concept, fx.clusters, AS_OF, LOCAL_MODULE)
+    assert ref.columns == R.REFERENCE_COLUMNS
+    assert R.strip_characters(ref).columns == [c for c in R.REFERENCE_COLUMNS if c != "DescriptionType"]
