@@ -219,7 +219,10 @@ class Fixtures:
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
         from relforge.session import checkpoint_dir
-        tag = hashlib.sha1(f"{os.path.abspath(self.base_dir)}|{FIXTURES[name]}".encode()).hexdigest()[:10]
+        # one copy per application: concurrent applications sharing the checkpoint
+        # folder never write the same files
+        app = self.spark.sparkContext.applicationId
+        tag = hashlib.sha1(f"{app}|{os.path.abspath(self.base_dir)}|{FIXTURES[name]}".encode()).hexdigest()[:10]
         path = os.path.join(checkpoint_dir(self.spark), "relforge-fixtures", f"{name}_{tag}")
         key = BUCKETED.get(name)
         if key is not None:
@@ -252,7 +255,10 @@ class Fixtures:
                 args = {d: self[d] for d in deps(name)}
                 df = self.spark.sql(FIXTURES[name], **args)
                 if self.materialize:
-                    df = self._store(name, df)
+                    try:
+                        df = self._store(name, df)
+                    except Exception:  # noqa: BLE001 -- storage not writable: stay lazy, same rows
+                        pass
             elif name in DRIVER_TABLES:
                 df = read_table(self.spark, self.base_dir, name)
             else:
