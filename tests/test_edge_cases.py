@@ -127,3 +127,16 @@ def test_services_top_k(spark):  # D15
                                "Stage string, Service_ID string, Ruleset_ID string, Ruleset_Version decimal(9,1)")
     got = {(r["Service_ID"], str(r["Ruleset_Version"])) for r in D.services_to_publish(df, ["S"], k=2).collect()}
     assert got == {("S", "5.2"), ("S", "5.1")}
+
+
+def test_null_in_not_like_drops_the_row(spark):  # S3: SQL semantics, not pandas '!='
+    rows = [("C1_COD", None, "cat", "R1", None), ("C2_COD", "ok", "cat", "R2", None)]
+    df = spark.createDataFrame(rows, "Cluster_ID string, Cluster_Description string, Cluster_Category string, "
+                                     "Refset_ID string, Cluster_Date_Inactive date")
+    out = [r["Cluster_ID"] for r in R.eligible_clusters(df, "2001-07-01", deny=(), allow=()).collect()]
+    assert out == ["C2_COD"]
+
+
+def test_two_latest_distinct_dates(spark):  # S19
+    dates = spark.createDataFrame([("20010101",), ("20010601",), ("20010601",), ("20000101",)], "release_date string")
+    assert [r[0] for r in H.latest_releases(dates, 2).collect()] == ["20010601", "20010101"]
