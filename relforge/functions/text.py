@@ -45,3 +45,16 @@ def ordered_distinct_join(col, sep: str = " | ") -> Column:
     """G14 (aggregate): sorted distinct values joined by ``sep``."""
     c = F.col(col) if isinstance(col, str) else col
     return F.array_join(F.array_sort(F.collect_set(c)), sep)
+
+
+def uk_date(col) -> Column:
+    """A date shown as ``dd/MM/yyyy`` (the reference's style-103 conversion)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.date_format(c, "dd/MM/yyyy")
+
+
+def name_suffix_date(col, width: int = 8) -> Column:
+    """The ``YYYYMMDD`` suffix of a dated table name (null unless a real date)."""
+    c = F.col(col) if isinstance(col, str) else col
+    suffix = F.right(c, F.lit(width))
+    return F.when(parse_release_date(suffix).isNotNull(), suffix)

@@ -20,8 +20,12 @@ def table_path(base_dir: str, name: str) -> str:
     return os.path.join(base_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, base_dir: str | None, name: str) -> DataFrame:
-    """A1: read a logical table. ``base_dir=None`` reads a catalog table."""
+def read_table(spark: SparkSession, base_dir: str | None, name: str, jdbc: dict | None = None) -> DataFrame:
+    """A1: read a logical table.  ``base_dir=None`` reads a catalog table; ``jdbc``
+    (url, user, ... options) reads it through Spark's JDBC source instead, which is
+    how a relational source of the release tables is attached."""
+    if jdbc is not None:
+        return spark.read.format("jdbc").options(dbtable=name, **jdbc).load()
     if base_dir is None:
         return spark.table(name)
     return spark.read.parquet(table_path(base_dir, name))

@@ -140,3 +140,13 @@ def test_null_in_not_like_drops_the_row(spark):  # S3: SQL semantics, not pandas
 def test_two_latest_distinct_dates(spark):  # S19
     dates = spark.createDataFrame([("20010101",), ("20010601",), ("20010601",), ("20000101",)], "release_date string")
     assert [r[0] for r in H.latest_releases(dates, 2).collect()] == ["20010601", "20010101"]
+
+
+def test_uk_date_and_name_suffix(spark):  # G7, G12
+    df = spark.createDataFrame([("der2_Refset_SimpleSnapshot_20240117", dt.date(2024, 1, 17)),
+                                ("der2_Refset_SimpleSnapshot_2024011X", dt.date(2024, 2, 1))], "t string, d date")
+    rows = df.select(T.uk_date("d").alias("uk"), T.name_suffix_date("t").alias("rel")).collect()
+    assert [(r["uk"], r["rel"]) for r in rows] == [("17/01/2024", "20240117"), ("01/02/2024", None)]
+    dated = df.select(T.name_suffix_date("t").alias("release_date")).filter(F.col("release_date").isNotNull())
+    kept = H.retain_releases(dated, 1).collect()
+    assert [(r["release_date"], r["action"]) for r in kept] == [("20240117", "keep")]
