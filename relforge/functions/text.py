@@ -58,3 +58,13 @@ def name_suffix_date(col, width: int = 8) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     suffix = F.right(c, F.lit(width))
     return F.when(parse_release_date(suffix).isNotNull(), suffix)
+
+
+def collate_keys(df: DataFrame, cols, collation: str = "UNICODE_CI") -> DataFrame:
+    """Re-type string key columns with a collation (default case-insensitive).
+
+    Every later join, group-by or DISTINCT on these columns then compares under it,
+    which is what the reference's ``COLLATE ... CI`` on cross-database joins does;
+    the operators need no change.  Binary equality stays the default.
+    """
+    return df.withColumns({c: F.collate(F.col(c), collation) for c in cols})

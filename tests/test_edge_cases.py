@@ -150,3 +150,15 @@ def test_uk_date_and_name_suffix(spark):  # G7, G12
     dated = df.select(T.name_suffix_date("t").alias("release_date")).filter(F.col("release_date").isNotNull())
     kept = H.retain_releases(dated, 1).collect()
     assert [(r["release_date"], r["action"]) for r in kept] == [("20240117", "keep")]
+
+
+def test_case_insensitive_keys(spark):  # S1
+    from relforge.operators import publish as P
+    keys = "Service_ID string, Ruleset_ID string, Ruleset_Version decimal(9,1)"
+    cr = spark.createDataFrame([("qof", "mmr", Decimal("1.0"), "C1_COD")], keys + ", Cluster_ID string")
+    rp = spark.createDataFrame([("QOF", "MMR", Decimal("1.0"), dt.date(1998, 1, 1), None)],
+                               keys + ", Ruleset_Publication_Effective date, Ruleset_Publication_Inactive date")
+    pub = P.published(rp, "2001-07-01", True)
+    assert P.published_cluster_ruleset(cr, pub).count() == 0  # binary equality by default
+    ci = ["Service_ID", "Ruleset_ID"]
+    assert P.published_cluster_ruleset(T.collate_keys(cr, ci), T.collate_keys(pub, ci)).count() == 1
