@@ -229,7 +229,8 @@ class Fixtures:
             table = f"relforge_fx_{name}_{tag}"
             try:
                 if not self.spark.catalog.tableExists(table):
-                    n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                    conf = self.spark.conf.get("spark.sql.shuffle.partitions", "200")
+                    n = int(conf) if str(conf).isdigit() else 200
                     (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
                        .option("path", path).saveAsTable(table))
                 return self.spark.table(table)
