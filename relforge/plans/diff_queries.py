@@ -181,7 +181,7 @@ def q_ruleset_stage_basic(spark, d):
     return L.ruleset_stage(fx(spark, d).rulesets, AS_OF, upcoming_needs_open_end=False)
 
 
-@query("staged_clusters", STAGED_SQL)
+@query("staged_clusters", STAGED_SQL, iso_dates=("Cluster_Ruleset_Date_Inactive",))
 def q_staged_clusters(spark, d):
     f = fx(spark, d)
     return L.staged_clusters(f.cluster_ruleset, stages_df(f))
