@@ -114,11 +114,12 @@ def release_trend(previous: DataFrame, current: DataFrame) -> DataFrame:
     t = (previous.withColumn("_o", F.lit(0)).unionByName(current.withColumn("_o", F.lit(1))))
     one = t.agg(*[F.max(F.when(F.col("_o") == i, F.col(c))).alias(f"{c}_{i}")
                   for i in (0, 1) for c in ("Number_of_clusters", "Number_of_rows")])
-    diff = F.col("Number_of_clusters_1") - F.col("Number_of_clusters_0")
+    # a difference of counts, NaN-able for the first release like a pandas diff(): DOUBLE
+    diff = (F.col("Number_of_clusters_1") - F.col("Number_of_clusters_0")).cast("double")
     rows = F.array(
         F.struct(F.col("Number_of_clusters_0").alias("Number_of_clusters"),
                  F.col("Number_of_rows_0").alias("Number_of_rows"), F.lit("Previous").alias("Code_release"),
-                 F.lit(None).cast("bigint").alias("Clusters_Difference"), F.lit(None).cast("boolean").alias("ok")),
+                 F.lit(None).cast("double").alias("Clusters_Difference"), F.lit(None).cast("boolean").alias("ok")),
         F.struct(F.col("Number_of_clusters_1").alias("Number_of_clusters"),
                  F.col("Number_of_rows_1").alias("Number_of_rows"), F.lit("Current").alias("Code_release"),
                  diff.alias("Clusters_Difference"), (diff >= 0).alias("ok")))

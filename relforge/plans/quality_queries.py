@@ -145,7 +145,7 @@ PREV_REF_SQL = REF_SQL.replace(SCT_REFSET_SQL, snap_sql(PREVIOUS_RELEASE))
 
 @query("release_trend", f"""
 SELECT Number_of_clusters, Number_of_rows, Code_release,
-       Number_of_clusters - lag(Number_of_clusters) OVER (ORDER BY o) AS Clusters_Difference,
+       CAST(Number_of_clusters - lag(Number_of_clusters) OVER (ORDER BY o) AS DOUBLE) AS Clusters_Difference,
        CASE WHEN lag(Number_of_clusters) OVER (ORDER BY o) IS NULL THEN NULL
             ELSE Number_of_clusters - lag(Number_of_clusters) OVER (ORDER BY o) >= 0 END AS ok
 FROM (SELECT *, 'Previous' AS Code_release, 0 AS o FROM ({COUNTS_SQL.format(PREV_REF_SQL)}) p
