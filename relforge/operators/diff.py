@@ -95,9 +95,19 @@ def decorate_codes(diff: DataFrame, descriptions: DataFrame, concepts: DataFrame
                     "Active_status", "Outcome")
 
 
+def ruleset_lists(cluster_ruleset: DataFrame) -> DataFrame:
+    """(service, ruleset, version) -> code lists, as the per-ruleset queries select them:
+    by ruleset id and exact version only -- the service is a label of the request, so
+    a ruleset id + version shared by two services lists both services' code lists."""
+    keys = cluster_ruleset.select("Service_ID", "Ruleset_ID", "Ruleset_Version").distinct()
+    links = cluster_ruleset.select("Ruleset_ID", "Ruleset_Version", "Cluster_ID").distinct()
+    return keys.join(links, ["Ruleset_ID", "Ruleset_Version"]).select(
+        "Service_ID", "Ruleset_ID", "Ruleset_Version", "Cluster_ID")
+
+
 def changed_by_ruleset(decorated: DataFrame, cluster_ruleset: DataFrame) -> DataFrame:
     """D5 for every ruleset at once: diff rows of each ruleset's code lists (exact version)."""
-    links = cluster_ruleset.select("Service_ID", "Ruleset_ID", "Ruleset_Version", "Cluster_ID").distinct()
+    links = ruleset_lists(cluster_ruleset)
     j = decorated.join(small(links), "Cluster_ID")
     return j.select("Service_ID", F.col("Ruleset_ID").alias("Ruleset"), "Ruleset_Version",
                     F.lit(CODING_ID).alias("Coding_ID"), "Cluster_ID", "Cluster_description",

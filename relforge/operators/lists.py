@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relforge.operators.diff import CODING_ID, REFSET_TYPE_RULES_STATIC, refset_type
+from relforge.operators.diff import CODING_ID, REFSET_TYPE_RULES_STATIC, refset_type, ruleset_lists
 from relforge.operators.joins import small
 
 
@@ -87,8 +87,7 @@ def static_by_ruleset(cluster_ruleset: DataFrame, clusters: DataFrame, refset: D
     """D7 for all rulesets: current content of each ruleset's unretired code lists;
     a list without content keeps one row with a null code."""
     live = clusters.filter(F.col("Cluster_Date_Inactive").isNull()).select("Cluster_ID", "Cluster_Description", "Refset_ID")
-    links = cluster_ruleset.select("Service_ID", "Ruleset_ID", "Ruleset_Version", "Cluster_ID")
-    lists = links.join(live, "Cluster_ID")
+    lists = ruleset_lists(cluster_ruleset).join(live, "Cluster_ID")
     return _static(lists, refset, descriptions, concepts, ["Service_ID", "Ruleset_ID", "Ruleset_Version"])
 
 

@@ -86,6 +86,12 @@ SELECT Stage, Service_ID, max(Ruleset_Version) AS Ruleset_Version, CAST(floor(ma
 FROM ({STAGES_SQL}) s WHERE Service_ID IN ('ASIA', 'EUROPE') GROUP BY Stage, Service_ID"""
 
 
+# the per-ruleset selection: ruleset id + exact version, the service as the request's label
+RULESET_LISTS_SQL = """SELECT DISTINCT k.Service_ID, k.Ruleset_ID, k.Ruleset_Version, cr.Cluster_ID
+FROM (SELECT DISTINCT Service_ID, Ruleset_ID, Ruleset_Version FROM cluster_ruleset) k
+JOIN cluster_ruleset cr ON cr.Ruleset_ID = k.Ruleset_ID AND cr.Ruleset_Version = k.Ruleset_Version"""
+
+
 def _used(f):
     return D.clusters_in_use(f.cluster_ruleset, f.clusters)
 
@@ -138,8 +144,7 @@ def q_decorated_diff(spark, d):
 
 @query("changed_by_ruleset", f"""
 SELECT l.Service_ID, l.Ruleset_ID AS Ruleset, l.Ruleset_Version, 'SNOMED CT' AS Coding_ID, x.*
-FROM ({DECORATED_SQL}) x JOIN (SELECT DISTINCT Service_ID, Ruleset_ID, Ruleset_Version, Cluster_ID FROM cluster_ruleset) l
-  ON x.Cluster_ID = l.Cluster_ID""")
+FROM ({DECORATED_SQL}) x JOIN ({RULESET_LISTS_SQL}) l ON x.Cluster_ID = l.Cluster_ID""")
 def q_changed_by_ruleset(spark, d):
     f = fx(spark, d)
     return D.changed_by_ruleset(decorated_df(f), f.cluster_ruleset)
@@ -268,7 +273,7 @@ LEFT JOIN concept c ON r.referencedComponentId = c.id"""
 
 @query("static_by_ruleset", _static_sql(
     "SELECT cr.Service_ID, cr.Ruleset_ID, cr.Ruleset_Version, cr.Cluster_ID, c.Cluster_Description, c.Refset_ID "
-    "FROM cluster_ruleset cr JOIN clusters c ON cr.Cluster_ID = c.Cluster_ID WHERE c.Cluster_Date_Inactive IS NULL",
+    f"FROM ({RULESET_LISTS_SQL}) cr JOIN clusters c ON cr.Cluster_ID = c.Cluster_ID WHERE c.Cluster_Date_Inactive IS NULL",
     "l.Service_ID, l.Ruleset_ID, l.Ruleset_Version"))
 def q_static_by_ruleset(spark, d):
     f = fx(spark, d)

@@ -162,3 +162,12 @@ def test_case_insensitive_keys(spark):  # S1
     assert P.published_cluster_ruleset(cr, pub).count() == 0  # binary equality by default
     ci = ["Service_ID", "Ruleset_ID"]
     assert P.published_cluster_ruleset(T.collate_keys(cr, ci), T.collate_keys(pub, ci)).count() == 1
+
+
+def test_ruleset_lists_keyed_by_ruleset_and_version(spark):  # D5 / D7 selection
+    cr = spark.createDataFrame([("S1", "R", Decimal("1.0"), "A_COD"), ("S2", "R", Decimal("1.0"), "B_COD"),
+                                ("S2", "R", Decimal("2.0"), "C_COD")],
+                               "Service_ID string, Ruleset_ID string, Ruleset_Version decimal(9,1), Cluster_ID string")
+    got = {(r["Service_ID"], str(r["Ruleset_Version"]), r["Cluster_ID"]) for r in D.ruleset_lists(cr).collect()}
+    assert got == {("S1", "1.0", "A_COD"), ("S1", "1.0", "B_COD"), ("S2", "1.0", "A_COD"),
+                   ("S2", "1.0", "B_COD"), ("S2", "2.0", "C_COD")}
