@@ -131,6 +131,8 @@ def q_release_membership_counts(spark, d):
 
 @query("active_total", f"""
 SELECT active, CAST(count(id) AS BIGINT) AS active_refsets FROM ({snap_sql(CURRENT_RELEASE)}) s
-WHERE active = '1' GROUP BY active""")
+WHERE active = '1' AND moduleId = '{LOCAL_MODULE}' GROUP BY active""")
 def q_active_total(spark, d):
-    return H.active_total(H.snapshot_as_of(fx(spark, d).refset_full, CURRENT_RELEASE))
+    # the local module's snapshot of the release
+    snap = H.snapshot_as_of(fx(spark, d).refset_full, CURRENT_RELEASE)
+    return H.active_total(snap.filter(F.col("moduleId") == LOCAL_MODULE))
