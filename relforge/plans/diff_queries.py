@@ -10,6 +10,7 @@ from relforge.operators import lists as L
 from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SCT_REFSET_SQL, fx,
                                    sct_refset, snap_sql, used_sql)
 from relforge.plans.registry import query
+from relforge.session import checkpoint_dir
 
 # Fixed fixture parameters (FIXTURES.md "Parameter values for fixture runs").
 BIG_LISTS = ("C1_COD", "C2_COD")
@@ -221,7 +222,10 @@ UNION ALL SELECT 'service', Stage || '_' || Service_ID, 'version_floor', CAST(Ve
 def q_change_summary(spark, d):
     f = fx(spark, d)
     diff = diff_df(f)
-    counts = D.outcome_counts(diff)
+    # one row per code list, read by three branches: written once to the shared
+    # checkpoint folder (lineage cut), so the history-sized diff runs once
+    checkpoint_dir(spark)
+    counts = D.outcome_counts(diff).checkpoint(eager=True)
     changed_rs = D.changed_rulesets(L.staged_clusters(f.cluster_ruleset, stages_df(f)), counts.select("Cluster_ID"))
     return D.change_summary(counts, changed_rs, D.stage_counts(changed_rs),
                             D.services_to_publish(stages_df(f), SERVICES))
