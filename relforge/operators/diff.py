@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from relforge.operators.history import scalar, two_snapshots
 from relforge.operators.joins import small
+from relforge.session import materialize
 
 # Ordered LIKE rules that label a refset id (first match wins).
 REFSET_TYPE_RULES_DIFF = (("%100000110%", "Drug Refset"), ("%100023010%", "PCD Refset"))
@@ -224,6 +225,7 @@ def cause_of_change(history: DataFrame, dependency: DataFrame, cluster_ruleset:
     changes = j.select("_kind", F.col("referencedComponentId").alias("SNOMED_code"),
                        F.when(F.col("active") == "1", "added to").otherwise("removed from").alias("added_removed"),
                        F.col("Cluster_ID").alias("Cluster")).distinct()
+    changes = materialize(changes)  # one date's changes, read by three branches
     link = changes.filter(F.col("_kind") == "big")
     b = changes.filter(F.col("_kind") == "sub").select(
         F.col("SNOMED_code").alias("_c"), F.col("added_removed").alias("_ar"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from relforge.operators.diff import CODING_ID, REFSET_TYPE_RULES_STATIC, refset_type, ruleset_lists
 from relforge.operators.joins import small
+from relforge.session import materialize
 
 
 def ruleset_stage(rulesets: DataFrame, as_of: str, upcoming_needs_open_end: bool = True) -> DataFrame:
@@ -48,13 +49,15 @@ def _static(lists: DataFrame, refset: DataFrame, descriptions: DataFrame, concep
             key_cols) -> DataFrame:
     """Current content of each (key, code list), one row per code and name.
 
-    Members are named once (member-sized joins), then fanned out to the code lists
+    Members (written once) are named once (member-sized joins), then fanned out to the code lists
     through a size-checked broadcast; lists without content come from an anti join
     against the refsets that have members (one row per refset).  Every input is
     de-duplicated first, so the output is distinct by construction -- no DISTINCT
     over the fanned-out rows.
     """
-    members = refset.filter(F.col("active") == "1").select("refsetId", "referencedComponentId").distinct()
+    # written once: read by the naming joins and by the "lists without content" branch
+    members = materialize(refset.filter(F.col("active") == "1")
+                          .select("refsetId", "referencedComponentId").distinct())
     d = (descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F"))
                      .select(F.col("conceptId").alias("_did"), F.col("term").alias("Code_description")).distinct())
     c = concepts.select(F.col("id").alias("_cid"), F.col("active").alias("Active_status")).distinct()
@@ -64,8 +67,8 @@ def _static(lists: DataFrame, refset: DataFrame, descriptions: DataFrame, concep
     lists = lists.select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID").distinct()
     hit = named.join(small(lists), named.refsetId == lists.Refset_ID)
     have = members.select(F.col("refsetId").alias("_have")).distinct()
-    # ``have`` derives from the history: no eager count on it -- AQE broadcasts it
-    # at runtime from the measured shuffle size, or keeps the shuffle join
+    # ``have`` has one row per refset but is not counted eagerly: AQE broadcasts it
+    # at runtime from its measured size, or keeps the shuffle join
     empty = (lists.join(have, lists.Refset_ID == have._have, "left_anti")
                   .select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID",
                           F.lit(None).cast("string").alias("referencedComponentId"),

@@ -14,6 +14,7 @@ from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOU
 from relforge.plans.refdata_queries import (ALLOW, DENY, EXCLUDE_DESC, NC_SQL, REF_SQL, SENSITIVE, SUBSET_RULESET,
                                             nc_df, reference_df, sensitive_source)
 from relforge.plans.registry import query
+from relforge.session import materialize
 
 MARKER = "é"
 LATE_AS_OF = "2002-06-01"
@@ -70,7 +71,7 @@ NON_ASCII_REF_SQL = " UNION ALL ".join(
 
 
 def _non_ascii_ref(f):
-    nc = nc_df(f)
+    nc = materialize(nc_df(f))  # the stored _nc table, read for both checked tables
     subset = R.subset_by_ruleset(nc, f.cluster_ruleset, SUBSET_RULESET)
     return Q.non_ascii_values(subset, SUBSET_COLS).unionByName(Q.non_ascii_values(nc, GPDATA_COLS))
 
@@ -256,7 +257,8 @@ LEFT JOIN (SELECT max(sourceEffectiveTime) AS sib, '900000000000012004' AS targe
 
 
 def _dep_summary(f):
-    return M.dependency_summary(f.refset_full, f.concept, f.module_dependency)
+    # one row per module, read twice by the date fill: written once
+    return materialize(M.dependency_summary(f.refset_full, f.concept, f.module_dependency))
 
 
 @query("dependency_summary", DEP_SUMMARY_SQL)

@@ -55,3 +55,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Write a DataFrame that several branches read once, to the shared checkpoint
+    folder (reliable ``checkpoint``: survives executor loss, cuts the lineage), so
+    the pipeline behind it runs once instead of once per branch."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
