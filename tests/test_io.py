@@ -86,3 +86,13 @@ def test_scans_name_map_and_report(spark, fx):
     rep = IO.scratch_root(spark, "t-report")
     IO.write_report(fx.rulesets, rep)
     assert spark.read.parquet(rep).count() == fx.rulesets.count()
+
+
+def test_materialize_uses_the_configured_checkpoint_folder(spark, fx):
+    from relforge.session import checkpoint_dir, materialize
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_dir(spark) == root
+    df = fx.clusters.select("Cluster_ID").distinct()
+    m = materialize(df)
+    assert m.exceptAll(df).count() == 0 and df.exceptAll(m).count() == 0
+    assert any(os.scandir(root.replace("file:", "")))  # checkpoint files live under the configured folder
