@@ -32,5 +32,12 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
 
 
 def small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` is proven small, else ``df``."""
+    """``broadcast(df)`` when ``df`` is proven small, else ``df``.
+
+    A session that disables broadcast joins (``autoBroadcastJoinThreshold = -1``)
+    is respected: no hint is added and Catalyst plans a shuffle join.
+    """
+    threshold = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip()
+    if threshold.startswith("-"):
+        return df
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -171,3 +171,24 @@ def test_ruleset_lists_keyed_by_ruleset_and_version(spark):  # D5 / D7 selection
     got = {(r["Service_ID"], str(r["Ruleset_Version"]), r["Cluster_ID"]) for r in D.ruleset_lists(cr).collect()}
     assert got == {("S1", "1.0", "A_COD"), ("S1", "1.0", "B_COD"), ("S2", "1.0", "A_COD"),
                    ("S2", "1.0", "B_COD"), ("S2", "2.0", "C_COD")}
+
+
+def test_small_respects_disabled_broadcast(spark, fx):
+    import contextlib
+    import io
+    from relforge.operators.joins import small
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    big = fx.refset_full
+    lists = fx.clusters.select("Refset_ID").distinct()
+    assert "BroadcastHashJoin" in plan(big.join(small(lists), big.refsetId == lists.Refset_ID))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan(big.join(small(lists), big.refsetId == lists.Refset_ID))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
