@@ -229,7 +229,10 @@ class Fixtures:
             table = f"relforge_fx_{name}_{tag}"
             try:
                 if not self.spark.catalog.tableExists(table):
-                    conf = self.spark.conf.get("spark.sql.shuffle.partitions", "200")
+                    # bucket count: set ``spark.relforge.history.buckets`` from the data size on a
+                    # cluster (e.g. ~ table bytes / 256 MB); defaults to the shuffle partitions
+                    conf = self.spark.conf.get("spark.relforge.history.buckets",
+                                               self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
                     n = int(conf) if str(conf).isdigit() else 200
                     (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
                        .option("path", path).saveAsTable(table))
