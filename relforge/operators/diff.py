@@ -51,14 +51,26 @@ def merged_content(local_snap: DataFrame, external_snap: DataFrame, local_module
 
 
 def _diff_tagged(t: DataFrame) -> DataFrame:
-    """Core of D3 over a tagged union (columns of DIFF key/attrs + ``_o``/``_n`` ints)."""
+    """Core of D3 over a tagged union (columns of DIFF key/attrs + ``_o``/``_n`` ints).
+
+    Keys present on both sides are ``no change``; old-only ``removed``; new-only
+    ``added`` (attributes from the old side when it exists).  As in the outer join,
+    a NULL component or code list never matches: such a row is ``removed`` if old
+    and ``added`` if new.  Outcomes are an exploded per-row array, so the single
+    exchange on (component, code list) also serves the final DISTINCT.
+    """
     w = Window.partitionBy("referencedComponentId", "Cluster_ID")
     t = t.withColumn("_ho", F.max("_o").over(w)).withColumn("_hn", F.max("_n").over(w))
-    return (t.filter((F.col("_o") == 1) | (F.col("_ho") == 0))
-             .select("Cluster_ID", "Cluster_Description", "Refset_ID",
+    null_key = F.col("referencedComponentId").isNull() | F.col("Cluster_ID").isNull()
+    keyed = F.when((F.col("_o") == 1) | (F.col("_ho") == 0),
+                   F.array(F.when(F.col("_ho") == 0, "added").when(F.col("_hn") == 1, "no change")
+                            .otherwise("removed")))
+    unmatched = F.array(F.when(F.col("_o") == 1, "removed"), F.when(F.col("_n") == 1, "added"))
+    outcomes = F.filter(F.when(null_key, unmatched).otherwise(F.coalesce(keyed, F.array().cast("array<string>"))),
+                        lambda x: x.isNotNull())
+    return (t.select("Cluster_ID", "Cluster_Description", "Refset_ID",
                      F.col("referencedComponentId").alias("SNOMED_concept_ID"),
-                     F.when(F.col("_ho") == 0, "added").when(F.col("_hn") == 1, "no change")
-                      .otherwise("removed").alias("Outcome"))
+                     F.explode(outcomes).alias("Outcome"))
              .distinct())
 
 

@@ -13,8 +13,8 @@ history_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.samp
                                   st.sampled_from(["0", "1"]), st.just("m"), st.sampled_from(["r1", "r2"]),
                                   st.sampled_from(["1", "2"])), min_size=1, max_size=25)
 content_rows = st.lists(st.tuples(st.sampled_from(["A", "B"]), st.sampled_from(["x", "y"]),
-                                  st.sampled_from(["r1", "r2"]), st.sampled_from(["1", "2", "3"])), max_size=12)
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+                                  st.sampled_from(["r1", "r2"]), st.sampled_from(["1", "2", "3", None])), max_size=12)
+SETTINGS = settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def brute_snapshot(rows, as_of):
@@ -43,13 +43,16 @@ def test_two_snapshots(spark, rows):
 
 
 def brute_diff(old, new):
-    # the reference: full outer join on (component, code list), attributes old-first, DISTINCT
+    # the reference: full outer join on (component, code list), attributes old-first, DISTINCT;
+    # SQL equality: a NULL key matches nothing
+    def match(a, b):
+        return a[3] is not None and b[3] is not None and a[3] == b[3] and a[0] == b[0]
     out = set()
     for o in old:
-        partners = [n for n in new if n[3] == o[3] and n[0] == o[0]]
+        partners = [n for n in new if match(o, n)]
         out.add((o[0], o[1], o[2], o[3], "no change" if partners else "removed"))
     for n in new:
-        if not any(o[3] == n[3] and o[0] == n[0] for o in old):
+        if not any(match(o, n) for o in old):
             out.add((n[0], n[1], n[2], n[3], "added"))
     return out
 
