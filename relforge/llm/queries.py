@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .decontaminate import contaminated
 from .near_dup import near_duplicates
+from .pii import pseudonymize
+from .quality import fit, rate
+from .sentencepieces import encode
 from .substring_dedup import remove_repeats
 
 ORACLE_SQL: dict[str, str] = {}
@@ -18,16 +21,33 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text with pseudonyms, kinds found."""
+    return pseudonymize(read_table(spark, sf_dir, "documents").select("doc_id", "text"), found_col="kinds")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(read_table(spark, sf_dir, "documents"))
+
+
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return rate(docs, fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_pii": op2_pii,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_near_dup": op4_near_dup,
+    "op6_quality": op6_quality,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
