@@ -5,13 +5,15 @@ Method. Every text becomes its set of distinct 5-word shingles. Equal sets are o
 gets 160 MinHash samples: 40 bands of 4 make candidate keys, and the samples are also folded into a
 512-bit odd sketch, a bitmap of parities. For two nodes the population count of the XOR of their
 sketches estimates how many samples differ; at similarity s, 2 * 160 * (1 - s) samples are expected
-to, and the estimate is tight for high s. Pairs whose count is far above that of 0.75 are dropped,
-all others are confirmed on the full sets.
+to, and the estimate is tight for high s. Pairs whose count is far above that of 0.75 are dropped.
+Candidates also carry an odd sketch of their whole set, 4096 parities: its XOR population count never
+exceeds the size d of the symmetric difference, and similarity 0.75 means 7 d <= |A| + |B|, so this
+second test drops pairs without any error. What passes is confirmed on the full sets.
 
 Within a band key no list of all pairs is made. First each member is paired with one leader of its
-key (smallest, then largest, then smallest by hash); the confirmed links are merged into connected
+key (the smallest, then the smallest by hash); the confirmed links are merged into connected
 components, and a key whose members are in one component is done. Only members of different
-components that share a key are paired at last, with the sketch test inside the join. So a group of n
+components that share a key are paired at last, with the sketch tests inside the join. So a group of n
 near copies costs about n comparisons, and no link between different texts is lost: a pair of
 similarity 0.75 or more misses all 40 bands with a probability below 3e-7.
 
@@ -28,14 +30,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, col
 from .graph import components
 from .text_sets import WordNumbers, mix, shingles
 
-BANDS, ROWS, SKETCH_BITS = 40, 4, 512
+BANDS, ROWS, SKETCH_BITS, SET_BITS = 40, 4, 512, 4096
 THRESHOLD = 75  # of 100
 #: Differing sketch bits up to which a pair is confirmed on its sets. At similarity 0.75 about 80 of
 #: the 160 samples of either side differ (deviation 11), which sets 69 bits; 128 is beyond 6 deviations.
@@ -62,11 +64,15 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
+def parities(elements: np.ndarray, size: int) -> np.ndarray:
+    """Bitmap of ``size`` (a power of two) parities of well mixed 64-bit elements, as longs."""
+    bits = (elements >> np.uint64(65 - size.bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(bits, minlength=size) & 1).astype(np.uint8)).view(np.int64)
+
+
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity bitmap of the (position, sample) elements, as 8 longs."""
-    bits = (mix(_SAMPLE | samples) >> np.uint64(55)).astype(np.int64)
-    parity = (np.bincount(bits, minlength=SKETCH_BITS) & 1).astype(np.uint8)
-    return np.packbits(parity).view(np.int64)
+    """Odd sketch of the (position, sample) elements, as 8 longs."""
+    return parities(mix(_SAMPLE | samples), SKETCH_BITS)
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,19 +99,28 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordNumbers()
     for batch in batches:
-        nodes, sets = [], []
+        nodes, sets, bitmaps = [], [], []
         for node, fp, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             found = shingles(text, words)
             if len(found) and xxhash.xxh3_128_digest(found.tobytes()) == fp:
                 nodes.append(node)
                 sets.append(found.view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "items"])
+                bitmaps.append(parities(found, SET_BITS))
+        longs = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(sets, longs), pa.array(bitmaps, longs)], ["node", "items", "parity"])
+
+
+def _differing(a: str, b: str, size: int) -> Column:
+    """Population count of the XOR of two bitmaps."""
+    counts = [F.bit_count(col(a)[i].bitwiseXOR(col(b)[i])) for i in range(size // 64)]
+    return sum(counts[1:], counts[0])
 
 
-def _far_bits(a: str, b: str):
-    """Population count of the XOR of two odd sketches."""
-    return sum((F.bit_count(col(a)[i].bitwiseXOR(col(b)[i])) for i in range(1, SKETCH_BITS // 64)),
-               F.bit_count(col(a)[0].bitwiseXOR(col(b)[0])))
+def _near() -> Column:
+    """Sketch tests of (odd, parity, n) against (odd2, parity2, n2)."""
+    return (_differing("odd", "odd2", SKETCH_BITS) <= MAX_BITS) & (
+        7 * _differing("parity", "parity2", SET_BITS) <= F.col("n") + F.col("n2"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -136,23 +151,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = scratch.stage(keyed.join(shared, "key").select("key", "node"), "members")
     wanted = members.select("node").distinct()
     candidates = nodes.join(wanted, "node", "left_semi")
-    odd = scratch.stage(candidates.select("node", "odd"), "odd")
     sets = scratch.stage(
         given.join(candidates.select("node", "fp"), given.doc_id == F.col("node")).select("node", "fp", "text")
-        .mapInArrow(_sets, "node long, items array<long>"), "sets")
+        .mapInArrow(_sets, "node long, items array<long>, parity array<long>"), "sets")
+    sketch = candidates.select("node", "odd").join(sets.select("node", "parity", F.size("items").alias("n")), "node")
+    sketch = scratch.stage(sketch, "sketch")
+    mates = sketch.select(*(F.col(c).alias(c + "2") for c in sketch.columns))
     scratch.drop("nodes")
-    members = scratch.stage(members.join(odd, "node"), "sketched")
 
     # stars: each member against one leader of its key
     links, comp, tested = None, None, None
     by_hash = F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]
-    for round_no, leader in enumerate((F.min("node"), F.max("node"), by_hash)):
+    for round_no, leader in enumerate((F.min("node"), by_hash)):
         live = members if comp is None else _open_keys(members, comp, scratch, round_no)
-        leaders = live.groupBy("key").agg(leader.alias("lead"))
-        star = live.join(leaders, "key").where("node <> lead").select("lead", "node", "odd").distinct()
-        mates = odd.select(F.col("node").alias("lead"), F.col("odd").alias("odd2"))
-        pairs = star.join(mates, "lead").where(_far_bits("odd", "odd2") <= MAX_BITS).select(
-            F.least("lead", "node").alias("u"), F.greatest("lead", "node").alias("v")).distinct()
+        leaders = live.groupBy("key").agg(leader.alias("node2"))
+        star = live.join(leaders, "key").where("node <> node2").select("node", "node2").distinct()
+        pairs = star.join(sketch, "node").join(mates, "node2").where(_near())
+        pairs = pairs.select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = scratch.stage(pairs, f"pairs-{round_no}")
@@ -162,16 +177,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         comp = components(links, scratch, f"comp-{round_no}")
 
     # what is still open: members of one key in different components
-    live = _open_keys(members, comp, scratch, 9)
-    a = live.select("key", F.col("node").alias("u"), F.col("c").alias("cu"), F.col("odd").alias("ou"))
-    b = live.select("key", F.col("node").alias("v"), F.col("c").alias("cv"), F.col("odd").alias("ov"))
-    far = [F.col("u") < F.col("v"), F.col("cu") != F.col("cv"), _far_bits("ou", "ov") <= MAX_BITS]
-    rest = a.join(b.withColumnRenamed("key", "key2"), [F.col("key") == F.col("key2"), *far])
-    rest = rest.select("u", "v").distinct().join(tested, ["u", "v"], "left_anti")
-    rest = scratch.stage(rest, "pairs-rest")
+    live = _open_keys(members, comp, scratch, 9).join(sketch, "node")
+    other = live.select(*(F.col(c).alias(c + "2") for c in live.columns))
+    open_pair = (F.col("key") == F.col("key2")) & (F.col("node") < F.col("node2")) & (F.col("c") != F.col("c2")) & _near()
+    rest = live.join(other, open_pair).select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
+    rest = scratch.stage(rest.join(tested, ["u", "v"], "left_anti"), "pairs-rest")
     links = links.unionByName(scratch.stage(_confirm(rest, sets), "links-rest"))
     comp = scratch.stage(components(links, scratch, "comp"), "components")
-    scratch.drop("members", "sketched", "sets", "odd")
+    scratch.drop("members", "sketch", "sets")
 
     node_of = first.join(comp, "node", "left").select("fp", F.coalesce("comp", "node").alias("c"))
     out = signed.select("doc_id", "fp", "n_shingles").join(node_of, "fp", "left")
