@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .decontaminate import contaminated
+from .html_extract import extract_pages
+from .html_extract import fit as fit_html
+from .language import fit as fit_language
+from .language import identify
 from .near_dup import near_duplicates
 from .pii import pseudonymize
 from .quality import fit, rate
+from .quality_rules import filter_rules
 from .sentencepieces import encode
 from .substring_dedup import remove_repeats
 
@@ -39,6 +44,19 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate(docs, fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return extract_pages(pages, fit_html(pages))
+
+
+def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_rules(read_table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "pages"), fit_language(read_table(spark, sf_dir, "documents")))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -49,5 +67,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_near_dup": op4_near_dup,
     "op6_quality": op6_quality,
+    "op7_html": op7_html,
+    "op8_rules": op8_rules,
+    "op9_language": op9_language,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
