@@ -18,6 +18,7 @@ from .quality import fit, rate
 from .quality_rules import filter_rules
 from .sentencepieces import encode
 from .substring_dedup import remove_repeats
+from .token_counts import edited_counts
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -39,6 +40,11 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after the edits of a cleaning pass."""
+    return edited_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return rate(docs, fit(docs, read_table(spark, sf_dir, "labels")))
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": op2_pii,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_near_dup": op4_near_dup,
+    "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
     "op7_html": op7_html,
     "op8_rules": op8_rules,
