@@ -76,7 +76,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sigma: int) -> np.
 
 
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
-    """Suffix array of small symbols (sigma of them); the last one must be 0 and occur nowhere else."""
+    """Suffix array of bytes (sigma different ones); the last one must be 0 and occur nowhere else."""
     n = len(s)
     if n == 1:
         return np.zeros(1, np.int32)
@@ -118,30 +118,39 @@ def _scan(array: np.ndarray, s: np.ndarray, take: np.ndarray, at: np.ndarray, up
     run are final; what a run induces is placed at once, in the order of the run.
     """
     n, sign = len(array), 1 if up else -1
-    size = 64 + 2 * int(n**0.5)
+    most = 64 + 2 * int(n**0.5)
+    size = most  # of the next run to look at: about twice what the last one could use
     view = array if up else array[::-1]  # scan order
     i = 0
     while i < n:
         run = view[i : i + size]
         before = run - 1
-        picked = np.flatnonzero((run > 0) & take[before])
-        if not len(picked):
-            i += len(run)
+        picked = (take[before] & (run > 0)).nonzero()[0]
+        if not picked.size:
+            i += run.size
             continue
         entries = before[picked]
         names = s[entries]
-        order = np.argsort(names, kind="stable")
-        grouped = names[order]
-        new = np.concatenate([[True], grouped[1:] != grouped[:-1]])
-        start = np.flatnonzero(new)
-        nth = np.arange(len(grouped)) - np.repeat(start, np.diff(np.append(start, len(grouped))))
-        place = np.empty(len(grouped), np.int64)
-        place[order] = at[grouped] + sign * nth
-        place = place if up else n - 1 - place  # as a position in scan order
-        stop = min(i + len(run), int(place.min()))
-        now = picked < stop - i
-        view[place[now]] = entries[now]
-        np.add.at(at, names[now], sign)
+        place = at[names]
+        ordered = names.copy()
+        ordered.sort()
+        several = (ordered[1:] == ordered[:-1]).any()
+        if several:  # the nth entry of a bucket goes n places further
+            order = names.argsort(kind="stable")
+            grouped = names[order]
+            index = np.arange(len(grouped))
+            index[1:][grouped[1:] == grouped[:-1]] = 0
+            place[order] += sign * (np.arange(len(grouped)) - np.maximum.accumulate(index))
+        if not up:
+            place = n - 1 - place  # as a position in scan order
+        stop = min(i + run.size, int(place.min()))
+        k = int(picked.searchsorted(stop - i))
+        view[place[:k]] = entries[:k]
+        if several:
+            np.add.at(at, names[:k], sign)
+        else:
+            at[names[:k]] += sign
+        size = min(most, max(64, 2 * (stop - i)))
         i = stop
 
 
@@ -183,7 +192,7 @@ def permuted_lcp(s: np.ndarray, array: np.ndarray, fresh: np.ndarray, most: int)
     """For each position the common prefix with the suffix before it in the array, counted up to ``most``.
 
     Only irreducible positions (whose left neighbours differ) and the ``fresh`` ones are compared, eight
-    symbols at a time; any other value is one less than that of the position to its left.
+    symbols (bytes) at a time; any other value is one less than that of the position to its left.
     """
     n = len(s)
     phi = np.full(n, -1, np.int64)
@@ -196,21 +205,24 @@ def permuted_lcp(s: np.ndarray, array: np.ndarray, fresh: np.ndarray, most: int)
     compare[inner] |= s[inner - 1] != s[phi[inner] - 1]
     compare[phi <= 0] = True
     at = np.flatnonzero(compare & (phi >= 0))
-    wide = np.zeros(n + 8 + most, np.uint16)
-    wide[:n] = s
+    # eight symbols from each position on, as one number; beyond the end the two sides differ
+    padded = np.zeros(n + 16, np.uint8)
+    padded[:n] = s
+    eight = np.ndarray((n + 8,), np.uint64, padded, 0, (1,))
     count = np.zeros(len(at), np.int64)
-    live = np.arange(len(at))
-    done = 0
+    live, done = np.arange(len(at)), 0
+    a, b = at, phi[at]
     while len(live) and done < most:
-        a, b = at[live] + done, phi[at[live]] + done
-        ok = (a < n) & (b < n)
-        a, b = np.minimum(a, n), np.minimum(b, n)
-        same = np.ones(len(live), bool)
-        for k in range(8):
-            same &= ok & (wide[a + k] == wide[b + k])
-            count[live] += same
-        live = live[same]
+        differ = eight[np.minimum(a + done, n)] ^ eight[np.minimum(b + done, n)]
+        same = differ == 0
+        end = live[~same]
+        low = differ[~same]
+        low = low & (~low + np.uint64(1))  # the lowest differing bit
+        count[end] = done + (np.log2(low.astype(np.float64)) // 8).astype(np.int64)
+        live, a, b = live[same], a[same], b[same]
         done += 8
+    count[live] = done
+    count = np.minimum(count, n - np.maximum(at, phi[at]))
     value = np.zeros(n, np.int64)
     value[at] = count
     last = np.maximum.accumulate(np.where(compare, np.arange(n), 0))

@@ -38,7 +38,7 @@ from .anchors import LENGTH, spans
 from .common import Scratch, col
 from .sais import permuted_lcp, suffix_array
 
-SHARD_BYTES = 5_000_000
+SHARD_BYTES = 3_500_000
 HOT = 20_000
 _REACH = LENGTH - 1
 
@@ -97,12 +97,12 @@ def repeated_windows(data: list[bytes], doc: np.ndarray, start: np.ndarray) -> t
     """(document, first window start, number of windows) of the windows of a shard that occur earlier in it."""
     sizes = np.fromiter(map(len, data), np.int64, len(data))
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])
-    text = np.ones(int(begin[-1]) + 1, np.uint16)  # 1 ends a span, 0 the shard
+    text = np.ones(int(begin[-1]) + 1, np.uint8)  # 1 ends a span, 0 the shard; UTF-8 has no byte over 244
     text[-1] = 0
     joined = np.frombuffer(b"".join(data), np.uint8)
     place = np.arange(len(joined)) + np.repeat(np.arange(len(data)), sizes)
-    text[place] = joined.astype(np.uint16) + 2
-    array = suffix_array(text, 258)
+    text[place] = joined + np.uint8(2)
+    array = suffix_array(text, 248)
     common = permuted_lcp(text, array, begin[:-1], 2 * LENGTH + 80)
     span = np.repeat(np.arange(len(data)), sizes + 1)
     ends = np.append(begin[1:][span] - 1, len(text) - 1)  # where the span of a position ends
@@ -147,14 +147,17 @@ def cut(data: bytes, runs: list[dict] | None) -> tuple[bytes, int, int]:
     """(what is left, bytes removed, maximal removed runs) for runs of repeated window starts."""
     if not runs:
         return data, 0, 0
-    n = len(data)
-    depth = np.zeros(n + 1, np.int32)
-    begin = np.array([r["start"] for r in runs])
-    np.add.at(depth, begin, 1)
-    np.add.at(depth, np.minimum(begin + np.array([r["count"] for r in runs]) + _REACH, n), -1)
-    gone = np.cumsum(depth[:n]) > 0
-    edges = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
-    return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), edges
+    found = np.array([(r["start"], r["start"] + r["count"] + _REACH) for r in runs])
+    found = found[np.argsort(found[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(found[:, 1])
+    fresh = np.concatenate([[True], found[1:, 0] > reach[:-1]])
+    begin, end = found[fresh, 0], np.minimum(reach[np.append(np.flatnonzero(fresh)[1:] - 1, len(reach) - 1)], len(data))
+    left, at = [], 0
+    for b, e in zip(begin.tolist(), end.tolist(), strict=True):
+        left.append(data[at:b])
+        at = e
+    left.append(data[at:])
+    return b"".join(left), int((end - begin).sum()), len(begin)
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
