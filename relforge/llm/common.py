@@ -61,5 +61,13 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not use yet (names are compared without case)."""
+    used = {c.lower() for c in df.columns}
+    while base.lower() in used:
+        base += "_"
+    return base
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bm25_wand import BlockMaxIndex
-from .common import col
+from .common import col, free_name
 
 UNIT, PASSAGE = 48, 96
 LEAST_SCORE, LEAST_OVERLAP = 0.6, 0.5
@@ -189,5 +189,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without the documents that hold a test item (null ids stay)."""
-    bad = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, col(id_col).cast("long") == F.col("_bad_id"), "left_anti")
+    own = free_name(docs, "_bad_id")
+    bad = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(bad, col(id_col).cast("long") == F.col(own), "left_anti")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, col
+from .common import Scratch, col, free_name
 from .graph import components
 from .text_sets import WordNumbers, mix, shingles
 
@@ -205,6 +205,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     A row with a null doc_id stays. Of rows that repeat a doc_id one stays.
     """
-    kept = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
-    some = docs.join(kept, col(id_col).cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
+    own = free_name(docs, "_kept_id")
+    kept = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias(own)).distinct()
+    some = docs.join(kept, col(id_col).cast("long") == F.col(own), "left_semi").dropDuplicates([id_col])
     return some.unionByName(docs.where(col(id_col).isNull()))

@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, free_name
 
 ROUNDS = 8
 KEY = "relforge-demo-key"
@@ -285,16 +285,14 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
 def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, found_col: str | None = None) -> DataFrame:
     """``docs`` with the text's personal data replaced; with ``found_col`` also the kinds found, in order."""
     text = col(text_col)
+    listed, made = free_name(docs, "_pii_found"), free_name(docs, "_pii_text")
     # most texts hold no digit and no @, and need no further look
-    some = text.rlike("[0-9@]")
-    found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key)))
-    rest = docs.withColumn("_pii_found", found)
+    found = F.when(text.rlike("[0-9@]"), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key)))
+    rest = docs.withColumn(listed, found)
     pieces = F.split(text, ANY, -1)
-    values = F.concat(F.transform(F.col("_pii_found"), lambda s: s["value"]), F.array(F.lit("")))
-    new = F.when(F.size("_pii_found") > 0, F.array_join(F.transform(pieces, lambda p, i: F.concat(p, values[i])), "")).otherwise(text)
-    out = rest.withColumn("_pii_text", new)
-    if found_col:
-        kinds = F.filter(F.transform(F.col("_pii_found"), lambda s: s["kind"]), lambda k: k.isNotNull())
-        out = out.withColumn(found_col, F.coalesce(kinds, F.array().cast("array<string>")))
-    keep = [col(c) if c != text_col else F.col("_pii_text").alias(text_col) for c in docs.columns]
-    return out.select(*keep, *([col(found_col)] if found_col else []))
+    values = F.concat(F.transform(F.col(listed), lambda s: s["value"]), F.array(F.lit("")))
+    new = F.when(F.size(listed) > 0, F.array_join(F.transform(pieces, lambda p, i: F.concat(p, values[i])), "")).otherwise(text)
+    out = rest.withColumn(made, new)
+    kinds = F.filter(F.transform(F.col(listed), lambda s: s["kind"]), lambda k: k.isNotNull())
+    keep = [col(c) if c != text_col else F.col(made).alias(text_col) for c in docs.columns if c != found_col]
+    return out.select(*keep, *([F.coalesce(kinds, F.array().cast("array<string>")).alias(found_col)] if found_col else []))

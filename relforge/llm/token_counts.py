@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, free_name
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -276,6 +276,7 @@ def edited_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def with_edits(docs: DataFrame, edits: DataFrame, id_col: str = "doc_id", into: str = "edits") -> DataFrame:
     """``docs`` with a table of edits (doc_id, position, length, replacement) as one array for each document."""
-    listed = edits.where(col(id_col).isNotNull()).groupBy(col(id_col).alias("_edit_doc")).agg(
+    own = free_name(docs, "_edit_doc")
+    listed = edits.where(col(id_col).isNotNull()).groupBy(col(id_col).alias(own)).agg(
         F.sort_array(F.collect_list(F.struct(F.col("position").cast("long"), F.col("length").cast("long"), F.col("replacement").cast("string")))).alias(into))
-    return docs.join(listed, col(id_col) == F.col("_edit_doc"), "left").drop("_edit_doc")
+    return docs.join(listed, col(id_col) == F.col(own), "left").drop(own)
