@@ -47,15 +47,17 @@ CONTENT_WORDS = "article content main post entry story body text page prose".spl
 NOT_CONTENT_TAGS = "nav footer header aside form menu dialog address figcaption label fieldset legend input".split()
 CONTENT_TAGS = "article main h1 h2 h3 p blockquote pre".split()
 _WORD_PRIOR = {**{w: -14.0 for w in NOT_CONTENT_WORDS}, **{w: -4.0 for w in DOUBTFUL_WORDS}, **{w: 1.0 for w in CONTENT_WORDS}}
-_TAG_PRIOR = {**{t: -12.0 for t in NOT_CONTENT_TAGS}, **{t: 0.7 for t in CONTENT_TAGS}, "article": 5.0, "main": 4.0}
+_TAG_PRIOR = {**{t: -12.0 for t in NOT_CONTENT_TAGS}, **{t: 0.7 for t in CONTENT_TAGS}, "article": 5.0, "main": 4.0, "body": 1.0, "#root": 3.0}
 KINDS = ("section", "block", "inline", "text")
-_STAY = {"section": 1.0, "block": 2.0, "inline": 2.5, "text": 3.5}
+#: Edge expectations, rows: parent not content / content, columns: child. A part that is no content says
+#: little about the block it stands in, content says much.
+_EDGE = {"section": ((0.5, -1.5), (0.5, 0.5)), "block": ((1.0, -2.0), (0.0, 2.0)), "inline": ((2.5, -2.5), (-2.5, 2.5)), "text": ((3.5, -3.5), (-3.5, 3.5))}
 _LIMIT = 30.0
 
 
 def prior(feature: str) -> float:
     kind, _, name = feature.partition(":")
-    return _TAG_PRIOR.get(name, 0.0) if kind == "tag" else _WORD_PRIOR.get(name, 0.0) if kind == "word" else {"hidden": -14.0, "copyright": -3.0}.get(kind, 0.0)
+    return _TAG_PRIOR.get(name, 0.0) if kind == "tag" else _WORD_PRIOR.get(name, 0.0) if kind == "word" else {"hidden": -14.0, "copyright": -6.0}.get(kind, 0.0)
 
 
 def kind_of(tag: str) -> str:
@@ -67,7 +69,7 @@ class Weights:
 
     def __init__(self) -> None:
         self.node: dict[str, float] = {}
-        self.edge = {k: [[s, -s], [-s, s]] for k, s in _STAY.items()}
+        self.edge = {k: [list(row) for row in e] for k, e in _EDGE.items()}
 
     def of(self, feature: str) -> float:
         value = self.node.get(feature)
@@ -86,9 +88,10 @@ def _level(n: int) -> int:
 def features(page: Page, hide_sections: bool = False) -> tuple[list[list[str]], list[bool]]:
     """Features of each node, and whether it is mute (no text of the page, whatever the model says)."""
     size = len(page.tag)
-    length, linked, marks = [0] * size, [0] * size, [0] * size
+    length, linked, marks, parts = [0] * size, [0] * size, [0] * size, [0] * size
     for i in range(size - 1, 0, -1):
         p = page.parent[i]
+        parts[p] += page.tag[i] != "#" or not page.text[i].isspace()
         if page.tag[i] == "#":
             text = page.text[i].strip()
             length[i] = len(text)
@@ -108,7 +111,8 @@ def features(page: Page, hide_sections: bool = False) -> tuple[list[list[str]],
             found.append([*own, "copyright:"] if "©" in page.text[i] or "&copy;" in page.text[i] else own)
             continue
         shown = "div" if hide_sections and tag in SECTIONS else tag
-        own = [f"tag:{shown}", f"length:{_level(length[i] // 16)}", f"links:{4 * linked[i] // max(1, length[i])}", f"marks:{min(3, 40 * marks[i] // max(1, length[i]))}"]
+        # a mere wrapper of one part has nothing to say of its own, however many are nested
+        own = [] if parts[i] == 1 and shown == "div" else [f"tag:{shown}", f"length:{_level(length[i] // 16)}", f"links:{4 * linked[i] // max(1, length[i])}", f"marks:{min(3, 40 * marks[i] // max(1, length[i]))}"]
         if page.attrs[i].strip():
             attrs = attributes(page.attrs[i])
             own += [f"word:{w}" for w in dict.fromkeys(tokens(attrs))]
@@ -241,8 +245,7 @@ def fit_pages(pages: list[str]) -> Weights:
             for f, g in step.items():
                 if isinstance(f, tuple):
                     kind, cell = f
-                    stay = _STAY[kind] if cell in (0, 3) else -_STAY[kind]
-                    g -= EDGE_PULL * (weights.edge[kind][cell // 2][cell % 2] - stay)
+                    g -= EDGE_PULL * (weights.edge[kind][cell // 2][cell % 2] - _EDGE[kind][cell // 2][cell % 2])
                     total[f] += g * g
                     weights.edge[kind][cell // 2][cell % 2] += rate * g / math.sqrt(total[f])
                 else:
