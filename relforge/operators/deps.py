@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relforge.operators.joins import small
 
 # Module id -> release type (first match wins, ``Other`` otherwise).
 RELEASE_TYPES = (
@@ -43,7 +42,7 @@ def dependency_summary(refsets: DataFrame, concepts: DataFrame, dependency: Data
     c = concepts.select(F.col("id").alias("_cid"), "moduleId")
     m = dependency.filter(F.col("active") == "1").select(F.col("moduleId").alias("_mm"), "sourceEffectiveTime")
     j = (comps.join(c, comps.referencedComponentId == c._cid, "left")
-              .join(small(m), F.col("moduleId") == m._mm, "left"))
+              .join(m, F.col("moduleId") == m._mm, "left"))
     return (j.groupBy("moduleId").agg(F.max("sourceEffectiveTime").alias("sourceEffectiveTime"))
              .select(release_type().alias("ReleaseType"), "moduleId", "sourceEffectiveTime"))
 

@@ -2,7 +2,7 @@
 
 Plan shape for the diff (the expensive part at scale):
   history --(1 exchange on id)--> both snapshots in one window pass
-          --(broadcast, size-checked)--> code lists in use
+          --(join, sized at runtime by AQE)--> code lists in use
           --(1 exchange on (component, cluster))--> outcome per code
 The full outer join of the reference is expressed as a tagged union + one
 window, so the two sides are not shuffled separately and the final DISTINCT
@@ -15,9 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relforge.operators.history import scalar, two_snapshots
-from relforge.operators.joins import small
-from relforge.session import materialize
+from relforge.operators.history import two_snapshots
 
 # Ordered LIKE rules that label a refset id (first match wins).
 REFSET_TYPE_RULES_DIFF = (("%100000110%", "Drug Refset"), ("%100023010%", "PCD Refset"))
@@ -47,7 +45,7 @@ def merged_content(local_snap: DataFrame, external_snap: DataFrame, local_module
     code list, active only."""
     merged = local_snap.distinct().unionByName(external_snap.filter(F.col("moduleId") != local_module))
     merged = merged.filter(F.col("active") == "1")
-    return merged.join(small(used_clusters), merged.refsetId == used_clusters.Refset_ID)
+    return merged.join(used_clusters, merged.refsetId == used_clusters.Refset_ID)
 
 
 def _diff_tagged(t: DataFrame) -> DataFrame:
@@ -87,7 +85,7 @@ def release_diff_from_history(history: DataFrame, old_date: str, new_date: str,
                               used_clusters: DataFrame) -> DataFrame:
     """D1-D3 fused: both releases' merged content from one pass over the history."""
     s = two_snapshots(history, old_date, new_date).filter(F.col("active") == "1")
-    j = s.join(small(used_clusters), s.refsetId == used_clusters.Refset_ID)
+    j = s.join(used_clusters, s.refsetId == used_clusters.Refset_ID)
     t = j.select("Cluster_ID", "Cluster_Description", "Refset_ID", "referencedComponentId",
                  F.col("in_old").cast("int").alias("_o"), F.col("in_new").cast("int").alias("_n"))
     return _diff_tagged(t)
@@ -109,19 +107,15 @@ def decorate_codes(diff: DataFrame, descriptions: DataFrame, concepts: DataFrame
 
 
 def ruleset_lists(cluster_ruleset: DataFrame) -> DataFrame:
-    """(service, ruleset, version) -> code lists, as the per-ruleset queries select them:
-    by ruleset id and exact version only -- the service is a label of the request, so
-    a ruleset id + version shared by two services lists both services' code lists."""
-    keys = cluster_ruleset.select("Service_ID", "Ruleset_ID", "Ruleset_Version").distinct()
-    links = cluster_ruleset.select("Ruleset_ID", "Ruleset_Version", "Cluster_ID").distinct()
-    return keys.join(links, ["Ruleset_ID", "Ruleset_Version"]).select(
-        "Service_ID", "Ruleset_ID", "Ruleset_Version", "Cluster_ID")
+    """(service, ruleset, version) -> code lists; a ruleset id that two services share keeps
+    each service's own lists."""
+    return cluster_ruleset.select("Service_ID", "Ruleset_ID", "Ruleset_Version", "Cluster_ID").distinct()
 
 
 def changed_by_ruleset(decorated: DataFrame, cluster_ruleset: DataFrame) -> DataFrame:
     """D5 for every ruleset at once: diff rows of each ruleset's code lists (exact version)."""
     links = ruleset_lists(cluster_ruleset)
-    j = decorated.join(small(links), "Cluster_ID")
+    j = decorated.join(links, "Cluster_ID")
     return j.select("Service_ID", F.col("Ruleset_ID").alias("Ruleset"), "Ruleset_Version",
                     F.lit(CODING_ID).alias("Coding_ID"), "Cluster_ID", "Cluster_description",
                     "SNOMED_concept_ID", "Code_description", "Type_of_Refset", "Cluster_Code_String",
@@ -132,7 +126,7 @@ def changed_by_service(decorated: DataFrame, cluster_ruleset: DataFrame) -> Data
     """D6 for every service at once: versions grouped by their floor."""
     links = cluster_ruleset.select(
         "Service_ID", F.floor("Ruleset_Version").cast("int").alias("Ruleset_Version"), "Cluster_ID").distinct()
-    j = decorated.join(small(links), "Cluster_ID")
+    j = decorated.join(links, "Cluster_ID")
     return j.select("Service_ID", "Ruleset_Version", F.lit(CODING_ID).alias("Coding_ID"), "Cluster_ID",
                     "Cluster_description", "SNOMED_concept_ID", "Code_description", "Type_of_Refset",
                     "Cluster_Code_String", "Active_status", "Outcome")
@@ -213,11 +207,10 @@ def cause_of_change(history: DataFrame, dependency: DataFrame, cluster_ruleset:
     same-direction changes in the subset ruleset's underlying lists, plus the other
     ruleset's changes (``n/a``).  Bag result, as in the reference.
 
-    The publication date (a scalar over the small dependency table) is resolved
-    first, so the history scan gets a pushed-down ``effectiveTime = date`` filter;
-    the three list sets are tagged and joined to that slice once.
+    The publication date is a scalar subquery over the small dependency table, which the
+    history scan gets as a literal; the three list sets are tagged and joined to that slice.
     """
-    pub = scalar(dependency.agg(F.max("effectiveTime")))
+    pub = dependency.agg(F.max("effectiveTime")).scalar()
     live = clusters.filter(F.col("Cluster_Date_Inactive").isNull())
     cond = None
     for rs, v in min_versions.items():
@@ -232,12 +225,11 @@ def cause_of_change(history: DataFrame, dependency: DataFrame, cluster_ruleset:
                                 .select("Cluster_ID", "Refset_ID", F.lit("sub").alias("_kind")))
               .unionByName(under.filter(F.col("Ruleset_ID") == other_ruleset)
                                 .select("Cluster_ID", "Refset_ID", F.lit("other").alias("_kind"))))
-    at = history.filter(F.col("effectiveTime") == F.lit(pub).cast("string"))
-    j = at.join(small(tagged), at.refsetId == tagged.Refset_ID)
+    at = history.filter(F.col("effectiveTime") == pub)
+    j = at.join(tagged, at.refsetId == tagged.Refset_ID)
     changes = j.select("_kind", F.col("referencedComponentId").alias("SNOMED_code"),
                        F.when(F.col("active") == "1", "added to").otherwise("removed from").alias("added_removed"),
                        F.col("Cluster_ID").alias("Cluster")).distinct()
-    changes = materialize(changes)  # one date's changes, read by three branches
     link = changes.filter(F.col("_kind") == "big")
     b = changes.filter(F.col("_kind") == "sub").select(
         F.col("SNOMED_code").alias("_c"), F.col("added_removed").alias("_ar"),
@@ -248,7 +240,7 @@ def cause_of_change(history: DataFrame, dependency: DataFrame, cluster_ruleset:
     part2 = changes.filter(F.col("_kind") == "other").select(
         F.lit(other_ruleset).alias("Ruleset"), "SNOMED_code", "added_removed",
         F.lit("n/a").alias("due_to_underlying_changes_in"))
-    allr = part1.unionByName(part2).withColumn("Date_changes_published", F.lit(pub).cast("string"))
+    allr = part1.unionByName(part2).withColumn("Date_changes_published", pub)
     d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
                     .select(F.col("conceptId").alias("_did"), F.col("term").alias("Code_description"))
     return (allr.join(d, allr.SNOMED_code == d._did, "left")

@@ -10,23 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relforge.operators.joins import small
 
 # Fixed value: the effectiveTime of rows not yet published.
 SENTINEL = "99999999"
 
 
-def scalar(one_row: DataFrame):
-    """Value of a one-row, one-column aggregate over a small table (a scalar subquery).
-
-    Resolving it before the large scan is planned turns ``time = (SELECT max ...)``
-    into a literal filter that reaches the parquet scan (row-group pruning) instead
-    of a join against the whole history.
-    """
-    r = one_row.first()
-    return None if r is None else r[0]
-
-
 def _cols(c) -> list[str]:
     return [c] if isinstance(c, str) else list(c)
 
@@ -94,7 +82,9 @@ def two_snapshots(df: DataFrame, old_date: str, new_date: str, id_cols="id",
 def latest_release_rows(refsets: DataFrame, clusters: DataFrame, descriptions: DataFrame,
                         cluster_ids=None) -> DataFrame:
     """Each refset's rows at that refset's latest date, for the given code lists
-    (all when ``cluster_ids`` is None), with the preferred active name."""
+    (all when ``cluster_ids`` is None), with the preferred active name.
+
+    The wanted refsets are picked first, so neither the maximum nor the join back sees others."""
     c = clusters.select("Cluster_ID", "Refset_ID")
     if cluster_ids is not None:
         c = c.filter(F.col("Cluster_ID").isin(list(cluster_ids)))
@@ -102,11 +92,12 @@ def latest_release_rows(refsets: DataFrame, clusters: DataFrame, descriptions: D
     # one refset may hold a large share of all members: take its latest date with a
     # partial (map-side) aggregate, one row per refset, and semi-join it back --
     # never a window that puts a whole refset into one task
-    mx = refsets.groupBy("refsetId").agg(F.max("effectiveTime").alias("effectiveTime"))
-    latest = refsets.join(mx, ["refsetId", "effectiveTime"], "left_semi")  # AQE sizes it at runtime
+    wanted = refsets.join(c, refsets.refsetId == c.Refset_ID, "left_semi")
+    mx = wanted.groupBy("refsetId").agg(F.max("effectiveTime").alias("effectiveTime"))
+    latest = wanted.join(mx, ["refsetId", "effectiveTime"], "left_semi")  # AQE sizes it at runtime
     d = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F")) \
                     .select(F.col("conceptId").alias("_cid"), F.col("term"))
-    return (latest.join(small(c), latest.refsetId == c.Refset_ID)
+    return (latest.join(c, latest.refsetId == c.Refset_ID)
                   .join(d, latest.referencedComponentId == d._cid, "left")
                   .select("Cluster_ID", F.col("refsetId").alias("Refset_ID"),
                           F.col("referencedComponentId").alias("SNOMED_concept_ID"),
@@ -133,10 +124,10 @@ def release_change_class(snap: DataFrame, release_date: str, clusters: DataFrame
     p = (cluster_ruleset.filter(F.col("Cluster_Ruleset_Date_Inactive").isNull()
                                 | (F.col("Cluster_Ruleset_Date_Inactive") > F.lit(as_of).cast("date")))
                         .select(F.col("Cluster_ID").alias("_pcl"), "Service_ID", "Ruleset_ID", "Ruleset_Version"))
-    j = (g.join(small(a), a.Refset_ID == g.refsetId, "left")
+    j = (g.join(a, a.Refset_ID == g.refsetId, "left")
           .join(d, g.referencedComponentId == d._did, "left")
           .join(c, g.referencedComponentId == c._cid, "left")
-          .join(small(p), a.Cluster_ID == p._pcl, "left"))
+          .join(p, a.Cluster_ID == p._pcl, "left"))
     return j.select(
         F.concat(F.col("Service_ID"), F.lit("_"), F.col("Ruleset_ID")).alias("Service_Ruleset"),
         "Service_ID", "Ruleset_ID", "Ruleset_Version",
@@ -182,14 +173,18 @@ def retain_releases(dates: DataFrame, keep_n: int) -> DataFrame:
                  .withColumn("action", F.when(F.col("release_rank") <= keep_n, "keep").otherwise("drop")))
 
 
-def previous_release(dates: DataFrame, current: str, max_months_back: int | None = 16) -> DataFrame:
-    """The latest release strictly before ``current``, looking back at most
-    ``max_months_back`` months (one row, null if none)."""
-    prev = dates.filter(F.col("release_date") < current)
+def previous_release(dates: DataFrame, current: str, max_months_back: int | None = None) -> DataFrame:
+    """The latest release strictly before ``current`` (one row, null if there is none).
+
+    ``status`` is ``ok``, ``none``, or ``too old`` when a look-back of ``max_months_back``
+    months is asked for and the release lies before it; the date is returned either way.
+    """
+    prev = dates.filter(F.col("release_date") < current).agg(F.max("release_date").alias("previous_release"))
+    status = F.when(F.col("previous_release").isNull(), "none")
     if max_months_back is not None:
-        cur = F.to_date(F.lit(current), "yyyyMMdd")
-        prev = prev.filter(F.try_to_date(F.col("release_date"), "yyyyMMdd") >= F.add_months(cur, -max_months_back))
-    return prev.agg(F.max("release_date").alias("previous_release"))
+        since = F.add_months(F.to_date(F.lit(current), "yyyyMMdd"), -max_months_back)
+        status = status.when(F.try_to_date("previous_release", "yyyyMMdd") < since, "too old")
+    return prev.withColumn("status", status.otherwise("ok"))
 
 
 def latest_releases(dates: DataFrame, n: int = 2) -> DataFrame:
@@ -197,14 +192,14 @@ def latest_releases(dates: DataFrame, n: int = 2) -> DataFrame:
     return dates.select("release_date").distinct().orderBy(F.col("release_date").desc()).limit(n)
 
 
-def release_membership_counts(history: DataFrame, dependency: DataFrame, module: str) -> DataFrame:
-    """Rows by active state at the local module's latest source date.
+def release_membership_counts(concepts: DataFrame, dependency: DataFrame, module: str) -> DataFrame:
+    """Components by active state at the module's latest source date.
 
-    The scalar subquery is resolved first (small table) and pushed into the history
-    scan as a literal; both classes are always reported (0 when absent).
+    The date is a scalar subquery over the small dependency table; both classes are always
+    reported (0 when absent).
     """
-    pcd_date = scalar(dependency.filter(F.col("moduleId") == module).agg(F.max("sourceEffectiveTime")))
-    at = history.filter(F.col("effectiveTime") == F.lit(pcd_date).cast("string"))
+    date = dependency.filter(F.col("moduleId") == module).agg(F.max("sourceEffectiveTime")).scalar()
+    at = concepts.filter(F.col("effectiveTime") == date)
     counts = at.agg(F.count(F.when(F.col("active") == "0", F.col("id"))).alias("c0"),
                     F.count(F.when(F.col("active") == "1", F.col("id"))).alias("c1"))
     return counts.select(F.explode(F.array(

@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relforge.operators.diff import CODING_ID, REFSET_TYPE_RULES_STATIC, refset_type, ruleset_lists
-from relforge.operators.joins import small
-from relforge.session import materialize
 
 
 def ruleset_stage(rulesets: DataFrame, as_of: str, upcoming_needs_open_end: bool = True) -> DataFrame:
@@ -49,23 +47,23 @@ def _static(lists: DataFrame, refset: DataFrame, descriptions: DataFrame, concep
             key_cols) -> DataFrame:
     """Current content of each (key, code list), one row per code and name.
 
-    Members (written once) are named once (member-sized joins), then fanned out to the code lists
-    through a size-checked broadcast; lists without content come from an anti join
+    Only members of the wanted refsets are reduced to distinct codes and named; they are
+    then fanned out to the code lists.  Lists without content come from an anti join
     against the refsets that have members (one row per refset).  Every input is
     de-duplicated first, so the output is distinct by construction -- no DISTINCT
     over the fanned-out rows.
     """
-    # written once: read by the naming joins and by the "lists without content" branch
-    members = materialize(refset.filter(F.col("active") == "1")
-                          .select("refsetId", "referencedComponentId").distinct())
+    lists = lists.select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID").distinct()
+    wanted = lists.select(F.col("Refset_ID").alias("refsetId")).distinct()
+    members = (refset.filter(F.col("active") == "1").select("refsetId", "referencedComponentId")
+                     .join(wanted, "refsetId", "left_semi").distinct())
     d = (descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F"))
                      .select(F.col("conceptId").alias("_did"), F.col("term").alias("Code_description")).distinct())
     c = concepts.select(F.col("id").alias("_cid"), F.col("active").alias("Active_status")).distinct()
     named = (members.join(d, members.referencedComponentId == d._did, "left")
                     .join(c, members.referencedComponentId == c._cid, "left")
                     .select("refsetId", "referencedComponentId", "Code_description", "Active_status"))
-    lists = lists.select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID").distinct()
-    hit = named.join(small(lists), named.refsetId == lists.Refset_ID)
+    hit = named.join(lists, named.refsetId == lists.Refset_ID)
     have = members.select(F.col("refsetId").alias("_have")).distinct()
     # ``have`` has one row per refset but is not counted eagerly: AQE broadcasts it
     # at runtime from its measured size, or keeps the shuffle join
@@ -95,14 +93,13 @@ def static_by_ruleset(cluster_ruleset: DataFrame, clusters: DataFrame, refset: D
 
 
 def static_by_service(cluster_ruleset: DataFrame, clusters: DataFrame, refset: DataFrame,
-                      descriptions: DataFrame, concepts: DataFrame) -> DataFrame:
-    """D8 for all (service, version) pairs: lists of the service's rulesets at that
-    version or later, unretired list-ruleset links only."""
+                      descriptions: DataFrame, concepts: DataFrame, requested: DataFrame) -> DataFrame:
+    """D8 for the requested (Service_ID, Requested_Version) pairs: lists of the service's
+    rulesets at that version or later, unretired list-ruleset links only."""
     live = clusters.filter(F.col("Cluster_Date_Inactive").isNull()).select("Cluster_ID", "Cluster_Description", "Refset_ID")
     links = cluster_ruleset.filter(F.col("Cluster_Ruleset_Date_Inactive").isNull()) \
                            .select("Service_ID", "Ruleset_Version", "Cluster_ID")
-    versions = cluster_ruleset.select(F.col("Service_ID").alias("_svc"),
-                                      F.col("Ruleset_Version").alias("Requested_Version")).distinct()
+    versions = requested.select(F.col("Service_ID").alias("_svc"), "Requested_Version").distinct()
     # equi-join on the service, range condition on the version (bridge tables only)
     picked = links.join(versions, (links.Service_ID == versions._svc)
                         & (links.Ruleset_Version >= versions.Requested_Version))

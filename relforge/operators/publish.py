@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relforge.operators.history import published_snapshot
-from relforge.operators.joins import small
 from relforge.operators.refdata import EXCLUDE_DESCRIPTION_LIKE, EXCLUDE_ID_LIKE, INCLUDE_ID_LIKE
 
 RS_KEYS = ["Service_ID", "Ruleset_ID", "Ruleset_Version"]
@@ -144,7 +143,7 @@ def cluster_refset_content(history: DataFrame, descriptions: DataFrame, clusters
                                           .select("Cluster_ID", "Refset_ID").distinct()
     rows = published_snapshot(history)
     sd = _fsn(descriptions, "SNOMED_code_description")
-    j = (rows.join(small(lists), rows.refsetId == lists.Refset_ID)
+    j = (rows.join(lists, rows.refsetId == lists.Refset_ID)
              .join(sd, rows.referencedComponentId == sd._sd_id, "left"))
     codes = j.select("Cluster_ID", F.col("refsetId").alias("PCD_Refset_ID"),
                      F.col("referencedComponentId").alias("SNOMED_code"), "SNOMED_code_description")
@@ -155,16 +154,16 @@ def refset_content_file(history: DataFrame, descriptions: DataFrame, clusters: D
                         cluster_ruleset: DataFrame, pub: DataFrame, sep: str = " | ") -> DataFrame:
     """K for locally held lists plus, per code list, the sorted distinct
     ``service ruleset`` pairs joined by `` | ``."""
-    tt2 = (_live(clusters).filter(F.col("Refset_ID").like(LOCAL_REFSET_LIKE))
+    local = (_live(clusters).filter(F.col("Refset_ID").like(LOCAL_REFSET_LIKE))
            .join(_on_published(cluster_ruleset, pub).select("Cluster_ID", "Service_ID", "Ruleset_ID"), "Cluster_ID")
            .select("Cluster_ID", "Cluster_Description", "Refset_ID", "Service_ID", "Ruleset_ID").distinct())
-    per_list = (tt2.groupBy("Cluster_ID")
+    per_list = (local.groupBy("Cluster_ID")
                    .agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "Service_ID", "Ruleset_ID"))), sep)
                         .alias("Service_and_Ruleset")))
-    e = tt2.select("Cluster_ID", "Cluster_Description", "Refset_ID").distinct().join(per_list, "Cluster_ID")
+    e = local.select("Cluster_ID", "Cluster_Description", "Refset_ID").distinct().join(per_list, "Cluster_ID")
     rows = published_snapshot(history)
     c = _fsn(descriptions, "SNOMED_code_description")
-    j = (rows.join(small(e), rows.refsetId == e.Refset_ID)
+    j = (rows.join(e, rows.refsetId == e.Refset_ID)
              .join(c, rows.referencedComponentId == c._sd_id, "left"))
     return j.select("Cluster_ID", F.col("Cluster_Description").alias("Cluster_description"),
                     F.col("referencedComponentId").alias("SNOMED_code"), "SNOMED_code_description",
@@ -201,13 +200,12 @@ def refset_by_output(history: DataFrame, descriptions: DataFrame, clusters: Data
             .select("Output_ID", "Cluster_ID", "Cluster_Description").distinct()
     rows = published_snapshot(history, keys="id")
     sd = _fsn(descriptions, "SNOMED_code_description")
-    j = (rows.join(small(cd), rows.refsetId == cd.Refset_ID)
+    j = (rows.join(cd, rows.refsetId == cd.Refset_ID)
              .join(sd, rows.referencedComponentId == sd._sd_id, "left"))
     content = (j.select("Cluster_ID", F.col("refsetId").alias("PCD_Refset_ID"),
                         F.col("referencedComponentId").alias("SNOMED_code"), "SNOMED_code_description")
                 .unionByName(_placeholders(clusters, cluster_ruleset, pub, False)).distinct())
-    # the (output, list) pairs are the small side; the content is keyed by list
-    return (content.join(small(opc), "Cluster_ID")
+    return (content.join(opc, "Cluster_ID")
                    .select("Output_ID", "Cluster_ID", "Cluster_Description", "SNOMED_code",
                            "SNOMED_code_description", "PCD_Refset_ID"))
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relforge.operators.joins import small
+from relforge.functions import text as T
+
 
 # Fixed values of the reference's reference-data build.
 DENY_CLUSTERS = ("GDPPR_COD", "GDPPR2YR_COD", "POBJEC_COD", "POBJECW_COD", "NAOBJEC_COD", "NDAOBJEC_COD",
@@ -121,11 +122,11 @@ def enrich_refset(refset: DataFrame, descriptions: DataFrame, concepts: DataFram
     sc = sensitive_status(refset if sensitive_source is None else sensitive_source, sensitive_refsets)
     if best_sensitive_only:
         sc = best_sensitive(sc)
-    # the code lists are a small dimension: broadcast (size-checked) and join first,
-    # so only members of eligible lists reach the description joins
-    j = s.join(small(clusters), s.refsetId == clusters.Refset_ID)
-    j = (j.join(names, j.refsetId == names._rs_id)
-          .join(terms, j.referencedComponentId == terms._y_id, "left")
+    # the few code lists get their refset's name first; the members then meet that small
+    # result once, and only members of eligible lists reach the description joins
+    named = clusters.join(names, clusters.Refset_ID == names._rs_id)
+    j = s.join(named, s.refsetId == named.Refset_ID)
+    j = (j.join(terms, j.referencedComponentId == terms._y_id, "left")
           .join(c, j.referencedComponentId == c._c_id, "left")
           .join(sc, j.referencedComponentId == sc._sc_comp, "left"))
     out = j.select(
@@ -185,20 +186,14 @@ def subset_by_ruleset(nc: DataFrame, cluster_ruleset: DataFrame, ruleset_id: str
     """Rows whose code list is used by ``ruleset_id`` (open link); distinct."""
     ids = cluster_ruleset.filter((F.col("Ruleset_ID") == ruleset_id)
                                  & F.col("Cluster_Ruleset_Date_Inactive").isNull()).select("Cluster_ID")
-    return nc.join(small(ids), "Cluster_ID", "left_semi").distinct()
+    return nc.join(ids, "Cluster_ID", "left_semi").distinct()
 
 
 def transliterate(df: DataFrame, words: dict | None = None) -> DataFrame:
     """Replace listed words by their ASCII form in every string column."""
     words = TRANSLITERATE_WORDS if words is None else words
-    repl = {}
-    for f in df.schema.fields:
-        if f.dataType.simpleString() == "string":
-            e = F.col(f.name)
-            for w, a in words.items():
-                e = F.replace(e, F.lit(w), F.lit(a))
-            repl[f.name] = e
-    return df.withColumns(repl)
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    return df.withColumns({c: T.transliterate_words(F.col(c), words) for c in text})
 
 
 def membership_history(refset: DataFrame, history: DataFrame, concepts: DataFrame, descriptions: DataFrame,
@@ -209,14 +204,16 @@ def membership_history(refset: DataFrame, history: DataFrame, concepts: DataFram
     c = concepts.select(F.col("id").alias("_c_id"), F.col("active").alias("_concept_status"))
     fsn = descriptions.filter((F.col("active") == "1") & (F.col("DescriptionType") == "F"))
     d = fsn.select(F.col("conceptId").alias("_d_id"), F.col("term").alias("fullySpecifiedName"))
-    n = fsn.select(F.col("conceptId").alias("_n_id"), F.col("term").alias("refsetName"))
+    # the refset's own names as one row, so that no join has the one refset id as its key
+    own = (fsn.filter(F.col("conceptId") == refset_id)
+              .agg(F.sort_array(F.collect_list("term")).alias("_names")).scalar())
     first = (history.filter((F.col("refsetId") == refset_id) & (F.col("active") == "1"))
-                    .groupBy(F.col("refsetId").alias("_f_rs"), F.col("referencedComponentId").alias("_f_comp"), "active")
-                    .agg(F.min("effectiveTime").alias("firstMembershipTime")).drop("active"))
+                    .groupBy(F.col("referencedComponentId").alias("_f_comp"))
+                    .agg(F.min("effectiveTime").alias("firstMembershipTime")))
     b = (r.join(c, r.referencedComponentId == c._c_id, "left")
           .join(d, r.referencedComponentId == d._d_id, "left")
-          .join(n, r.refsetId == n._n_id, "left"))
-    j = b.join(first, (b.referencedComponentId == first._f_comp) & (b.refsetId == first._f_rs), "left")
+          .withColumn("refsetName", F.explode_outer(own)))
+    j = b.join(first, b.referencedComponentId == first._f_comp, "left")
     return j.select("referencedComponentId", "firstMembershipTime",
                     F.when(F.col("active") == "1", "member").when(F.col("active") == "0", "exmember")
                      .otherwise("unknown").alias("currentMembership"),

@@ -6,7 +6,7 @@ from relforge.sources.fixtures import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PRE
                                        SENTINEL, Fixtures)
 
 __all__ = ["AS_OF", "CURRENT_RELEASE", "PREVIOUS_RELEASE", "SENTINEL", "LOCAL_MODULE", "fx",
-           "snap_sql", "used_sql", "sct_refset", "SCT_REFSET_SQL", "pub_sql", "PUBLISHED_GE", "PUBLISHED_GT"]
+           "snap_sql", "used_sql", "sct_refset", "SCT_REFSET_SQL", "pub_sql"]
 
 
 def fx(spark, sf_dir) -> Fixtures:
@@ -41,9 +41,3 @@ SCT_REFSET_SQL = (f"SELECT DISTINCT b.* FROM (SELECT id, max(effectiveTime) AS m
 
 used_sql = ("SELECT DISTINCT Cluster_ID, Cluster_Description, Refset_ID FROM clusters "
             "WHERE Cluster_Date_Inactive IS NULL AND Cluster_ID IN (SELECT Cluster_ID FROM cluster_ruleset)")
-
-# published(as_of) with the two comparison forms the reference uses.
-PUBLISHED_GE = (f"(rp.Ruleset_Publication_Inactive IS NULL OR rp.Ruleset_Publication_Inactive >= DATE '{AS_OF}') "
-                f"AND rp.Ruleset_Publication_Effective <= DATE '{AS_OF}'")
-PUBLISHED_GT = (f"(rp.Ruleset_Publication_Inactive IS NULL OR rp.Ruleset_Publication_Inactive > DATE '{AS_OF}') "
-                f"AND rp.Ruleset_Publication_Effective <= DATE '{AS_OF}'")

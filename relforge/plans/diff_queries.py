@@ -10,7 +10,6 @@ from relforge.operators import lists as L
 from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SCT_REFSET_SQL, fx,
                                    sct_refset, snap_sql, used_sql)
 from relforge.plans.registry import query
-from relforge.session import checkpoint_dir
 
 # Fixed fixture parameters (FIXTURES.md "Parameter values for fixture runs").
 BIG_LISTS = ("C1_COD", "C2_COD")
@@ -87,10 +86,8 @@ SELECT Stage, Service_ID, max(Ruleset_Version) AS Ruleset_Version, CAST(floor(ma
 FROM ({STAGES_SQL}) s WHERE Service_ID IN ('ASIA', 'EUROPE') GROUP BY Stage, Service_ID"""
 
 
-# the per-ruleset selection: ruleset id + exact version, the service as the request's label
-RULESET_LISTS_SQL = """SELECT DISTINCT k.Service_ID, k.Ruleset_ID, k.Ruleset_Version, cr.Cluster_ID
-FROM (SELECT DISTINCT Service_ID, Ruleset_ID, Ruleset_Version FROM cluster_ruleset) k
-JOIN cluster_ruleset cr ON cr.Ruleset_ID = k.Ruleset_ID AND cr.Ruleset_Version = k.Ruleset_Version"""
+# each service's own lists, also where two services share a ruleset id
+RULESET_LISTS_SQL = "SELECT DISTINCT Service_ID, Ruleset_ID, Ruleset_Version, Cluster_ID FROM cluster_ruleset"
 
 
 def _used(f):
@@ -222,63 +219,59 @@ UNION ALL SELECT 'service', Stage || '_' || Service_ID, 'version_floor', CAST(Ve
 def q_change_summary(spark, d):
     f = fx(spark, d)
     diff = diff_df(f)
-    # one row per code list, read by three branches: written once to the shared
-    # checkpoint folder (lineage cut), so the history-sized diff runs once
-    checkpoint_dir(spark)
-    counts = D.outcome_counts(diff).checkpoint(eager=True)
+    counts = D.outcome_counts(diff)
     changed_rs = D.changed_rulesets(L.staged_clusters(f.cluster_ruleset, stages_df(f)), counts.select("Cluster_ID"))
     return D.change_summary(counts, changed_rs, D.stage_counts(changed_rs),
                             D.services_to_publish(stages_df(f), SERVICES))
 
 
-@query("cause_of_change", f"""
-WITH pub AS (SELECT max(effectiveTime) AS p FROM module_dependency),
-live AS (SELECT * FROM clusters WHERE Cluster_Date_Inactive IS NULL),
-under AS (SELECT DISTINCT a.Ruleset_ID, a.Ruleset_Version, a.Cluster_ID, c.Refset_ID FROM cluster_ruleset a
-  JOIN live c ON a.Cluster_ID = c.Cluster_ID
-  WHERE ((a.Ruleset_ID = 'NATION_1' AND a.Ruleset_Version >= 1.0) OR (a.Ruleset_ID = 'NATION_2' AND a.Ruleset_Version >= 2.0))
-    AND a.Cluster_ID NOT IN ('C1_COD', 'C2_COD')),
-big AS (SELECT DISTINCT Cluster_ID, Refset_ID FROM live WHERE Cluster_ID IN ('C1_COD', 'C2_COD')),
-link AS (SELECT DISTINCT t.effectiveTime AS dt, t.referencedComponentId AS SNOMED_code,
-   CASE WHEN t.active = '1' THEN 'added to' ELSE 'removed from' END AS added_removed, g.Cluster_ID AS Cluster
-   FROM refset_full t JOIN big g ON t.refsetId = g.Refset_ID WHERE t.effectiveTime = (SELECT p FROM pub)),
-ul AS (SELECT DISTINCT t.effectiveTime AS dt, t.referencedComponentId AS SNOMED_code,
-   CASE WHEN t.active = '1' THEN 'added to' ELSE 'removed from' END AS added_removed, g.Cluster_ID AS Cluster
-   FROM refset_full t JOIN under g ON t.refsetId = g.Refset_ID WHERE t.effectiveTime = (SELECT p FROM pub) AND g.Ruleset_ID = 'NATION_1'),
-spl AS (SELECT DISTINCT t.effectiveTime AS dt, t.referencedComponentId AS SNOMED_code,
-   CASE WHEN t.active = '1' THEN 'added to' ELSE 'removed from' END AS added_removed, g.Cluster_ID AS Cluster
-   FROM refset_full t JOIN under g ON t.refsetId = g.Refset_ID WHERE t.effectiveTime = (SELECT p FROM pub) AND g.Ruleset_ID = 'NATION_2'),
-allr AS (SELECT 'NATION_1' AS Ruleset, a.SNOMED_code, a.added_removed, a.Cluster, b.Cluster AS due_to_underlying_changes_in,
-           (SELECT p FROM pub) AS Date_changes_published
-         FROM link a LEFT JOIN ul b ON a.SNOMED_code = b.SNOMED_code AND a.added_removed = b.added_removed
-         UNION ALL
-         SELECT 'NATION_2', a.SNOMED_code, a.added_removed, a.Cluster, 'n/a', (SELECT p FROM pub) FROM spl a)
-SELECT a.Ruleset, a.SNOMED_code, d.term AS Code_description, a.added_removed, a.due_to_underlying_changes_in,
-       a.Date_changes_published
-FROM allr a LEFT JOIN description d ON a.SNOMED_code = d.conceptId AND d.active = '1' AND d.DescriptionType = 'F'""")
+# D17 from its definition: the rows of the publication date in the lists of each kind; big lists are matched with
+# the subset ruleset's lists by code and direction, the other ruleset's lists stand alone.
+CAUSE_SQL = f"""
+WITH kinds AS (
+  SELECT 'big' AS kind, Cluster_ID, Refset_ID FROM clusters WHERE Cluster_Date_Inactive IS NULL AND Cluster_ID IN {BIG_LISTS}
+  UNION
+  SELECT CASE v.Ruleset_ID WHEN '{SUBSET_RULESET}' THEN 'subset' ELSE 'other' END, k.Cluster_ID, k.Refset_ID
+  FROM clusters k, cluster_ruleset v
+  WHERE k.Cluster_ID = v.Cluster_ID AND k.Cluster_Date_Inactive IS NULL AND k.Cluster_ID NOT IN {BIG_LISTS}
+    AND v.Ruleset_Version >= CASE v.Ruleset_ID {" ".join(f"WHEN '{r}' THEN {v}" for r, v in MIN_VERSIONS.items())} END),
+moved AS (
+  SELECT DISTINCT kind, referencedComponentId AS SNOMED_code, Cluster_ID AS Cluster, effectiveTime AS Date_changes_published,
+         if(active = '1', 'added to', 'removed from') AS added_removed
+  FROM refset_full, kinds WHERE refsetId = Refset_ID AND effectiveTime IN (SELECT max(effectiveTime) FROM module_dependency)),
+explained AS (
+  SELECT '{SUBSET_RULESET}' AS Ruleset, m.*, s.Cluster AS due_to_underlying_changes_in
+  FROM moved m LEFT JOIN (SELECT * FROM moved WHERE kind = 'subset') s USING (SNOMED_code, added_removed) WHERE m.kind = 'big'
+  UNION ALL SELECT '{OTHER_RULESET}', m.*, 'n/a' FROM moved m WHERE m.kind = 'other')
+SELECT Ruleset, SNOMED_code, term AS Code_description, added_removed, due_to_underlying_changes_in, Date_changes_published
+FROM explained LEFT JOIN (SELECT conceptId, term FROM description WHERE active = '1' AND DescriptionType = 'F') n ON conceptId = SNOMED_code"""
+
+
+@query("cause_of_change", CAUSE_SQL)
 def q_cause_of_change(spark, d):
     f = fx(spark, d)
     return D.cause_of_change(f.refset_full, f.module_dependency, f.cluster_ruleset, f.clusters, f.description,
                              BIG_LISTS, SUBSET_RULESET, OTHER_RULESET, MIN_VERSIONS)
 
 
-def _static_sql(lists_sql: str, keys: str) -> str:
+# D7, D8 from their definition: (keys, list) pairs, each list's current codes or one null code, and names.
+def _static_sql(keys: list[str], pairs: str) -> str:
+    cols = ", ".join(keys)
     return f"""
-SELECT DISTINCT {keys}, 'SNOMED CT' AS Coding_ID, l.Cluster_ID, l.Cluster_Description AS Cluster_description,
-  r.referencedComponentId AS SNOMED_concept_ID, d.term AS Code_description,
-  CASE WHEN l.Refset_ID LIKE '%100023010%' THEN 'PCD Refset' WHEN l.Refset_ID LIKE '%1000001%' THEN 'Drug Refset'
-       ELSE 'Refset' END AS Type_of_Refset,
-  '^' || l.Refset_ID AS Cluster_Code_String, c.active AS Active_status
-FROM ({lists_sql}) l
-LEFT JOIN ({SCT_REFSET_SQL}) r ON l.Refset_ID = r.refsetId AND r.active = '1'
-LEFT JOIN description d ON r.referencedComponentId = d.conceptId AND d.active = '1' AND d.DescriptionType = 'F'
-LEFT JOIN concept c ON r.referencedComponentId = c.id"""
+WITH current_code AS (SELECT DISTINCT refsetId, referencedComponentId AS code FROM ({SCT_REFSET_SQL}) s WHERE active = '1'),
+held AS (SELECT DISTINCT {cols}, Cluster_ID, Cluster_Description, Refset_ID FROM ({pairs}) p NATURAL JOIN
+         (SELECT Cluster_ID, Cluster_Description, Refset_ID FROM clusters WHERE Cluster_Date_Inactive IS NULL) k),
+filled AS (SELECT held.*, code FROM held JOIN current_code ON refsetId = Refset_ID
+           UNION ALL SELECT held.*, NULL FROM held WHERE Refset_ID NOT IN (SELECT refsetId FROM current_code))
+SELECT DISTINCT {cols}, 'SNOMED CT' AS Coding_ID, Cluster_ID, Cluster_Description AS Cluster_description, code AS SNOMED_concept_ID,
+  (SELECT any_value(term) FROM description WHERE conceptId = code AND active = '1' AND DescriptionType = 'F') AS Code_description,
+  if(contains(Refset_ID, '100023010'), 'PCD Refset', if(contains(Refset_ID, '1000001'), 'Drug Refset', 'Refset')) AS Type_of_Refset,
+  concat('^', Refset_ID) AS Cluster_Code_String, (SELECT any_value(active) FROM concept WHERE id = code) AS Active_status
+FROM filled"""
 
 
 @query("static_by_ruleset", _static_sql(
-    "SELECT cr.Service_ID, cr.Ruleset_ID, cr.Ruleset_Version, cr.Cluster_ID, c.Cluster_Description, c.Refset_ID "
-    f"FROM ({RULESET_LISTS_SQL}) cr JOIN clusters c ON cr.Cluster_ID = c.Cluster_ID WHERE c.Cluster_Date_Inactive IS NULL",
-    "l.Service_ID, l.Ruleset_ID, l.Ruleset_Version"))
+    ["Service_ID", "Ruleset_ID", "Ruleset_Version"], RULESET_LISTS_SQL))
 def q_static_by_ruleset(spark, d):
     f = fx(spark, d)
     return L.static_by_ruleset(f.cluster_ruleset, f.clusters, sct_refset(f),
@@ -286,13 +279,15 @@ def q_static_by_ruleset(spark, d):
 
 
 @query("static_by_service", _static_sql(
-    "SELECT DISTINCT v.Service_ID, v.Requested_Version, cr.Cluster_ID, c.Cluster_Description, c.Refset_ID "
-    "FROM cluster_ruleset cr JOIN (SELECT DISTINCT Service_ID, Ruleset_Version AS Requested_Version FROM cluster_ruleset) v "
-    "ON cr.Service_ID = v.Service_ID AND cr.Ruleset_Version >= v.Requested_Version "
-    "JOIN clusters c ON cr.Cluster_ID = c.Cluster_ID "
-    "WHERE c.Cluster_Date_Inactive IS NULL AND cr.Cluster_Ruleset_Date_Inactive IS NULL",
-    "l.Service_ID, l.Requested_Version"))
+    ["Service_ID", "Requested_Version"],
+    "SELECT v.Service_ID, v.Ruleset_Version AS Requested_Version, u.Cluster_ID FROM "
+    f"(SELECT Service_ID, max(Ruleset_Version) AS Ruleset_Version FROM ({STAGES_SQL}) g WHERE Stage = 'Live' GROUP BY Service_ID) v "
+    "JOIN cluster_ruleset u ON u.Service_ID = v.Service_ID AND u.Ruleset_Version >= v.Ruleset_Version "
+    "AND u.Cluster_Ruleset_Date_Inactive IS NULL"))
 def q_static_by_service(spark, d):
+    # one version for each service with a Live ruleset: its highest
     f = fx(spark, d)
+    live = stages_df(f).filter(F.col("Stage") == "Live")
+    wanted = live.groupBy("Service_ID").agg(F.max("Ruleset_Version").alias("Requested_Version"))
     return L.static_by_service(f.cluster_ruleset, f.clusters, sct_refset(f),
-                               f.description, f.concept)
+                               f.description, f.concept, wanted)

@@ -3,101 +3,263 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import functions as F
 
+from relforge.functions import text as T
 from relforge.operators import diff as D
 from relforge.operators import history as H
+from relforge.operators import lists as L
 from relforge.operators import refdata as R
 from relforge.plans.common import CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SENTINEL, fx, snap_sql
-from relforge.plans.diff_queries import decorated_df
+from relforge.plans.diff_queries import CHANGED_RS_SQL, diff_df, stages_df
 from relforge.plans.refdata_queries import NC_COLS, NC_SQL, WORDS, nc_df
 from relforge.plans.registry import ORACLE, query
 from relforge.sources import io as IO
+from relforge.sources.tables import select_all, select_distinct
 
-RF_COLS = ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId"]
-EMPTY_A = ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId", "mapTarget"]
-EMPTY_B = ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId", "attributeValue"]
+# The eight tables of a release, from the fixtures (one text for Spark and DuckDB); id and effectiveTime lead.
+RELEASE_TABLES = {
+    "refset_simple": "SELECT id, effectiveTime, active, moduleId, refsetId, referencedComponentId FROM {refset_full} WHERE refsetId LIKE '%100023010%'",
+    "refset_drug": "SELECT id, effectiveTime, active, moduleId, refsetId, referencedComponentId FROM {refset_full} WHERE refsetId LIKE '%100000110%'",
+    "refset_other": "SELECT id, effectiveTime, active, moduleId, refsetId, referencedComponentId FROM {refset_full} WHERE refsetId LIKE '%100099910%'",
+    "concept": "SELECT id, effectiveTime, active, moduleId FROM {concept}",
+    "description": "SELECT concat(conceptId, '-', DescriptionType) AS id, '20000101' AS effectiveTime, active, conceptId, DescriptionType, term FROM {description}",
+    "language": "SELECT concat('L', id) AS id, effectiveTime, active, refsetId, referencedComponentId, 'preferred' AS acceptability FROM {refset_full} WHERE active = '1'",
+    "module_dependency": "SELECT id, effectiveTime, active, moduleId, refsetId, referencedComponentId, sourceEffectiveTime, targetEffectiveTime FROM {module_dependency}",
+    "decision": "SELECT Cluster AS id, Date_Actioned AS effectiveTime, Final_Decision AS decision FROM {decision_log}",
+}
+#: Date columns stamped besides effectiveTime.
+MORE_DATES = {"module_dependency": ["sourceEffectiveTime", "targetEffectiveTime"]}
+FORMS = ("full", "snapshot", "delta")
+EMPTY_COLUMNS = ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId"]
+EMPTY_SETS = 42
+_LEAD = re.compile(r"SELECT (.*) FROM", re.S)
+
+
+def _columns(table: str) -> list[str]:
+    body = _LEAD.match(RELEASE_TABLES[table])[1]
+    return [c.split(" AS ")[-1].strip() for c in re.split(r",(?![^(]*\))", body)]
 
-# Export manifest of the fixture release: (SQL_Name, Export_Name, Path, Content, columns of an empty file)
-MANIFEST = [
-    ("refset_full", "der2_Refset_SimpleFull_", "Full/Refset/Content", "Populated", []),
-    ("refset_snapshot", "der2_Refset_SimpleSnapshot_", "Snapshot/Refset/Content", "Populated", []),
-    ("refset_delta", "der2_Refset_SimpleDelta_", "Delta/Refset/Content", "Populated", []),
-    ("map_full", "der2_sRefset_SimpleMapFull_", "Full/Refset/Map", "Empty", EMPTY_A),
-    ("attribute_full", "der2_cRefset_AttributeValueFull_", "Full/Refset/Content", "Empty", EMPTY_B),
-]
 
+def _manifest() -> list[tuple]:
+    """66 rows: every table in three forms, and 42 file sets that have only a header."""
+    rows = [(f"{t}_{form}", f"rel_{t}_{form}_", f"{form.title()}/{'Refset' if 'refset' in t else 'Terminology'}", "Populated", []) for t in RELEASE_TABLES for form in FORMS]
+    rows += [(f"empty_{i}", f"rel_empty_{i}_", f"{FORMS[i % 3].title()}/Refset/Kind{i % 14}", "Empty", [*EMPTY_COLUMNS, f"attribute{i % 5}"]) for i in range(EMPTY_SETS)]
+    return [(n, e, p, c, *(cols + [None] * (13 - len(cols)))) for n, e, p, c, cols in rows]
 
-def _release_tables(f):
-    stamped = H.stamp_release(f.refset_full, "effectiveTime", CURRENT_RELEASE)
-    return {"refset_full": H.full(stamped), "refset_snapshot": H.snapshot(stamped),
-            "refset_delta": H.delta(stamped, CURRENT_RELEASE)}
+
+def _release_tables(spark, f):
+    out = {}
+    for name, sql in RELEASE_TABLES.items():
+        base = spark.sql(sql, **{d: f[d] for d in re.findall(r"\{(\w+)\}", sql)})
+        stamped = H.stamp_release(base, ["effectiveTime", *MORE_DATES.get(name, [])], CURRENT_RELEASE)
+        out |= {f"{name}_full": H.full(stamped), f"{name}_snapshot": H.snapshot(stamped), f"{name}_delta": H.delta(stamped, CURRENT_RELEASE)}
+    return out
 
 
 def _export(spark, d):
     f = fx(spark, d)
     root = IO.scratch_root(spark, "release")
-    rows = [(n, e, p, c, *(cols + [None] * (13 - len(cols)))) for n, e, p, c, cols in MANIFEST]
     man_path = os.path.join(root, "manifest")
-    spark.createDataFrame(rows, IO.string_schema(IO.MANIFEST_COLUMNS)).coalesce(1) \
+    spark.createDataFrame(_manifest(), IO.string_schema(IO.MANIFEST_COLUMNS)).coalesce(1) \
          .write.option("header", True).csv(man_path)
     populated, empty = IO.read_manifest(spark, man_path)
-    tables = _release_tables(f)
-    log = IO.export_release(spark, populated.unionByName(empty), tables, os.path.join(root, "out"),
-                            suffix=CURRENT_RELEASE)
-    return log, tables
-
-
-STAMP = f"CASE WHEN effectiveTime = '{SENTINEL}' THEN '{CURRENT_RELEASE}' ELSE effectiveTime END"
-STAMPED_SQL = f"SELECT id, {STAMP} AS effectiveTime, active, moduleId, refsetId, referencedComponentId FROM refset_full"
-SNAP_STAMPED_SQL = (f"SELECT DISTINCT b.* FROM (SELECT id, max(effectiveTime) AS mx FROM ({STAMPED_SQL}) s GROUP BY id) a "
-                    f"JOIN ({STAMPED_SQL}) b ON a.id = b.id AND a.mx = b.effectiveTime")
-DATASETS_SQL = {
-    "refset_full": f"SELECT DISTINCT * FROM ({STAMPED_SQL}) x",
-    "refset_snapshot": f"SELECT DISTINCT * FROM ({SNAP_STAMPED_SQL}) x",
-    "refset_delta": f"SELECT DISTINCT * FROM ({STAMPED_SQL}) x WHERE effectiveTime = '{CURRENT_RELEASE}'",
-}
+    return IO.export_release(spark, populated.unionByName(empty), _release_tables(spark, f), os.path.join(root, "out"),
+                             suffix=CURRENT_RELEASE)
+
+
+def _datasets_sql() -> dict[str, str]:
+    out = {}
+    for t, sql in RELEASE_TABLES.items():
+        dates = ["effectiveTime", *MORE_DATES.get(t, [])]
+        stamped = (f"SELECT * REPLACE ({', '.join(f"if({c} = '{SENTINEL}', '{CURRENT_RELEASE}', {c}) AS {c}" for c in dates)}) "
+                   f"FROM ({re.sub(r'[{}]', '', sql)}) b")
+        out[f"{t}_full"] = f"SELECT DISTINCT * FROM ({stamped}) s"
+        out[f"{t}_snapshot"] = f"SELECT DISTINCT * FROM ({stamped}) s QUALIFY effectiveTime = max(effectiveTime) OVER (PARTITION BY id)"
+        out[f"{t}_delta"] = f"SELECT DISTINCT * FROM ({stamped}) s WHERE effectiveTime = '{CURRENT_RELEASE}'"
+    return out
+
+
+DATASETS_SQL = _datasets_sql()
+
+
+def _line_sql(name: str) -> str:
+    cols = _columns(name.rsplit("_", 1)[0])
+    return " || '|' || ".join(f"coalesce({c}, '<null>')" for c in cols)
 
 
 @query("export_release_roundtrip", " UNION ALL ".join(
-    f"SELECT '{k}' AS dataset, * FROM ({v}) t{i}" for i, (k, v) in enumerate(DATASETS_SQL.items())))
+    f"SELECT '{k}' AS dataset, {_line_sql(k)} AS line FROM ({v}) t{i}" for i, (k, v) in enumerate(DATASETS_SQL.items())))
 def q_export_release_roundtrip(spark, d):
-    log, _ = _export(spark, d)
-    schema = IO.string_schema(RF_COLS)
+    # all eight tables in three forms, read back and compared value by value
     out = None
-    for r in log.filter(F.col("content") == "Populated").collect():  # three datasets
-        df = IO.read_tsv(spark, r["path"], schema).select(F.lit(r["dataset"]).alias("dataset"), *RF_COLS)
+    for r in _export(spark, d).filter(F.col("content") == "Populated").collect():  # 24 file sets
+        cols = _columns(r["dataset"].rsplit("_", 1)[0])
+        line = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("<null>")) for c in cols))
+        df = IO.read_tsv(spark, r["path"], IO.string_schema(cols)).select(F.lit(r["dataset"]).alias("dataset"), line.alias("line"))
         out = df if out is None else out.unionByName(df)
     return out
 
 
-@query("export_check", " UNION ALL ".join(
-    [f"SELECT '{k}' AS dataset, CAST(count(*) AS BIGINT) AS expected_rows, CAST(count(*) AS BIGINT) AS written_rows, "
-     f"'ok' AS status FROM ({v}) t{i}" for i, (k, v) in enumerate(DATASETS_SQL.items())]
-    + ["SELECT 'map_full', CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'ok'",
-       "SELECT 'attribute_full', CAST(0 AS BIGINT), CAST(0 AS BIGINT), 'ok'"]))
+# what is expected, with one file set too many, one too few and one wrong count
+WRONG = {"concept_full": "wrong count", "decision_delta": "extra", "not_written": "missing"}
+_COUNTED = " UNION ALL ".join([f"SELECT '{k}' AS dataset, CAST(count(*) AS BIGINT) AS n FROM ({v}) t{i}" for i, (k, v) in enumerate(DATASETS_SQL.items())]
+                              + [f"SELECT 'empty_' || CAST(i AS VARCHAR), CAST(0 AS BIGINT) FROM range({EMPTY_SETS}) e(i)"])
+
+
+@query("export_check", f"""
+SELECT dataset, if(dataset = 'decision_delta', NULL, if(dataset = 'concept_full', n + 1, n)) AS expected_rows, n AS written_rows,
+       coalesce(MAP {{{', '.join(f"'{k}': '{v}'" for k, v in WRONG.items())}}}[dataset], 'ok') AS status FROM ({_COUNTED}) c
+UNION ALL SELECT 'not_written', CAST(7 AS BIGINT), NULL, 'missing'""")
 def q_export_check(spark, d):
-    log, tables = _export(spark, d)
-    exp = None
-    for n, _, _, content, _ in MANIFEST:  # five manifest rows, one count job each
-        cnt = tables[n].distinct().count() if content == "Populated" else 0
-        row = spark.range(1).select(F.lit(n).alias("dataset"), F.lit(cnt).cast("bigint").alias("expected_rows"))
-        exp = row if exp is None else exp.unionByName(row)
-    return IO.export_check(exp, IO.read_back_counts(spark, log))
+    log = _export(spark, d)
+    tables = _release_tables(spark, fx(spark, d))
+    counts = None
+    for name, df in tables.items():
+        one = df.distinct().agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("expected_rows"))
+        counts = one if counts is None else counts.unionByName(one)
+    counts = counts.unionByName(log.filter(F.col("content") == "Empty").select("dataset", F.lit(0).cast("bigint").alias("expected_rows")))
+    counts = counts.filter(F.col("dataset") != "decision_delta").withColumn(
+        "expected_rows", F.col("expected_rows") + (F.col("dataset") == "concept_full").cast("bigint"))
+    counts = counts.unionByName(spark.createDataFrame([("not_written", 7)], "dataset string, expected_rows bigint"))
+    return IO.export_check(counts, IO.read_back_counts(spark, log))
 
 
-PART_KEYS = ["Service_ID", "Ruleset", "Ruleset_Version"]
+PART_KEYS = ["Stage", "Service_ID", "Ruleset", "Ruleset_Version"]
 
 
-@query("export_partitioned_roundtrip", ORACLE["changed_by_ruleset"])
+@query("export_partitioned_roundtrip", f"""
+SELECT s.Stage, c.* FROM ({ORACLE["changed_by_ruleset"]}) c
+JOIN (SELECT DISTINCT Stage, Service_ID, Ruleset_ID AS Ruleset, Ruleset_Version FROM ({CHANGED_RS_SQL}) r) s USING (Service_ID, Ruleset, Ruleset_Version)""")
 def q_export_partitioned_roundtrip(spark, d):
+    # the staged, changed rulesets, one folder for each stage and ruleset
     f = fx(spark, d)
-    df = D.changed_by_ruleset(decorated_df(f), f.cluster_ruleset)
+    diff = diff_df(f)
+    changed = D.changed_rulesets(L.staged_clusters(f.cluster_ruleset, stages_df(f)), D.changed_clusters(diff))
+    keys = changed.select("Stage", "Service_ID", F.col("Ruleset_ID").alias("Ruleset"), "Ruleset_Version").distinct()
+    df = D.changed_by_ruleset(D.decorate_codes(diff, f.description, f.concept), f.cluster_ruleset).join(keys, PART_KEYS[1:])
     path = IO.scratch_root(spark, "by_ruleset")
     IO.export_partitioned(df, PART_KEYS, path)
-    return spark.read.option("header", True).schema(df.schema).csv(path)
+    return IO.read_partitioned(spark, path, df.schema)
+
+
+# Text that a writer may alter: blanks at the ends, tabs, line ends, quotes, backslashes, empty and null.
+AWKWARD_SQL = """
+SELECT doc_id, CASE CAST(doc_id % 10 AS INT) WHEN 0 THEN concat('  ', lang) WHEN 1 THEN concat(lang, '  ') WHEN 2 THEN ''
+  WHEN 3 THEN cast(NULL AS string) WHEN 4 THEN concat(lang, chr(9), source) WHEN 5 THEN concat(lang, chr(10), source, chr(10))
+  WHEN 6 THEN concat('a "', lang, '" quote') WHEN 7 THEN concat('back', chr(92), 'slash', chr(92)) WHEN 8 THEN concat('"', lang)
+  ELSE concat(lang, ',', source) END AS value, text FROM {documents}"""
+AWKWARD_ORACLE = AWKWARD_SQL.replace("{documents}", "documents")
+
+
+def _awkward(spark, d):
+    return spark.sql(AWKWARD_SQL, documents=fx(spark, d).documents)
+
+
+@query("awkward_text_roundtrip", f"SELECT 'tsv' AS form, * FROM ({AWKWARD_ORACLE}) a UNION ALL SELECT 'partitioned', * FROM ({AWKWARD_ORACLE}) b")
+def q_awkward_text_roundtrip(spark, d):
+    df = _awkward(spark, d)
+    tsv, parts = IO.scratch_root(spark, "awkward-tsv"), IO.scratch_root(spark, "awkward-parts")
+    IO.write_tsv(df, tsv)
+    keyed = df.withColumn("part", F.col("doc_id") % 3)
+    IO.export_partitioned(keyed, ["part"], parts)
+    back = IO.read_partitioned(spark, parts, keyed.schema).drop("part")
+    return (IO.read_tsv(spark, tsv, df.schema).withColumn("form", F.lit("tsv"))
+            .unionByName(back.withColumn("form", F.lit("partitioned"))).select("form", *df.columns))
+
+
+@query("awkward_text_legacy", f"SELECT doc_id, value FROM ({AWKWARD_ORACLE}) a")
+def q_awkward_text_legacy(spark, d):
+    df = _awkward(spark, d).select("doc_id", "value")
+    path = IO.scratch_root(spark, "awkward-legacy")
+    IO.write_csv_legacy(df, path)
+    return IO.read_csv_legacy(spark, path, df.schema)
+
+
+@query("not_encodable", """
+SELECT 'text' AS column, text AS value FROM documents WHERE list_max(list_transform(string_split(text, ''), lambda x: unicode(x))) > 255""")
+def q_not_encodable(spark, d):
+    return IO.not_encodable(fx(spark, d).documents.select("text"))
+
+
+# ---------------------------------------------------------------- A2, A3, A5, A8, A9, A10, G7, G12, S1
+
+@query("select_all", "SELECT * FROM nation")
+def q_select_all(spark, d):
+    return select_all(fx(spark, d).nation)
+
+
+@query("select_distinct", "SELECT DISTINCT p_brand, p_type FROM part")
+def q_select_distinct(spark, d):
+    return select_distinct(fx(spark, d).part.select("p_brand", "p_type"))
+
+
+@query("read_name_map", "SELECT Ruleset, Ruleset_Full_Name FROM ruleset_names")
+def q_read_name_map(spark, d):
+    names = fx(spark, d).ruleset_names
+    path = IO.scratch_root(spark, "names")
+    names.write.option("header", True).csv(path)
+    return IO.read_name_map(spark, path, names.columns)
+
+
+@query("write_report", "SELECT Cluster_ID, additions, removals, unchanged FROM (" + ORACLE["outcome_counts"] + ") r")
+def q_write_report(spark, d):
+    path = IO.scratch_root(spark, "report")
+    IO.write_report(D.outcome_counts(diff_df(fx(spark, d))), path)
+    return spark.read.parquet(path)
+
+
+@query("create_table_as", "SELECT Service_ID, Ruleset_ID, Ruleset_Version FROM rulesets")
+def q_create_table_as(spark, d):
+    # replaced when it exists already; read back as files, so that the catalog entry can go at once
+    rows, path = fx(spark, d).rulesets.select("Service_ID", "Ruleset_ID", "Ruleset_Version"), IO.scratch_root(spark, "ctas")
+    name = "relforge_ctas_" + uuid.uuid4().hex[:12]
+    for df in (rows.limit(0), rows):
+        IO.create_table_as(df, name, path)
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("clone_tables", "SELECT 'service_names' AS name, CAST(count(*) AS BIGINT) AS row_count FROM service_names UNION ALL SELECT 'ruleset_names', CAST(count(*) AS BIGINT) FROM ruleset_names")
+def q_clone_tables(spark, d):
+    f, tag = fx(spark, d), uuid.uuid4().hex[:12]
+    source, sandbox = f"relforge_src_{tag}", f"relforge_box_{tag}"
+    names = ["service_names", "ruleset_names"]
+    spark.sql(f"CREATE DATABASE {source}")
+    for n in names:
+        f[n].write.saveAsTable(f"{source}.{n}")
+    IO.clone_tables(spark, names, source, sandbox)
+    rows = [(n, spark.table(f"{sandbox}.{n}").count()) for n in names]
+    for db in (source, sandbox):
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    return spark.createDataFrame(rows, "name string, row_count bigint")
+
+
+@query("uk_date", "SELECT Service_ID, Ruleset_ID, Ruleset_Version, strftime(Ruleset_Date_Effective, '%d/%m/%Y') AS shown FROM rulesets")
+def q_uk_date(spark, d):
+    return fx(spark, d).rulesets.select("Service_ID", "Ruleset_ID", "Ruleset_Version", T.uk_date("Ruleset_Date_Effective").alias("shown"))
+
+
+@query("name_suffix_date", """
+SELECT name, if(length(name) >= 8 AND try_strptime(right(name, 8), '%Y%m%d') IS NOT NULL, right(name, 8), NULL) AS suffix
+FROM (SELECT DISTINCT concat('release_', Date_Actioned) AS name FROM decision_log) n""")
+def q_name_suffix_date(spark, d):
+    names = fx(spark, d).decision_log.select(F.concat(F.lit("release_"), "Date_Actioned").alias("name")).distinct()
+    return names.withColumn("suffix", T.name_suffix_date("name"))
+
+
+@query("collated_join", "SELECT Cluster_ID, Service_ID FROM clusters JOIN cluster_ruleset USING (Cluster_ID)")
+def q_collated_join(spark, d):
+    # keys that differ in case only are equal under a case-insensitive collation
+    f = fx(spark, d)
+    lower = f.cluster_ruleset.select(F.lower("Cluster_ID").alias("Cluster_ID"), "Service_ID")
+    joined = T.collate_keys(f.clusters, ["Cluster_ID"]).join(T.collate_keys(lower, ["Cluster_ID"]).withColumnRenamed("Cluster_ID", "_key"),
+                                                             F.col("Cluster_ID") == F.col("_key"))
+    return joined.select(F.collate("Cluster_ID", "UTF8_BINARY").alias("Cluster_ID"), "Service_ID")
 
 
 def _translit_sql(col: str) -> str:
@@ -122,8 +284,10 @@ SELECT * FROM ({snap_sql(PREVIOUS_RELEASE)}) o WHERE moduleId <> '{LOCAL_MODULE}
 def q_replace_module_roundtrip(spark, d):
     # B9 on storage: a moduleId-partitioned table; one module's partition replaced
     f = fx(spark, d)
-    table = "relforge_sct_refset_" + uuid.uuid4().hex[:12]
+    table, path = "relforge_sct_refset_" + uuid.uuid4().hex[:12], IO.scratch_root(spark, "sct_refset")
     (H.snapshot_as_of(f.refset_full, PREVIOUS_RELEASE).write.partitionBy("moduleId")
-      .option("path", IO.scratch_root(spark, table)).saveAsTable(table))
+      .option("path", path).saveAsTable(table))
     IO.replace_module_partition(spark, table, H.snapshot_as_of(f.refset_full, CURRENT_RELEASE), LOCAL_MODULE)
-    return spark.table(table)
+    schema = spark.table(table).schema
+    spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
+    return spark.read.schema(schema).parquet(path)

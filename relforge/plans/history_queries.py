@@ -9,6 +9,7 @@ from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOU
                                    snap_sql)
 from relforge.plans.registry import query
 
+CONCEPT_MODULE = "777"
 RF = "id, effectiveTime, active, moduleId, refsetId, referencedComponentId"
 
 
@@ -19,6 +20,16 @@ def q_stamp_release(spark, d):
     return H.stamp_release(fx(spark, d).refset_full, "effectiveTime", CURRENT_RELEASE)
 
 
+@query("stamp_dependency", f"""
+SELECT id, {", ".join(f"CASE WHEN {c} = '{SENTINEL}' THEN '{CURRENT_RELEASE}' ELSE {c} END AS {c}"
+                      for c in ("effectiveTime", "sourceEffectiveTime", "targetEffectiveTime"))}, active, moduleId
+FROM module_dependency""")
+def q_stamp_dependency(spark, d):
+    # B1 on a table with three date columns
+    out = H.stamp_release(fx(spark, d).module_dependency, ["effectiveTime", "sourceEffectiveTime", "targetEffectiveTime"], CURRENT_RELEASE)
+    return out.select("id", "effectiveTime", "sourceEffectiveTime", "targetEffectiveTime", "active", "moduleId")
+
+
 @query("release_full", f"SELECT {RF} FROM refset_full")
 def q_release_full(spark, d):
     return H.full(fx(spark, d).refset_full)
@@ -90,12 +101,23 @@ def q_latest_two_releases(spark, d):
     return H.latest_releases(H.release_dates(fx(spark, d).refset_full), 2)
 
 
-@query("previous_release", f"""
-SELECT max(effectiveTime) AS previous_release FROM refset_full
-WHERE effectiveTime <> '{SENTINEL}' AND effectiveTime < '{CURRENT_RELEASE}'
-  AND try_strptime(effectiveTime, '%Y%m%d')::DATE >= DATE '{CURRENT_RELEASE[:4]}-{CURRENT_RELEASE[4:6]}-{CURRENT_RELEASE[6:]}' - INTERVAL 16 MONTH""")
+def _previous_sql(release: str, months: int) -> str:
+    return f"""
+SELECT p AS previous_release, CASE WHEN p IS NULL THEN 'none' WHEN try_strptime(p, '%Y%m%d')::DATE
+  < DATE '{release[:4]}-{release[4:6]}-{release[6:]}' - INTERVAL {months} MONTH THEN 'too old' ELSE 'ok' END AS status
+FROM (SELECT max(effectiveTime) AS p FROM refset_full WHERE effectiveTime <> '{SENTINEL}' AND effectiveTime < '{release}') x"""
+
+
+#: A release long after the data, whose predecessor lies outside of the look-back.
+LATE_RELEASE = "20050101"
+
+
+@query("previous_release", " UNION ALL ".join(f"SELECT * FROM ({_previous_sql(r, 16)}) p{i}"
+                                              for i, r in enumerate((CURRENT_RELEASE, LATE_RELEASE, "19000101"))))
 def q_previous_release(spark, d):
-    return H.previous_release(H.release_dates(fx(spark, d).refset_full), CURRENT_RELEASE)
+    dates = H.release_dates(fx(spark, d).refset_full)
+    found = [H.previous_release(dates, r, max_months_back=16) for r in (CURRENT_RELEASE, LATE_RELEASE, "19000101")]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query("replace_module_slice", f"""
@@ -121,12 +143,12 @@ def q_retain_releases(spark, d):
 @query("release_membership_counts", f"""
 SELECT s.active_status, CAST(coalesce(c.refsets, 0) AS BIGINT) AS refsets
 FROM (SELECT '0' AS active_status UNION ALL SELECT '1') s
-LEFT JOIN (SELECT active, count(id) AS refsets FROM refset_full
-           WHERE effectiveTime = (SELECT max(sourceEffectiveTime) FROM module_dependency WHERE moduleId = '{LOCAL_MODULE}')
+LEFT JOIN (SELECT active, count(id) AS refsets FROM concept
+           WHERE effectiveTime = (SELECT max(sourceEffectiveTime) FROM module_dependency WHERE moduleId = '{CONCEPT_MODULE}')
            GROUP BY active) c ON s.active_status = c.active""")
 def q_release_membership_counts(spark, d):
     f = fx(spark, d)
-    return H.release_membership_counts(f.refset_full, f.module_dependency, LOCAL_MODULE)
+    return H.release_membership_counts(f.concept, f.module_dependency, CONCEPT_MODULE)
 
 
 @query("active_total", f"""

@@ -45,21 +45,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) a scratch folder is created and set.
+    Only on a local master (tests) a scratch folder is created where it is unset; elsewhere
+    a machine-local folder would not be seen by the executors, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="relforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
-
-def materialize(df):
-    """Write a DataFrame that several branches read once, to the shared checkpoint
-    folder (reliable ``checkpoint``: survives executor loss, cuts the lineage), so
-    the pipeline behind it runs once instead of once per branch."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -12,7 +12,6 @@ loop / cartesian join is ever planned, even for fixtures.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 from collections import OrderedDict
@@ -29,26 +28,36 @@ SENTINEL = "99999999"
 LOCAL_MODULE = "M_PCD"
 
 
+#: Digits of a supplier key inside a refset id: wide enough for every key, so ids are unique.
+KEY_DIGITS = 10
+#: A third of all members are put into this supplier's refset, the hot key of the model.
+HOT_SUPPLIER = 1
+
+
 def _rid(col: str) -> str:
-    return (f"concat('9',lpad(cast({col} AS string),4,'0'),CASE WHEN {col} % 4 = 0 THEN '100000110' "
+    return (f"concat('9',lpad(cast({col} AS string),{KEY_DIGITS},'0'),CASE WHEN {col} % 4 = 0 THEN '100000110' "
             f"WHEN {col} % 4 = 3 THEN '100099910' ELSE '100023010' END,'5')")
 
 
 FIXTURES: "OrderedDict[str, str]" = OrderedDict()
 
+FIXTURES["member_rows"] = f"""
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN {HOT_SUPPLIER} ELSE l_suppkey END AS list_key, l_partkey AS code, l_shipdate, l_returnflag
+FROM {{lineitem}}"""
+
 FIXTURES["refset_full"] = f"""
 SELECT DISTINCT
-  concat(cast(l_suppkey AS string),'-',cast(l_partkey % 200 AS string)) AS id,
+  concat(cast(list_key AS string),'-',cast(code AS string)) AS id,
   CASE WHEN l_shipdate >= timestamp '2001-08-01 00:00:00' THEN '99999999'
        ELSE concat(cast(year(l_shipdate) AS string), lpad(cast(month(l_shipdate) AS string),2,'0'),'01') END AS effectiveTime,
   CASE WHEN l_returnflag='R' THEN '0' ELSE '1' END AS active,
-  CASE WHEN l_suppkey % 4 = 0 THEN 'M_EXT' ELSE 'M_PCD' END AS moduleId,
-  {_rid('l_suppkey')} AS refsetId,
-  cast(l_partkey % 200 AS string) AS referencedComponentId
-FROM {{lineitem}}"""
+  CASE WHEN list_key % 4 = 0 THEN 'M_EXT' ELSE 'M_PCD' END AS moduleId,
+  {_rid('list_key')} AS refsetId,
+  cast(code AS string) AS referencedComponentId
+FROM {{member_rows}}"""
 
 FIXTURES["concept"] = """
-SELECT cast(p_partkey AS string) AS id, '20000101' AS effectiveTime,
+SELECT cast(p_partkey AS string) AS id, CASE WHEN p_partkey % 4 = 1 THEN '20010401' ELSE '20000101' END AS effectiveTime,
   CASE WHEN p_size % 10 = 0 THEN '0' ELSE '1' END AS active,
   CASE WHEN p_partkey % 6 = 0 THEN '900000000000207008' WHEN p_partkey % 6 = 1 THEN '900000000000012004'
        WHEN p_partkey % 6 = 2 THEN '999000041000000102' WHEN p_partkey % 6 = 3 THEN '999000011000001104'
@@ -82,23 +91,31 @@ SELECT r_name AS Service_ID, n_name AS Ruleset_ID,
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
 UNION ALL
 SELECT r_name, n_name, cast(2 + n_nationkey % 3 + 0.1*(n_nationkey % 2) AS decimal(9,1)), date '2001-10-01', cast(NULL AS date)
-FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 0"""
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 0
+UNION ALL
+SELECT 'SHARED', n_name, cast(1 + n_nationkey % 3 + 0.1*(n_nationkey % 2) AS decimal(9,1)), date '1998-04-01', cast(NULL AS date)
+FROM {nation} WHERE n_nationkey % 5 = 1"""
 
 FIXTURES["ruleset_published"] = """
 SELECT Service_ID, Ruleset_ID, Ruleset_Version, date '1998-05-01' AS Ruleset_Publication_Effective,
   CASE WHEN Ruleset_Date_Inactive < date '2001-01-01' THEN Ruleset_Date_Inactive ELSE cast(NULL AS date) END AS Ruleset_Publication_Inactive
-FROM {rulesets} WHERE Ruleset_Date_Effective <= date '2001-07-01'"""
+FROM {rulesets} WHERE Ruleset_Date_Effective <= date '2001-07-01'
+UNION ALL
+SELECT 'SHARED', concat('UNLISTED_',n_name), cast(1 AS decimal(9,1)), date '1999-05-01', cast(NULL AS date)
+FROM {nation} WHERE n_nationkey % 6 = 0"""
 
 FIXTURES["cluster_ruleset"] = """
-SELECT c.Cluster_ID, r.Service_ID, r.Ruleset_ID, r.Ruleset_Version, cast(NULL AS date) AS Cluster_Ruleset_Date_Inactive
-FROM (SELECT DISTINCT Cluster_ID, cast(substring(Refset_ID,2,4) AS int) % 6 AS k FROM {clusters}) c
+SELECT c.Cluster_ID, r.Service_ID, r.Ruleset_ID, r.Ruleset_Version,
+       CASE WHEN c.n % 10 = 3 THEN date '2001-03-01' WHEN c.n % 10 = 7 THEN date '2002-01-01'
+            ELSE cast(NULL AS date) END AS Cluster_Ruleset_Date_Inactive
+FROM (SELECT DISTINCT Cluster_ID, cast(substring(Refset_ID,2,10) AS bigint) AS n, cast(substring(Refset_ID,2,10) AS bigint) % 6 AS k FROM {clusters}) c
 JOIN (SELECT Service_ID, Ruleset_ID, Ruleset_Version,
-             (6 - (length(Ruleset_ID) + cast(Ruleset_Version*10 AS int)) % 6) % 6 AS k FROM {rulesets}) r
+             (6 - (length(Service_ID) + length(Ruleset_ID) + cast(Ruleset_Version*10 AS int)) % 6) % 6 AS k FROM {rulesets}) r
 ON c.k = r.k"""
 
 FIXTURES["outputs"] = """
 SELECT concat('OUT',cast(p_partkey AS string)) AS Output_ID, cast(1 + p_partkey % 2 AS decimal(9,1)) AS Output_Version,
-  p_name AS Output_Description, p_type AS Output_Type FROM {part} WHERE p_partkey < 60"""
+  p_name AS Output_Description, p_type AS Output_Type FROM {part} WHERE p_partkey % 5 < 3"""
 
 FIXTURES["output_ruleset"] = """
 SELECT r.Service_ID, r.Ruleset_ID, r.Ruleset_Version, o.Output_ID, o.Output_Version
@@ -108,13 +125,14 @@ ON o.k = r.k"""
 
 FIXTURES["cluster_output"] = """
 SELECT o.Output_ID, o.Output_Version, c.Cluster_ID
-FROM (SELECT Output_ID, Output_Version, cast(substring(Output_ID,4) AS int) % 11 AS k FROM {outputs}) o
-JOIN (SELECT DISTINCT Cluster_ID, (11 - cast(substring(Refset_ID,2,4) AS int) % 11) % 11 AS k FROM {clusters}) c
-ON o.k = c.k"""
+FROM (SELECT Output_ID, Output_Version, cast(floor(cast(substring(Output_ID,4) AS bigint) / 20) AS bigint) + 1 AS k,
+             cast(substring(Output_ID,4) AS bigint) % 20 AS part FROM {outputs}) o
+JOIN (SELECT DISTINCT Cluster_ID, cast(substring(Refset_ID,2,10) AS bigint) AS k FROM {clusters}) c
+ON o.k = c.k WHERE o.part < 8"""
 
 FIXTURES["populations"] = """
 SELECT concat('POP',cast(p_partkey AS string)) AS Population_ID, cast(1 + p_partkey % 2 AS decimal(9,1)) AS Population_Version,
-  p_name AS Population_Description, p_type AS Population_Type FROM {part} WHERE p_partkey >= 60 AND p_partkey < 100"""
+  p_name AS Population_Description, p_type AS Population_Type FROM {part} WHERE p_partkey % 5 >= 3"""
 
 FIXTURES["population_ruleset"] = """
 SELECT r.Service_ID, r.Ruleset_ID, r.Ruleset_Version, p.Population_ID, p.Population_Version
@@ -124,14 +142,15 @@ ON p.k = r.k"""
 
 FIXTURES["cluster_population"] = """
 SELECT p.Population_ID, p.Population_Version, c.Cluster_ID
-FROM (SELECT Population_ID, Population_Version, cast(substring(Population_ID,4) AS int) % 9 AS k FROM {populations}) p
-JOIN (SELECT DISTINCT Cluster_ID, (9 - cast(substring(Refset_ID,2,4) AS int) % 9) % 9 AS k FROM {clusters}) c
-ON p.k = c.k"""
+FROM (SELECT Population_ID, Population_Version, cast(floor(cast(substring(Population_ID,4) AS bigint) / 20) AS bigint) + 2 AS k,
+             cast(substring(Population_ID,4) AS bigint) % 20 AS part FROM {populations}) p
+JOIN (SELECT DISTINCT Cluster_ID, cast(substring(Refset_ID,2,10) AS bigint) AS k FROM {clusters}) c
+ON p.k = c.k WHERE p.part < 10"""
 
 FIXTURES["output_population"] = """
 SELECT p.Population_ID, p.Population_Version, o.Output_ID, o.Output_Version
-FROM (SELECT Population_ID, Population_Version, cast(substring(Population_ID,4) AS int) % 10 AS k FROM {populations}) p
-JOIN (SELECT Output_ID, Output_Version, (10 - cast(substring(Output_ID,4) AS int) % 10) % 10 AS k FROM {outputs}) o
+FROM (SELECT Population_ID, Population_Version, cast(floor(cast(substring(Population_ID,4) AS bigint) / 10) AS bigint) AS k FROM {populations}) p
+JOIN (SELECT Output_ID, Output_Version, cast(floor(cast(substring(Output_ID,4) AS bigint) / 10) AS bigint) AS k FROM {outputs}) o
 ON p.k = o.k"""
 
 FIXTURES["module_dependency"] = """
@@ -140,12 +159,15 @@ SELECT concat('md-',moduleId) AS id, '20010601' AS effectiveTime, '1' AS active,
   CASE WHEN moduleId = '900000000000012004' THEN cast(NULL AS string) ELSE '20010401' END AS sourceEffectiveTime,
   '20010401' AS targetEffectiveTime
 FROM (SELECT DISTINCT moduleId FROM {concept}) m
-UNION ALL SELECT 'md-pcd','20010601','1','M_PCD','900000000000534007','900000000000207008','20010601','20010401'"""
+UNION ALL SELECT 'md-777','20010601','1','777','900000000000534007','777','20010401','20010401'
+UNION ALL SELECT 'md-pcd','20010601','1','M_PCD','900000000000534007','900000000000207008','20010601','20010401'
+UNION ALL SELECT 'md-new','99999999','1','M_PCD','900000000000534007','900000000000012004','99999999','20010401'"""
 
 FIXTURES["decision_log"] = """
 SELECT concat('C',cast(user_id AS string),'_COD') AS Cluster,
   CASE WHEN event_type='signup' THEN 'Retire' WHEN event_type='click' THEN 'add' WHEN event_type='view' THEN 'remove' ELSE 'retain' END AS Final_Decision,
-  concat(cast(year(ts) AS string),lpad(cast(month(ts) AS string),2,'0'),lpad(cast(day(ts) AS string),2,'0')) AS Date_Actioned
+  CASE WHEN user_id % 50 = 7 THEN '20240231' WHEN user_id % 50 = 9 THEN 'soon'
+       ELSE concat(cast(year(ts) AS string),lpad(cast(month(ts) AS string),2,'0'),lpad(cast(day(ts) AS string),2,'0')) END AS Date_Actioned
 FROM {events}"""
 
 FIXTURES["id_table"] = """
@@ -196,53 +218,27 @@ def oracle_with(sql: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
-# History tables are stored bucketed (and sorted) by the member id: every snapshot
+# History tables can be stored bucketed (and sorted) by the member id: every snapshot
 # window and the diff's first stage then read co-partitioned data, no exchange.
 BUCKETED = {"refset_full": "id"}
+#: Bytes of source data for each bucket of a stored history (a bucket is one task).
+BUCKET_BYTES = 256_000_000
 
 
 class Fixtures:
     """Lazily built fixture DataFrames over one driver-data folder.
 
-    With ``materialize`` (default) each derived table is written once per session
-    under the shared checkpoint folder (``spark.checkpoint.dir``) and read back, as
-    a release pipeline reads its stored tables; this also cuts the lineage.
+    Nothing is computed or written when a table is asked for. ``store`` writes the derived
+    tables once, as a release pipeline reads its stored tables, and ``drop`` removes them.
     """
 
     _cache: dict = {}
 
-    def __init__(self, spark: SparkSession, base_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, base_dir: str):
         self.spark = spark
         self.base_dir = base_dir
-        self.materialize = materialize
         self._dfs: dict[str, DataFrame] = {}
-
-    def _store(self, name: str, df: DataFrame) -> DataFrame:
-        from relforge.session import checkpoint_dir
-        # one copy per application: concurrent applications sharing the checkpoint
-        # folder never write the same files
-        app = self.spark.sparkContext.applicationId
-        tag = hashlib.sha1(f"{app}|{os.path.abspath(self.base_dir)}|{FIXTURES[name]}".encode()).hexdigest()[:10]
-        path = os.path.join(checkpoint_dir(self.spark), "relforge-fixtures", f"{name}_{tag}")
-        key = BUCKETED.get(name)
-        if key is not None:
-            table = f"relforge_fx_{name}_{tag}"
-            try:
-                if not self.spark.catalog.tableExists(table):
-                    # bucket count: set ``spark.relforge.history.buckets`` from the data size on a
-                    # cluster (e.g. ~ table bytes / 256 MB); defaults to the shuffle partitions
-                    conf = self.spark.conf.get("spark.relforge.history.buckets",
-                                               self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
-                    n = int(conf) if str(conf).isdigit() else 200
-                    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
-                       .option("path", path).saveAsTable(table))
-                return self.spark.table(table)
-            except Exception:  # noqa: BLE001 -- no writable catalog: plain files, clustered by the key
-                path = path + "_files"
-                df.repartition(key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
-                return self.spark.read.parquet(path)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        self._stored: list[str] = []
 
     @classmethod
     def of(cls, spark: SparkSession, base_dir: str) -> "Fixtures":
@@ -252,17 +248,38 @@ class Fixtures:
             fx = cls._cache[key] = cls(spark, base_dir)
         return fx
 
+    def store(self, source_bytes: int, bucketed: bool = True) -> None:
+        """Write every fixture under the shared folder and read it from there from now on.
+
+        ``source_bytes``: size of the history's source; the bucket count follows from it.
+        """
+        import uuid
+
+        from relforge.session import checkpoint_dir
+        root = os.path.join(checkpoint_dir(self.spark), "relforge-fixtures", uuid.uuid4().hex)
+        for name in FIXTURES:
+            df, path, key = self[name], os.path.join(root, name), BUCKETED.get(name)
+            if key is not None and bucketed:
+                table = f"relforge_fx_{name}_{uuid.uuid4().hex[:12]}"
+                n = max(8, -(-source_bytes // BUCKET_BYTES))
+                (df.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table))
+                self._stored.append(table)
+                self._dfs[name] = self.spark.table(table)
+            else:
+                df.write.parquet(path)
+                self._dfs[name] = self.spark.read.parquet(path)
+
+    def drop(self) -> None:
+        """Forget stored tables; their catalog entries go (the files are in the shared scratch folder)."""
+        for table in self._stored:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._stored, self._dfs = [], {}
+
     def __getitem__(self, name: str) -> DataFrame:
         df = self._dfs.get(name)
         if df is None:
             if name in FIXTURES:
-                args = {d: self[d] for d in deps(name)}
-                df = self.spark.sql(FIXTURES[name], **args)
-                if self.materialize:
-                    try:
-                        df = self._store(name, df)
-                    except Exception:  # noqa: BLE001 -- storage not writable: stay lazy, same rows
-                        pass
+                df = self.spark.sql(FIXTURES[name], **{d: self[d] for d in deps(name)})
             elif name in DRIVER_TABLES:
                 df = read_table(self.spark, self.base_dir, name)
             else:

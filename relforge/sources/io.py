@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,12 @@ from relforge.session import checkpoint_dir
 
 MANIFEST_COLUMNS = ["SQL_Name", "Export_Name", "Path", "Content"] + [f"Column {i}" for i in range(1, 14)]
 LEGACY_ENCODING = "ISO-8859-1"
+#: Null in a text file (an empty field is the empty string).
+NULL_MARK = "\\N"
+
+
+#: Manifest entries written at a time (each is a Spark job).
+WRITERS = 8
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:
@@ -41,22 +48,56 @@ def read_name_map(spark: SparkSession, path: str, cols) -> DataFrame:
     return spark.read.option("header", True).schema(string_schema(cols)).csv(path)
 
 
+def text_options(**more) -> dict:
+    """Options under which a text file gives back exactly what was written.
+
+    Blanks at either end stay, a quote is doubled (the usual CSV form), values may hold
+    line ends, and null is the marker ``NULL_MARK``, so that an empty string (``""``) stays empty.
+    """
+    return {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "quote": '"',
+            "escape": '"', "nullValue": NULL_MARK, "multiLine": "true", "lineSep": "\n", **more}
+
+
+def _writable(df: DataFrame, mode: str, **more):
+    """A text writer; values equal to the null marker are refused while writing."""
+    safe = {f.name: F.when(F.col(f"`{f.name}`") == NULL_MARK, F.raise_error(F.lit(f"{f.name}: a value equals the null marker")))
+            .otherwise(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.withColumns(safe).write.mode(mode).options(**text_options(emptyValue='""', **more))
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Tab-separated text with header (release files fail if present)."""
-    df.write.mode(mode).option("sep", "\t").option("header", True).csv(path)
+    _writable(df, mode, sep="\t").csv(path)
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.option("sep", "\t").option("header", True).schema(schema).csv(path)
+def read_tsv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    return spark.read.options(**text_options(sep="\t")).schema(schema).csv(path)
+
+
+def not_encodable(df: DataFrame, encoding: str = LEGACY_ENCODING) -> DataFrame:
+    """(column, value) of every string that the encoding cannot hold."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in text))
+    return df.select(F.inline(pairs)).filter(F.col("value").isNotNull() & ~_fits(F.col("value"), encoding))
+
+
+def _fits(c, encoding: str):
+    # a character beyond the encoding is neither kept nor told apart by the text writer
+    pattern = {"ISO-8859-1": r"^[\x00-\xFF]*$", "US-ASCII": r"^[\x00-\x7F]*$"}[encoding.upper()]
+    return F.replace(F.replace(c, F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" ")).rlike(pattern)
 
 
 def write_csv_legacy(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = LEGACY_ENCODING) -> None:
-    """CSV in a single-byte encoding (make text Latin-1-safe first, e.g. C10)."""
-    df.write.mode(mode).option("header", True).option("encoding", encoding).csv(path)
+    """CSV in a single-byte encoding. A value that it cannot hold fails the write
+    (``not_encodable`` lists them; C10 makes known words safe)."""
+    checked = {f.name: F.when(_fits(F.col(f"`{f.name}`"), encoding), F.col(f"`{f.name}`"))
+               .when(F.col(f"`{f.name}`").isNotNull(), F.raise_error(F.concat(F.lit(f"{f.name}: not in {encoding}: "), F.col(f"`{f.name}`"))))
+               for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    _writable(df.withColumns(checked), mode, encoding=encoding).csv(path)
 
 
 def read_csv_legacy(spark: SparkSession, path: str, schema: T.StructType, encoding: str = LEGACY_ENCODING) -> DataFrame:
-    return spark.read.option("header", True).option("encoding", encoding).schema(schema).csv(path)
+    return spark.read.options(**text_options(encoding=encoding)).schema(schema).csv(path)
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -64,9 +105,10 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).option("header", True).save(path)
 
 
-def create_table_as(df: DataFrame, name: str) -> None:
-    """Drop-if-exists + SELECT INTO."""
-    df.write.mode("overwrite").saveAsTable(name)
+def create_table_as(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Drop-if-exists + SELECT INTO; with ``path`` an external table there."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def clone_tables(spark: SparkSession, names, src_db: str, dst_db: str) -> None:
@@ -81,28 +123,34 @@ def export_release(spark: SparkSession, manifest: DataFrame, tables: dict, out_r
     """For each Populated row write the DISTINCT table to its path as TSV; for
     each Empty row write a header-only file from ``Column 1..13``.
 
-    Returns the export log (dataset, path, content), one row per manifest row.
+    The manifest is metadata (one row per file set); its writes run concurrently, each as
+    one Spark job.  Returns the export log (dataset, path, content), one row per manifest row.
     """
-    log = []
-    for r in manifest.collect():  # manifest metadata: tens of rows
+    def write(r) -> tuple[str, str, str]:
         path = os.path.join(out_root, r["Path"], f"{r['Export_Name']}{suffix}")
         if r["Content"] == "Populated":
             write_tsv(tables[r["SQL_Name"]].distinct(), path)
         else:
             cols = [r[f"Column {i}"] for i in range(1, 14) if r[f"Column {i}"]]
             write_tsv(spark.createDataFrame([], string_schema(cols)), path)
-        log.append((r["SQL_Name"], path, r["Content"]))
+        return r["SQL_Name"], path, r["Content"]
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        log = list(pool.map(write, manifest.collect()))
     return spark.createDataFrame(log, "dataset string, path string, content string")
 
 
 def read_back_counts(spark: SparkSession, export_log: DataFrame) -> DataFrame:
-    """Row counts of the written datasets, read back from storage (one job per file set)."""
-    out = None
-    for r in export_log.collect():  # one row per manifest entry
-        n = spark.read.option("sep", "\t").option("header", True).csv(r["path"]).count()
-        df = spark.range(1).select(F.lit(r["dataset"]).alias("dataset"), F.lit(n).cast("bigint").alias("written_rows"))
-        out = df if out is None else out.unionByName(df)
-    return out
+    """Rows of each written dataset, in one read over all of them, grouped by the file's folder."""
+    logged = export_log.select("dataset", "path").collect()  # one row per manifest entry
+    first = T.StructType([T.StructField("_first", T.StringType(), True)])
+    lines = spark.read.options(**text_options(sep="\t", enforceSchema="true")).schema(first).csv([r["path"] for r in logged])
+    folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")
+    counted = lines.groupBy(folder.alias("_folder")).agg(F.count(F.lit(1)).alias("written_rows"))
+    names = spark.createDataFrame([(r["dataset"], r["path"]) for r in logged], "dataset string, _path string")
+    # a file set without rows has no group: 0 rows, since the read has found its folder
+    return (names.join(counted, F.expr("endswith(_folder, _path)"), "left")
+                 .select("dataset", F.coalesce("written_rows", F.lit(0)).cast("bigint").alias("written_rows")))
 
 
 def export_check(expected: DataFrame, written: DataFrame) -> DataFrame:
@@ -121,8 +169,14 @@ def export_partitioned(df: DataFrame, keys, path: str, fmt: str = "csv", mode: s
     ``rebalance`` clusters rows by the keys and lets AQE split a hot key over
     several tasks (and merge tiny ones), so one huge ruleset is not one task.
     """
-    (df.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).format(fmt)
-       .option("header", True).save(path))
+    parts = df.hint("rebalance", *keys)
+    writer = _writable(parts, mode) if fmt == "csv" else parts.write.mode(mode)
+    writer.partitionBy(*keys).format(fmt).save(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a partitioned CSV export."""
+    return spark.read.options(**text_options()).schema(schema).csv(path)
 
 
 def replace_module_partition(spark: SparkSession, table: str, new_rows: DataFrame, module: str,

@@ -17,7 +17,7 @@ def test_export_release_with_empty_file(spark, fx):
     paths = {r["dataset"]: r["path"] for r in log.collect()}
     assert IO.read_tsv(spark, paths["t1"], IO.string_schema(fx.refset_full.columns)).count() \
         == fx.refset_full.distinct().count()
-    empty = spark.read.option("sep", "\t").option("header", True).csv(paths["t2"])
+    empty = spark.read.options(**IO.text_options(sep="\t")).csv(paths["t2"])
     assert empty.columns == ["a", "b"] and empty.count() == 0
     counts = IO.read_back_counts(spark, log)
     exp = spark.createDataFrame([("t1", fx.refset_full.distinct().count()), ("t2", 0), ("t3", 1)],
@@ -88,11 +88,23 @@ def test_scans_name_map_and_report(spark, fx):
     assert spark.read.parquet(rep).count() == fx.rulesets.count()
 
 
-def test_materialize_uses_the_configured_checkpoint_folder(spark, fx):
-    from relforge.session import checkpoint_dir, materialize
+def test_scratch_is_the_configured_folder(spark):
+    from relforge.session import checkpoint_dir
     root = spark.conf.get("spark.checkpoint.dir")
     assert checkpoint_dir(spark) == root
-    df = fx.clusters.select("Cluster_ID").distinct()
-    m = materialize(df)
-    assert m.exceptAll(df).count() == 0 and df.exceptAll(m).count() == 0
-    assert any(os.scandir(root.replace("file:", "")))  # checkpoint files live under the configured folder
+    assert IO.scratch_root(spark, "x").startswith(root)
+
+
+def test_legacy_refuses_what_it_cannot_hold(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "caf\u00e9"), (2, "M\u0101ori"), (3, "en\u2013dash"), (4, None)], "n int, t string")
+    assert sorted(r["value"] for r in IO.not_encodable(df).collect()) == ["M\u0101ori", "en\u2013dash"]
+    with pytest.raises(Exception, match="not in ISO-8859-1"):
+        IO.write_csv_legacy(df, IO.scratch_root(spark, "t-refuse"))
+
+
+def test_null_marker_as_a_value_is_refused(spark):
+    import pytest
+    df = spark.createDataFrame([(IO.NULL_MARK,)], "t string")
+    with pytest.raises(Exception, match="null marker"):
+        IO.write_tsv(df, IO.scratch_root(spark, "t-null"))
