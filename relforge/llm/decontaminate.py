@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bm25_wand import BlockMaxIndex
-from .common import col, free_name
+from .common import col, free_name, slices
 
 UNIT, PASSAGE = 48, 96
 LEAST_SCORE, LEAST_OVERLAP = 0.6, 0.5
@@ -172,7 +172,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = None
-            for batch in batches:
+            for batch in slices(batches):
                 matcher = matcher or _Matcher(shared.value)
                 rows = matcher.match(batch.column(1).to_pylist())
                 ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, slices
 from .dom import INLINE, MUTE, SECTIONS, Page, attributes, parse, tokens
 
 MAX_PAGES, MAX_CHARS = 300, 100_000
@@ -274,7 +274,7 @@ def extract_pages(pages: DataFrame, weights: Weights, id_col: str = "page_id", u
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = weights.tables()
-        for batch in batches:
+        for batch in slices(batches):
             texts = [extract(h, weights, tables) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

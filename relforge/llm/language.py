@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, col
+from .common import Scratch, col, slices
 from .html_extract import Weights, extract
 
 BUCKETS = 1 << 15
@@ -77,7 +77,7 @@ class TextModel:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in slices(batches):
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if lang not in total:
                 total[lang] = np.zeros(BUCKETS, np.int64)
@@ -110,7 +110,7 @@ def _evidence(model: TextModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights()
         tables = weights.tables()
-        for batch in batches:
+        for batch in slices(batches):
             made: list[list] = [[] for _ in range(6)]
             for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 log = model.evidence(extract(html, weights, tables))

@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col
+from .common import col, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 _REMEMBER = 64
-_MEMO_LIMIT = 600_000
-_PAIR_LIMIT = 2_000_000
+_MEMO_LIMIT = 500_000
+_PAIR_LIMIT = 500_000
 _CHECK_EVERY = 32
 
 
@@ -299,16 +299,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = None
-        for whole in batches:
+        for batch in slices(batches, 500):  # ids of a large batch would take much memory
             pieces = pieces or loaded(model)
-            for at in range(0, whole.num_rows, 500):  # ids of a large batch would take much memory
-                batch = whole.slice(at, 500)
-                texts = batch.column(1).to_pylist()
-                parts = [pieces.encode_bytes(t) for t in texts]
-                ok = [None if t is None else pieces.decode_bytes(np.frombuffer(p, np.int32).tolist()) == t.replace(BLANK, " ").encode("utf-8", "surrogatepass")
-                      for t, p in zip(texts, parts, strict=True)]
-                n = pa.array([len(p) // 4 for p in parts], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), n, _lists(parts), pa.array(ok, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
+            texts = batch.column(1).to_pylist()
+            parts = [pieces.encode_bytes(t) for t in texts]
+            ok = [None if t is None else pieces.decode_bytes(np.frombuffer(p, np.int32).tolist()) == t.replace(BLANK, " ").encode("utf-8", "surrogatepass")
+                  for t, p in zip(texts, parts, strict=True)]
+            n = pa.array([len(p) // 4 for p in parts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, _lists(parts), pa.array(ok, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
+        if pieces:
+            pieces.memo.clear()  # an idle worker keeps the model only
 
     return given.mapInArrow(encoded, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
@@ -319,7 +319,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", mod
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = None
-        for batch in batches:
+        for batch in slices(batches):
             pieces = pieces or loaded(model)
             texts = [None if ids is None else pieces.decode(ids) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])

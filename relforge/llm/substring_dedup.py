@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import LENGTH, spans
-from .common import Scratch, col
+from .common import Scratch, col, slices
 from .sais import permuted_lcp, suffix_array
 
 SHARD_BYTES = 3_500_000
@@ -49,7 +49,7 @@ def _utf8(text: str | None) -> bytes:
 
 def _span_rows(with_digest: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, parts, digests = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = _utf8(text)
@@ -78,7 +78,7 @@ def _span_rows(with_digest: bool):
 
 def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with the spans wanted of them -> the bytes of each span."""
-    for batch in batches:
+    for batch in slices(batches):
         anchor, doc, start, shape, data = [], [], [], [], []
         for doc_id, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             raw = _utf8(text)
@@ -133,7 +133,7 @@ def _shard(table: pa.Table) -> pa.Table:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each window of the spans by a 128-bit digest."""
-    for batch in batches:
+    for batch in slices(batches):
         docs, starts, digests = [], [], []
         for doc, start, shape, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             for i in range(shape >> 8):
@@ -161,7 +161,7 @@ def cut(data: bytes, runs: list[dict] | None) -> tuple[bytes, int, int]:
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         size, removed, edges, sha = [], [], [], []
         for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             data = _utf8(text)
@@ -219,7 +219,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         left = [cut(_utf8(t), r)[0] for t, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(left, pa.binary())], ["doc_id", "kept"])
 

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SHINGLE = 5
-_CACHE_LIMIT = 400_000
+_CACHE_LIMIT = 200_000
 _ROW = np.random.default_rng(20240511)
 _COEF = _ROW.integers(0, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHORT = np.uint64(0x9E3779B97F4A7C15)

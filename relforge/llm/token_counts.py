@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, free_name
+from .common import col, free_name, slices
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LEAF = 32
-_MEMO_LIMIT = 600_000
+_MEMO_LIMIT = 500_000
 
 Edit = tuple[int, int, str]
 
@@ -257,7 +257,7 @@ def edited_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = None
-        for batch in batches:
+        for batch in slices(batches):
             counter = counter or loaded(path, pattern)
             rows = []
             given_edits = batch.column(2).to_pylist() if edits_col else [None] * batch.num_rows
@@ -270,6 +270,8 @@ def edited_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             numbers = np.array(rows, np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(numbers[:, k]) for k in range(5))],
                                              ["doc_id", "n_tokens", "n_edits", "n_pretokens", "n_recounted", "n_tokens_after"])
+        if counter:
+            counter.memo.clear()  # an idle worker keeps the ranks only
 
     return given.mapInArrow(run, "doc_id long, n_tokens long, n_edits long, n_pretokens long, n_recounted long, n_tokens_after long")
 
