@@ -8,12 +8,14 @@ sketches estimates how many samples differ; at similarity s, 2 * 160 * (1 - s) s
 to, and the estimate is tight for high s. Pairs whose count is far above that of 0.75 are dropped.
 Candidates also carry an odd sketch of their whole set, 4096 parities: its XOR population count never
 exceeds the size d of the symmetric difference, and similarity 0.75 means 7 d <= |A| + |B|, so this
-second test drops pairs without any error. What passes is confirmed on the full sets.
+second test drops pairs without any error. (Folded to 1024 parities, which never counts more, the same
+test is made first: it drops most pairs of small sets.) What passes is confirmed on the full sets.
 
 Within a band key no list of all pairs is made. First each member is paired with one leader of its
-key (the smallest, then the smallest by hash); the confirmed links are merged into connected
-components, and a key whose members are in one component is done. Only members of different
-components that share a key are paired at last, with the sketch tests inside the join. So a group of n
+key (the smallest, then one of those not linked to it); the confirmed links are merged into connected
+components, and a key whose members are in one component is done. At last the members that are not in
+their key's largest component are paired with the members of other components, with the sketch tests
+inside the join. So a group of n
 near copies costs about n comparisons, and no link between different texts is lost: a pair of
 similarity 0.75 or more misses all 40 bands with a probability below 3e-7.
 
@@ -33,15 +35,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, col, free_name
+from .common import Scratch, col, free_name, slices
 from .graph import components
 from .text_sets import WordNumbers, mix, shingles
 
-BANDS, ROWS, SKETCH_BITS, SET_BITS = 40, 4, 512, 4096
+BANDS, ROWS, SKETCH_BITS, FOLD_BITS, SET_BITS = 40, 4, 512, 1024, 4096
 THRESHOLD = 75  # of 100
 #: Differing sketch bits up to which a pair is confirmed on its sets. At similarity 0.75 about 80 of
-#: the 160 samples of either side differ (deviation 11), which sets 69 bits; 128 is beyond 6 deviations.
-MAX_BITS = 128
+#: the 160 samples of either side differ (deviation 11), which sets 69 bits (deviation 9); 120 is beyond 5 deviations.
+MAX_BITS = 120
 _RNG = np.random.default_rng(40_4)
 _MUL = _RNG.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _XOR = _RNG.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -77,7 +79,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordNumbers()
-    for batch in batches:
+    for batch in slices(batches):
         fps, sizes, bands, sketches = [], [], [], []
         for text in batch.column(1).to_pylist():
             found = shingles(text, words)
@@ -98,17 +100,18 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordNumbers()
-    for batch in batches:
-        nodes, sets, bitmaps = [], [], []
+    for batch in slices(batches):
+        nodes, sets, bitmaps, folds = [], [], [], []
         for node, fp, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             found = shingles(text, words)
             if len(found) and xxhash.xxh3_128_digest(found.tobytes()) == fp:
                 nodes.append(node)
                 sets.append(found.view(np.int64))
                 bitmaps.append(parities(found, SET_BITS))
+                folds.append(np.bitwise_xor.reduce(bitmaps[-1].reshape(-1, FOLD_BITS // 64), axis=0))
         longs = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(sets, longs), pa.array(bitmaps, longs)], ["node", "items", "parity"])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), *(pa.array(x, longs) for x in (sets, folds, bitmaps))],
+                                         ["node", "items", "fold", "parity"])
 
 
 def _differing(a: str, b: str, size: int) -> Column:
@@ -118,9 +121,11 @@ def _differing(a: str, b: str, size: int) -> Column:
 
 
 def _near() -> Column:
-    """Sketch tests of (odd, parity, n) against (odd2, parity2, n2)."""
-    return (_differing("odd", "odd2", SKETCH_BITS) <= MAX_BITS) & (
-        7 * _differing("parity", "parity2", SET_BITS) <= F.col("n") + F.col("n2"))
+    """Size and sketch tests of (odd, fold, parity, n) against (odd2, ..., n2), the cheapest first."""
+    both = F.col("n") + F.col("n2")
+    sizes = (4 * F.col("n") >= 3 * F.col("n2")) & (4 * F.col("n2") >= 3 * F.col("n"))
+    return (sizes & (_differing("odd", "odd2", SKETCH_BITS) <= MAX_BITS) & (7 * _differing("fold", "fold2", FOLD_BITS) <= both)
+            & (7 * _differing("parity", "parity2", SET_BITS) <= both))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -153,19 +158,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     candidates = nodes.join(wanted, "node", "left_semi")
     sets = scratch.stage(
         given.join(candidates.select("node", "fp"), given.doc_id == F.col("node")).select("node", "fp", "text")
-        .mapInArrow(_sets, "node long, items array<long>, parity array<long>"), "sets")
-    sketch = candidates.select("node", "odd").join(sets.select("node", "parity", F.size("items").alias("n")), "node")
+        .mapInArrow(_sets, "node long, items array<long>, fold array<long>, parity array<long>"), "sets")
+    sketch = candidates.select("node", "odd").join(sets.select("node", "fold", "parity", F.size("items").alias("n")), "node")
     sketch = scratch.stage(sketch, "sketch")
     mates = sketch.select(*(F.col(c).alias(c + "2") for c in sketch.columns))
     scratch.drop("nodes")
 
-    # stars: each member against one leader of its key
-    links, comp, tested = None, None, None
-    by_hash = F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]
-    for round_no, leader in enumerate((F.min("node"), by_hash)):
-        live = members if comp is None else _open_keys(members, comp, scratch, round_no)
-        leaders = live.groupBy("key").agg(leader.alias("node2"))
-        star = live.join(leaders, "key").where("node <> node2").select("node", "node2").distinct()
+    # stars: each member against one leader of its key, the smallest, then the one of least hash among the
+    # members apart from their key's main component (a round only saves work: what is open is compared below)
+    links = tested = None
+    live = members.select("key", "node", F.col("node").alias("c"), F.lit(True).alias("apart"))
+    for round_no, rank in enumerate((F.col("node"), F.xxhash64("node"))):
+        leaders = live.where("apart").groupBy("key").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("node2"), F.col("c").alias("c2"))).alias("l"))
+        star = live.join(leaders.select("key", "l.node2", "l.c2"), "key").where("c <> c2").select("node", "node2").distinct()
         pairs = star.join(sketch, "node").join(mates, "node2").where(_near())
         pairs = pairs.select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
         if tested is not None:
@@ -173,14 +178,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = scratch.stage(pairs, f"pairs-{round_no}")
         found = scratch.stage(_confirm(pairs, sets), f"links-{round_no}")
         tested = pairs if tested is None else tested.unionByName(pairs)
+        if links is not None and found.isEmpty():
+            break
         links = found if links is None else links.unionByName(found)
-        comp = components(links, scratch, f"comp-{round_no}")
+        live = _open_keys(members, components(links, scratch, f"comp-{round_no}"), scratch, round_no)
 
-    # what is still open: members of one key in different components
-    live = _open_keys(members, comp, scratch, 9).join(sketch, "node")
+    # what is still open: members outside of their key's largest component, against all of other components
+    live = live.join(sketch, "node")
     other = live.select(*(F.col(c).alias(c + "2") for c in live.columns))
-    open_pair = (F.col("key") == F.col("key2")) & (F.col("node") < F.col("node2")) & (F.col("c") != F.col("c2")) & _near()
-    rest = live.join(other, open_pair).select(F.col("node").alias("u"), F.col("node2").alias("v")).distinct()
+    once = ~F.col("apart2") | (F.col("node") < F.col("node2"))
+    open_pair = (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & once & _near()
+    rest = live.where("apart").join(other, open_pair)
+    rest = rest.select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
     rest = scratch.stage(rest.join(tested, ["u", "v"], "left_anti"), "pairs-rest")
     links = links.unionByName(scratch.stage(_confirm(rest, sets), "links-rest"))
     comp = scratch.stage(components(links, scratch, "comp"), "components")
@@ -194,10 +203,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _open_keys(members: DataFrame, comp: DataFrame, scratch: Scratch, round_no: int) -> DataFrame:
-    """Members, with their component c, of the keys whose members are in several components."""
-    placed = members.join(comp, "node", "left").withColumn("c", F.coalesce("comp", "node")).drop("comp")
-    several = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("key")
-    return scratch.stage(placed.join(several, "key", "left_semi"), f"open-{round_no}")
+    """Members (key, node) of the keys whose members are in several components, with their component c and
+    whether they are apart from the component that has most members of the key."""
+    placed = members.join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("c"))
+    several = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.mode("c").alias("major")).where("c0 < c1")
+    marked = placed.join(several.select("key", "major"), "key").withColumn("apart", F.col("c") != F.col("major")).drop("major")
+    return scratch.stage(marked, f"open-{round_no}")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
