@@ -6,12 +6,15 @@ is cut into passages of 96 words that overlap by half, so each run of 48 words l
 Units of similar length share an index (``TIERS``), since a frequent word weighs much in a short unit
 and would loosen the bounds of the long ones. A passage's first WAND test (the sum of its terms' upper
 bounds against the threshold) is made for a whole batch at once; passages that pass it go through
-block-max WAND, which returns every unit that reaches ``LEAST_SCORE`` of its own full score. A hit is verified on the words around the passage: of
-the item's question at least half of its 3-word shingles and of its answer at least half of its words
-must be there. Items shorter than 8 words must occur as one unbroken run of words.
+block-max WAND, which returns every unit that reaches ``LEAST_SCORE`` of its own full score. A hit is verified on the words around the passage: at
+least half of the 3-word shingles of the whole item must be there, wherever it was cut or edited. Where an item
+has an answer of its own (an answer column, or a last sentence that says "answer is" or "answer:"), at least half
+of the question's shingles and half of the answer's words must be there instead. Items shorter than 8 words must
+occur as one unbroken run of words.
 
-Words are runs of letters and digits, in lower case. Without question and answer columns the last
-sentence of an item's text is its answer (in a one-sentence item, its last quarter).
+Words are runs of letters and digits, in lower case. Without an answer column the last sentence of an
+item's text (in a one-sentence item, its last quarter) counts as its answer in ``answer_overlap``; it vetoes
+nothing unless it is marked as the answer, and half of both parts is a hit too.
 
 Items are few against documents, but they are not trusted to be: the index is built and broadcast in
 blocks of at most ``MAX_BLOCK_BYTES`` of item text, each block being matched against all documents
@@ -45,6 +48,10 @@ _SEPARATE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _MARKS = re.compile(rb"\xc2[\xa0-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf]|\xe2[\x80\x81][\x80-\xbf]|\xe3\x80[\x80-\x82]")
 
 
+#: A last sentence that says that it is the answer.
+_ANSWER = re.compile(r"\W*(?:(?:so|the|correct|right|final) )*answer(?: is\b|\s*:)", re.IGNORECASE)
+
+
 def words_of(text: str | None) -> list[bytes]:
     raw = (text or "").lower().encode("utf-8", "surrogatepass")
     if b"\xe2" in raw or b"\xc2" in raw or b"\xe3" in raw:
@@ -52,9 +59,19 @@ def words_of(text: str | None) -> list[bytes]:
     return raw.translate(_SEPARATE).split()
 
 
+def _sentences(text: str) -> list[str]:
+    return [p for p in re.split(r"(?<=[.!?])\s+|\n+", text) if words_of(p)]
+
+
+def has_answer(text: str) -> bool:
+    """Whether the last of several sentences is marked as the answer."""
+    parts = _sentences(text)
+    return len(parts) > 1 and _ANSWER.match(parts[-1]) is not None
+
+
 def split_item(text: str) -> tuple[list[bytes], list[bytes]]:
     """Question and answer words: the last sentence with a word is the answer, else the last quarter."""
-    parts = [w for w in (words_of(p) for p in re.split(r"(?<=[.!?])\s+|\n+", text)) if w]
+    parts = [words_of(p) for p in _sentences(text)]
     if len(parts) > 1:
         return [w for p in parts[:-1] for w in p], parts[-1]
     found = parts[0] if parts else []
@@ -72,7 +89,7 @@ class _Matcher:
     """Finds verified (item, scores) for the documents of a batch against one block of items."""
 
     def __init__(self, items: list[tuple]):
-        self.ids, self.question, self.answer, self.size, self.run = [], [], [], [], []
+        self.ids, self.question, self.answer, self.whole, self.size, self.run = [], [], [], [], [], []
         tiers: list[tuple[list, list]] = [([], []) for _ in TIERS]
         for item_id, question, answer in items:
             q, a = (words_of(question), words_of(answer)) if answer is not None else split_item(question or "")
@@ -83,6 +100,7 @@ class _Matcher:
             self.ids.append(item_id)
             self.question.append(_grams(q))
             self.answer.append(set(a))
+            self.whole.append(_grams(whole) if answer is None and not has_answer(question or "") else None)
             self.size.append(len(whole))
             self.run.append(b" " + b" ".join(whole) + b" " if len(whole) < SHORT_ITEM else None)
             n = -(-len(whole) // UNIT)
@@ -108,7 +126,10 @@ class _Matcher:
         n = len(next(iter(self.question[k]), ()))  # 3, or fewer for a shorter question
         q = len(self.question[k] & _grams(region, n)) / len(self.question[k]) if n else 1.0
         a = len(self.answer[k] & set(region)) / max(1, len(self.answer[k]))
-        return (q, a) if min(q, a) >= LEAST_OVERLAP else None
+        if min(q, a) >= LEAST_OVERLAP:
+            return q, a
+        whole = self.whole[k]  # None: the item's own answer is missing
+        return (q, a) if whole and len(whole & _grams(region)) >= LEAST_OVERLAP * len(whole) else None
 
     def match(self, texts: list[str | None]) -> list[tuple]:
         """(row, item id, score, question overlap, answer overlap) of the batch's documents."""
@@ -155,7 +176,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                  item_col: str = "text", answer_col: str | None = None) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every document that holds an item.
 
-    With ``answer_col`` the item column is the question; without it the item's text is split.
+    With ``answer_col`` the item column is the question; without it the whole text is the item, and is split for
+    the overlaps.
     """
     spark = docs.sparkSession
     given = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))

@@ -47,6 +47,25 @@ def test_edits_partial_and_long(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 10), (2, 10), (5, 11), (6, 12)}
 
 
+def test_items_cut_or_edited_at_the_end(spark):
+    """Without an answer column the end of an item is no answer: what holds the rest is a hit."""
+    rng = random.Random(6)
+    fill = lambda n: " ".join(f"f{rng.randrange(10_000)}" for _ in range(n))
+    two, one = " ".join(f"q{i}" for i in range(37)), [f"s{i}" for i in range(40)]
+    long_end = " ".join(f"u{i}" for i in range(30)) + ". " + " ".join(f"v{i}" for i in range(12)) + "."
+    items = [(10, two + ". Er."), (11, " ".join(one) + "."), (12, long_end)]
+    docs = [(1, fill(60) + " " + two + " " + fill(80)), (2, fill(60) + " " + two + ". Other. " + fill(80)), (3, fill(9) + " " + " ".join(one[:30]) + " " + fill(80)),
+            (4, fill(9) + " " + " ".join(one[10:]) + " " + fill(80)), (5, fill(50) + long_end.split(".")[0] + ". " + fill(80)), (6, fill(50) + " " + " ".join(one[:12]) + " " + fill(80))]
+    spread = lambda found: {(r.doc_id, r.item_id) for r in found.collect()}
+    given, tests = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert spread(D.contaminated(given, tests)) == {(1, 10), (2, 10), (3, 11), (4, 11), (5, 12)}
+    assert spread(D.decontaminate(given, tests).selectExpr("doc_id", "0L item_id")) == {(6, 0)}
+    # a real answer has to be there
+    split = spark.createDataFrame([(10, two, "Er."), (11, " ".join(one[:30]), " ".join(one[30:]))], "item_id long, text string, answer string")
+    assert spread(D.contaminated(given, split, answer_col="answer")) == {(4, 11)}
+    assert D.has_answer("What is it? The answer is four.") and D.has_answer("What?\nAnswer: 4") and not D.has_answer("Answer: 4") and not D.has_answer("It is so. Answers vary.")
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch, some_docs):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {(r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()}
