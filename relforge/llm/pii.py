@@ -4,6 +4,11 @@ Found in a whole text by one pattern, then validated: e-mail addresses, IBANs (m
 (Luhn), IPv4 addresses (octets to 255), US social security numbers (valid areas), telephone numbers,
 dates (calendar, years 1600-2399) and long hexadecimal secrets. What does not validate stays as it is.
 
+IBANs and cards are looked for again inside the run of groups they were met in, since a number or a short word
+beside them can look like a part: at each start the IBAN of its country's length, the longest that its pattern
+finds and the card are validated, from left to right; what lies between the valid ones is searched for the other
+kinds. A telephone number of too many digits is searched for cards in the same way.
+
 Each value is permuted within its own format by a keyed Feistel network, so a valid value becomes
 another valid one and equal values become equal ones, in every document and in any layout:
 
@@ -46,7 +51,30 @@ PHONE = (r"(?<![A-Za-z0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4
 SSN = _L + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _R
 CARD = (_L + r"[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}" + _R + "|" + _L + r"[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}" + _R
         + "|" + _L + r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}" + _R + "|" + _L + r"[0-9]{13,19}+" + _R)
-ANY = "|".join((EMAIL, SECRET, IBAN, IPV4, YMD, DMY, SSN, PHONE, CARD))
+#: length of an IBAN -> its countries
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE BI", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BF BJ CI DJ DZ FR GR IT MC MR SM SN", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _of_length(n: int) -> str:
+    groups, rest = divmod(n - 4, 4)
+    return "[0-9]{2}(?: ?[A-Z0-9]{4}){%d}" % groups + (" ?[A-Z0-9]{%d}" % rest if rest else "")
+
+
+_LISTED = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+#: what may be an IBAN or a card at a start, in the order of trial: country's length, longest, longest of whole groups
+TRIES = (_L + "(?:" + "|".join(f"(?:{c.replace(' ', '|')}){_of_length(n)}" for n, c in IBAN_LENGTHS.items()) + ")" + _R, IBAN,
+         _L + f"(?!{_LISTED})" + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}" + _R, CARD)
+#: the longest of TRIES, with 7 blanks
+_WIDEST = 48
+#: an IBAN or a card with the groups behind it, up to one that begins a date, an IPv4 or an e-mail address
+_TO_GROUP = r"(?:[ -][A-Z0-9 -]*[A-Z0-9](?![A-Za-z0-9]|[./][0-9]{1,3}[./][0-9]|[A-Za-z0-9._%+-]{0,64}@))?"
+_OTHERS = (IPV4, YMD, DMY, SSN, PHONE)
+REST = "|".join((EMAIL, SECRET, *_OTHERS))
+ANY = "|".join((EMAIL, SECRET, f"(?:{IBAN}){_TO_GROUP}", *_OTHERS, f"(?:{CARD}){_TO_GROUP}"))
 
 
 def _hash(kind: str, key: str, *parts: Column) -> Column:
@@ -122,7 +150,7 @@ def _card(m: Column, key: str) -> Column:
     def made(d: Column) -> Column:
         payload = permute_digits(F.substring(d, F.lit(1), F.length(d) - 1), "card", key)
         whole = _bind(payload, lambda p: F.concat(p, ((10 - luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))
-        return F.when(F.length(d).between(13, 19) & (luhn_sum(d) % 10 == 0), _fill(m, whole))
+        return F.when(_card_holds(d), _fill(m, whole))
 
     return _bind(_digits(m), made)
 
@@ -238,10 +266,18 @@ def _mod97(value: Column) -> Column:
     return F.aggregate(F.split(value, ""), F.lit(0), step)
 
 
+def _iban_holds(v: Column) -> Column:
+    return F.length(v).between(15, 34) & (_mod97(F.concat(F.substring(v, F.lit(5), F.length(v)), F.substring(v, 1, 4))) == 1)
+
+
+def _card_holds(d: Column) -> Column:
+    return F.length(d).between(13, 19) & (luhn_sum(d) % 10 == 0)
+
+
 def _iban(m: Column, key: str) -> Column:
     def made(v: Column) -> Column:
         country, account = F.substring(v, 1, 2), F.substring(v, F.lit(5), F.length(v))
-        valid = (F.length(v).between(15, 34)) & (_mod97(F.concat(account, F.substring(v, 1, 4))) == 1)
+        valid = _iban_holds(v)
         moved = permute_letters(account, "iban", key)
         whole = _bind(moved, lambda a: F.concat(country, F.lpad((98 - _mod97(F.concat(a, country, F.lit("00")))).cast("string"), 2, "0"), a))
 
@@ -282,17 +318,70 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     return _bind(out, lambda s: F.struct(F.when(s["value"].isNotNull(), s["kind"]).alias("kind"), F.coalesce(s["value"], m).alias("value")))
 
 
+def _runs(m: Column) -> Column:
+    """A run of groups as array of struct(known, text): its valid IBANs and cards, and what lies between them."""
+    parts = F.split(F.regexp_replace(m, "(?=" + "|".join(TRIES) + ")", "\n"), "\n", -1)  # a run holds no line end
+
+    def holds(c: Column) -> Column:
+        return F.when(c.rlike("^[A-Z]"), _iban_holds(F.replace(c, F.lit(" "), F.lit("")))).otherwise(_card_holds(_digits(c)))
+
+    def begins(w: Column) -> Column:
+        return F.get(F.filter(F.array(*(F.regexp_extract(w, "^(?:" + t + ")", 0) for t in TRIES)), lambda c: (c != "") & holds(c)), F.lit(0))
+
+    def split(parts: Column) -> Column:
+        window = lambda i: F.substring(F.array_join(F.slice(parts, i + 1, _WIDEST), ""), 1, _WIDEST)
+        tried = F.transform(parts, lambda p, i: F.struct(p.alias("p"), F.when(i > 0, _bind(window(i), begins)).alias("c")))
+        piece = lambda known, text: F.array(_piece(known, text))
+
+        def step(s: Column, x: Column) -> Column:  # skip: characters of the last value that are still to come
+            new = (s["skip"] == 0) & x["c"].isNotNull()
+            ahead = F.when(new, F.length(x["c"])).otherwise(s["skip"])
+            rest = F.substring(x["p"], ahead + 1, F.length(x["p"]))
+            out = F.when(new, F.concat(s["out"], piece(False, s["open"]), piece(True, x["c"]))).otherwise(s["out"])
+            return F.struct(F.greatest(ahead - F.length(x["p"]), F.lit(0)).alias("skip"), F.when(new, rest).otherwise(F.concat(s["open"], rest)).alias("open"), out.alias("out"))
+
+        none = F.array().cast("array<struct<known:boolean,text:string>>")
+        start = F.struct(F.lit(0).alias("skip"), F.lit("").alias("open"), none.alias("out"))
+        return F.aggregate(tried, start, step, lambda s: F.concat(s["out"], piece(False, s["open"])))
+
+    return _bind(parts, split)
+
+
+def _piece(known: bool, text: Column) -> Column:
+    return F.struct(F.lit(known).alias("known"), text.alias("text"))
+
+
+def _between(text: Column) -> Column:
+    """Array of struct(known, text) of a text that holds no valid IBAN or card."""
+    pieces = F.split(text, REST, -1)
+
+    def mixed(found: Column) -> Column:
+        return F.flatten(F.transform(pieces, lambda p, i: F.when(i < F.size(found), F.array(_piece(False, p), _piece(True, F.get(found, i)))).otherwise(F.array(_piece(False, p)))))
+
+    return _bind(F.regexp_extract_all(text, F.lit(REST), F.lit(0)), mixed)
+
+
+def _parts(m: Column) -> Column:
+    """Array of struct(known, text): a string found by ``ANY``, cut into what is to be validated and what stays."""
+    run = m.rlike("^(?:" + IBAN + "|" + CARD + ")") | (m.startswith("+") & (F.length(_digits(m)) > 15))
+    other = m.contains("@") | _is(m, SECRET)
+    cut = F.flatten(F.transform(_runs(m), lambda s: F.when(s["known"], F.array(_piece(True, s["text"]))).otherwise(_between(s["text"]))))
+    return F.when(run & ~other, cut).otherwise(F.array(_piece(True, m)))
+
+
 def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, found_col: str | None = None) -> DataFrame:
     """``docs`` with the text's personal data replaced; with ``found_col`` also the kinds found, in order."""
     text = col(text_col)
     listed, made = free_name(docs, "_pii_found"), free_name(docs, "_pii_text")
     # most texts hold no digit and no @, and need no further look
-    found = F.when(text.rlike("[0-9@]"), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key)))
+    none = F.lit(None).cast("string")
+    each = lambda x: F.when(x["known"], pseudonym(x["text"], key)).otherwise(F.struct(none.alias("kind"), x["text"].alias("value")))
+    found = F.when(text.rlike("[0-9@]"), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.transform(_parts(m), each)))
     rest = docs.withColumn(listed, found)
     pieces = F.split(text, ANY, -1)
-    values = F.concat(F.transform(F.col(listed), lambda s: s["value"]), F.array(F.lit("")))
+    values = F.concat(F.transform(F.col(listed), lambda s: F.array_join(s["value"], "")), F.array(F.lit("")))
     new = F.when(F.size(listed) > 0, F.array_join(F.transform(pieces, lambda p, i: F.concat(p, values[i])), "")).otherwise(text)
     out = rest.withColumn(made, new)
-    kinds = F.filter(F.transform(F.col(listed), lambda s: s["kind"]), lambda k: k.isNotNull())
+    kinds = F.filter(F.transform(F.flatten(F.col(listed)), lambda s: s["kind"]), lambda k: k.isNotNull())
     keep = [col(c) if c != text_col else F.col(made).alias(text_col) for c in docs.columns if c != found_col]
     return out.select(*keep, *([F.coalesce(kinds, F.array().cast("array<string>")).alias(found_col)] if found_col else []))

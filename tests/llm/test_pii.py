@@ -109,6 +109,23 @@ def test_other_kinds(spark):
     assert re.fullmatch(r'token = "[A-F][0-9a-f]{39}"', out[5]) and out[5] != texts[5]
 
 
+def test_valid_values_beside_what_looks_like_a_part(spark):
+    es, be, card = "ES9121000418450200051332", "BE68 5390 0754 7034", "4111 1111 1111 1111"
+    texts = [f"{es} BIC CAIXESBBXXX", f"expires 2027 {card}", f"{be} A1 now", f"{es} {card}", f"ref AB12 3456 7890 {card}", f"1234 5678 9012 3456 7890 {card} 123, 2027-{card.replace(' ', '-')}",
+             f"AT61 1904 3002 3457 3201 {be}", f"+49 {card}", f"{card} 12.05.2023 and {card} 123-45-6789", f"{card} 1234@mail.example.org", f"2027 {card}.5", "2027 4111 1111 1111 1112"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [(r.text, r.kinds) for r in P.pseudonymize(df, key=KEY, found_col="kinds").orderBy("doc_id").collect()]
+    alone = [es, be, card, "12.05.2023", "123-45-6789", "1234@mail.example.org", "AT61 1904 3002 3457 3201"]
+    new = dict(zip(alone, run(spark, alone)))
+    assert all(a != b and len(a) == len(b) for a, b in new.items() if "." not in a)
+    new[card.replace(" ", "-")] = new[card].replace(" ", "-")
+    for text, (out, _) in zip(texts, got):
+        for a, b in new.items():
+            text = text.replace(a, b)
+        assert out == text
+    assert [k for _, k in got] == [["iban"], ["card"], ["iban"], ["iban", "card"], ["card"], ["card", "card"], ["iban", "iban"], ["card"], ["card", "date", "card", "ssn"], ["card", "email"], ["card"], []]
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     out = P.pseudonymize(odd_docs, found_col="kinds")
     assert out.columns == [*odd_docs.columns, "kinds"]
@@ -124,3 +141,8 @@ def test_plan_has_no_python(spark, odd_docs):
 def test_long_tokens_take_linear_time(spark):
     out = run(spark, ["a" * 400_000, "1" * 200_000, "a.b" * 100_000 + "@"])
     assert [len(x) for x in out] == [400_000, 200_000, 300_001]
+
+
+def test_long_runs_of_groups(spark):
+    out = run(spark, ["1234 5678 " * 10_000, "AB12 3456 " * 10_000])
+    assert [len(x) for x in out] == [100_000, 100_000]
