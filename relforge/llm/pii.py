@@ -10,13 +10,16 @@ finds and the card are validated, from left to right; what lies between the vali
 kinds. A telephone number of too many digits is searched for cards in the same way.
 
 Each value is permuted within its own format by a keyed Feistel network, so a valid value becomes
-another valid one and equal values become equal ones, in every document and in any layout:
+another valid one and equal values become equal ones, in every document and in any layout (but for dates
+written month first, below):
 
 - digits (telephone, card): two halves of the digits are added, in turn, to a keyed hash of the other,
-  modulo 10^length; a card's last digit is set so that Luhn holds; separators stay where they were;
+  modulo 10^length; a card's last digit is set so that Luhn holds; separators stay where they were; the
+  country code of a telephone number stays, split off by the table of codes whatever the layout;
 - IPv4 over 2^16 x 2^16, social security numbers over the 898 * 99 x 9999 valid ones;
 - dates over the 146,097 days of their 400-year cycle, as 189 x 773; dates written month first walk the
-  cycle until the day is over 12 again, so that the result reads month first too;
+  cycle until the day is over 12 again, so that the result reads month first too, and is the day of the same
+  date in another layout only if that one is over 12;
 - letters and digits (the local part of an address, an account, a secret): the halves shift each other
   character by character within the character's class.
 
@@ -48,6 +51,8 @@ YMD = _L + r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}" + _R
 DMY = _L + r"[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}" + _R
 PHONE = (r"(?<![A-Za-z0-9+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}" + _R
          + r"|(?<![A-Za-z0-9(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}" + _R + "|" + _L + r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}" + _R)
+#: country codes of telephone numbers; all others have three digits
+COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
 SSN = _L + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _R
 CARD = (_L + r"[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}" + _R + "|" + _L + r"[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}" + _R
         + "|" + _L + r"[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}" + _R + "|" + _L + r"[0-9]{13,19}+" + _R)
@@ -156,9 +161,17 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^(\+[0-9]{1,3})(?=[ .(-])", 1)
-    rest = F.substring(m, F.length(country) + 1, F.length(m))
-    return _bind(rest, lambda r: F.when(F.length(_digits(r)).between(7, 15), F.concat(country, _fill(r, permute_digits(_digits(r), "phone", key)))))
+    def made(d: Column) -> Column:
+        country = F.when(m.startswith("+"), F.regexp_extract(d, "^(?:" + COUNTRY + ")", 0)).otherwise("")
+
+        def moved(c: Column) -> Column:
+            rest = F.substring(d, F.length(c) + 1, F.length(d))
+            holds = (F.length(d) >= F.when(m.startswith("+"), 8).otherwise(7)) & F.length(rest).between(2, 15)
+            return F.when(holds, _fill(m, F.concat(c, permute_digits(rest, "phone", key))))
+
+        return _bind(country, moved)
+
+    return _bind(_digits(m), made)
 
 
 def _ipv4(m: Column, key: str) -> Column:

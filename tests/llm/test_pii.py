@@ -126,6 +126,16 @@ def test_valid_values_beside_what_looks_like_a_part(spark):
     assert [k for _, k in got] == [["iban"], ["card"], ["iban"], ["iban", "card"], ["card"], ["card", "card"], ["iban", "iban"], ["card"], ["card", "date", "card", "ssn"], ["card", "email"], ["card"], []]
 
 
+def test_telephone_numbers_stay_linked_in_any_layout(spark):
+    us, de, ie = ["+1 555 123 4567", "+15551234567", "+1 (555) 123-4567", "+1-555-123-4567", "(555) 123-4567", "555-123-4567"], ["+49 30 1234 5678", "+493012345678", "+4930 12345678"], ["+353 1234 5678 90", "+353123456 7890"]
+    out = run(spark, us + de + ie)
+    assert all(len(a) == len(b) and re.sub(r"\d", "0", a) == re.sub(r"\d", "0", b) for a, b in zip(us + de + ie, out))
+    bare = [re.sub(r"\D", "", x) for x in out]
+    want = [digits("5551234567", "phone"), "49" + digits("3012345678", "phone"), "353" + digits("1234567890", "phone")]
+    assert bare[:4] == ["1" + want[0]] * 4 and bare[4:6] == [want[0]] * 2
+    assert bare[6:9] == [want[1]] * 3 and bare[9:] == [want[2]] * 2
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     out = P.pseudonymize(odd_docs, found_col="kinds")
     assert out.columns == [*odd_docs.columns, "kinds"]
