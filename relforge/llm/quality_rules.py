@@ -7,9 +7,16 @@ texts that pass the base rules, KLL quantile sketches of four measures are built
 by a partial aggregate (a hot source costs each task one sketch), merged into sketches per language and
 over all, and turned into fences
 
-    low / high = median -/+ SPREAD * (median - 10 % quantile) + the measure's least slack,
+    word length: low / high = median -/+ (SPREAD * (median - 10 % quantile) + the least slack),
 
-the half of the spread that junk, which lies above the median in these measures, does not widen. A group
+the half of the spread that junk, which lies above the median in these measures, does not widen. Symbols,
+repeated lines and repeated words are 0 in most texts, so that their fences follow the upper tail:
+
+    high = median + REACH * (trusted quantile - median) + the least slack.
+
+The 75 % quantile is always trusted (junk is less than a quarter of a group); each of ``TAIL`` above it only while
+it is no further out than SPREAD times the trusted one's distance from the median, plus the slack, so that junk,
+which stands apart from the other texts, does not widen the fence but a heavy tail of usual texts does. A group
 of fewer than ``LEAST_ROWS`` texts takes the fences of its language, a language of fewer those of all.
 The fences are joined back to the rows; a hot group is split by Spark's skew join, since the fence side
 has one row for each group. Measures and fences are written tables, so a rerun task sees the same ones.
@@ -32,7 +39,9 @@ SPREAD = 6.0
 LEAST_ROWS = 200
 SKETCH_K = 400
 #: measure -> least slack of its fence below and above the median (None: no fence on that side)
-SLACK = {"word_length": (1.0, 0.8), "symbol_share": (None, 0.1), "dup_line_share": (None, 0.4), "repeat_share": (None, 0.35)}
+SLACK = {"word_length": (1.0, 0.8), "symbol_share": (None, 0.1), "dup_line_share": (None, 0.2), "repeat_share": (None, 0.2)}
+REACH = 2.0
+TAIL = (0.9, 0.95, 0.98)
 _BLANKS = " \t\n\x0b\x0c\r"
 _PACKED = 1 << 17
 
@@ -105,6 +114,13 @@ def _measures(df: DataFrame) -> DataFrame:
         "dup_line_share": F.col("n_dup_lines") / lines, "repeat_share": F.col("n_repeat_words") / words})
 
 
+def _trusted(sketch: Column, slack: float) -> Column:
+    """The highest of the upper quantiles up to which a sketch's values show no gap."""
+    at = lambda q: F.kll_sketch_get_quantile_double(sketch, F.lit(q))
+    further = lambda t, x: F.when(x <= at(0.5) + SPREAD * (t - at(0.5)) + slack, x).otherwise(t)
+    return F.aggregate(F.array(*map(at, TAIL)), at(0.75), further)
+
+
 def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
     """lang, source, rows, level, and <measure>_low / <measure>_high for each language and source."""
     passed = _measures(measured.where(~F.col("base_failed")))
@@ -124,7 +140,7 @@ def fences(measured: DataFrame, scratch: Scratch) -> DataFrame:
         median, low = (F.kll_sketch_get_quantile_double(chosen(m), F.lit(q)) for q in (0.5, 0.1))
         spread = SPREAD * (median - low)
         limits.append((median - spread - below if below is not None else F.lit(None).cast("double")).alias(m + "_low"))
-        limits.append((median + spread + above if above is not None else F.lit(None).cast("double")).alias(m + "_high"))
+        limits.append((median + (spread if below is not None else REACH * (_trusted(chosen(m), above) - median)) + above).alias(m + "_high"))
     level = F.when(own, "source").when(lang, "lang").otherwise("all").alias("level")
     return joined.select(F.col("s_lang").alias("f_lang"), F.col("s_source").alias("f_source"), F.col("s_rows").alias("rows"), level, *limits)
 

@@ -47,6 +47,25 @@ def test_fences_follow_language_and_source(spark):
     assert levels["en", "plain"] == "source" and levels["de", "s1"] == "lang" and levels[None, None] == "all"
 
 
+def test_upper_fences_follow_the_tail(spark):
+    """Symbols, repeated lines and repeated words are usual in one source; some junk in the other widens nothing."""
+    def text(i, symbols=0, lines=0, again=0):
+        words = [f"{(i * 37 + k * 11) % 9973:05d}" for k in range(100)]
+        own = [" ".join(words[k : k + 5]) for k in range(0, 100, 5)]
+        return "\n".join([*own, *["|" * symbols] * bool(symbols), *["same"] * lines, " ".join(words[:again])])
+    rows = [(i, text(i), "en", "plain") for i in range(300)]
+    rows += [(1000 + i, text(i, i % 60, i % 15, i % 30), "en", "code") for i in range(300)]
+    rows += [(2000 + i, text(i, 290), "en", "plain") for i in range(24)]
+    rows += [(3000 + i, text(7, *x), "en", s) for i, (s, x) in enumerate((s, x) for s in ("plain", "code") for x in ((40, 0, 0), (0, 13, 0), (0, 0, 33)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    limit = {r.f_source: r for r in R.fences(R.measure(df), Scratch(spark, "tails")).collect()}
+    for m in ("symbol_share", "dup_line_share", "repeat_share"):
+        assert limit["plain"][m + "_high"] < 0.25 < limit["code"][m + "_high"], m
+    out = {r.doc_id: r for r in R.filter_rules(df).collect()}
+    assert {i for i, r in out.items() if not r.kept} == {*range(2000, 2024), 3000, 3001, 3002}
+    assert [out[3000 + i].broken_rules for i in range(3)] == [["symbol_share"], ["dup_line_share"], ["repeat_share"]]
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = R.filter_rules(odd_docs).collect()
     assert len(rows) == 9
