@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import byte_bpe
 from .common import read_table
 from .decontaminate import contaminated
 from .html_extract import extract_pages
@@ -13,14 +14,17 @@ from .html_extract import fit as fit_html
 from .language import fit as fit_language
 from .language import identify
 from .near_dup import near_duplicates
+from .oracles import vector_codes_sql
 from .pii import pseudonymize
 from .quality import fit, rate
 from .quality_rules import filter_rules
 from .sentencepieces import encode
 from .substring_dedup import remove_repeats
 from .token_counts import edited_counts
+from .vector_codes import code_table
+from .whitening import whitened_table
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_vector_codes": vector_codes_sql()}
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +71,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_table(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_table(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of each text, and of the bytes that they decode to."""
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(read_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_pii": op2_pii,
@@ -78,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": op8_rules,
     "op9_language": op9_language,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_byte_bpe": op13_byte_bpe,
 }
