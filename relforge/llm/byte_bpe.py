@@ -2,8 +2,8 @@
 
 A text is cut into pre-tokens by the tokenizer's pattern; each is merged by itself. The bytes of a pre-token
 are a linked list of symbols. ``RankQueue`` has a bucket for each merge rank with the list positions
-whose pair has that rank, and bitmaps over the buckets in levels of 256: a bit says that a bucket, or a word of the level below,
-is not empty, so that find-first-set from the top gives the lowest rank in as many steps as there are levels. A bucket gives its
+whose pair has that rank, and bitmaps over the buckets in two levels: a bit says that a bucket, or a word of buckets, is not
+empty, so that find-first-set on the upper word and then on the lower gives the lowest rank. A bucket gives its
 leftmost position first. A merge changes at most two neighbouring pairs, which are queued anew; what was queued for a pair that
 has changed since is stale, found by comparing ranks, and skipped. So n bytes take O(n log n) steps at most, however long the
 pre-token is.
@@ -12,8 +12,8 @@ Ids are those of the tiktoken library for the same rank file and pattern. Its ta
 than those of the ``regex`` module, which cuts here: the characters on which they differ are found once for each worker,
 and cut as the library cuts them. A file with a rank for each single byte is expected; ids are the ranks.
 
-Both files are read by each Python worker from a path that is a parameter. The ids of short pre-tokens are remembered per
-worker, which only saves time.
+The rank file is read by each Python worker from a path that is a parameter. The ids of short pre-tokens are remembered per
+worker, over its tasks and up to a bound, which only saves time.
 
 Defined results: null and empty texts have no ids; no ids decode to no bytes; null ids decode to null, an unknown id is an error; rows
 repeat as given, extra columns are ignored.
@@ -36,60 +36,58 @@ from .common import col, slices
 RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NONE = -1
-#: Buckets (or words of the level below) for each word of a bitmap, as a power of two: two levels cover 65,536 ranks.
-_BITS = 8
-_LOW = (1 << _BITS) - 1
 _REMEMBER = 64
-_MEMO_LIMIT = 500_000
+_MEMO_LIMIT = 300_000
 #: A character that both tables count as neither letter, number nor blank.
 _OTHER = "§"
 
 
 class RankQueue:
-    """Positions by rank, the lowest rank first and within a rank the leftmost."""
+    """Positions by rank, the lowest rank first and within a rank the leftmost.
+
+    ``words`` have a bit for each bucket, ``top`` a bit for each word; both are about as long as the square root of the number of ranks.
+    """
 
     def __init__(self, ranks: int):
-        self.levels = [[0] * ((max(1, ranks) - 1 >> _BITS) + 1)]
-        while len(self.levels[-1]) > 1:
-            self.levels.append([0] * ((len(self.levels[-1]) - 1 >> _BITS) + 1))
-        self.down = self.levels[::-1]
-        self.bit = [1 << b for b in range(1 << _BITS)]
-        self.buckets: dict[int, list[int]] = {}
+        self.shift = max(1, (max(ranks, 2) - 1).bit_length() + 1 >> 1)
+        self.words = [0] * ((max(ranks, 1) - 1 >> self.shift) + 1)
+        self.top = 0
+        self.bits = [1 << b for b in range(max(1 << self.shift, len(self.words)))]
+        self.buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heapq.heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for words in self.levels:  # up to the first word that was not empty
-            at = rank >> _BITS
-            before = words[at]
-            words[at] = before | self.bit[rank & _LOW]
-            if before:
-                break
-            rank = at
+        buckets = self.buckets
+        if rank in buckets:
+            held = buckets[rank]
+            if type(held) is int:
+                buckets[rank] = [held, position] if held <= position else [position, held]
+            else:
+                heapq.heappush(held, position)
+        else:
+            buckets[rank] = position
+            word = rank >> self.shift
+            self.words[word] |= self.bits[rank - (word << self.shift)]
+            self.top |= self.bits[word]
 
     def pop(self) -> tuple[int, int] | None:
-        """The next (rank, position)."""
-        at = 0
-        if not self.buckets:
+        """The next (rank, position); None if there is none."""
+        top = self.top
+        if not top:
             return None
-        for words in self.down:
-            word = words[at]
-            at = (at << _BITS) + (word & -word).bit_length() - 1
-        bucket = self.buckets[at]
-        if len(bucket) > 1:
-            return at, heapq.heappop(bucket)
-        del self.buckets[at]
-        rank = at
-        for words in self.levels:
-            place = rank >> _BITS
-            words[place] ^= self.bit[rank & _LOW]
-            if words[place]:
-                break
-            rank = place
-        return at, bucket[0]
+        word = (top & -top).bit_length() - 1
+        held = self.words[word]
+        bit = held & -held
+        rank = (word << self.shift) + bit.bit_length() - 1
+        position = self.buckets[rank]
+        if type(position) is not int:
+            if len(position) > 1:
+                return rank, heapq.heappop(position)
+            position = position[0]
+        del self.buckets[rank]
+        self.words[word] = held ^ bit
+        if held == bit:
+            self.top = top ^ self.bits[word]
+        return rank, position
 
 
 class ByteBpe:
@@ -166,16 +164,20 @@ class ByteBpe:
 
 
 class _Memo(dict):
-    """pre-token -> ids; long ones are not kept, and all are forgotten when there are too many."""
+    """pre-token -> ids, for short ones, in two generations: what is asked for again outlives the change to the next one."""
 
     def __init__(self, model: ByteBpe):
         super().__init__()
         self.model = model
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.model.merge(piece.encode()), np.int32).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = np.array(self.model.merge(piece.encode()), np.int32).tobytes()
         if len(piece) <= _REMEMBER:
-            if len(self) > _MEMO_LIMIT:
+            if len(self) >= _MEMO_LIMIT:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -223,8 +225,6 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]), pa.int32())
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(parts), np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
-        if model:
-            model.memo.clear()  # an idle worker keeps the ranks only
 
     return given.mapInArrow(encoded, "doc_id long, ids array<int>")
 
