@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue (operator 13).
 
 A text is cut into pre-tokens by the tokenizer's pattern; each is merged by itself. The bytes of a pre-token
-are a linked list of symbols. ``RankQueue`` has a bucket for each merge rank with the list positions
+are a linked list of symbols. The queue has a bucket for each merge rank with the list positions
 whose pair has that rank, and bitmaps over the buckets in two levels: a bit says that a bucket, or a word of buckets, is not
 empty, so that find-first-set on the upper word and then on the lower gives the lowest rank. A bucket gives its
 leftmost position first. A merge changes at most two neighbouring pairs, which are queued anew; what was queued for a pair that
@@ -24,10 +24,11 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,57 +38,86 @@ RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NONE = -1
 _REMEMBER = 64
-_MEMO_LIMIT = 300_000
+_MEMO_LIMIT = 450_000
 #: A character that both tables count as neither letter, number nor blank.
 _OTHER = "§"
 
 
-class RankQueue:
-    """Positions by rank, the lowest rank first and within a rank the leftmost.
+def merger(rank: dict[bytes, int]) -> Callable[[bytes], list[int]]:
+    """A function from the bytes of a pre-token to its ids, by a queue of positions over the ranks.
 
-    ``words`` have a bit for each bucket, ``top`` a bit for each word; both are about as long as the square root of the number of ranks.
+    ``words`` have a bit for each bucket, ``top`` a bit for each word; both are about as long as the square root of the number of
+    ranks. The queue is empty between calls. Queueing and taking stand in the loop itself, as they are all of its work.
     """
-
-    def __init__(self, ranks: int):
-        self.shift = max(1, (max(ranks, 2) - 1).bit_length() + 1 >> 1)
-        self.words = [0] * ((max(ranks, 1) - 1 >> self.shift) + 1)
-        self.top = 0
-        self.bits = [1 << b for b in range(max(1 << self.shift, len(self.words)))]
-        self.buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
-
-    def push(self, rank: int, position: int) -> None:
-        buckets = self.buckets
-        if rank in buckets:
-            held = buckets[rank]
-            if type(held) is int:
-                buckets[rank] = [held, position] if held <= position else [position, held]
+    ranks = max(rank.values()) + 1
+    shift = max(1, (ranks - 1).bit_length() + 1 >> 1)
+    words, low = [0] * ((ranks - 1 >> shift) + 1), (1 << shift) - 1
+    bits = [1 << b for b in range(max(low + 1, len(words)))]
+    buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
+    known, longest, add_to, take_from = rank.get, max(map(len, rank)), heapq.heappush, heapq.heappop
+
+    def merge(raw: bytes) -> list[int]:
+        n = len(raw)
+        if n <= longest and (whole := known(raw)) is not None:
+            return [whole]
+        if not n:
+            return []
+        end = list(range(1, n + 1))  # of the symbol at a position, which is where the next one starts
+        before = list(range(-1, n))
+        pair = [known(raw[i : i + 2], _NONE) for i in range(n)]  # rank of the symbol with the next one
+        pair[-1] = _NONE
+        top, changed = 0, range(n)
+        while True:
+            for i in changed:  # into the bucket of its rank
+                if (r := pair[i]) == _NONE:
+                    continue
+                if r not in buckets:
+                    buckets[r] = i
+                    w = r >> shift
+                    words[w] |= bits[r & low]
+                    top |= bits[w]
+                elif type(held := buckets[r]) is int:
+                    buckets[r] = [held, i] if held <= i else [i, held]
+                else:
+                    add_to(held, i)
+            while top:  # the leftmost position of the lowest rank, which may be stale
+                w = (top & -top).bit_length() - 1
+                word = words[w]
+                bit = word & -word
+                r = (w << shift) + bit.bit_length() - 1
+                i = buckets[r]
+                if type(i) is not int:
+                    several, i = i, take_from(i)
+                    if several:
+                        if pair[i] == r:
+                            break
+                        continue
+                del buckets[r]
+                words[w] = word ^ bit
+                if word == bit:
+                    top ^= bits[w]
+                if pair[i] == r:
+                    break
+            else:
+                break
+            j = end[i]
+            k = end[i] = end[j]
+            before[k] = i
+            pair[j] = _NONE
+            # no token is longer than the longest, so that these slices stay short
+            pair[i] = known(raw[i : end[k]], _NONE) if k < n and end[k] - i <= longest else _NONE
+            if (h := before[i]) >= 0:
+                pair[h] = known(raw[h:k], _NONE) if k - h <= longest else _NONE
+                changed = (i, h)
             else:
-                heapq.heappush(held, position)
-        else:
-            buckets[rank] = position
-            word = rank >> self.shift
-            self.words[word] |= self.bits[rank - (word << self.shift)]
-            self.top |= self.bits[word]
-
-    def pop(self) -> tuple[int, int] | None:
-        """The next (rank, position); None if there is none."""
-        top = self.top
-        if not top:
-            return None
-        word = (top & -top).bit_length() - 1
-        held = self.words[word]
-        bit = held & -held
-        rank = (word << self.shift) + bit.bit_length() - 1
-        position = self.buckets[rank]
-        if type(position) is not int:
-            if len(position) > 1:
-                return rank, heapq.heappop(position)
-            position = position[0]
-        del self.buckets[rank]
-        self.words[word] = held ^ bit
-        if held == bit:
-            self.top = top ^ self.bits[word]
-        return rank, position
+                changed = (i,)
+        out, i = [], 0
+        while i < n:
+            out.append(rank[raw[i : end[i]]])
+            i = end[i]
+        return out
+
+    return merge
 
 
 class ByteBpe:
@@ -101,8 +131,8 @@ class ByteBpe:
         if any(bytes([b]) not in self.rank for b in range(256)):
             raise ValueError(f"{path}: not every byte has a rank")
         self.surface = {i: token for token, i in self.rank.items()}
-        self.longest = max(map(len, self.rank))
-        self.queue = RankQueue(max(self.surface) + 1)
+        self.merge = merger(self.rank)
+        self.table = pa.array([self.surface.get(i) for i in range(max(self.surface) + 1)], pa.large_binary())  # by id
         compiled = regex.compile(pattern)
         self.findall, self.finditer = compiled.findall, compiled.finditer
         self.odd = frozenset(_cut_otherwise(pattern))
@@ -115,43 +145,6 @@ class ByteBpe:
             return [text[m.start() : m.end()] for m in self.finditer(text.translate(self.stand_in))]
         return self.findall(text)
 
-    def merge(self, raw: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        rank, longest, n = self.rank, self.longest, len(raw)
-        if (whole := rank.get(raw) if n <= longest else None) is not None:
-            return [whole]
-        known, push, pop = rank.get, self.queue.push, self.queue.pop
-        end = list(range(1, n + 1))  # of the symbol at a position, which is where the next one starts
-        before = list(range(-1, n - 1))
-        pair = [_NONE] * n  # rank of the symbol with the next one
-        for i in range(n - 1):
-            if (r := known(raw[i : i + 2])) is not None:
-                pair[i] = r
-                push(r, i)
-        while (found := pop()) is not None:
-            r, i = found
-            if pair[i] != r:
-                continue  # stale
-            j = end[i]
-            k = end[i] = end[j]
-            pair[i] = pair[j] = _NONE
-            if k < n:
-                before[k] = i
-                # no token is longer than the longest, so that these slices stay short
-                if end[k] - i <= longest and (r := known(raw[i : end[k]])) is not None:
-                    pair[i] = r
-                    push(r, i)
-            if (h := before[i]) >= 0:
-                pair[h] = _NONE
-                if k - h <= longest and (r := known(raw[h:k])) is not None:
-                    pair[h] = r
-                    push(r, h)
-        out, i = [], 0
-        while i < n:
-            out.append(rank[raw[i : end[i]]])
-            i = end[i]
-        return out
-
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids of a text as native 32-bit integers."""
         return b"".join(map(self.memo.__getitem__, self.pieces(text))) if text else b""
@@ -162,6 +155,17 @@ class ByteBpe:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.surface.__getitem__, ids))
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids, for all lists at once: side by side, tokens of one list are its bytes already."""
+        if lists.null_count:
+            lists = pc.fill_null(lists, pa.scalar([], lists.type))
+        tokens = pc.take(self.table, lists.flatten())
+        if tokens.null_count:
+            raise ValueError("an id without a token")
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        at = np.frombuffer(tokens.buffers()[1], np.int64)[tokens.offset :][starts]
+        return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(at)), tokens.buffers()[2]])
+
 
 class _Memo(dict):
     """pre-token -> ids, for short ones, in two generations: what is asked for again outlives the change to the next one."""
@@ -237,8 +241,8 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ran
         model = None
         for batch in slices(batches, 500):
             model = model or loaded(ranks, pattern)
-            raw = [None if ids is None else model.decode(ids) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, pa.binary())], ["doc_id", "ids", "raw"])
+            raw = pc.if_else(batch.column(1).is_null(), None, model.decode_lists(batch.column(1))).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, raw], ["doc_id", "ids", "raw"])
 
     return given.mapInArrow(decoded, "doc_id long, ids array<int>, raw binary")
 
