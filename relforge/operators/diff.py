@@ -48,6 +48,10 @@ def merged_content(local_snap: DataFrame, external_snap: DataFrame, local_module
     return merged.join(used_clusters, merged.refsetId == used_clusters.Refset_ID)
 
 
+#: What a diff compares by.
+DIFF_KEYS = ("referencedComponentId", "Cluster_ID")
+
+
 def _diff_tagged(t: DataFrame) -> DataFrame:
     """Core of D3 over a tagged union (columns of DIFF key/attrs + ``_o``/``_n`` ints).
 
@@ -81,6 +85,31 @@ def release_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return _diff_tagged(t)
 
 
+def store_content(content: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Store a release's content for ``release_diff_stored``: bucketed by (component, code list), an external table at ``path``."""
+    (content.select("Cluster_ID", "Cluster_Description", "Refset_ID", "referencedComponentId").write.bucketBy(buckets, *DIFF_KEYS).sortBy(*DIFF_KEYS)
+            .option("path", path).saveAsTable(table))
+    return content.sparkSession.table(table)
+
+
+def release_diff_stored(old: DataFrame, new: DataFrame) -> DataFrame:
+    """D3 over two stored releases with the same buckets: a full outer join in which no row is exchanged.
+
+    Each side is reduced to one row per (component, code list) within its buckets, with the few descriptions that the list has,
+    and the join meets bucket by bucket. So the next release is compared with a stored one for a scan of each.
+    """
+    def by_key(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*DIFF_KEYS).agg(F.collect_set(F.struct("Cluster_Description", "Refset_ID")).alias(name))
+
+    o, n = by_key(old, "_old").alias("o"), by_key(new, "_new").alias("n")
+    j = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in DIFF_KEYS], "full_outer")
+    outcome = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").otherwise("no change")
+    key = {k: F.when(F.col("_old").isNull(), F.col(f"n.{k}")).otherwise(F.col(f"o.{k}")) for k in DIFF_KEYS}
+    return j.select(key["Cluster_ID"].alias("Cluster_ID"), key["referencedComponentId"].alias("SNOMED_concept_ID"), outcome.alias("Outcome"),
+                    F.inline(F.coalesce("_old", "_new"))) \
+            .select("Cluster_ID", "Cluster_Description", "Refset_ID", "SNOMED_concept_ID", "Outcome")
+
+
 def release_diff_from_history(history: DataFrame, old_date: str, new_date: str,
                               used_clusters: DataFrame) -> DataFrame:
     """D1-D3 fused: both releases' merged content from one pass over the history."""

@@ -7,6 +7,8 @@ projection or one aggregate); their outputs are small tables.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,17 +27,21 @@ LABEL_ISSUE = "ISSUE - service no longer active"
 
 
 def rule_violations(ref: DataFrame, marker: str = MOJIBAKE_MARKER) -> DataFrame:
-    """rule label + offending row, for every rule a row breaks (UNION ALL form, one pass)."""
+    """rule label + offending row, for every rule a row breaks.
+
+    Rows that break none go first. A row's broken rules are a number, whose labels are looked up in a constant table, so
+    that all of it stays compiled and a row is copied only if it breaks several."""
     like = f"%{marker}%"
     rules = [
         (RULE_NULL_TERM, F.col("ConceptId_Description").isNull()),
         (RULE_SPECIAL, F.col("ConceptId_Description").like(like) | F.col("Refset_Description").like(like)),
         (RULE_NULL_CATEGORY, (F.col("Cluster_Category") == "NULL") | F.col("Cluster_Category").isNull()),
     ]
-    labels = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(lbl)) for lbl, c in rules])
-    return (ref.withColumn("_l", F.filter(labels, lambda x: x.isNotNull()))
-               .filter(F.size("_l") > 0)
-               .select(F.explode("_l").alias("Table_purpose"), *ref.columns))
+    broken = [F.coalesce(c, F.lit(False)) for _, c in rules]
+    number = reduce(add, (F.when(c, 1 << i).otherwise(0) for i, c in enumerate(broken)))
+    labels = F.array(*(F.array(*(F.lit(label) for i, (label, _) in enumerate(rules) if n >> i & 1)).cast("array<string>") for n in range(1 << len(rules))))
+    return (ref.filter(reduce(or_, broken)).withColumn("_broken", number)
+               .select(F.explode(labels[F.col("_broken")]).alias("Table_purpose"), *ref.columns))
 
 
 def non_ascii_values(df: DataFrame, cols_to_location: dict) -> DataFrame:

@@ -14,18 +14,15 @@ def fx(spark, sf_dir) -> Fixtures:
 
 
 def snap_sql(as_of: str | None) -> str:
-    """B4/B5 in the reference's own form: max per id, self-join, distinct."""
+    """B4/B5 from the definition: the rows whose time is the latest of their id."""
     where = f"WHERE effectiveTime <= '{as_of}'" if as_of else ""
-    return (f"SELECT DISTINCT b.* FROM (SELECT id, max(effectiveTime) AS mx FROM refset_full {where} GROUP BY id) a "
-            f"JOIN refset_full b ON a.id = b.id AND a.mx = b.effectiveTime")
+    return f"SELECT DISTINCT * FROM refset_full {where} QUALIFY effectiveTime = max(effectiveTime) OVER (PARTITION BY id)"
 
 
 def pub_sql(keys=("id", "refsetId", "referencedComponentId")) -> str:
-    """B6 in the reference's form (published rows, max per key, join back on id+time, active)."""
-    k = ", ".join(keys)
-    return (f"SELECT b.* FROM (SELECT {k}, max(effectiveTime) AS mx FROM refset_full "
-            f"WHERE effectiveTime <> '{SENTINEL}' GROUP BY {k}) a "
-            f"JOIN refset_full b ON a.mx = b.effectiveTime AND a.id = b.id WHERE b.active = '1'")
+    """B6 from the definition: of the published rows, the latest of each key, if active."""
+    return (f"SELECT * FROM (SELECT * FROM refset_full WHERE effectiveTime <> '{SENTINEL}' "
+            f"QUALIFY rank() OVER (PARTITION BY {', '.join(keys)} ORDER BY effectiveTime DESC) = 1) p WHERE active = '1'")
 
 
 def sct_refset(f):
@@ -35,9 +32,8 @@ def sct_refset(f):
     return snapshot(f.refset_full.filter(F.col("effectiveTime") != SENTINEL))
 
 
-SCT_REFSET_SQL = (f"SELECT DISTINCT b.* FROM (SELECT id, max(effectiveTime) AS mx FROM refset_full "
-                  f"WHERE effectiveTime <> '{SENTINEL}' GROUP BY id) a "
-                  f"JOIN refset_full b ON a.id = b.id AND a.mx = b.effectiveTime")
+SCT_REFSET_SQL = (f"SELECT DISTINCT * FROM refset_full WHERE effectiveTime <> '{SENTINEL}' "
+                  "QUALIFY effectiveTime = max(effectiveTime) OVER (PARTITION BY id)")
 
 used_sql = ("SELECT DISTINCT Cluster_ID, Cluster_Description, Refset_ID FROM clusters "
             "WHERE Cluster_Date_Inactive IS NULL AND Cluster_ID IN (SELECT Cluster_ID FROM cluster_ruleset)")

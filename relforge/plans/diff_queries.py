@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from relforge.operators import diff as D
@@ -10,6 +12,7 @@ from relforge.operators import lists as L
 from relforge.plans.common import (AS_OF, CURRENT_RELEASE, LOCAL_MODULE, PREVIOUS_RELEASE, SCT_REFSET_SQL, fx,
                                    sct_refset, snap_sql, used_sql)
 from relforge.plans.registry import query
+from relforge.sources.io import scratch_root
 
 # Fixed fixture parameters (FIXTURES.md "Parameter values for fixture runs").
 BIG_LISTS = ("C1_COD", "C2_COD")
@@ -20,25 +23,16 @@ SERVICES = ("ASIA", "EUROPE")
 
 
 def content_sql(date: str) -> str:
-    """D2 in the reference's form: distinct local snapshot + external rows, used lists, active."""
-    s = snap_sql(date)
-    return (f"SELECT r.*, c.Cluster_ID, c.Cluster_Description, c.Refset_ID FROM ("
-            f"SELECT DISTINCT * FROM ({s}) l WHERE moduleId = '{LOCAL_MODULE}' "
-            f"UNION ALL SELECT * FROM ({s}) e WHERE moduleId <> '{LOCAL_MODULE}') r "
-            f"JOIN ({used_sql}) c ON r.refsetId = c.Refset_ID WHERE r.active = '1'")
+    """D2 from the definition: the active members of a release in the code lists in use."""
+    return f"SELECT * FROM ({snap_sql(date)}) m JOIN ({used_sql}) c ON m.refsetId = c.Refset_ID WHERE m.active = '1'"
 
 
+# D3 from the definition: which releases hold a code in a list; the list is described as in the older of them.
 DIFF_SQL = f"""
-SELECT DISTINCT coalesce(o.Cluster_ID, n.Cluster_ID) AS Cluster_ID,
-  coalesce(o.Cluster_Description, n.Cluster_Description) AS Cluster_Description,
-  coalesce(o.Refset_ID, n.Refset_ID) AS Refset_ID,
-  coalesce(o.referencedComponentId, n.referencedComponentId) AS SNOMED_concept_ID,
-  CASE WHEN o.referencedComponentId IS NULL AND n.referencedComponentId IS NOT NULL THEN 'added'
-       WHEN o.referencedComponentId IS NOT NULL AND n.referencedComponentId IS NOT NULL THEN 'no change'
-       WHEN o.referencedComponentId IS NOT NULL AND n.referencedComponentId IS NULL THEN 'removed' END AS Outcome
-FROM ({content_sql(PREVIOUS_RELEASE)}) o
-FULL OUTER JOIN ({content_sql(CURRENT_RELEASE)}) n
-  ON o.referencedComponentId = n.referencedComponentId AND o.Cluster_ID = n.Cluster_ID"""
+WITH held AS (SELECT 1 AS release, * FROM ({content_sql(PREVIOUS_RELEASE)}) a UNION ALL SELECT 2, * FROM ({content_sql(CURRENT_RELEASE)}) b)
+SELECT DISTINCT Cluster_ID, Cluster_Description, Refset_ID, referencedComponentId AS SNOMED_concept_ID, ['removed', 'added', 'no change'][sides] AS Outcome
+FROM (SELECT *, min(release) OVER code AS since, CAST(bit_or(release) OVER code AS BIGINT) AS sides FROM held
+      WINDOW code AS (PARTITION BY Cluster_ID, referencedComponentId)) h WHERE release = since"""
 
 DECORATED_SQL = f"""
 SELECT l.Cluster_ID, l.Cluster_Description AS Cluster_description, l.SNOMED_concept_ID, d.term AS Code_description,
@@ -49,19 +43,23 @@ FROM ({DIFF_SQL}) l
 LEFT JOIN description d ON l.SNOMED_concept_ID = d.conceptId AND d.DescriptionType = 'F' AND d.active = '1'
 LEFT JOIN concept c ON l.SNOMED_concept_ID = c.id"""
 
-STAGES_SQL = f"""
-SELECT CASE WHEN Ruleset_Date_Effective <= DATE '{AS_OF}' AND (Ruleset_Date_Inactive >= DATE '{AS_OF}' OR Ruleset_Date_Inactive IS NULL) THEN 'Live'
-            WHEN Ruleset_Date_Effective >= DATE '{AS_OF}' AND Ruleset_Date_Inactive IS NULL THEN 'Upcoming'
-            ELSE 'Ruleset needs checking' END AS Stage,
-       Service_ID, Ruleset_ID, max(Ruleset_Version) AS Ruleset_Version
-FROM rulesets WHERE Ruleset_Date_Inactive >= DATE '{AS_OF}' OR Ruleset_Date_Inactive IS NULL
-GROUP BY Service_ID, Ruleset_ID, Ruleset_Date_Effective, Ruleset_Date_Inactive"""
 
+
+def stages_sql(stages: list[str]) -> str:
+    """D9 from the definition: of the rulesets that have not ended, those under way, those to come, and those to come
+    whose end is set already; of several versions over the same days the highest."""
+    return f"""
+SELECT DISTINCT {stages}[1 + CAST(starts > 0 AS INT) + CAST(starts > 0 AND ends < 1000000 AS INT)] AS Stage, Service_ID, Ruleset_ID, Ruleset_Version
+FROM (SELECT *, Ruleset_Date_Effective - DATE '{AS_OF}' AS starts, coalesce(Ruleset_Date_Inactive - DATE '{AS_OF}', 1000000) AS ends FROM rulesets) days
+WHERE ends >= 0 QUALIFY rank() OVER (PARTITION BY Service_ID, Ruleset_ID, starts, ends ORDER BY Ruleset_Version DESC) = 1"""
+
+
+STAGES_SQL = stages_sql(["Live", "Upcoming", "Ruleset needs checking"])
+
+# D10 from the definition: each staged ruleset beside its code lists, alone if it has none.
 STAGED_SQL = f"""
-SELECT s.Stage, s.Service_ID, s.Ruleset_ID, s.Ruleset_Version, cr.Cluster_ID, cr.Cluster_Ruleset_Date_Inactive,
-       cr.Cluster_ID IS NOT NULL AS matched
-FROM cluster_ruleset cr RIGHT JOIN ({STAGES_SQL}) s
-  ON cr.Service_ID = s.Service_ID AND cr.Ruleset_ID = s.Ruleset_ID AND cr.Ruleset_Version = s.Ruleset_Version"""
+SELECT Stage, Service_ID, Ruleset_ID, Ruleset_Version, Cluster_ID, Cluster_Ruleset_Date_Inactive, Cluster_ID IS NOT NULL AS matched
+FROM ({STAGES_SQL}) s LEFT JOIN cluster_ruleset USING (Service_ID, Ruleset_ID, Ruleset_Version)"""
 
 COUNTS_SQL = f"""
 SELECT Cluster_ID, CAST(count(CASE WHEN Outcome = 'added' THEN 1 END) AS BIGINT) AS additions,
@@ -123,6 +121,20 @@ def q_release_diff_two_inputs(spark, d):
     return D.release_diff(old, new)
 
 
+@query("release_diff_stored", DIFF_SQL)
+def q_release_diff_stored(spark, d):
+    # D3 over two releases stored in the same buckets
+    f, mark = fx(spark, d), uuid.uuid4().hex[:12]
+    used, stored = _used(f), []
+    for date in (PREVIOUS_RELEASE, CURRENT_RELEASE):
+        snap = H.snapshot_as_of(f.refset_full, date)
+        content = D.merged_content(snap.filter(F.col("moduleId") == LOCAL_MODULE), snap, LOCAL_MODULE, used)
+        table = f"relforge_content_{date}_{mark}"
+        stored.append(D.store_content(content, table, scratch_root(spark, table), 8))
+        spark.sql(f"DROP TABLE {table}")  # an external table: its files and buckets stay
+    return D.release_diff_stored(*stored)
+
+
 @query("clusters_in_use", used_sql)
 def q_clusters_in_use(spark, d):
     return _used(fx(spark, d))
@@ -173,13 +185,7 @@ def q_ruleset_stage(spark, d):
     return stages_df(fx(spark, d))
 
 
-@query("ruleset_stage_basic", f"""
-SELECT CASE WHEN Ruleset_Date_Effective <= DATE '{AS_OF}' AND (Ruleset_Date_Inactive >= DATE '{AS_OF}' OR Ruleset_Date_Inactive IS NULL) THEN 'Live'
-            WHEN Ruleset_Date_Effective >= DATE '{AS_OF}' THEN 'Upcoming'
-            ELSE 'Ruleset needs checking' END AS Stage,
-       Service_ID, Ruleset_ID, max(Ruleset_Version) AS Ruleset_Version
-FROM rulesets WHERE Ruleset_Date_Inactive >= DATE '{AS_OF}' OR Ruleset_Date_Inactive IS NULL
-GROUP BY Service_ID, Ruleset_ID, Ruleset_Date_Effective, Ruleset_Date_Inactive""")
+@query("ruleset_stage_basic", stages_sql(["Live", "Upcoming", "Upcoming"]))
 def q_ruleset_stage_basic(spark, d):
     return L.ruleset_stage(fx(spark, d).rulesets, AS_OF, upcoming_needs_open_end=False)
 

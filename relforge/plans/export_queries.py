@@ -5,10 +5,13 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relforge.functions import text as T
+from relforge.functions.fingerprint import fingerprint
 from relforge.operators import diff as D
 from relforge.operators import history as H
 from relforge.operators import lists as L
@@ -18,6 +21,9 @@ from relforge.plans.diff_queries import CHANGED_RS_SQL, diff_df, stages_df
 from relforge.plans.refdata_queries import NC_COLS, NC_SQL, WORDS, nc_df
 from relforge.plans.registry import ORACLE, query
 from relforge.sources import io as IO
+from relforge.sources import release_export as RX
+from relforge.sources.dated import dated_tables, previous_release_with, retain_tables
+from relforge.sources.sliced import SlicedTable, StoredSnapshot, replace_modules
 from relforge.sources.tables import select_all, select_distinct
 
 # The eight tables of a release, from the fixtures (one text for Spark and DuckDB); id and effectiveTime lead.
@@ -51,13 +57,21 @@ def _manifest() -> list[tuple]:
     return [(n, e, p, c, *(cols + [None] * (13 - len(cols)))) for n, e, p, c, cols in rows]
 
 
-def _release_tables(spark, f):
-    out = {}
-    for name, sql in RELEASE_TABLES.items():
-        base = spark.sql(sql, **{d: f[d] for d in re.findall(r"\{(\w+)\}", sql)})
-        stamped = H.stamp_release(base, ["effectiveTime", *MORE_DATES.get(name, [])], CURRENT_RELEASE)
-        out |= {f"{name}_full": H.full(stamped), f"{name}_snapshot": H.snapshot(stamped), f"{name}_delta": H.delta(stamped, CURRENT_RELEASE)}
-    return out
+def _release_sources(f):
+    """The histories behind the eight tables; four of them are taken from one."""
+    member = ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId"]
+    same = {c: c for c in member}
+    kinds = {"refset_simple": "100023010", "refset_drug": "100000110", "refset_other": "100099910"}
+    members = [RX.Slice(name, same, F.col("refsetId").contains(kind)) for name, kind in kinds.items()]
+    language = {"id": F.concat(F.lit("L"), "id"), **{c: c for c in ("effectiveTime", "active", "refsetId", "referencedComponentId")}, "acceptability": F.lit("preferred")}
+    names = f.description.select(F.concat_ws("-", "conceptId", "DescriptionType").alias("id"), F.lit("20000101").alias("effectiveTime"),
+                                 "active", "conceptId", "DescriptionType", "term")
+    decisions = f.decision_log.select(F.col("Cluster").alias("id"), F.col("Date_Actioned").alias("effectiveTime"), F.col("Final_Decision").alias("decision"))
+
+    def one(name, rows, dates=()):
+        return RX.Source(rows, [RX.Slice(name, {c: c for c in _columns(name)})], dates=list(dates))
+    return [RX.Source(f.refset_full, [*members, RX.Slice("language", language, F.col("active") == "1")]), one("concept", f.concept),
+            one("description", names), one("module_dependency", f.module_dependency, MORE_DATES["module_dependency"]), one("decision", decisions)]
 
 
 def _export(spark, d):
@@ -67,8 +81,7 @@ def _export(spark, d):
     spark.createDataFrame(_manifest(), IO.string_schema(IO.MANIFEST_COLUMNS)).coalesce(1) \
          .write.option("header", True).csv(man_path)
     populated, empty = IO.read_manifest(spark, man_path)
-    return IO.export_release(spark, populated.unionByName(empty), _release_tables(spark, f), os.path.join(root, "out"),
-                             suffix=CURRENT_RELEASE)
+    return IO.export_history(spark, populated.unionByName(empty), _release_sources(f), CURRENT_RELEASE, os.path.join(root, "out"), CURRENT_RELEASE)
 
 
 def _datasets_sql() -> dict[str, str]:
@@ -104,8 +117,8 @@ def q_export_release_roundtrip(spark, d):
     return out
 
 
-# what is expected, with one file set too many, one too few and one wrong count
-WRONG = {"concept_full": "wrong count", "decision_delta": "extra", "not_written": "missing"}
+# what is expected, with one file set too many, one too few, one wrong count and one row that differs
+WRONG = {"concept_full": "wrong count", "decision_delta": "extra", "not_written": "missing", "language_full": "wrong rows"}
 _COUNTED = " UNION ALL ".join([f"SELECT '{k}' AS dataset, CAST(count(*) AS BIGINT) AS n FROM ({v}) t{i}" for i, (k, v) in enumerate(DATASETS_SQL.items())]
                               + [f"SELECT 'empty_' || CAST(i AS VARCHAR), CAST(0 AS BIGINT) FROM range({EMPTY_SETS}) e(i)"])
 
@@ -116,16 +129,24 @@ SELECT dataset, if(dataset = 'decision_delta', NULL, if(dataset = 'concept_full'
 UNION ALL SELECT 'not_written', CAST(7 AS BIGINT), NULL, 'missing'""")
 def q_export_check(spark, d):
     log = _export(spark, d)
-    tables = _release_tables(spark, fx(spark, d))
-    counts = None
-    for name, df in tables.items():
-        one = df.distinct().agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("expected_rows"))
-        counts = one if counts is None else counts.unionByName(one)
-    counts = counts.unionByName(log.filter(F.col("content") == "Empty").select("dataset", F.lit(0).cast("bigint").alias("expected_rows")))
-    counts = counts.filter(F.col("dataset") != "decision_delta").withColumn(
-        "expected_rows", F.col("expected_rows") + (F.col("dataset") == "concept_full").cast("bigint"))
-    counts = counts.unionByName(spark.createDataFrame([("not_written", 7)], "dataset string, expected_rows bigint"))
-    return IO.export_check(counts, IO.read_back_counts(spark, log))
+    expected = log.select("dataset", F.col("rows").alias("expected_rows"), F.col("fingerprint").alias("expected_fingerprint"))
+    expected = expected.filter(F.col("dataset") != "decision_delta").withColumns({
+        "expected_rows": F.col("expected_rows") + (F.col("dataset") == "concept_full").cast("bigint"),
+        "expected_fingerprint": F.concat(F.col("expected_fingerprint"), F.when(F.col("dataset") == "language_full", "1").otherwise(""))})
+    expected = expected.unionByName(spark.createDataFrame([("not_written", 7, "0:0")], expected.schema))
+    return IO.export_check(expected, IO.read_back(spark, log))
+
+
+@query("export_tree", f"""
+SELECT CAST({len({"/".join(p.split("/")[:k + 1]) for _, _, p, *_ in _manifest() for k in range(len(p.split("/")))})} AS BIGINT) AS folders,
+       CAST({len(_manifest())} AS BIGINT) AS file_sets, 'Pass' AS outcome, CAST(sum(n) AS BIGINT) AS rows FROM ({_COUNTED}) c""")
+def q_export_tree(spark, d):
+    # numbers of folders and file sets, and of the rows of all of them
+    log = _export(spark, d)
+    root = log.select("path").first()["path"].split("/out/")[0] + "/out"
+    tree = IO.export_tree(spark, log, root)
+    rows = IO.read_back(spark, log).agg(F.sum("written_rows").alias("rows"))
+    return tree.select("folders", "file_sets", "outcome", rows.scalar().alias("rows"))
 
 
 PART_KEYS = ["Stage", "Service_ID", "Ruleset", "Ruleset_Version"]
@@ -187,9 +208,9 @@ def q_not_encodable(spark, d):
 
 # ---------------------------------------------------------------- A2, A3, A5, A8, A9, A10, G7, G12, S1
 
-@query("select_all", "SELECT * FROM nation")
+@query("select_all", "SELECT * FROM refset_full")
 def q_select_all(spark, d):
-    return select_all(fx(spark, d).nation)
+    return select_all(fx(spark, d).refset_full)
 
 
 @query("select_distinct", "SELECT DISTINCT p_brand, p_type FROM part")
@@ -197,9 +218,10 @@ def q_select_distinct(spark, d):
     return select_distinct(fx(spark, d).part.select("p_brand", "p_type"))
 
 
-@query("read_name_map", "SELECT Ruleset, Ruleset_Full_Name FROM ruleset_names")
+@query("read_name_map", "SELECT Cluster_ID AS Cluster, min(Cluster_Description) AS Cluster_Full_Name FROM clusters GROUP BY Cluster_ID")
 def q_read_name_map(spark, d):
-    names = fx(spark, d).ruleset_names
+    # the names of all code lists, as a file of labels
+    names = fx(spark, d).clusters.groupBy(F.col("Cluster_ID").alias("Cluster")).agg(F.min("Cluster_Description").alias("Cluster_Full_Name"))
     path = IO.scratch_root(spark, "names")
     names.write.option("header", True).csv(path)
     return IO.read_name_map(spark, path, names.columns)
@@ -212,36 +234,69 @@ def q_write_report(spark, d):
     return spark.read.parquet(path)
 
 
-@query("create_table_as", "SELECT Service_ID, Ruleset_ID, Ruleset_Version FROM rulesets")
+@query("create_table_as", "SELECT conceptId, term, DescriptionType, active FROM description")
 def q_create_table_as(spark, d):
-    # replaced when it exists already; read back as files, so that the catalog entry can go at once
-    rows, path = fx(spark, d).rulesets.select("Service_ID", "Ruleset_ID", "Ruleset_Version"), IO.scratch_root(spark, "ctas")
-    name = "relforge_ctas_" + uuid.uuid4().hex[:12]
-    for df in (rows.limit(0), rows):
-        IO.create_table_as(df, name, path)
+    # made, replaced by rows of other columns, and replaced by rows made from itself; read back as files, so that the name can go at once
+    rows, name = fx(spark, d).description, "relforge_ctas_" + uuid.uuid4().hex[:12]
+    root = IO.scratch_root(spark, "ctas")
+    IO.create_table_as(rows.select("conceptId").limit(0), name, root)
+    IO.create_table_as(rows.filter(F.col("active") == "1"), name, root)
+    path = IO.create_table_as(spark.table(name).unionByName(rows.filter(F.col("active") != "1")), name, root)
     schema = spark.table(name).schema
     spark.sql(f"DROP TABLE {name}")
     return spark.read.schema(schema).parquet(path)
 
 
-@query("clone_tables", "SELECT 'service_names' AS name, CAST(count(*) AS BIGINT) AS row_count FROM service_names UNION ALL SELECT 'ruleset_names', CAST(count(*) AS BIGINT) FROM ruleset_names")
-def q_clone_tables(spark, d):
+CLONED = ["description", "concept", "refset_full"]
+
+
+def _cloned(spark, d):
     f, tag = fx(spark, d), uuid.uuid4().hex[:12]
     source, sandbox = f"relforge_src_{tag}", f"relforge_box_{tag}"
-    names = ["service_names", "ruleset_names"]
+    root = IO.scratch_root(spark, "clones")
     spark.sql(f"CREATE DATABASE {source}")
-    for n in names:
-        f[n].write.saveAsTable(f"{source}.{n}")
-    IO.clone_tables(spark, names, source, sandbox)
-    rows = [(n, spark.table(f"{sandbox}.{n}").count()) for n in names]
+    for n in CLONED:
+        f[n].write.option("path", f"{root}/from/{n}").saveAsTable(f"{source}.{n}")
+    manifest = IO.clone_tables(spark, CLONED, source, sandbox, f"{root}/to")
+    clones = {n: spark.table(f"{sandbox}.{n}") for n in CLONED}  # external tables: their files stay
     for db in (source, sandbox):
         spark.sql(f"DROP DATABASE {db} CASCADE")
-    return spark.createDataFrame(rows, "name string, row_count bigint")
+    return manifest, clones
+
+
+@query("clone_tables", " UNION ALL ".join(f"SELECT '{n}' AS name, concat_ws('|', {', '.join(c)}) AS line FROM {n}" for n, c in (
+    ("description", ["conceptId", "term", "DescriptionType", "active"]), ("concept", ["id", "effectiveTime", "active", "moduleId"]),
+    ("refset_full", ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId"]))))
+def q_clone_tables(spark, d):
+    # the rows of the clones
+    _, clones = _cloned(spark, d)
+    return reduce(DataFrame.unionByName, (df.select(F.lit(n).alias("name"), F.concat_ws("|", *df.columns).alias("line")) for n, df in clones.items()))
+
+
+@query("clone_manifest", " UNION ALL ".join(f"SELECT '{n}' AS name, CAST(count(*) AS BIGINT) AS rows, true AS same FROM {n}" for n in CLONED))
+def q_clone_manifest(spark, d):
+    # the manifest, against the fixtures' own fingerprints
+    manifest, _ = _cloned(spark, d)
+    f = fx(spark, d)
+    own = reduce(DataFrame.unionByName, (fingerprint(f[n]).select(F.lit(n).alias("name"), F.col("fingerprint").alias("own")) for n in CLONED))
+    return manifest.join(own, "name").select("name", "rows", (F.col("fingerprint") == F.col("own")).alias("same"))
+
+
+@query("table_fingerprint", " UNION ALL ".join(f"""
+SELECT '{n}' AS name, CAST(count(*) AS BIGINT) AS rows, CAST(sum(CAST(CAST('0x' || substr(md5({" || chr(31) || ".join(f"coalesce({c}, chr(0))" for c in cols)}), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS fingerprint
+FROM {n}""" for n, cols in (("description", ["conceptId", "term", "DescriptionType", "active"]), ("module_dependency", [
+    "id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId", "sourceEffectiveTime", "targetEffectiveTime"]),
+    ("refset_full", ["id", "effectiveTime", "active", "moduleId", "refsetId", "referencedComponentId"]))))
+def q_table_fingerprint(spark, d):
+    # the portable form, whose value another engine finds too
+    f = fx(spark, d)
+    return reduce(DataFrame.unionByName, (fingerprint(f[n], portable=True).select(F.lit(n).alias("name"), "rows", "fingerprint")
+                                          for n in ("description", "module_dependency", "refset_full")))
 
 
-@query("uk_date", "SELECT Service_ID, Ruleset_ID, Ruleset_Version, strftime(Ruleset_Date_Effective, '%d/%m/%Y') AS shown FROM rulesets")
+@query("uk_date", "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS shown FROM orders")
 def q_uk_date(spark, d):
-    return fx(spark, d).rulesets.select("Service_ID", "Ruleset_ID", "Ruleset_Version", T.uk_date("Ruleset_Date_Effective").alias("shown"))
+    return fx(spark, d).orders.select("o_orderkey", T.uk_date("o_orderdate").alias("shown"))
 
 
 @query("name_suffix_date", """
@@ -291,3 +346,93 @@ def q_replace_module_roundtrip(spark, d):
     schema = spark.table(table).schema
     spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
     return spark.read.schema(schema).parquet(path)
+
+
+@query("replace_modules", f"""
+SELECT * FROM ({snap_sql(CURRENT_RELEASE)}) n WHERE moduleId = '{LOCAL_MODULE}'
+UNION ALL
+SELECT * REPLACE ('M_NEW' AS moduleId) FROM ({snap_sql(CURRENT_RELEASE)}) n WHERE moduleId = 'M_EXT' AND active = '1'
+UNION ALL
+SELECT * REPLACE ('M_STAYS' AS moduleId) FROM ({snap_sql(PREVIOUS_RELEASE)}) o WHERE moduleId = 'M_EXT' AND active = '0'""")
+def q_replace_modules(spark, d):
+    # B9 for several modules in one step: one replaced, one new, one that has no rows any more, one that stays
+    f = fx(spark, d)
+    old, new = (H.snapshot_as_of(f.refset_full, date) for date in (PREVIOUS_RELEASE, CURRENT_RELEASE))
+    table = SlicedTable(spark, IO.scratch_root(spark, "modules"), "moduleId")
+    stays = old.filter("moduleId = 'M_EXT' AND active = '0'").withColumn("moduleId", F.lit("M_STAYS"))
+    table.replace(old.unionByName(stays), ["M_PCD", "M_EXT", "M_STAYS"])
+    fresh = new.filter(F.col("moduleId") == LOCAL_MODULE).unionByName(
+        new.filter("moduleId = 'M_EXT' AND active = '1'").withColumn("moduleId", F.lit("M_NEW")))
+    replace_modules(table, fresh, ["M_PCD", "M_EXT", "M_NEW"])
+    return table.read()
+
+
+@query("snapshot_incremental", snap_sql(CURRENT_RELEASE))
+def q_snapshot_incremental(spark, d):
+    # B5 as stored state, brought from the previous release to the current one, a release at a time
+    history = fx(spark, d).refset_full
+    stored = StoredSnapshot(spark, IO.scratch_root(spark, "snapshot"), buckets=16)
+    stored.create(history, PREVIOUS_RELEASE)
+    dates = H.release_dates(history).filter(F.col("release_date").between(PREVIOUS_RELEASE, CURRENT_RELEASE)).orderBy("release_date").collect()
+    for r in dates[1:]:  # bounded by the calendar
+        stored.advance(H.delta(history, r["release_date"]))
+    return stored.read()
+
+
+DATED = 4
+_DATES = f"SELECT DISTINCT effectiveTime AS d FROM refset_full WHERE effectiveTime < '{CURRENT_RELEASE}' ORDER BY d DESC LIMIT {DATED}"
+
+
+def _dated(spark, d, database):
+    """Tables of the last releases before the current one: members of each, concepts of all but the latest."""
+    f, root = fx(spark, d), IO.scratch_root(spark, "dated")
+    spark.sql(f"CREATE DATABASE {database}")
+    before = H.release_dates(f.refset_full).filter(F.col("release_date") < CURRENT_RELEASE)
+    dates = [r["release_date"] for r in H.latest_releases(before, DATED).collect()]
+    for date in dates:
+        IO.create_table_as(H.delta(f.refset_full, date), f"{database}.refset_delta_{date}", f"{root}/refset_delta_{date}")
+        if date != max(dates):
+            IO.create_table_as(f.concept.filter(F.col("effectiveTime") <= date), f"{database}.concept_{date}", f"{root}/concept_{date}")
+    IO.create_table_as(f.rulesets, f"{database}.rulesets", f"{root}/rulesets")
+
+
+@query("retain_tables", f"""
+SELECT name || d AS "table", d AS release_date, release_rank, if(release_rank <= 2, 'keep', 'drop') AS action, if(release_rank <= 2, 'kept', 'dropped') AS status, release_rank <= 2 AS there
+FROM (SELECT d, row_number() OVER (ORDER BY d DESC) AS release_rank FROM ({_DATES}) x) r, (VALUES ('refset_delta_'), ('concept_')) n(name)
+WHERE name = 'refset_delta_' OR release_rank > 1""")
+def q_retain_tables(spark, d):
+    # the drop log of a database of dated tables, and which of them are there afterwards
+    database = f"relforge_dated_{uuid.uuid4().hex[:12]}"
+    _dated(spark, d, database)
+    plan = retain_tables(spark, database, 2)
+    log = retain_tables(spark, database, 2, dry_run=False)
+    left = {r["table"] for r in dated_tables(spark, database).collect()}
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    planned = plan.select("table", F.col("status").alias("_planned"))
+    return (log.join(planned, "table").filter("_planned = if(status = 'dropped', 'would drop', status)")
+               .select("table", "release_date", "release_rank", "action", "status", F.col("table").isin(sorted(left)).alias("there")))
+
+
+@query("retained_rows", f"SELECT r.* FROM refset_full r WHERE effectiveTime IN (SELECT d FROM ({_DATES}) x ORDER BY d DESC LIMIT 2)")
+def q_retained_rows(spark, d):
+    # the members in the tables that are left
+    database = f"relforge_dated_{uuid.uuid4().hex[:12]}"
+    _dated(spark, d, database)
+    retain_tables(spark, database, 2, dry_run=False)
+    left = [r["table"] for r in dated_tables(spark, database).filter("base = 'refset_delta'").collect()]
+    rows = reduce(DataFrame.unionByName, [spark.table(f"{database}.{t}") for t in left])  # external tables: their files stay
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return rows
+
+
+@query("previous_release_with", f"""
+SELECT previous_release, 'ok' AS status, (SELECT CAST(count(*) AS BIGINT) FROM refset_full WHERE effectiveTime = previous_release) AS members
+FROM (SELECT min(d) AS previous_release FROM (SELECT d FROM ({_DATES}) x ORDER BY d DESC LIMIT 2) y) z""")
+def q_previous_release_with(spark, d):
+    # the latest release has no concept table and is passed over
+    database = f"relforge_dated_{uuid.uuid4().hex[:12]}"
+    _dated(spark, d, database)
+    found = previous_release_with(spark, database, ["refset_delta", "concept"], CURRENT_RELEASE, 12).first()
+    members = spark.table(f"{database}.refset_delta_{found['previous_release']}").count()
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame([(*found, members)], "previous_release string, status string, members bigint")

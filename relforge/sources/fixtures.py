@@ -125,10 +125,9 @@ ON o.k = r.k"""
 
 FIXTURES["cluster_output"] = """
 SELECT o.Output_ID, o.Output_Version, c.Cluster_ID
-FROM (SELECT Output_ID, Output_Version, cast(floor(cast(substring(Output_ID,4) AS bigint) / 20) AS bigint) + 1 AS k,
-             cast(substring(Output_ID,4) AS bigint) % 20 AS part FROM {outputs}) o
+FROM (SELECT Output_ID, Output_Version, cast(floor(cast(substring(Output_ID,4) AS bigint) / 20) AS bigint) + 1 AS k FROM {outputs}) o
 JOIN (SELECT DISTINCT Cluster_ID, cast(substring(Refset_ID,2,10) AS bigint) AS k FROM {clusters}) c
-ON o.k = c.k WHERE o.part < 8"""
+ON o.k = c.k"""
 
 FIXTURES["populations"] = """
 SELECT concat('POP',cast(p_partkey AS string)) AS Population_ID, cast(1 + p_partkey % 2 AS decimal(9,1)) AS Population_Version,
@@ -142,10 +141,9 @@ ON p.k = r.k"""
 
 FIXTURES["cluster_population"] = """
 SELECT p.Population_ID, p.Population_Version, c.Cluster_ID
-FROM (SELECT Population_ID, Population_Version, cast(floor(cast(substring(Population_ID,4) AS bigint) / 20) AS bigint) + 2 AS k,
-             cast(substring(Population_ID,4) AS bigint) % 20 AS part FROM {populations}) p
+FROM (SELECT Population_ID, Population_Version, cast(floor(cast(substring(Population_ID,4) AS bigint) / 20) AS bigint) + 2 AS k FROM {populations}) p
 JOIN (SELECT DISTINCT Cluster_ID, cast(substring(Refset_ID,2,10) AS bigint) AS k FROM {clusters}) c
-ON p.k = c.k WHERE p.part < 10"""
+ON p.k = c.k"""
 
 FIXTURES["output_population"] = """
 SELECT p.Population_ID, p.Population_Version, o.Output_ID, o.Output_Version

@@ -1,7 +1,8 @@
-"""Manifest-driven release export, report files, partitioned exports.
+"""Text files, manifests, report files, partitioned exports, checks.
 
-Every write is one distributed Spark job; the only driver-side loop is over the
-manifest (tens of rows of metadata), never over data.  Output folders must be on
+Every write is one distributed Spark job; driver-side loops are over manifests and
+table names (metadata), never over data. ``release_export`` has the one-pass release
+export, ``replace`` safe replacement and clones, ``sliced`` tables in slices.  Output folders must be on
 shared storage (on a cluster: under the configured ``spark.checkpoint.dir`` or
 another shared root), never a machine-local temporary folder.
 """
@@ -10,13 +11,16 @@ from __future__ import annotations
 
 import os
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relforge.session import checkpoint_dir
+from relforge.sources import release_export as RX
+from relforge.sources.release_export import export_tree  # noqa: F401
+from relforge.sources.replace import clone_tables, create_table_as  # noqa: F401
 
 MANIFEST_COLUMNS = ["SQL_Name", "Export_Name", "Path", "Content"] + [f"Column {i}" for i in range(1, 14)]
 LEGACY_ENCODING = "ISO-8859-1"
@@ -24,10 +28,6 @@ LEGACY_ENCODING = "ISO-8859-1"
 NULL_MARK = "\\N"
 
 
-#: Manifest entries written at a time (each is a Spark job).
-WRITERS = 8
-
-
 def scratch_root(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root (set only where unset, as in tests)."""
     return os.path.join(checkpoint_dir(spark), "relforge-out", f"{name}-{uuid.uuid4().hex[:12]}")
@@ -66,12 +66,17 @@ def _writable(df: DataFrame, mode: str, **more):
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tab-separated text with header (release files fail if present)."""
-    _writable(df, mode, sep="\t").csv(path)
+    """Tab-separated text (release files fail if present). The first part file holds the column names, the others rows,
+    as in a release export: ``cat part-*`` is the text file, and ``read_tsv`` reads it."""
+    names = df.sparkSession.createDataFrame([(_names(df.columns),)], "line string")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    names.coalesce(1).unionByName(df.select(_render(columns, df.columns).alias("line"))).write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def read_tsv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    return spark.read.options(**text_options(sep="\t")).schema(schema).csv(path)
+    """The rows of one or more tab-separated texts of ``write_tsv`` or of a release export, without the lines of names."""
+    rows = spark.read.options(**text_options(sep="\t", header="false")).schema(schema).csv(path)
+    return rows.filter(~F.startswith(F.col("_metadata.file_name"), F.lit(RX.HEADER_FILE)))
 
 
 def not_encodable(df: DataFrame, encoding: str = LEGACY_ENCODING) -> DataFrame:
@@ -105,62 +110,45 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).option("header", True).save(path)
 
 
-def create_table_as(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Drop-if-exists + SELECT INTO; with ``path`` an external table there."""
-    writer = df.write.mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+def _render(columns, names):
+    options = {k: v for k, v in text_options(sep="\t", emptyValue='""').items() if k not in ("header", "multiLine", "lineSep")}
+    return RX.text_line(columns, names, options, NULL_MARK)
 
 
-def clone_tables(spark: SparkSession, names, src_db: str, dst_db: str) -> None:
-    """A10: copy a set of catalog tables into a sandbox database."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {dst_db}")
-    for n in names:
-        spark.table(f"{src_db}.{n}").write.mode("overwrite").saveAsTable(f"{dst_db}.{n}")
+def _names(names) -> str:
+    quoted = [f'"{n.replace(chr(34), chr(34) * 2)}"' if any(c in n for c in '\t\n"') else n for n in names]
+    return "\t".join(quoted)
 
 
-def export_release(spark: SparkSession, manifest: DataFrame, tables: dict, out_root: str,
-                   suffix: str = "") -> DataFrame:
-    """For each Populated row write the DISTINCT table to its path as TSV; for
-    each Empty row write a header-only file from ``Column 1..13``.
+def export_release(spark: SparkSession, manifest: DataFrame, tables: dict, out_root: str, suffix: str = "") -> DataFrame:
+    """A11 for prepared tables: the DISTINCT rows of each Populated manifest row's table, and a file of column names for each
+    Empty row, in one job. Returns the export log: dataset, path, content, rows, fingerprint (see ``release_export``)."""
+    wanted = {n: tables[n] for r in manifest.filter("Content = 'Populated'").select("SQL_Name").collect() for n in [r["SQL_Name"]]}
+    lines = reduce(DataFrame.unionByName, (RX.tagged(df, n, _render) for n, df in wanted.items()))
+    return RX.write_file_sets(spark, manifest, lines, {n: df.columns for n, df in wanted.items()}, _names, out_root, suffix,
+                              scratch_root(spark, "export"))
 
-    The manifest is metadata (one row per file set); its writes run concurrently, each as
-    one Spark job.  Returns the export log (dataset, path, content), one row per manifest row.
-    """
-    def write(r) -> tuple[str, str, str]:
-        path = os.path.join(out_root, r["Path"], f"{r['Export_Name']}{suffix}")
-        if r["Content"] == "Populated":
-            write_tsv(tables[r["SQL_Name"]].distinct(), path)
-        else:
-            cols = [r[f"Column {i}"] for i in range(1, 14) if r[f"Column {i}"]]
-            write_tsv(spark.createDataFrame([], string_schema(cols)), path)
-        return r["SQL_Name"], path, r["Content"]
-
-    with ThreadPoolExecutor(WRITERS) as pool:
-        log = list(pool.map(write, manifest.collect()))
-    return spark.createDataFrame(log, "dataset string, path string, content string")
-
-
-def read_back_counts(spark: SparkSession, export_log: DataFrame) -> DataFrame:
-    """Rows of each written dataset, in one read over all of them, grouped by the file's folder."""
-    logged = export_log.select("dataset", "path").collect()  # one row per manifest entry
-    first = T.StructType([T.StructField("_first", T.StringType(), True)])
-    lines = spark.read.options(**text_options(sep="\t", enforceSchema="true")).schema(first).csv([r["path"] for r in logged])
-    folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")
-    counted = lines.groupBy(folder.alias("_folder")).agg(F.count(F.lit(1)).alias("written_rows"))
-    names = spark.createDataFrame([(r["dataset"], r["path"]) for r in logged], "dataset string, _path string")
-    # a file set without rows has no group: 0 rows, since the read has found its folder
-    return (names.join(counted, F.expr("endswith(_folder, _path)"), "left")
-                 .select("dataset", F.coalesce("written_rows", F.lit(0)).cast("bigint").alias("written_rows")))
+
+def export_history(spark: SparkSession, manifest: DataFrame, sources, release_date: str, out_root: str, suffix: str = "") -> DataFrame:
+    """A11 from the histories: full, snapshot and delta of every slice of every source, each history read once."""
+    return RX.export_sources(spark, manifest, sources, release_date, out_root, _render, _names, suffix, scratch_root(spark, "export"))
+
+
+def read_back(spark: SparkSession, export_log: DataFrame) -> DataFrame:
+    """Rows and fingerprint of each file set of a log, from its files, in one read."""
+    return RX.read_back(spark, export_log, text_options(sep="\t"))
 
 
 def export_check(expected: DataFrame, written: DataFrame) -> DataFrame:
-    """A12 (re-aimed as a data check): expected vs read-back rows per dataset,
-    full outer join -> ``ok`` / ``missing`` / ``extra`` / ``wrong count``."""
+    """Expected vs read-back rows (and fingerprints, where both sides have them) per dataset, full outer join ->
+    ``ok`` / ``missing`` / ``extra`` / ``wrong count`` / ``wrong rows``."""
     j = expected.join(written, "dataset", "full_outer")
     status = (F.when(F.col("written_rows").isNull(), "missing")
                .when(F.col("expected_rows").isNull(), "extra")
-               .when(F.col("written_rows") != F.col("expected_rows"), "wrong count").otherwise("ok"))
-    return j.select("dataset", "expected_rows", "written_rows", status.alias("status"))
+               .when(F.col("written_rows") != F.col("expected_rows"), "wrong count"))
+    if "expected_fingerprint" in expected.columns and "written_fingerprint" in written.columns:
+        status = status.when(F.col("written_fingerprint") != F.col("expected_fingerprint"), "wrong rows")
+    return j.select("dataset", "expected_rows", "written_rows", status.otherwise("ok").alias("status"))
 
 
 def export_partitioned(df: DataFrame, keys, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:

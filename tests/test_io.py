@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from relforge.sources import io as IO
@@ -19,11 +20,14 @@ def test_export_release_with_empty_file(spark, fx):
         == fx.refset_full.distinct().count()
     empty = spark.read.options(**IO.text_options(sep="\t")).csv(paths["t2"])
     assert empty.columns == ["a", "b"] and empty.count() == 0
-    counts = IO.read_back_counts(spark, log)
-    exp = spark.createDataFrame([("t1", fx.refset_full.distinct().count()), ("t2", 0), ("t3", 1)],
-                                "dataset string, expected_rows bigint")
-    status = {r["dataset"]: r["status"] for r in IO.export_check(exp, counts).collect()}
+    written = IO.read_back(spark, log)
+    n = fx.refset_full.distinct().count()
+    assert {(r["dataset"], r["rows"]) for r in log.collect()} == {("t1", n), ("t2", 0)}
+    exp = spark.createDataFrame([("t1", n), ("t2", 0), ("t3", 1)], "dataset string, expected_rows bigint")
+    status = {r["dataset"]: r["status"] for r in IO.export_check(exp, written).collect()}
     assert status == {"t1": "ok", "t2": "ok", "t3": "missing"}
+    with pytest.raises(FileExistsError):  # nothing is written over
+        IO.export_release(spark, man, tables, root, "20010601")
 
 
 def test_overwrite_module_partition(spark, fx):

@@ -44,7 +44,7 @@ def test_flagship_diff_shuffles_history_once(spark):
     assert re.search(r"PushedFilters: \[.*LessThanOrEqual\(effectiveTime,20010601\)", txt)
 
 
-WRITES = re.compile(r"roundtrip|export|awkward|write_report|create_table|clone_tables|read_name_map|^op\d+_|^pipeline$")
+WRITES = re.compile(r"roundtrip|export|awkward|write_report|create_table|clone_|read_name_map|release_diff_stored|replace_modules|snapshot_incremental|retain_tables|retained_rows|previous_release_with|^op\d+_|^pipeline$")
 
 
 def test_building_a_query_starts_no_job(spark):

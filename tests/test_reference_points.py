@@ -62,9 +62,9 @@ def test_publication_issue_labels(fx):
 def test_publication_tables(fx):
     pub = P.published(fx.ruleset_published, AS_OF)
     assert P.published_outputs(fx.outputs, fx.output_ruleset, pub).count() == 120
-    assert P.published_cluster_output(fx.cluster_output, fx.output_ruleset, fx.clusters, pub).count() == 42
+    assert P.published_cluster_output(fx.cluster_output, fx.output_ruleset, fx.clusters, pub).count() == 84
     assert P.published_population_ruleset(fx.population_ruleset, pub).count() == 480
-    assert fx.cluster_population.count() == 32
+    assert fx.cluster_population.count() == 64
     assert fx.output_population.count() == 480
 
 
