@@ -73,7 +73,8 @@ def publish(spark: SparkSession, name: str, path: str, keep_old: bool = False) -
             if left == staged or spark.catalog.tableExists(name):
                 spark.sql(f"DROP TABLE IF EXISTS {left}")
     spark.catalog.refreshTable(name)
-    if not keep_old and old.rstrip("/").rpartition("/")[2] != path.rstrip("/").rpartition("/")[2]:
+    before, now = files.plain(spark, old), files.plain(spark, path)
+    if not keep_old and now != before and not now.startswith(f"{before}/"):  # a table that lay in the root itself holds the new folder
         files.delete(spark, old)
 
 
