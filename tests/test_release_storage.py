@@ -160,6 +160,7 @@ def test_replacement_from_itself_with_other_columns_and_managed(spark, name):
     assert [r["v"] for r in spark.table(name).collect()] == ["y"] * 3
     assert len(files.names(spark, root)) == 1  # the old versions are gone
     spark.sql(f"DROP TABLE {name}")
+    root = IO.scratch_root(spark, "t-root")
     spark.range(4).write.option("path", root).saveAsTable(name)  # in the root itself
     IO.create_table_as(spark.range(6), name, root)
     assert spark.table(name).count() == 6
