@@ -64,9 +64,9 @@ def _static(lists: DataFrame, refset: DataFrame, descriptions: DataFrame, concep
                     .join(c, members.referencedComponentId == c._cid, "left")
                     .select("refsetId", "referencedComponentId", "Code_description", "Active_status"))
     hit = named.join(lists, named.refsetId == lists.Refset_ID)
-    # counting the codes keeps this branch on the very exchange of the distinct members, which Spark then runs once;
-    # one row per refset is left, which AQE broadcasts from its measured size
-    have = members.groupBy(F.col("refsetId").alias("_have")).agg(F.count("referencedComponentId").alias("_n"))
+    # asking for the number of codes keeps this branch on the very exchange that the members above come from, which Spark
+    # then runs once; one row per refset is left, which AQE broadcasts from its measured size
+    have = members.groupBy(F.col("refsetId").alias("_have")).agg(F.count("referencedComponentId").alias("_n")).filter(F.col("_n") >= 0)
     empty = (lists.join(have, lists.Refset_ID == have._have, "left_anti")
                   .select(*key_cols, "Cluster_ID", "Cluster_Description", "Refset_ID",
                           F.lit(None).cast("string").alias("referencedComponentId"),
