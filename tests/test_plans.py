@@ -9,11 +9,6 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-HISTORY_QUERIES = ["release_diff", "decorated_diff", "changed_by_ruleset", "static_by_service", "reference_data",
-                   "cluster_refset_content", "refset_by_output", "cause_of_change", "dependency_filled",
-                   "release_change_class", "latest_release_rows", "membership_history"]
-
-
 def plan(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -21,12 +16,21 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", HISTORY_QUERIES)
+@pytest.mark.parametrize("name", sorted(E._plans.queries()))
 def test_no_nested_loop_or_cartesian(spark, name):
     txt = plan(E.queries()[name](spark, SF_SMALL))
     assert not re.search(r"NestedLoop|CartesianProduct", txt)
 
 
+def test_static_lists_read_the_history_once(spark):
+    """The lists without codes are told from the same exchange that the codes come from."""
+    df = E.queries()["static_by_ruleset"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert len(re.findall(r"Window \[rank", final)) == 1
+
+
 def test_flagship_diff_shuffles_history_once(spark):
     from relforge.plans.diff_queries import diff_df
     from relforge.sources.fixtures import Fixtures
