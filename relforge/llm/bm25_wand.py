@@ -1,4 +1,9 @@
-"""A BM25 inverted index of short texts with block-max WAND retrieval, for use inside a task."""
+"""A BM25 inverted index of short texts with block-max WAND retrieval, for use inside a task.
+
+Weights come from statistics of the whole collection, which the caller counts, so that a score does not depend on
+which texts share an index. Each text has a threshold of its own, as a share of its full score; impacts are divided by it,
+and a search is for what reaches 1.
+"""
 
 from __future__ import annotations
 
@@ -8,30 +13,42 @@ from collections import Counter, defaultdict
 import numpy as np
 
 K1, B = 1.2, 0.75
-BLOCK, FINE = 16, 4
-#: Up to this size the maxima of blocks of 4 units are also kept as a table, for a test of all blocks at once.
+BLOCK, FINE = 16, 2
+#: Up to this size the maxima of blocks of 2 units are also kept as a table, for a test of all blocks at once.
 TABLE_BYTES = 16_000_000
 
 
+class Weights:
+    """BM25 weights from a collection's number of units, their mean length, and the units that hold each word."""
+
+    def __init__(self, units: int, mean: float, holders: dict[bytes, int]):
+        self.n, self.mean, self.holders = units, max(mean, 1e-9), holders
+
+    @classmethod
+    def of(cls, units: list[list[bytes]]) -> Weights:
+        return cls(len(units), sum(map(len, units)) / max(1, len(units)), Counter(w for unit in units for w in set(unit)))
+
+    def impacts(self, unit: list[bytes]) -> dict[bytes, float]:
+        """The share of each word in the unit's full score, which is 1."""
+        norm, n, holders = K1 * (1 - B + B * len(unit) / self.mean), self.n, self.holders
+        impact = {w: math.log(1 + (n - holders[w] + 0.5) / (holders[w] + 0.5)) * f * (K1 + 1) / (f + norm) for w, f in Counter(unit).items()}
+        total = sum(impact.values())
+        return {w: x / total for w, x in impact.items()}
+
+
 class BlockMaxIndex:
-    """Units (lists of words) with BM25 impacts as shares of each unit's own full score.
+    """Units (lists of words) with their impacts, each divided by the unit's threshold.
 
-    A unit scores 1 against a query that holds all its words. Postings are sorted by unit and cut
-    into blocks of 16, each with its largest impact.
+    Postings are sorted by unit and cut into blocks of 16, each with its largest impact.
     """
 
-    def __init__(self, units: list[list[bytes]]):
-        n = len(units)
-        mean = sum(map(len, units)) / max(1, n)
-        df = Counter(w for unit in units for w in set(unit))
+    def __init__(self, impacts: list[dict[bytes, float]], thresholds: list[float] | None = None):
+        n = len(impacts)
+        self.threshold = thresholds or [1.0] * n
         postings: dict[bytes, list[tuple[int, float]]] = defaultdict(list)
-        for u, unit in enumerate(units):
-            tf = Counter(unit)
-            norm = K1 * (1 - B + B * len(unit) / max(mean, 1e-9))
-            impact = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + norm) for w, f in tf.items()}
-            total = sum(impact.values())
+        for u, impact in enumerate(impacts):
             for w, x in impact.items():
-                postings[w].append((u, x / total))
+                postings[w].append((u, x / self.threshold[u]))
         self.term_of = {w: t for t, w in enumerate(postings)}
         self.units = [[u for u, _ in p] for p in postings.values()]
         self.impacts = [[x for _, x in p] for p in postings.values()]

@@ -3,23 +3,27 @@
 The test items are the indexed side: they are cut into units of at most 48 words, which go into a BM25
 inverted index with block maxima. The training side is the stream of queries: every document, whole,
 is cut into passages of 96 words that overlap by half, so each run of 48 words lies in some passage.
-Units of similar length share an index (``TIERS``), since a frequent word weighs much in a short unit
-and would loosen the bounds of the long ones. A passage's first WAND test (the sum of its terms' upper
-bounds against the threshold) is made for a whole batch at once; passages that pass it go through
-block-max WAND, which returns every unit that reaches ``LEAST_SCORE`` of its own full score. A hit is verified on the words around the passage: at
-least half of the 3-word shingles of the whole item must be there, wherever it was cut or edited. Where an item
-has an answer of its own (an answer column, or a last sentence that says "answer is" or "answer:"), at least half
+
+A hit is verified on the words around the passage: at least half of the 3-word shingles of the whole item must be there, wherever it was
+cut or edited. Where an item has an answer of its own (an answer column, or a last sentence that says "answer is" or "answer:"), at least half
 of the question's shingles and half of the answer's words must be there instead. Items shorter than 8 words must
 occur as one unbroken run of words.
 
+Retrieval loses nothing that this rule accepts: each unit has a threshold of its own, the least share of its full score that its
+words can have in a text that passes the rule (``least_share``: half of the shingles, made of the words that weigh least, over the units of the item). What lies within 48 words of a
+text for each unit, as any unbroken part does, is found. BM25 statistics
+are those of all units, counted by one grouped aggregate, so that scores and hits depend neither on how items fall into blocks
+of the index nor on units of similar length sharing a part of it (``TIERS``: a frequent word weighs much in a short unit and would loosen the bounds
+of the long ones). A passage's first WAND test (the sum of its terms' upper bounds) is made for a whole batch at once; passages that
+pass it go through block-max WAND, which returns every unit that reaches its threshold.
+
 Words are runs of letters and digits, in lower case. Without an answer column the last sentence of an
 item's text (in a one-sentence item, its last quarter) counts as its answer in ``answer_overlap``; it vetoes
-nothing unless it is marked as the answer, and half of both parts is a hit too.
+nothing unless it is marked as the answer.
 
 Items are few against documents, but they are not trusted to be: the index is built and broadcast in
-blocks of at most ``MAX_BLOCK_BYTES`` of item text, each block being matched against all documents
-(BM25 statistics are those of the block). Defined results: a null or empty text, of a document or an
-item, matches nothing; an empty table gives no rows; rows that repeat are reported each; ids may be
+blocks of at most ``MAX_BLOCK_BYTES`` of item text, each block being matched against all documents. Defined results: a null or
+empty text, of a document or an item, matches nothing; an empty table gives no rows; rows that repeat are reported each; ids may be
 null; extra columns are ignored. No document or passage is skipped, whatever its length.
 """
 
@@ -34,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bm25_wand import BlockMaxIndex
+from .bm25_wand import BlockMaxIndex, Weights
 from .common import col, free_name, slices
 
 UNIT, PASSAGE = 48, 96
-LEAST_SCORE, LEAST_OVERLAP = 0.6, 0.5
+LEAST_OVERLAP = 0.5
 TIERS = (12, 24, UNIT)
 SHORT_ITEM = 8
 MAX_BLOCK_BYTES = 4_000_000
@@ -85,35 +89,92 @@ def _grams(found: list[bytes], n: int = 3) -> set:
     return set(zip(*(found[i:] for i in range(n)), strict=False))
 
 
+def cut_units(whole: list[bytes]) -> list[list[bytes]]:
+    """An item's words in units of about equal length, at most ``UNIT`` each."""
+    step = -(-len(whole) // -(-len(whole) // UNIT)) if whole else 1
+    return [whole[i : i + step] for i in range(0, len(whole), step)]
+
+
+def _half(found: set) -> int:
+    return -(-len(found) // 2)
+
+
+def lightest(weights: list[float], grams: int) -> float:
+    """The least weight of a choice of positions that holds ``grams`` runs of three: by position, over the two choices before it."""
+    if grams <= 0:
+        return 0.0
+    if grams > len(weights) - 2:
+        return float(sum(weights))
+    # best[a][b][j]: least weight where the last two positions are left out (0) or taken (1), and j runs are complete
+    best = np.full((2, 2, grams + 1), np.inf)
+    best[0, 0, 0] = 0.0
+    for w in weights:
+        after = np.empty_like(best)
+        after[:, 0] = np.minimum(best[0], best[1])
+        taken = np.minimum(best[0], best[1]) + w
+        after[0, 1] = taken[0]
+        whole = best[1, 1] + w  # a third one in a row: one run more, and not beyond what is asked for
+        longer = np.concatenate([[np.inf], whole[:-1]])
+        longer[-1] = min(longer[-1], whole[-1])
+        after[1, 1] = np.minimum(best[0, 1] + w, longer)
+        best = after
+    return float(best[:, :, -1].min())
+
+
+def least_share(question: list[bytes], answer: list[bytes], own_answer: bool, impacts: list[dict[bytes, float]]) -> float:
+    """The share of its full score that at least one unit of an item reaches in any text that passes the rule.
+
+    The least sum of shares over all units that half of the shingles can have, divided by the number of units.
+    """
+    whole = question + answer
+    units = cut_units(whole)
+    if len(whole) < SHORT_ITEM:
+        return 1.0 - 1e-9  # all of its words
+    # a word's weight counts once in a unit, however often it stands there
+    weights = [x[w] / unit.count(w) for unit, x in zip(units, impacts, strict=True) for w in unit]
+    if not own_answer:
+        least = lightest(weights, _half(_grams(whole)))
+    elif len(question) >= 3:
+        least = lightest(weights[: len(question)], _half(_grams(question)))
+    else:
+        least = sum(weights[: len(question)]) / 2
+    if own_answer:  # and half of the answer's words, of which those of the question may be there already
+        of = {w: sum(x.get(w, 0.0) for x in impacts) for w in set(answer) - set(question)}
+        missing = _half(set(answer)) - len(set(answer) & set(question))
+        least += sum(sorted(of.values())[: max(0, missing)])
+    return min(max(least / len(units) - 1e-9, 1e-3), 1.0 - 1e-9)
+
+
 class _Matcher:
     """Finds verified (item, scores) for the documents of a batch against one block of items."""
 
-    def __init__(self, items: list[tuple]):
+    def __init__(self, items: list[tuple], weights: Weights):
         self.ids, self.question, self.answer, self.whole, self.size, self.run = [], [], [], [], [], []
-        tiers: list[tuple[list, list]] = [([], []) for _ in TIERS]
+        tiers: list[tuple[list, list, list]] = [([], [], []) for _ in TIERS]
         for item_id, question, answer in items:
             q, a = (words_of(question), words_of(answer)) if answer is not None else split_item(question or "")
             whole = q + a
             if not whole:
                 continue
             k = len(self.ids)
+            own_answer = answer is not None or has_answer(question or "")
             self.ids.append(item_id)
             self.question.append(_grams(q))
             self.answer.append(set(a))
-            self.whole.append(_grams(whole) if answer is None and not has_answer(question or "") else None)
+            self.whole.append(None if own_answer else _grams(whole))
             self.size.append(len(whole))
             self.run.append(b" " + b" ".join(whole) + b" " if len(whole) < SHORT_ITEM else None)
-            n = -(-len(whole) // UNIT)
-            step = -(-len(whole) // n)
-            for i in range(0, len(whole), step):
-                units, owners = tiers[next(t for t, most in enumerate(TIERS) if len(whole[i : i + step]) <= most)]
-                units.append(whole[i : i + step])
-                owners.append(k)
-        self.terms = {w: t for t, w in enumerate(dict.fromkeys(w for units, _ in tiers for u in units for w in u))}
+            units = cut_units(whole)
+            shares = [weights.impacts(u) for u in units]
+            least = least_share(q, a, own_answer, shares)
+            for unit, impacts in zip(units, shares, strict=True):
+                for held, value in zip(tiers[next(t for t, most in enumerate(TIERS) if len(unit) <= most)], (impacts, least, k), strict=True):
+                    held.append(value)
+        self.terms = {w: t for t, w in enumerate(dict.fromkeys(w for impacts, _, _ in tiers for x in impacts for w in x))}
         self.tiers = []  # index, owners of its units, its term of each term, bound of each term
-        for units, owners in tiers:
-            if units:
-                index = BlockMaxIndex(units)
+        for impacts, least, owners in tiers:
+            if impacts:
+                index = BlockMaxIndex(impacts, least)
                 local = np.full(len(self.terms), -1, np.int32)
                 local[[self.terms[w] for w in index.term_of]] = list(index.term_of.values())
                 bound = np.where(local >= 0, index.bound[local], 0.0)
@@ -124,12 +185,12 @@ class _Matcher:
         if self.run[k] is not None:
             return (1.0, 1.0) if self.run[k] in b" " + b" ".join(region) + b" " else None
         n = len(next(iter(self.question[k]), ()))  # 3, or fewer for a shorter question
-        q = len(self.question[k] & _grams(region, n)) / len(self.question[k]) if n else 1.0
+        whole = self.whole[k]  # None: the item has an answer of its own
+        if whole and len(whole & (found_grams := _grams(region))) < LEAST_OVERLAP * len(whole):
+            return None
+        q = len(self.question[k] & (found_grams if whole and n == 3 else _grams(region, n))) / len(self.question[k]) if n else 1.0
         a = len(self.answer[k] & set(region)) / max(1, len(self.answer[k]))
-        if min(q, a) >= LEAST_OVERLAP:
-            return q, a
-        whole = self.whole[k]  # None: the item's own answer is missing
-        return (q, a) if whole and len(whole & _grams(region)) >= LEAST_OVERLAP * len(whole) else None
+        return (q, a) if whole or min(q, a) >= LEAST_OVERLAP else None
 
     def match(self, texts: list[str | None]) -> list[tuple]:
         """(row, item id, score, question overlap, answer overlap) of the batch's documents."""
@@ -159,11 +220,11 @@ class _Matcher:
             cap = np.bincount(half, weight * fresh, n)
             cap[:-1] += np.bincount(half, weight * fresher, n)[1:]
             cap[first[1:] - 1] = 0  # no passage starts in a document's last half
-            for p in np.flatnonzero(cap >= LEAST_SCORE - 1e-9):
+            for p in np.flatnonzero(cap >= 1.0 - 1e-9):
                 here = ids[p * UNIT : p * UNIT + PASSAGE]
                 terms = np.unique(local[here[here >= 0]])
-                for unit, score in index.search(terms[terms >= 0].tolist(), LEAST_SCORE):
-                    row, k = int(np.searchsorted(first, p, "right")) - 1, owners[unit]
+                for unit, reached in index.search(terms[terms >= 0].tolist(), 1.0):
+                    row, k, score = int(np.searchsorted(first, p, "right")) - 1, owners[unit], reached * index.threshold[unit]
                     if best.get((row, k), (0.0,))[0] >= score:
                         continue
                     over = self._verify(k, docs[row], int(p - first[row]) * UNIT)
@@ -188,14 +249,32 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     blocks = 1 + size // MAX_BLOCK_BYTES
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
+    tests = tests.withColumn("block", F.pmod(F.xxhash64("item_id", "q", "a"), F.lit(blocks)))
+
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = []
+            for q, a, block in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                whole = [w for part in ((words_of(q), words_of(a)) if a is not None else split_item(q or "")) for w in part]
+                found += [(block, list(dict.fromkeys(u)), len(u)) for u in cut_units(whole)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.list_(pa.binary()), pa.int64()))],
+                                             ["block", "words", "size"])
+
+    cut = tests.select("q", "a", "block").mapInArrow(units, "block long, words array<binary>, size long")
+    n, total = cut.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    held = cut.select("block", F.explode("words").alias("word"))
+    counts = held.groupBy("word").agg(F.count(F.lit(1)).alias("units"))  # a word stands in a unit once here
+
     def block(k: int) -> DataFrame:
-        mine = tests.where(F.pmod(F.xxhash64("item_id", "q", "a"), F.lit(blocks)) == k).orderBy("item_id", "q", "a")
-        shared = spark.sparkContext.broadcast([tuple(r) for r in mine.collect()])
+        mine = tests.where(F.col("block") == k).drop("block").orderBy("item_id", "q", "a")
+        own = counts if blocks == 1 else counts.join(held.where(F.col("block") == k).select("word").distinct(), "word", "left_semi")
+        weights = Weights(n, total / max(1, n), {bytes(r["word"]): r["units"] for r in own.collect()})  # words of one block of items
+        shared = spark.sparkContext.broadcast(([tuple(r) for r in mine.collect()], weights))
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = None
             for batch in slices(batches):
-                matcher = matcher or _Matcher(shared.value)
+                matcher = matcher or _Matcher(*shared.value)
                 rows = matcher.match(batch.column(1).to_pylist())
                 ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
                 rest = [pa.array([r[i] for r in rows], t) for i, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()), (4, pa.float64()))]
