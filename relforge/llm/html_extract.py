@@ -11,7 +11,9 @@ are named as something else, is content. ``fit`` maximises the likelihood of at
 pages (the smallest hashes of their id, up to ``MAX_CHARS`` characters each) by gradient steps on the
 model's own marginals. On every second page the sectioning tags are hidden from the features, so that
 the model also learns to read pages without them. The weights start from fixed expectations about tags
-and names, and are pulled towards them, so a name that no training page has keeps its expectation. The
+and names, and are pulled towards them, so a name that no training page has keeps its expectation. A name
+on a container decides (a menu, a notice, comments), and so what stands within it; on a paragraph, caption or address
+only names of adverts, sharing, comments and the like do, others are weighed against the length and the marks of its words. The
 bounds are parameters; extraction covers all pages, whole.
 
 The text: character references decoded, white space inside a block one space, blocks joined in page order
@@ -44,7 +46,12 @@ subscription share sharing social related recommended recommendations trending c
 respond pagination pager outbrain taboola copyright contentinfo complementary""".split()
 DOUBTFUL_WORDS = "side popular overlay signup login register search widget widgets toolbar legal tags tagcloud hidden skip teaser dialog form meta".split()
 CONTENT_WORDS = "article content main post entry story body text page prose".split()
-NOT_CONTENT_TAGS = "nav footer header aside form menu dialog address figcaption label fieldset legend input".split()
+#: Of the first, names that decide on a paragraph too; the others may name one that is about an alert, a board or a footer.
+DECIDING_WORDS = frozenset("""ad ads advert adverts advertisement promo promotion sponsor sponsored cookie cookies consent gdpr newsletter subscribe
+share social breadcrumb breadcrumbs comment comments disqus pagination pager outbrain taboola copyright contentinfo""".split())
+NOT_CONTENT_TAGS = "nav footer header aside form menu dialog label fieldset legend input".split()
+#: Parts of running text; a name on one of them weighs against its words, a name on any other part decides.
+PROSE_TAGS = frozenset("p blockquote pre li dd dt td th h1 h2 h3 h4 h5 h6 figcaption address".split())
 CONTENT_TAGS = "article main h1 h2 h3 p blockquote pre".split()
 _WORD_PRIOR = {**{w: -14.0 for w in NOT_CONTENT_WORDS}, **{w: -4.0 for w in DOUBTFUL_WORDS}, **{w: 1.0 for w in CONTENT_WORDS}}
 _TAG_PRIOR = {**{t: -12.0 for t in NOT_CONTENT_TAGS}, **{t: 0.7 for t in CONTENT_TAGS}, "article": 5.0, "main": 4.0, "body": 1.0, "#root": 3.0}
@@ -57,7 +64,18 @@ _LIMIT = 30.0
 
 def prior(feature: str) -> float:
     kind, _, name = feature.partition(":")
-    return _TAG_PRIOR.get(name, 0.0) if kind == "tag" else _WORD_PRIOR.get(name, 0.0) if kind == "word" else {"hidden": -14.0, "copyright": -6.0}.get(kind, 0.0)
+    if kind == "tag":
+        return _TAG_PRIOR.get(name, 0.0)
+    if kind == "word":
+        return _WORD_PRIOR.get(name, 0.0)
+    if kind == "named":  # a name on a part of running text
+        return -14.0 if name in DECIDING_WORDS else max(-6.5, _WORD_PRIOR.get(name, 0.0) / 2)
+    return {"hidden": -14.0, "copyright": -6.0, "prose": 4.5, "within": -5.0}.get(kind, 0.0)
+
+
+def _is_prose(length: int, marks: int) -> bool:
+    """Whether a named paragraph is long enough, and punctuated, to be one of the text."""
+    return length >= 60 and marks >= 2
 
 
 def kind_of(tag: str) -> str:
@@ -102,10 +120,18 @@ def features(page: Page, hide_sections: bool = False) -> tuple[list[list[str]],
             length[p] += length[i]
             linked[p] += linked[i]
             marks[p] += marks[i]
+    names = [tokens(attributes(page.attrs[i])) if page.tag[i] != "#" and page.attrs[i].strip() else [] for i in range(size)]
+    heads = [tag == "h1" or (tag in ("article", "main") and not hide_sections) for tag in page.tag]
+    for i in range(size - 1, 0, -1):
+        heads[page.parent[i]] = heads[page.parent[i]] or heads[i]
+    # inside a part that is named as something else, unless the article's own head is in it too
+    within = [False] * size
     found, mute = [], [False] * size
     for i, tag in enumerate(page.tag):
         p = page.parent[i]
         mute[i] = tag in MUTE or (p >= 0 and mute[p])
+        if p >= 0:
+            within[i] = within[p] or (not heads[p] and page.tag[p] not in PROSE_TAGS and any(_WORD_PRIOR.get(w, 0.0) <= -14.0 for w in names[p]))
         if tag == "#":
             own = [f"words:{_level(page.text[i].count(' '))}", f"ends:{page.text[i].rstrip()[-1:] in '.!?:;'}"]
             found.append([*own, "copyright:"] if "©" in page.text[i] or "&copy;" in page.text[i] else own)
@@ -115,10 +141,14 @@ def features(page: Page, hide_sections: bool = False) -> tuple[list[list[str]],
         own = [] if parts[i] == 1 and shown == "div" else [f"tag:{shown}", f"length:{_level(length[i] // 16)}", f"links:{4 * linked[i] // max(1, length[i])}", f"marks:{min(3, 40 * marks[i] // max(1, length[i]))}"]
         if page.attrs[i].strip():
             attrs = attributes(page.attrs[i])
-            own += [f"word:{w}" for w in dict.fromkeys(tokens(attrs))]
+            own += [f"{'named' if tag in PROSE_TAGS else 'word'}:{w}" for w in dict.fromkeys(names[i])]
+            if tag in PROSE_TAGS and any(_WORD_PRIOR.get(w, 0.0) <= -14.0 for w in names[i]) and _is_prose(length[i], marks[i]):
+                own.append("prose:")
             style = attrs.get("style", "").replace(" ", "").lower()
             if "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
                 own.append("hidden:")
+        if within[i]:
+            own.append("within:")
         found.append(own)
     return found, mute
 
@@ -188,6 +218,12 @@ def labels(page: Page) -> list[int] | None:
     inside, label = [0] * size, [0] * size
     marked = False
     share = [0] * size
+    length, marks = [0] * size, [0] * size
+    for i in range(size - 1, 0, -1):
+        if page.tag[i] == "#":
+            length[i], marks[i] = len(page.text[i].strip()), sum(map(page.text[i].count, ".,;!?"))
+        length[page.parent[i]] += length[i]
+        marks[page.parent[i]] += marks[i]
     for i in range(1, size):
         tag, p = page.tag[i], page.parent[i]
         inside[i] = inside[p]
@@ -195,7 +231,10 @@ def labels(page: Page) -> list[int] | None:
             inside[i], marked = 1, True
         elif tag != "#" and inside[i]:
             names = tokens(attributes(page.attrs[i])) if page.attrs[i].strip() else []
-            if tag in MUTE or tag in ("nav", "aside", "form", "footer") or any(_WORD_PRIOR.get(w, 0) < 0 for w in names):
+            doubt = {w for w in names if _WORD_PRIOR.get(w, 0) < 0}
+            if tag in PROSE_TAGS and not doubt & DECIDING_WORDS and _is_prose(length[i], marks[i]):
+                doubt = set()
+            if tag in MUTE or tag in ("nav", "aside", "form", "footer") or doubt:
                 inside[i] = 0
     if not marked:
         return None

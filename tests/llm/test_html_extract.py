@@ -51,6 +51,30 @@ def test_parts_that_are_no_article(weights):
     assert X.extract(PAGE, X.Weights()) == TEXT  # expectations alone
 
 
+PROSE = "<p>Some prose about a thing, told at length. It has two sentences and more.</p>"
+
+
+@pytest.mark.parametrize("wrap", ["article", "div"])
+@pytest.mark.parametrize("part, kept", [
+    ('<p class="notice-board">The board met on Monday, and it was long. They agreed on all points.</p>', True),
+    ('<p class="alert">The alert was raised by the guards, at dawn. Nobody in the town slept.</p>', True),
+    ('<p id="footer-note-1">A note about the source, with its date and its place. It is cited.</p>', True),
+    ('<figure><img><figcaption>A caption of the picture.</figcaption></figure>', True),
+    ('<address>By A. Writer, 12 Long Street</address>', True),
+    ('<p class="ad">Buy now!</p>', False), ('<p class="advert">Buy this great thing now, it is cheap and good. Order it today.</p>', False),
+    ('<p class="notice">We use cookies.</p>', False), ('<div class="notice"><p>We use cookies, as you know, on all pages. Accept them.</p></div>', False),
+    ('<div class="comments"><p>Great article, I liked it very much. Thanks.</p></div>', False), ('<p class="copyright">© 2020 All rights.</p>', False),
+    ('<div id="comments"><div><p>First of all, great article, I liked it. Thanks.</p><ul><li>Reply to it, and more. Yes.</ul></div></div>', False),
+    ('<form><p>Your mail, please, so that we can write to you. Thank you.</p></form>', False),
+    ('<div class="sidebar"><p>In the margin there is more, as is known. See there.</p></div>', False), ('<ul class="related"><li>Other story<li>More</ul>', False),
+])
+def test_names_on_containers_decide_and_on_paragraphs_weigh(weights, wrap, part, kept):
+    page = (f"<html><body><nav><a href=x>Home</a></nav><{wrap}><h1>Title of it</h1>{PROSE * 2}{part}{PROSE}</{wrap}>"
+            "<footer><address>Mail us, please. It is free.</address>c</footer></body></html>")
+    plain = lambda html: " ".join(re.sub(r"<[^>]*>", " ", html).split())
+    assert X.extract(page, weights) == plain(f"Title of it {PROSE * 2} {part if kept else ''} {PROSE}")
+
+
 def test_marginals_equal_enumeration():
     """Sum-product on small random trees against the sum over all labellings."""
     rng = random.Random(7)
