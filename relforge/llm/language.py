@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, col, slices
 from .html_extract import Weights, extract
+from .html_extract import fit as fit_weights
 
 BUCKETS = 1 << 15
 MAX_DOCS = 2_000
@@ -106,9 +107,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return TextModel(languages, counts)
 
 
-def _evidence(model: TextModel):
+def _evidence(model: TextModel, weights: Weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights()
         tables = weights.tables()
         for batch in slices(batches):
             made: list[list] = [[] for _ in range(6)]
@@ -126,12 +126,16 @@ def _evidence(model: TextModel):
     return run
 
 
-def identify(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per row: page_id, url, host, suffix, declared, text_lang, lang, p (rounded to 6 places)."""
+def identify(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+             weights: Weights | None = None) -> DataFrame:
+    """Per row: page_id, url, host, suffix, declared, text_lang, lang, p (rounded to 6 places).
+
+    ``weights``: the fitted model that finds a page's main text; without it one is fitted on these pages."""
+    weights = weights or fit_weights(pages, id_col, html_col)
     scratch = Scratch(pages.sparkSession, "language")
     given = pages.select(col(id_col).alias("page_id"), col(url_col).cast("string").alias("url"), col(html_col).cast("string").alias("html"))
     id_type = given.schema["page_id"].dataType.simpleString()
-    scored = scratch.stage(given.mapInArrow(_evidence(model), (
+    scored = scratch.stage(given.mapInArrow(_evidence(model, weights), (
         f"page_id {id_type}, url string, host string, domain string, suffix string, declared string, log_text array<double>, post array<double>")), "evidence")
     languages, size = model.languages, len(model.languages)
     if not size:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from relforge.llm import language as L
 
@@ -41,6 +42,47 @@ def test_fusion(spark):
     assert all(abs(rows[i].p - again[i].p) < 1e-5 for i in rows)
 
 
+def brute(rows, model, weights):
+    """(text_lang, lang, p) of each page by the formulas, page by page, in plain Python."""
+    size = len(model.languages)
+    seen = []
+    for _, url, html, _ in rows:
+        log = model.evidence(L.extract(html, weights))
+        post = np.exp(log - log.max())
+        m = L._LANG.search(html or "")
+        seen.append((*L.address(url), m[1].lower() if m else "", log, post / post.sum()))
+    out = []
+    for i, (host, domain, suffix, declared, log, _) in enumerate(seen):
+        others = [s for k, s in enumerate(seen) if k != i]
+
+        def soft(place, value):
+            held = [s[5] for s in others if s[place] == value]
+            return np.sum(held, axis=0) if held else np.zeros(size), len(held)
+        everyone = np.sum([s[5] for s in others], axis=0)
+        overall = (everyone + 1) / (len(others) + size)
+        at_domain, n_domain = soft(1, domain)
+        at_host, n_host = soft(0, host)
+        prior = (at_host + L.HOST_WEIGHT * (at_domain + L.HOST_WEIGHT * overall) / (n_domain + L.HOST_WEIGHT)) / (n_host + L.HOST_WEIGHT)
+        total = log + np.log(prior)
+        for place, value in ((3, declared), (2, suffix)):
+            counts, n = soft(place, value)
+            total = total + np.log((counts + L.SMOOTH * max(n / max(len(others), 1), 1e-3)) / (everyone + L.SMOOTH))
+        share = np.exp(total - total.max())
+        out.append((model.languages[int(log.argmax())], model.languages[int(total.argmax())], float((share / share.sum()).max())))
+    return out
+
+
+def test_fused_posterior_equals_the_formulas(spark):
+    docs, pages = made(4)
+    pages = pages[:90] + [(500, None, None, "xa"), (501, "http://lone.net/xb/", "<p>lorem ipsum, bar.</p>", "xb")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, truth string").repartition(4)
+    model = L.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    weights = L.fit_weights(frame)
+    rows = {r.page_id: r for r in L.identify(frame, model, weights=weights).collect()}
+    for (i, *_), (text_lang, lang, p) in zip(pages, brute(pages, model, weights)):
+        assert (rows[i].lang, rows[i].p) == (lang, pytest.approx(p, abs=1e-5)) and rows[i].text_lang == text_lang, i
+
+
 def test_text_model_matches_counting(spark):
     docs, _ = made()
     model = L.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"), max_docs=1000)
