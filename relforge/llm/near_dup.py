@@ -21,8 +21,8 @@ similarity 0.75 or more misses all 40 bands with a probability below 3e-7.
 
 Defined results: text null, empty or without words - n_shingles 0, linked with nothing, its own
 component. doc_id null - linked with nothing, component_id null, kept. Rows repeated with the same
-doc_id - each row is returned, with the same component. Extra columns are ignored here;
-``deduplicate`` carries them along.
+doc_id are one document, whatever their texts: each row is returned, with its own n_shingles and the one component of all of them, so
+that two groups that share a doc_id are one. Extra columns are ignored here; ``deduplicate`` carries them along.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, col, free_name, slices
@@ -146,9 +146,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _signatures, "doc_id long, fp binary, n_shingles long, bands array<long>, odd array<long>"), "signed")
 
     linked = signed.where("doc_id is not null and fp is not null")
-    first = scratch.stage(linked.groupBy("fp").agg(F.min("doc_id").alias("node")), "first")
+    first = scratch.stage(linked.groupBy("fp").agg(F.min("doc_id").alias("doc")), "first")
+    # a doc_id with several texts may be the smallest of several sets: all but one of them get a number beyond all doc_ids
+    shared_doc = first.groupBy("doc").agg(F.min("fp").alias("own"), F.max("fp").alias("other")).where("own < other").select("doc", "own")
+    beyond = F.xxhash64("fp").bitwiseAND((1 << 61) - 1).bitwiseOR(1 << 62)
+    first = scratch.stage(first.join(shared_doc, "doc", "left").select("fp", "doc", F.when(F.col("own") < F.col("fp"), beyond).otherwise(F.col("doc")).alias("node")), "numbered")
     nodes = scratch.stage(
-        linked.join(first, "fp").where("doc_id = node").select("node", "fp", "bands", "odd"), "nodes")
+        linked.join(first, "fp").where("doc_id = doc").select("node", "doc", "fp", "bands", "odd"), "nodes")
+    # texts of one doc_id are linked
+    several = linked.groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("doc_id")
+    texts = linked.join(several, "doc_id", "left_semi").select("doc_id", "fp").distinct().join(first.select("fp", "node"), "fp")
+    least = texts.groupBy("doc_id").agg(F.min("node").alias("u"))
+    same_doc = scratch.stage(texts.join(least, "doc_id").where("u < node").select("u", F.col("node").alias("v")).distinct(), "same-doc")
 
     # keys that at least two nodes share, and their members
     keyed = nodes.select("node", F.explode("bands").alias("key"))
@@ -157,7 +166,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select("node").distinct()
     candidates = nodes.join(wanted, "node", "left_semi")
     sets = scratch.stage(
-        given.join(candidates.select("node", "fp"), given.doc_id == F.col("node")).select("node", "fp", "text")
+        given.join(candidates.select("node", "doc", "fp"), given.doc_id == F.col("doc")).select("node", "fp", "text")
         .mapInArrow(_sets, "node long, items array<long>, fold array<long>, parity array<long>"), "sets")
     sketch = candidates.select("node", "odd").join(sets.select("node", "fold", "parity", F.size("items").alias("n")), "node")
     sketch = scratch.stage(sketch, "sketch")
@@ -191,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = live.where("apart").join(other, open_pair)
     rest = rest.select(F.least("node", "node2").alias("u"), F.greatest("node", "node2").alias("v")).distinct()
     rest = scratch.stage(rest.join(tested, ["u", "v"], "left_anti"), "pairs-rest")
-    links = links.unionByName(scratch.stage(_confirm(rest, sets), "links-rest"))
+    links = links.unionByName(scratch.stage(_confirm(rest, sets), "links-rest")).unionByName(same_doc)
     comp = scratch.stage(components(links, scratch, "comp"), "components")
     scratch.drop("members", "sketch", "sets")
 
@@ -214,9 +223,11 @@ def _open_keys(members: DataFrame, comp: DataFrame, scratch: Scratch, round_no:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stay: one row for each group of near duplicates.
 
-    A row with a null doc_id stays. Of rows that repeat a doc_id one stays.
+    A row with a null doc_id stays. Of rows that repeat a doc_id one stays, one with the smallest text (null first).
     """
-    own = free_name(docs, "_kept_id")
+    own, place = free_name(docs, "_kept_id"), free_name(docs, "_place")
     kept = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias(own)).distinct()
-    some = docs.join(kept, col(id_col).cast("long") == F.col(own), "left_semi").dropDuplicates([id_col])
+    w = Window.partitionBy(col(id_col)).orderBy(col(text_col))
+    some = docs.join(kept, col(id_col).cast("long") == F.col(own), "left_semi")
+    some = some.withColumn(place, F.row_number().over(w)).where(F.col(place) == 1).drop(place)
     return some.unionByName(docs.where(col(id_col).isNull()))

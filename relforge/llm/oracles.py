@@ -38,3 +38,21 @@ digest AS (
   SELECT sha256(string_agg(array_to_string([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN e], ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{ROUNDS})
 SELECT vec_id, lower(code) AS code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
 FROM kept JOIN coded USING (r), digest"""
+
+
+def near_dup_sql(least: int = 75) -> str:
+    """Near duplicates: shingle sets, all pairs of documents that share a shingle, and what is reachable over their links."""
+    return f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\\x20\\x09-\\x0D]+') IF w <> ''] AS words FROM documents),
+shingle AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(words[i:least(i + 4, len(words))], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, least(len(words), 1) + 1))) AS i FROM texts) p),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL) c
+  JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * common >= {least} * (p.n + q.n - common)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM texts UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c LEFT JOIN size USING (doc_id)"""

@@ -14,7 +14,7 @@ from .html_extract import fit as fit_html
 from .language import fit as fit_language
 from .language import identify
 from .near_dup import near_duplicates
-from .oracles import vector_codes_sql
+from .oracles import near_dup_sql, vector_codes_sql
 from .pii import pseudonymize
 from .quality import fit, rate
 from .quality_rules import filter_rules
@@ -24,7 +24,7 @@ from .token_counts import edited_counts
 from .vector_codes import code_table
 from .whitening import whitened_table
 
-ORACLE_SQL: dict[str, str] = {"op11_vector_codes": vector_codes_sql()}
+ORACLE_SQL: dict[str, str] = {"op4_near_dup": near_dup_sql(), "op11_vector_codes": vector_codes_sql()}
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,20 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert N.near_duplicates(no_docs).count() == 0
 
 
+def test_one_doc_id_with_several_texts(spark):
+    """Texts of one doc_id are one document: they join the groups of each of them."""
+    rng = random.Random(2)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(50)}" for _ in range(40)) for x in "abcd")
+    rows = [(0, a), (1, a), (1, b), (5, b), (7, c), (7, d), (7, d), (8, c), (9, d + " more"), (20, "alone " * 9), (20, None), (None, a)]
+    found = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    want = {0: 0, 1: 0, 5: 0, 7: 7, 8: 7, 9: 7, 20: 20, None: None}
+    assert {r.doc_id: r.component_id for r in found} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    left = N.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, left), key=str) == sorted([(0, a), (7, min(c, d)), (20, None), (None, a)], key=str)
+
+
 def test_sketch_bounds():
     rng = np.random.default_rng(3)
     for _ in range(200):
