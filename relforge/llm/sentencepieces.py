@@ -13,7 +13,8 @@ Which edge survives depends on the kind of model:
 - BPE: the path that merging by score would give. Merging a text leaves exactly those paths in which
   each piece, and each two neighbouring pieces, are what merging makes of their own characters; so an
   edge survives if its piece is compatible with the piece before it, and each boundary has one such
-  path. A run of several blanks, whose pieces all have one score, is merged as a whole instead.
+  path. Blanks in a row, whose pieces all have one score, the least of all, are merged by themselves, after what follows
+  them has been searched with the last blank (which stands alone again if it found no piece).
 
 No piece crosses from another character to a blank, so all paths meet there and each blank starts a new
 segment; segments up to 64 characters are remembered, which only saves time. Characters without a piece
@@ -87,6 +88,10 @@ class PieceModel:
         self.compatible: dict[int, bool] = {}
         # the pieces that merging makes of their own characters
         self.stable = set() if self.unigram else {i for p, i in self.id_of.items() if self.merged(p) == [p]}
+        # blanks merge after all else, and with nothing but blanks
+        blanks = {p for p in self.score if len(p) > 1 and not p.strip(BLANK)}
+        mixed = any(p.startswith(BLANK + BLANK) and p not in blanks for p in self.score)
+        self.blanks_last = not mixed and max((self.score[p] for p in blanks), default=-1e30) < min(s for p, s in self.score.items() if len(p) > 1 and p not in blanks)
         self.memo = _Memo(self)
 
     # --- merging, for single pieces and pairs of pieces, and for runs of blanks
@@ -235,12 +240,23 @@ class PieceModel:
         out: list[int] = []
         if not self.unigram and len(segment) <= _REMEMBER and not segment.startswith(BLANK + BLANK):
             return self._search_short(segment)
-        if not self.unigram and segment.startswith(BLANK + BLANK):
-            for symbol in self.merged(segment):
-                out.extend([self.id_of[symbol]] if symbol in self.id_of else self._char_ids(symbol))
-        else:
+        if self.unigram or not segment.startswith(BLANK + BLANK):
             self.search(segment, out)
-        return out
+            return out
+        rest = segment.lstrip(BLANK)
+        blanks, ids = len(segment) - len(rest), []
+        if rest and not self.blanks_last:  # a model whose blanks merge with other characters, or before them
+            blanks, rest = 0, ""
+            merged = self.merged(segment)
+        else:
+            if rest:
+                ids = np.frombuffer(self.memo[BLANK + rest], np.int32).tolist()
+                alone = ids[0] == self.id_of[BLANK]
+                ids, blanks = ids[alone:], blanks - (not alone)
+            merged = self.merged(BLANK * blanks)
+        for symbol in merged:
+            out.extend([self.id_of[symbol]] if symbol in self.id_of else self._char_ids(symbol))
+        return out + ids
 
     def encode_bytes(self, text: str | None) -> bytes:
         """The ids of a text as native 32-bit integers."""

@@ -52,6 +52,27 @@ def test_unigram_scores_equal_the_library(tmp_path):
         assert model.decode(ids) == t and abs(total(ids) - total(library.encode(t))) < 1e-2, t
 
 
+def test_blanks_are_split_from_what_follows(model, library, monkeypatch):
+    """Ids of the library, and no merge longer than a run of blanks."""
+    assert model.blanks_last
+    longest, real = [0], S.PieceModel.merged
+
+    def merged(self, text):
+        if len(text) > 64 or text.startswith(S.BLANK * 2):
+            assert not text.strip(S.BLANK)
+            longest[0] = max(longest[0], len(text))
+        return real(self, text)
+    monkeypatch.setattr(S.PieceModel, "merged", merged)
+    rng = random.Random(12)
+    for _ in range(3000):
+        t = "".join(" " * rng.choice([1, 2, 3, 5, 15, 16, 17, 33]) + rng.choice(["the", "x", "漢", "é", "\n", "1", "_", "(", "\t", "𐍈", "self", "", "\x00", "▁", "▁▁a"]) for _ in range(rng.randrange(1, 8)))
+        assert model.encode(t) == library.encode(t), repr(t)
+    for rest in ("漢" * 200_000, "ab" * 50_000, "the " * 1000):
+        assert model.encode("  " + rest) == library.encode("  " + rest)
+    assert longest[0] <= 300  # the runs of blanks above
+    assert model.encode(" " * 100_000 + "x") == library.encode(" " * 100_000 + "x")
+
+
 @pytest.mark.parametrize("unit, n", [("abcdefghij", 30_000), ("the", 20_000), ("漢字x", 20_000)])
 def test_window_stays_small(model, library, unit, n):
     text, ids, trace = unit * n, [], []
