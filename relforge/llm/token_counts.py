@@ -5,9 +5,10 @@ segment tree that holds, for each subtree, its characters and its tokens. An edi
 replacement) finds its leaves by descending on characters. Only the leaves it touches are cut and counted
 again, with one leaf before them as boundary context, and onwards to the first old leaf boundary at which
 the new cut also ends: the pattern looks at most one pre-token beyond a match and never behind, so from
-there on nothing changes. The region's leaves get the new counts and the sums above them are updated, in
-O(log n) each. Edits of one batch whose regions meet are applied as one region. Counts are exactly those
-of encoding the edited text anew.
+there on nothing changes. Each leaf holds its own part of the text, so that a region costs what its leaves cost, however
+long the text is. The region's leaves get the new counts and the sums above them are updated, in
+O(log n) each. Edits of one batch whose regions meet are applied as one region. Where the replacements are over four times as long
+as the text, they are a new text, and it is counted as one. Counts are exactly those of encoding the edited text anew.
 
 The tokenizer is byte-level BPE from a rank file; its path and pattern are parameters. The number of
 tokens of a pre-token is remembered per Python worker, which only saves time.
@@ -50,7 +51,7 @@ class Counter:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         compiled = regex.compile(pattern)
-        self.cut, self.iterate = compiled.findall, compiled.finditer
+        self.cut, self.match = compiled.findall, compiled.match
         self.memo = _Memo(self.encoding)
 
     def counts(self, pieces: list[str]) -> np.ndarray:
@@ -101,10 +102,10 @@ class SegmentTree:
 
 
 class CountedText:
-    """A text with its tree; ``apply`` keeps the counts right under edits."""
+    """A text with its tree; ``apply`` keeps the counts right under edits. Each leaf holds its own part of the text."""
 
     def __init__(self, text: str, counter: Counter):
-        self.text, self.counter = text, counter
+        self.counter = counter
         pieces = counter.cut(text)
         self.pretokens = len(pieces)
         self.recounted = 0  # pre-tokens cut and counted again by edits
@@ -112,7 +113,14 @@ class CountedText:
         starts = np.arange(0, len(pieces), LEAF)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         sums = lambda x: np.add.reduceat(x, starts).tolist() if len(x) else []
-        self.tree = SegmentTree(sums(sizes), sums(counter.counts(pieces)))
+        chars = sums(sizes)
+        ends = np.cumsum(chars).tolist()
+        self.parts = [text[e - n : e] for n, e in zip(chars, ends, strict=True)]
+        self.tree = SegmentTree(chars, sums(counter.counts(pieces)))
+
+    @property
+    def text(self) -> str:
+        return "".join(self.parts)
 
     @property
     def tokens(self) -> int:
@@ -123,7 +131,7 @@ class CountedText:
         edits = sorted(edits)
         if not edits:
             return
-        if not self.leaves or sum(len(new) for *_, new in edits) > 4 * max(256, len(self.text)):
+        if not self.leaves or sum(len(new) for *_, new in edits) > 4 * max(256, self.tree.chars[1]):
             self._rebuild(self._edited(self.text, edits, 0))  # a new text rather than an edit
             return
         tree, regions = self.tree, []
@@ -139,37 +147,41 @@ class CountedText:
             self._region(first, own)
 
     def _region(self, first: int, edits: list[Edit]) -> None:
-        tree = self.tree
+        """Cut the leaves of some edits anew, from ``first`` on; only these and a few behind them are looked at."""
+        tree, parts, leaves, match = self.tree, self.parts, self.leaves, self.counter.match
         start = self._start(first)
-        while tree.chars[tree.size + first] == 0 and first:  # emptied leaves are no context
+        while not parts[first] and first:  # emptied leaves are no context
             first -= 1
             start = self._start(first)
-        change = sum(len(new) - n for _, n, new in edits)
-        done = edits[-1][0] + edits[-1][1]  # old position after the last edit
-        self.text = self._edited(self.text, edits, 0)
-        # old boundaries after the edits, as positions in the new text
-        last, end = first, start
-        pieces: list[str] = []
-        at = start
-        matches = self.counter.iterate(self.text, start)
+        done = edits[-1][0] + edits[-1][1] - start  # the end of the last edit, in the old text from the region's start
+        stop, old = first, 0
+        while stop < leaves and (old < done or stop == first):
+            old += len(parts[stop])
+            stop += 1
+        found = self._edited("".join(parts[first:stop]), [(at - start, n, new) for at, n, new in edits], 0)
+        # where the leaf before each of these positions ends: there the old cut may go on
+        bounds = {len(found): stop} if old > done else {}
+        at, known, step, pieces = 0, stop, 1, []
         while True:
-            while end < done or (end + change < at and last < self.leaves):
-                if last >= self.leaves:
-                    break
-                end += tree.chars[tree.size + last]
-                last += 1
-            if last >= self.leaves:
-                pieces.extend(m[0] for m in matches)
-                break
-            if end + change == at and end > done:
-                break
-            m = next(matches, None)
+            m = match(found, at) if at < len(found) else None
+            if (m is None or m.end() == len(found)) and known < leaves:  # it may depend on what follows
+                more, length = [], len(found)
+                for part in parts[known : known + step]:
+                    more.append(part)
+                    known += 1
+                    length += len(part)
+                    bounds.setdefault(length, known)
+                found, step = found + "".join(more), 2 * step
+                continue
             if m is None:
-                last = self.leaves
+                stop = leaves
                 break
             pieces.append(m[0])
             at = m.end()
-        self._fill(first, max(last, first + 1), pieces)
+            if at in bounds:
+                stop = bounds[at]
+                break
+        self._fill(first, max(stop, first + 1), pieces)
 
     def _start(self, leaf: int) -> int:
         """Characters before a leaf: sums of the subtrees to its left."""
@@ -189,11 +201,13 @@ class CountedText:
         if per > 4 * LEAF:  # the region has outgrown its leaves: a new tree, nothing else is counted again
             tree = self.tree
             at = tree.size
+            self.parts[first:stop] = ["".join(pieces[i : i + LEAF]) for i in range(0, len(pieces), LEAF)]
             chars = tree.chars[at : at + first] + [sum(sizes[i : i + LEAF]) for i in range(0, len(sizes), LEAF)] + tree.chars[at + stop : at + self.leaves]
             tokens = tree.tokens[at : at + first] + [sum(counts[i : i + LEAF]) for i in range(0, len(counts), LEAF)] + tree.tokens[at + stop : at + self.leaves]
             self.leaves, self.tree = len(chars), SegmentTree(chars, tokens)
             return
         for k in range(room):
+            self.parts[first + k] = "".join(pieces[k * per : (k + 1) * per])
             self.tree.update(first + k, sum(islice(sizes, k * per, (k + 1) * per)), sum(islice(counts, k * per, (k + 1) * per)))
 
     def _rebuild(self, text: str) -> None:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -37,6 +38,28 @@ def test_one_edit_counts_few_pretokens_again(counter):
     assert tree.tokens == full(counter, tree.text) and tree.recounted <= 8 * T.LEAF < tree.pretokens / 100
 
 
+def test_many_edits_of_a_long_text(counter):
+    """4,000 edits of 4 MB cost less than counting anew, and each its own leaves only."""
+    rng = random.Random(8)
+    text = " ".join(f"word{rng.randrange(3000)}" for _ in range(420_000))
+    began = time.perf_counter()
+    tree = T.CountedText(text, counter)
+    anew = time.perf_counter() - began
+    at = sorted(rng.sample(range(0, len(text) - 10, 40), 4000))
+    edits = [(a, rng.randrange(9), rng.choice(["", "x", " new words", "\n\n", "  "])) for a in at]
+    began = time.perf_counter()
+    tree.apply(edits)
+    took = time.perf_counter() - began
+    want = T.CountedText._edited(text, edits, 0)
+    assert tree.text == want and tree.tokens == full(counter, want)
+    assert tree.recounted <= 4000 * 4 * T.LEAF and took < anew
+    # a few edits of it cost next to nothing
+    began = time.perf_counter()
+    for _ in range(20):
+        tree.apply([(rng.randrange(len(want) - 100), 3, "ab")])
+    assert time.perf_counter() - began < anew / 5 and tree.tokens == full(counter, tree.text)
+
+
 def test_cleaning(spark, some_docs, counter):
     docs = spark.createDataFrame(some_docs, "doc_id long, text string")
     rows = {r.doc_id: r for r in T.edited_counts(docs).collect()}
