@@ -268,7 +268,15 @@ def permute_letters(value: Column, kind: str, key: str, letters: int = 26) -> Co
 
 
 def _email(m: Column, key: str) -> Column:
-    return F.concat(permute_letters(F.substring_index(m, "@", 1), "email", key), F.lit("@"), F.substring_index(m, "@", -1))
+    """An address is the same one in any case; capitals stay where they are."""
+    local = F.substring_index(m, "@", 1)
+
+    def cased(moved: Column) -> Column:
+        if_capital = lambda c, i: F.when((c >= "A") & (c <= "Z"), F.upper(F.substring(moved, i + 1, F.lit(1)))).otherwise(F.substring(moved, i + 1, F.lit(1)))
+        return F.array_join(F.transform(F.split(local, ""), if_capital), "")
+
+    whole = _bind(permute_letters(F.lower(local), "email", key), lambda moved: F.when(local.rlike("[A-Z]"), cased(moved)).otherwise(moved))
+    return F.concat(whole, F.lit("@"), F.substring_index(m, "@", -1))
 
 
 def _mod97(value: Column) -> Column:

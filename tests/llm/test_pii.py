@@ -156,3 +156,11 @@ def test_long_tokens_take_linear_time(spark):
 def test_long_runs_of_groups(spark):
     out = run(spark, ["1234 5678 " * 10_000, "AB12 3456 " * 10_000])
     assert [len(x) for x in out] == [100_000, 100_000]
+
+
+def test_addresses_are_linked_in_any_case(spark):
+    texts = ["JOHN.doc7@mail.org", "john.doc7@mail.org", "John.Doc7@mail.org and jOHN.dOC7@mail.org"]
+    out = [r.text for r in P.pseudonymize(spark.createDataFrame([(t,) for t in texts], "text string"), key=KEY).collect()]
+    names = [n for t in out for n in re.findall(r"[\w.]+(?=@mail\.org)", t)]
+    assert len(names) == 4 and len({n.lower() for n in names}) == 1 and names[0].lower() != "john.doc7"
+    assert [re.sub("[A-Z]", "U", re.sub("[a-z]", "l", re.sub("[0-9]", "0", n))) for n in names] == ["UUUU.lll0", "llll.lll0", "Ulll.Ull0", "lUUU.lUU0"]
