@@ -8,6 +8,7 @@ warehouse is used.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -72,10 +73,18 @@ def free_name(df: DataFrame, base: str) -> str:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches of a task in small pieces, so that the Python copies of their texts stay small."""
+    """The batches of a task in small pieces, so that the Python copies of their texts stay small.
+
+    At the end what has been freed goes back to the system: a worker waits for its next task beside others.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # glibc
+        trim(0)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
