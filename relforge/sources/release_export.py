@@ -128,23 +128,30 @@ def _joined() -> Column:
 
 
 def read_all_rows(spark: SparkSession, export_log: DataFrame, options: dict) -> DataFrame:
-    """(dataset, c1...c13) of the rows of all file sets of a log, in one read."""
-    logged = export_log.select("dataset", "path").collect()  # one row for each file set
+    """(_file, c1...c13) of the rows of all file sets of a log, in one read."""
+    logged = export_log.select("path").collect()  # one row for each file set
     schema = ", ".join(f"c{i} string" for i in range(1, WIDTH + 1))
     rows = spark.read.options(**{**options, "header": "false"}).schema(schema).csv([r["path"] for r in logged])
+    return rows.select("*", F.col("_metadata.file_path").alias("_file")).filter(~F.startswith(F.col("_metadata.file_name"), F.lit(HEADER_FILE)))
+
+
+def _datasets(spark: SparkSession, export_log: DataFrame, by_file: DataFrame) -> DataFrame:
+    """The data set of each file, by its folder."""
+    logged = export_log.select("dataset", "path").collect()  # one row for each file set
     names = spark.createDataFrame([(r["dataset"], files.plain(spark, r["path"])) for r in logged], "dataset string, _folder string")
-    plain = F.regexp_replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    folder = F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))
-    body = rows.select("*", folder.alias("_folder")).filter(~F.startswith(F.col("_metadata.file_name"), F.lit(HEADER_FILE)))
-    return body.join(names, "_folder").drop("_folder")
+    plain = F.regexp_replace(F.regexp_replace("_file", "/[^/]*$", ""), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return by_file.withColumn("_folder", F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B")))).join(names, "_folder").drop("_folder")
 
 
 def read_back(spark: SparkSession, export_log: DataFrame, options: dict) -> DataFrame:
-    """dataset, written_rows, written_fingerprint of every file set of a log, from its files; 0 rows where only names are."""
-    rows = read_all_rows(spark, export_log, options)
+    """dataset, written_rows, written_fingerprint of every file set of a log, from its files; 0 rows where only names are.
+
+    Rows are counted and summed file by file, where they are read, and only these sums are shuffled and get their data set's name."""
     h1, h2 = row_hashes([f"c{i}" for i in range(1, WIDTH + 1)])
-    found = (rows.select("dataset", h1.alias("h1"), h2.alias("h2")).groupBy("dataset")
-                 .agg(F.count(F.lit(1)).alias("written_rows"), _joined().alias("written_fingerprint")))
+    sums = (read_all_rows(spark, export_log, options).select("_file", h1.alias("h1"), h2.alias("h2")).groupBy("_file")
+            .agg(F.count(F.lit(1)).alias("rows"), total("h1").alias("h1"), total("h2").alias("h2")))
+    found = (_datasets(spark, export_log, sums).groupBy("dataset")
+             .agg(F.sum("rows").alias("written_rows"), _joined().alias("written_fingerprint")))
     return (export_log.select("dataset").join(found, "dataset", "left")
                       .select("dataset", F.coalesce("written_rows", F.lit(0)).alias("written_rows"),
                               F.coalesce("written_fingerprint", F.lit("0:0")).alias("written_fingerprint")))
