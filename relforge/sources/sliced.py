@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from relforge.operators.history import _cols
 from relforge.sources import files
+from relforge.sources.spread import tasks
 
 VERSION = "_version"
 
@@ -127,9 +128,16 @@ class StoredSnapshot:
         return rows.withColumn(self.BUCKET, F.pmod(F.xxhash64(*self.ids), F.lit(self.buckets)).cast("int"))
 
     def _latest(self, rows: DataFrame) -> DataFrame:
-        # one exchange, on the bucket: it serves the window, the DISTINCT and one file for each bucket
-        w = Window.partitionBy(self.BUCKET, *self.ids).orderBy(F.col(self.time).desc())
-        return rows.repartition(self.BUCKET).withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk").distinct()
+        # one exchange, on the bucket: it serves the window, the DISTINCT and one file for each bucket; a bucket that is too
+        # much for a task is dealt over several by the id, with a file for each
+        parts = -(-tasks(rows) // self.buckets)
+        if parts < 2:
+            dealt, by = rows.repartition(self.BUCKET), [self.BUCKET]
+        else:
+            part = F.pmod(F.xxhash64(F.lit(parts), *self.ids), F.lit(parts)).cast("int")
+            dealt, by = rows.withColumn("_task", F.col(self.BUCKET) * parts + part).repartitionById(self.buckets * parts, "_task"), ["_task", self.BUCKET]
+        w = Window.partitionBy(*by, *self.ids).orderBy(F.col(self.time).desc())
+        return dealt.withColumn("_rk", F.rank().over(w)).filter("_rk = 1").drop("_rk").distinct().drop("_task")
 
     def create(self, history: DataFrame, as_of: str) -> None:
         """The snapshot at a date, from the history."""
