@@ -123,3 +123,30 @@ def test_folder_keys_are_sent_to_the_rows(spark, monkeypatch):
         assert "BroadcastHashJoin" in plan(written[0])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_distinct_members_are_dealt_and_not_sorted_to_meet_their_lists(spark, tables, monkeypatch):
+    want = fingerprint(OPERATORS["static"](tables)).first()
+    monkeypatch.setattr(S, "TASK_BYTES", 1500)
+    monkeypatch.setattr(S, "UNSORTED_TASKS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        static = OPERATORS["static"](tables)
+        text = plan(static)
+        assert re.search(r"hashpartitioning\(refsetId#\d+, referencedComponentId#\d+, \d+\), REPARTITION_BY_NUM", text)
+        assert not re.search(r"hashpartitioning\(refsetId#\d+, referencedComponentId#\d+, \d+\), ENSURE_REQUIREMENTS", text)
+        assert "ShuffledHashJoin Inner BuildRight" in text
+        assert fingerprint(static).first() == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("how", ["inner", "left_semi"])
+def test_parts_of_a_hot_key_are_not_sorted(spark, tables, monkeypatch, how):
+    rows, few = tables["refset"], tables["clusters"].select("Refset_ID")
+    want = fingerprint(rows.join(few, rows.refsetId == few.Refset_ID, how)).first()
+    monkeypatch.setattr(S, "TASK_BYTES", 1500)
+    monkeypatch.setattr(S, "HOT_TASKS", 2)
+    joined = S.join_by_hot_key(rows, few, "refsetId", "Refset_ID", "referencedComponentId", how)
+    assert "ShuffledHashJoin" in plan(joined) and "SortMergeJoin" not in plan(joined)
+    assert want["rows"] and fingerprint(joined).first() == want
