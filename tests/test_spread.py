@@ -150,3 +150,16 @@ def test_parts_of_a_hot_key_are_not_sorted(spark, tables, monkeypatch, how):
     joined = S.join_by_hot_key(rows, few, "refsetId", "Refset_ID", "referencedComponentId", how)
     assert "ShuffledHashJoin" in plan(joined) and "SortMergeJoin" not in plan(joined)
     assert want["rows"] and fingerprint(joined).first() == want
+
+
+def test_every_history_of_a_release_is_dealt_by_its_id(spark, monkeypatch):
+    def lines():
+        sources = X._release_sources(Fixtures(spark, SF_SMALL))
+        return {s.slices[-1].name: RX.release_lines(s, X.CURRENT_RELEASE, IO._render) for s in sources}
+    want = {name: fingerprint(df).first() for name, df in lines().items()}
+    monkeypatch.setattr(S, "TASK_BYTES", 500)
+    dealt = lines()
+    for name in ("language", "concept", "description", "decision"):
+        exchanges = re.findall(r"hashpartitioning\((\w+)#\d+, \d+\), (\w+)", plan(dealt[name]))
+        assert exchanges == [("id", "REPARTITION_BY_NUM")], name
+    assert {name: fingerprint(df).first() for name, df in dealt.items()} == want
