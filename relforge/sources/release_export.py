@@ -2,9 +2,9 @@
 
 A ``Source`` is a history; its ``Slice``s are the tables of the release that are taken from it, each a choice of rows and
 columns. One window over the component id finds the latest time of every slice at once; a row then says for each slice
-whether it belongs to the full, snapshot and delta form, and is written out as one text line. The lines of all sources are kept once (a
-stored table, so that neither the write nor the check computes them again) and written in one job, a folder for each
-file set. A file set's first file holds the line of column names, the others its rows: ``cat part-*`` gives the release file.
+whether it belongs to the full, snapshot and delta form, and is written out as one text line. The tasks that make the lines of all sources write
+them, in one job, a folder for each file set, and count and sum them on their way (nothing is kept or shuffled in between).
+A file set's first file holds the line of column names, the others its rows: ``cat part-*`` gives the release file.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relforge.functions.fingerprint import row_hashes, total
@@ -91,11 +91,12 @@ def release_lines(source: Source, release_date: str, render: Callable, sentinel:
                 .select(F.concat_ws("_", "slice", "form").alias("dataset"), "line", "h1", "h2"))
 
 
-def write_file_sets(spark: SparkSession, manifest: DataFrame, lines: DataFrame, headers: dict[str, list[str]], render_names: Callable,
-                    out_root: str, suffix: str, scratch: str) -> DataFrame:
+def write_file_sets(spark: SparkSession, manifest: DataFrame, parts: list[tuple[DataFrame, list[str]]], headers: dict[str, list[str]],
+                    render_names: Callable, out_root: str, suffix: str) -> DataFrame:
     """Write every file set of a manifest in one job; the log: dataset, path, content, rows, fingerprint.
 
-    ``headers``: column names of each populated file set; an empty set takes them from its manifest row. File sets that are there already are an error,
+    ``parts``: lines as (dataset, line, h1, h2), and the data sets that are among them. ``headers``: column names of each populated file set; an
+    empty set takes them from its manifest row. File sets that are there already are an error,
     before anything is written; what is written appears under its names only when all of it is complete.
     """
     sets = manifest.collect()  # metadata: a row for each file set
@@ -106,23 +107,37 @@ def write_file_sets(spark: SparkSession, manifest: DataFrame, lines: DataFrame,
     taken = [path for path, _, _ in found.values() if files.exists(spark, path)]
     if taken:
         raise FileExistsError(f"file sets are there already: {taken[:3]}")
-    lines.write.parquet(f"{scratch}/lines")
-    stored = spark.read.schema(lines.schema).parquet(f"{scratch}/lines")
-    known = spark.createDataFrame([(n, render_names(names)) for n, (_, _, names) in found.items()], "dataset string, line string")
+    # the lines of names are one task of their own, the first, whatever the others are, and so are in files of their own
+    known = spark.sparkContext.parallelize([(n, render_names(names)) for n, (_, _, names) in found.items()], 1)
+    watched = [_watched(lines, names) for lines, names in parts]
+    lines = reduce(DataFrame.unionByName, (df.select("dataset", "line") for df, _ in watched), spark.createDataFrame(known, "dataset string, line string"))
     staged = os.path.join(out_root, f"_staged-{uuid.uuid4().hex[:12]}")
-    # the line of names comes from the first task, and so is in a file of its own; a large file set is split by AQE
-    (known.coalesce(1).unionByName(stored.select("dataset", "line").hint("rebalance", "dataset"))
-          .write.partitionBy("dataset").option("lineSep", "\n").text(staged))
-    for name, (path, _, _) in found.items():
-        files.move(spark, f"{staged}/dataset={name}", path)
-    files.delete(spark, staged)
-    counted = {r["dataset"]: r for r in stored.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"), _joined().alias("fingerprint")).collect()}
-    log = [(n, path, content, counted[n]["rows"] if n in counted else 0, counted[n]["fingerprint"] if n in counted else "0:0")
-           for n, (path, content, _) in found.items()]
-    files.delete(spark, f"{scratch}/lines")
+    try:
+        lines.write.partitionBy("dataset").option("lineSep", "\n").text(staged)
+        counted = {name: sums for _, seen in watched for name, sums in seen()}
+        for name, (path, _, _) in found.items():
+            files.move(spark, f"{staged}/dataset={name}", path)
+    finally:
+        files.delete(spark, staged)
+    log = [(n, path, content, *counted.get(n, (0, "0:0"))) for n, (path, content, _) in found.items()]
     return spark.createDataFrame(log, "dataset string, path string, content string, rows bigint, fingerprint string")
 
 
+def _watched(lines: DataFrame, names: list[str]) -> tuple[DataFrame, Callable]:
+    """The lines, and what gives (data set, (rows, fingerprint)) of each of ``names`` once a job has written them.
+
+    The tasks that write count and sum the lines (each task once, whether or not it is tried again), so nothing is between the two."""
+    seen, sums = Observation(), []
+    for i, name in enumerate(names):
+        here = F.col("dataset") == name
+        sums += [F.count(F.when(here, 1)).alias(f"rows{i}"), *(total(F.when(here, F.col(h))).alias(f"{h}_{i}") for h in ("h1", "h2"))]
+
+    def counted() -> list[tuple]:
+        got = seen.get
+        return [(n, (got.get(f"rows{i}") or 0, ":".join(str(int(got.get(f"{h}_{i}") or 0)) for h in ("h1", "h2")))) for i, n in enumerate(names)]
+    return lines.observe(seen, *sums), counted
+
+
 def _joined() -> Column:
     return F.concat_ws(":", *(F.coalesce(total(h), F.lit(0)).cast("decimal(38,0)").cast("string") for h in ("h1", "h2")))
 
@@ -180,8 +195,8 @@ def export_tree(spark: SparkSession, export_log: DataFrame, out_root: str, folde
 
 
 def export_sources(spark: SparkSession, manifest: DataFrame, sources: list[Source], release_date: str, out_root: str, render: Callable,
-                   render_names: Callable, suffix: str, scratch: str) -> DataFrame:
+                   render_names: Callable, suffix: str) -> DataFrame:
     """Export all forms of all slices of some histories; each history is read once."""
-    lines = reduce(DataFrame.unionByName, (release_lines(s, release_date, render) for s in sources))
+    parts = [(release_lines(s, release_date, render), [f"{t.name}_{form}" for t in s.slices for form in FORMS]) for s in sources]
     headers = {f"{s.name}_{form}": list(s.columns) for source in sources for s in source.slices for form in FORMS}
-    return write_file_sets(spark, manifest, lines, headers, render_names, out_root, suffix, scratch)
+    return write_file_sets(spark, manifest, parts, headers, render_names, out_root, suffix)

@@ -139,6 +139,39 @@ def test_awkward_paths_are_read_back(spark):
     assert IO.read_back(spark, log).first()["written_rows"] == 2
 
 
+def test_lines_are_neither_kept_nor_shuffled_to_be_written(spark, monkeypatch):
+    """From the tasks that make them to the files: no table in between, and no exchange but that of the history by its id."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    written, real = [], DataFrameWriter.text
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a, **k: (written.append(self._df), real(self, *a, **k))[1])
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: pytest.fail("the lines are stored"))
+    columns = {c: c for c in ("id", "effectiveTime", "active", "moduleId")}
+    source = RX.Source(history(spark, ROWS), [RX.Slice("all", columns), RX.Slice("live", columns, F.col("active") == "1")])
+    log = IO.export_history(spark, manifest(spark, [f"{t}_{form}" for t in ("all", "live") for form in RX.FORMS], ["none"]), [source], "20010401", IO.scratch_root(spark, "t-pass"))
+    plan = written[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(written) == 1 and re.findall(r"Exchange (\w+)\((\w+)#", plan) == [("hashpartitioning", "id")]
+    back = {r["dataset"]: (r["written_rows"], r["written_fingerprint"]) for r in IO.read_back(spark, log).collect()}
+    assert back == {r["dataset"]: (r["rows"], r["fingerprint"]) for r in log.collect()}
+    assert back["none"] == (0, "0:0") and back["all_full"][0] == 9
+
+
+@pytest.mark.parametrize("tables", [1, 2])
+def test_names_are_apart_from_rows_of_a_single_task(spark, tables):
+    names = ["a", "b"][:tables]
+    rows = {n: spark.range(5, numPartitions=1).select(F.col("id").cast("string").alias("id")) for n in names}
+    log = IO.export_release(spark, manifest(spark, names), rows, IO.scratch_root(spark, "t-single"))
+    assert {(r["dataset"], r["written_rows"]) for r in IO.read_back(spark, log).collect()} == {(n, 5) for n in names}
+    assert all([r["id"] for r in IO.read_tsv(spark, p["path"], rows["a"].schema).orderBy("id").collect()] == list("01234") for p in log.collect())
+
+
+def test_an_export_without_rows_or_tables(spark):
+    none = spark.createDataFrame([], "id string")
+    log = IO.export_release(spark, manifest(spark, ["a"], ["none"]), {"a": none}, IO.scratch_root(spark, "t-no-rows"))
+    assert {(r["dataset"], r["rows"], r["fingerprint"]) for r in log.collect()} == {("a", 0, "0:0"), ("none", 0, "0:0")}
+    log = IO.export_release(spark, manifest(spark, [], ["none"]), {}, IO.scratch_root(spark, "t-no-tables"))
+    assert [(r["dataset"], r["rows"]) for r in log.collect()] == [("none", 0)]
+
+
 # ---------------------------------------------------------------- A9, A10
 
 def test_a_failed_replacement_leaves_the_table(spark, name):
