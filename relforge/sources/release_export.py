@@ -92,12 +92,13 @@ def release_lines(source: Source, release_date: str, render: Callable, sentinel:
 
 
 def write_file_sets(spark: SparkSession, manifest: DataFrame, parts: list[tuple[DataFrame, list[str]]], headers: dict[str, list[str]],
-                    render_names: Callable, out_root: str, suffix: str) -> DataFrame:
+                    render_names: Callable, out_root: str, suffix: str, compression: str = "none") -> DataFrame:
     """Write every file set of a manifest in one job; the log: dataset, path, content, rows, fingerprint.
 
     ``parts``: lines as (dataset, line, h1, h2), and the data sets that are among them. ``headers``: column names of each populated file set; an
     empty set takes them from its manifest row. File sets that are there already are an error,
-    before anything is written; what is written appears under its names only when all of it is complete.
+    before anything is written; what is written appears under its names only when all of it is complete. ``compression``: of Spark's text
+    writer; readers see it by the files' names, and with ``gzip`` ``cat part-*`` gives the gzip of the release file.
     """
     sets = manifest.collect()  # metadata: a row for each file set
     found = {}
@@ -113,7 +114,7 @@ def write_file_sets(spark: SparkSession, manifest: DataFrame, parts: list[tuple[
     lines = reduce(DataFrame.unionByName, (df.select("dataset", "line") for df, _ in watched), spark.createDataFrame(known, "dataset string, line string"))
     staged = os.path.join(out_root, f"_staged-{uuid.uuid4().hex[:12]}")
     try:
-        lines.write.partitionBy("dataset").option("lineSep", "\n").text(staged)
+        lines.write.partitionBy("dataset").options(lineSep="\n", compression=compression).text(staged)
         counted = {name: sums for _, seen in watched for name, sums in seen()}
         for name, (path, _, _) in found.items():
             files.move(spark, f"{staged}/dataset={name}", path)
@@ -195,8 +196,8 @@ def export_tree(spark: SparkSession, export_log: DataFrame, out_root: str, folde
 
 
 def export_sources(spark: SparkSession, manifest: DataFrame, sources: list[Source], release_date: str, out_root: str, render: Callable,
-                   render_names: Callable, suffix: str) -> DataFrame:
+                   render_names: Callable, suffix: str, compression: str = "none") -> DataFrame:
     """Export all forms of all slices of some histories; each history is read once."""
     parts = [(release_lines(s, release_date, render), [f"{t.name}_{form}" for t in s.slices for form in FORMS]) for s in sources]
     headers = {f"{s.name}_{form}": list(s.columns) for source in sources for s in source.slices for form in FORMS}
-    return write_file_sets(spark, manifest, parts, headers, render_names, out_root, suffix)
+    return write_file_sets(spark, manifest, parts, headers, render_names, out_root, suffix, compression)

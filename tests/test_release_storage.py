@@ -1,5 +1,6 @@
 """B5, B9-B11, A9-A12, D3 over stored tables: what is read, what is written, and what is left when something fails."""
 
+import gzip
 import os
 import re
 import uuid
@@ -172,6 +173,22 @@ def test_an_export_without_rows_or_tables(spark):
     assert [(r["dataset"], r["rows"]) for r in log.collect()] == [("none", 0)]
 
 
+def test_compressed_file_sets_are_the_gzip_of_the_text(spark):
+    tables = {"t1": spark.createDataFrame([(str(i), None if i % 3 else 'q"\t\n') for i in range(50)], "id string, v string").repartition(3)}
+    texts, logs = [], []
+    for kind in ("none", "gzip"):
+        logs.append(IO.export_release(spark, manifest(spark, ["t1"], ["none"]), tables, IO.scratch_root(spark, "t-gzip"), "", kind))
+        folder = next(r["path"] for r in logs[-1].collect() if r["dataset"] == "t1").removeprefix("file:")
+        parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+        assert all(f.endswith(".gz") for f in parts) == (kind == "gzip")
+        raw = b"".join(open(os.path.join(folder, f), "rb").read() for f in parts)
+        texts.append((gzip.decompress(raw) if kind == "gzip" else raw).decode())
+        assert same(IO.read_tsv(spark, folder, tables["t1"].schema), tables["t1"])
+    assert texts[0].startswith("id\tv\n") and texts[1].startswith("id\tv\n") and len(texts[0]) == len(texts[1])
+    plain, packed = (log.select("dataset", "rows", "fingerprint") for log in logs)
+    assert same(plain, packed) and same(IO.read_back(spark, logs[1]).toDF("dataset", "rows", "fingerprint"), packed)
+
+
 # ---------------------------------------------------------------- A9, A10
 
 def test_a_failed_replacement_leaves_the_table(spark, name):

@@ -163,3 +163,8 @@ def test_every_history_of_a_release_is_dealt_by_its_id(spark, monkeypatch):
         exchanges = re.findall(r"hashpartitioning\((\w+)#\d+, \d+\), (\w+)", plan(dealt[name]))
         assert exchanges == [("id", "REPARTITION_BY_NUM")], name
     assert {name: fingerprint(df).first() for name, df in dealt.items()} == want
+
+
+def test_a_release_is_written_compressed(spark):
+    paths = [r["path"] for r in X._export(spark, SF_SMALL).select("path").collect()]
+    assert len(paths) == 66 and all(f.endswith(".txt.gz") for f in spark.read.text(paths).inputFiles())
