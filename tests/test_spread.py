@@ -4,8 +4,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from relforge.functions.fingerprint import fingerprint
+from relforge.operators import diff as D
 from relforge.operators import history as H
 from relforge.operators import lists as L
 from relforge.operators import refdata as R
@@ -18,6 +20,7 @@ from relforge.sources.sliced import StoredSnapshot
 from tests.conftest import SF_SMALL
 from tests.test_plans import plan
 
+SHARE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 REFSET = "id string, effectiveTime string, active string, moduleId string, refsetId string, referencedComponentId string"
 
 
@@ -168,3 +171,46 @@ def test_every_history_of_a_release_is_dealt_by_its_id(spark, monkeypatch):
 def test_a_release_is_written_compressed(spark):
     paths = [r["path"] for r in X._export(spark, SF_SMALL).select("path").collect()]
     assert len(paths) == 66 and all(f.endswith(".txt.gz") for f in spark.read.text(paths).inputFiles())
+
+
+def test_rows_are_dealt_before_they_are_copied_to_their_rulesets(spark):
+    decorated = stored(spark, [(f"C{i % 4}", f"c{i}", None if i % 9 else "x") for i in range(60)] * 2 + [(None, "c1", "x")],
+                       "Cluster_ID string, SNOMED_concept_ID string, Code_description string")
+    for name in ("Cluster_description", "Type_of_Refset", "Cluster_Code_String", "Active_status", "Outcome"):
+        decorated = decorated.withColumn(name, F.lit(name))
+    # a list in more rulesets than are copied at once, one in a single one, one in none; repeated links and null keys
+    links = stored(spark, [("C0", "S", f"R{i}", i % 3) for i in range(2 * D.COPIES + 3)] * 2 + [("C1", "S", "R1", 1), ("C2", None, "R1", 1), ("C2", "S", None, None), (None, "S", "R1", 1)],
+                   "Cluster_ID string, Service_ID string, Ruleset_ID string, Ruleset_Version int")
+    plain, dealt = (D.changed_by_ruleset(decorated, links, dealt=each) for each in (False, True))
+    assert dealt.schema.names == plain.schema.names and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
+    assert plain.count() == 30 * (2 * D.COPIES + 3 + 1 + 2)
+    text = dealt._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(_rulesets#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text)
+    assert text.index("Generate inline") < text.index("REBALANCE_PARTITIONS_BY_COL")
+
+
+def test_the_copies_of_a_row_are_not_shuffled_to_be_written(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    written, real = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: (written.append((self._df, spark.conf.get(SHARE))), real(self, *a, **k))[1])
+    before = spark.conf.get(SHARE)
+    back = X.q_export_partitioned_roundtrip(spark, SF_SMALL)
+    text = written[0][0]._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"(\w+)#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text) == ["_rulesets"]
+    assert int(written[0][1]) == IO.COPIED_SHARE and spark.conf.get(SHARE) == before
+    assert back.inputFiles() and all(f.endswith(".csv.gz") for f in back.inputFiles())
+
+
+def test_a_smaller_share_stays_and_a_failed_job_restores_it(spark):
+    before = spark.conf.get(SHARE)
+    try:
+        spark.conf.set(SHARE, "1k")
+        with S.task_share(spark, 5000):
+            assert spark.conf.get(SHARE) == "1k"
+        spark.conf.set(SHARE, "6k")
+        with pytest.raises(ValueError), S.task_share(spark, 5000):
+            assert spark.conf.get(SHARE) == "5000"
+            raise ValueError
+        assert spark.conf.get(SHARE) == "6k"
+    finally:
+        spark.conf.set(SHARE, before)
