@@ -185,7 +185,7 @@ def test_rows_are_dealt_before_they_are_copied_to_their_rulesets(spark):
     assert dealt.schema.names == plain.schema.names and dealt.exceptAll(plain).isEmpty() and plain.exceptAll(dealt).isEmpty()
     assert plain.count() == 30 * (2 * D.COPIES + 3 + 1 + 2)
     text = dealt._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"hashpartitioning\(_rulesets#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text)
+    assert re.search(r"hashpartitioning\(_rulesets#\d+, _part#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text)
     assert text.index("Generate inline") < text.index("REBALANCE_PARTITIONS_BY_COL")
 
 
@@ -196,7 +196,7 @@ def test_the_copies_of_a_row_are_not_shuffled_to_be_written(spark, monkeypatch):
     before = spark.conf.get(SHARE)
     back = X.q_export_partitioned_roundtrip(spark, SF_SMALL)
     text = written[0][0]._jdf.queryExecution().executedPlan().toString()
-    assert re.findall(r"(\w+)#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text) == ["_rulesets"]
+    assert re.findall(r"\((\w+)#\d+, (\w+)#\d+, \d+\), REBALANCE_PARTITIONS_BY_COL", text) == [("_rulesets", "_part")]
     assert int(written[0][1]) == IO.COPIED_SHARE and spark.conf.get(SHARE) == before
     assert back.inputFiles() and all(f.endswith(".csv.gz") for f in back.inputFiles())
 
